@@ -7,6 +7,7 @@ occurrences of each side are common, the rest differ. Results are DataFrames.
 
 from bagdiff.plans.pipelines import (
     DIRS,
+    compare,
     FILES,
     POOLED,
     diff_dirs,
@@ -23,6 +24,7 @@ from bagdiff.plans.pipelines import (
 
 __all__ = [
     "DIRS",
+    "compare",
     "FILES",
     "POOLED",
     "diff_dirs",

@@ -28,7 +28,7 @@ from bagdiff.operators.classify import except_all_keys, intersect_all_keys, key_
 from bagdiff.operators.groups import slice_entries, unpack_entries, with_position
 from bagdiff.operators.pairing import filter_names, group_files, pair_files
 from bagdiff.operators.partition import repartition_by_key
-from bagdiff.plans.pipelines import FILES, diff_file_pairs, diff_lines, diff_pooled, keep_needle, render, with_key
+from bagdiff.plans.pipelines import FILES, POOLED, compare, diff_file_pairs, keep_needle, render, with_key
 from bagdiff.session import scratch_path
 from bagdiff.sources.listing import files_from_paths
 from bagdiff.sources.tables import lines_from_column
@@ -76,8 +76,7 @@ def _x_occ(spark, sf_dir):
 
 
 def _x_result(spark, sf_dir):
-    occ = x_lines(spark, sf_dir)
-    return diff_lines(occ.where(F.col("side") == S.LEFT), occ.where(F.col("side") == S.RIGHT))
+    return compare(x_lines(spark, sf_dir), FILES)
 
 
 def _y_result(spark, sf_dir):
@@ -85,8 +84,7 @@ def _y_result(spark, sf_dir):
 
 
 def _z_result(spark, sf_dir):
-    occ = y_lines(spark, sf_dir)
-    return diff_pooled(occ.where(F.col("side") == S.LEFT), occ.where(F.col("side") == S.RIGHT))
+    return compare(y_lines(spark, sf_dir), POOLED)
 
 
 # ---------------------------------------------------------------- Spark side

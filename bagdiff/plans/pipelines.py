@@ -66,6 +66,24 @@ def _prepare(occ, needle, space_sensitive, case_sensitive, normalize):
     return keep_needle(with_key(occ, space_sensitive, case_sensitive), needle, space_sensitive, case_sensitive, normalize)
 
 
+def compare(
+    occ: DataFrame,
+    mode: str = FILES,
+    needle: str | None = "",
+    space_sensitive: bool = False,
+    case_sensitive: bool = False,
+    normalize_needle: bool = False,
+    chunk_bits: int = S.CHUNK_BITS,
+) -> DataFrame:
+    """E1 (``FILES``) or E3 (``POOLED``) on one occurrence DataFrame holding both
+    sides (``side, file, line_no, line``). For ``DIRS`` use :func:`diff_file_pairs`,
+    which also needs the file listing."""
+    if mode not in (FILES, POOLED):
+        raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
+    occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
+    return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits)
+
+
 def diff_lines(
     left: DataFrame,
     right: DataFrame,
@@ -76,8 +94,7 @@ def diff_lines(
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """E1 on two occurrence DataFrames (``side, file, line_no, line``)."""
-    occ = _prepare(bag_union(left, right), needle, space_sensitive, case_sensitive, normalize_needle)
-    return classify(occ, **_rank_args(FILES), chunk_bits=chunk_bits)
+    return compare(bag_union(left, right), FILES, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
 
 
 def diff_files(
@@ -177,8 +194,7 @@ def diff_pooled(
     The reference gives pooled entries no order; here the latest (file, line_no)
     occurrences are the common ones, which makes the result deterministic.
     """
-    occ = _prepare(bag_union(left, right), needle, space_sensitive, case_sensitive, normalize_needle)
-    return classify(occ, **_rank_args(POOLED), chunk_bits=chunk_bits)
+    return compare(bag_union(left, right), POOLED, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
 
 
 def diff_pooled_dirs(
@@ -211,6 +227,7 @@ def write_result(classified: DataFrame, path: str, mode: str = FILES, line_sep:
 
 __all__ = [
     "DIRS",
+    "compare",
     "FILES",
     "POOLED",
     "diff_dirs",

@@ -2,10 +2,11 @@
 empty occurrence set (S6).
 
 Line numbers run per (side, file) in the order of (order column, position in the
-text). They are computed without a global sort: documents are grouped in blocks
-of consecutive order values, each block is numbered by a window that holds at
-most ``2**block_bits`` documents, and the small table of block totals supplies
-the offsets. The document text is shuffled once, by (side, file, block).
+text). They are computed without a global sort and without moving text through a
+window: a narrow row per document (side, file, order, line count) is numbered
+inside blocks of ``2**block_bits`` consecutive order values, a window over the
+small table of block totals supplies the block offsets, and the resulting start
+line of every document is joined back to the text on (side, file, order).
 """
 
 from __future__ import annotations
@@ -39,29 +40,40 @@ def lines_from_column(
         _col(order).cast("long").alias("_ord"),
         _col(text).alias("_text"),
     ).where(F.col("_text").isNotNull())
-    # number of lines = number of "\n" + 1, without building the array twice
-    docs = docs.withColumn("_n", F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1)
-    docs = docs.withColumn("_blk", F.shiftright("_ord", block_bits))
 
-    in_block = Window.partitionBy("side", "file", "_blk").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
-    docs = docs.withColumn("_doff", F.coalesce(F.sum("_n").over(in_block), F.lit(0)))
-
-    # block totals reuse the shuffle above (same partitioning), then a tiny window
-    blocks = docs.groupBy("side", "file", "_blk").agg(F.sum("_n").alias("_bn"))
+    # narrow rows only: number of lines = number of "\n" + 1 (no array is built)
+    counts = docs.select(
+        "side",
+        "file",
+        "_ord",
+        F.shiftright("_ord", block_bits).alias("_blk"),
+        (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).alias("_n"),
+    )
+    ordered = Window.partitionBy("side", "file", "_blk").orderBy("_ord")
+    counts = counts.select(
+        "*",
+        F.coalesce(F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_doff"),
+        F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_btot"),
+    )
+    blocks = counts.groupBy("side", "file", "_blk").agg(F.max("_btot").alias("_bn"))
     across = Window.partitionBy("side", "file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("side", "file", "_blk", F.coalesce(F.sum("_bn").over(across), F.lit(0)).alias("_boff"))
+    starts = counts.join(blocks, ["side", "file", "_blk"], "inner").select(
+        "side", "file", "_ord", (F.col("_boff") + F.col("_doff")).alias("_base")
+    )
 
-    numbered = docs.join(blocks, ["side", "file", "_blk"], "inner")
+    # one row per document: joined back by (side, file, order), a hash-balanced
+    # shuffle, or a broadcast when AQE finds the offsets small
+    numbered = docs.join(starts, ["side", "file", "_ord"], "inner")
     return numbered.select(
         "side",
         "file",
+        "_base",
         F.posexplode(F.split("_text", "\n", -1)).alias("_pos", "line"),
-        "_boff",
-        "_doff",
     ).select(
         "side",
         "file",
-        (F.col("_boff") + F.col("_doff") + F.col("_pos") + F.lit(1)).cast("long").alias("line_no"),
+        (F.col("_base") + F.col("_pos") + F.lit(1)).cast("long").alias("line_no"),
         "line",
     )
 

@@ -1,0 +1,38 @@
+"""Bucket rows: oversized groups split into ordered parts; entry formats."""
+
+from conftest import occurrences
+from pyspark.sql import functions as F
+
+from bagdiff import DIRS, POOLED, compare, diff_lines, render
+from bagdiff.operators.groups import bucket_groups, with_position
+
+
+def test_oversized_groups_continue_on_next_rows(spark):
+    left = ["k"] * 7 + ["a", "b"]
+    right = ["k"] * 2 + ["a"]
+    res = diff_lines(occurrences(spark, left, "left"), occurrences(spark, right, "right"), chunk_bits=1)
+    rows = with_position(bucket_groups(res, segment=2)).orderBy("bucket", "pos").collect()
+    diff_left = [(r.part, r.first_line_no, r.rendered) for r in rows if r.bucket == "diff_left"]
+    # k: 7 left, 2 right -> ranks 3..7 (lines 5..1) differ, split 2+2+1; then b (line 9)
+    assert diff_left == [
+        (0, 5, "[5:k, 4:k,"),
+        (1, 5, "3:k, 2:k,"),
+        (2, 5, "1:k]"),
+        (0, 9, "[9:b]"),
+    ]
+    comm_left = [(r.part, r.rendered) for r in rows if r.bucket == "comm_left"]
+    assert comm_left == [(0, "[7:k, 6:k]"), (0, "[8:a]")]
+
+
+def test_entry_formats(spark):
+    l = occurrences(spark, ["A", "b"], "left", "f.txt")
+    r = occurrences(spark, ["a"], "right", "f.txt")
+    occ = l.unionByName(r)
+    from bagdiff.plans.pipelines import diff_file_pairs
+    from bagdiff.sources.listing import files_from_paths
+
+    files = files_from_paths(occ.select("side", F.col("file").alias("path")).distinct())
+    labeled = render(diff_file_pairs(occ, files), DIRS).orderBy("bucket").collect()
+    assert [r.rendered for r in labeled] == ["[文件f.txt1:A]", "[文件f.txt1:a]", "[文件f.txt2:b]"]
+    bare = render(compare(occ, POOLED), POOLED).orderBy("bucket").collect()
+    assert [r.rendered for r in bare] == ["[A]", "[a]", "[b]"]

@@ -10,6 +10,7 @@ from bagdiff.operators.classify import (
     intersect_all_keys,
     key_counts,
     rank_occurrences,
+    replicate,
 )
 from bagdiff.operators.groups import bucket_groups, slice_entries, sort_groups, unpack_entries, with_position
 from bagdiff.operators.pairing import filter_names, group_files, pair_files
@@ -30,6 +31,7 @@ __all__ = [
     "pair_files",
     "rank_occurrences",
     "repartition_by_key",
+    "replicate",
     "slice_entries",
     "sort_groups",
     "unpack_entries",

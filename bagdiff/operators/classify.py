@@ -121,11 +121,42 @@ def bucket_view(classified: DataFrame, bucket: str) -> DataFrame:
     return classified.where(F.col("bucket") == bucket)
 
 
-def intersect_all_keys(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
-    """Keys common to both bags, with multiplicity (INTERSECT ALL)."""
-    return left_keys.intersectAll(right_keys)
+def replicate(counts: DataFrame, n: str, cols: Sequence[str], chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """``n`` copies of each row of ``cols``, generated in chunks of ``2**chunk_bits``
+    spread over tasks by a shuffle on (cols, chunk), so a key with a huge count is
+    not generated by one task."""
+    size = 1 << chunk_bits
+    cols = list(cols)
+    chunks = counts.where(F.col(n) > 0).select(
+        *cols,
+        F.col(n).alias("_n"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright(F.col(n) - F.lit(1), chunk_bits))).alias("_c"),
+    )
+    spread = chunks.repartition(*cols, "_c")
+    in_chunk = F.least(F.col("_n") - F.col("_c") * F.lit(size), F.lit(size))
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)).alias("_i")).select(*cols)
+
+
+def _side_counts(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    tagged = left.select(*cols, F.lit(S.LEFT).alias("side")).unionByName(right.select(*cols, F.lit(S.RIGHT).alias("side")))
+    return tagged.groupBy(*cols).agg(
+        F.count_if(F.col("side") == S.LEFT).cast("long").alias("n_left"),
+        F.count_if(F.col("side") == S.RIGHT).cast("long").alias("n_right"),
+    )
+
+
+def intersect_all_keys(left_keys: DataFrame, right_keys: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """Rows common to both bags, with multiplicity (INTERSECT ALL): each distinct row
+    ``least(n_left, n_right)`` times. Counting is a partial aggregation; the copies
+    are generated by :func:`replicate`."""
+    cols = left_keys.columns
+    counts = _side_counts(left_keys, right_keys, cols).withColumn("_m", F.least("n_left", "n_right"))
+    return replicate(counts, "_m", cols, chunk_bits)
 
 
-def except_all_keys(left_keys: DataFrame, right_keys: DataFrame) -> DataFrame:
-    """Keys of the left bag not matched on the right, with multiplicity (EXCEPT ALL)."""
-    return left_keys.exceptAll(right_keys)
+def except_all_keys(left_keys: DataFrame, right_keys: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """Rows of the left bag not matched on the right, with multiplicity (EXCEPT ALL):
+    each distinct row ``n_left - n_right`` times when positive."""
+    cols = left_keys.columns
+    counts = _side_counts(left_keys, right_keys, cols).withColumn("_m", F.col("n_left") - F.col("n_right"))
+    return replicate(counts, "_m", cols, chunk_bits)

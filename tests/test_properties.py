@@ -53,3 +53,16 @@ def test_diff_keys_are_except_all_and_comm_keys_intersect_all(spark):
     assert lk.exceptAll(rk).exceptAll(diff_keys).count() == 0
     inter = lk.intersectAll(rk)
     assert comm_keys.exceptAll(inter).count() == 0 and inter.exceptAll(comm_keys).count() == 0
+
+
+def test_set_ops_with_tiny_chunks(spark):
+    from bagdiff.operators.classify import except_all_keys, intersect_all_keys
+
+    l = spark.createDataFrame([(k,) for k in ["a"] * 9 + ["b"] * 2 + ["c"]], "key string")
+    r = spark.createDataFrame([(k,) for k in ["a"] * 4 + ["b"] * 3 + ["d"]], "key string")
+    inter = sorted(x.key for x in intersect_all_keys(l, r, chunk_bits=1).collect())
+    exc = sorted(x.key for x in except_all_keys(l, r, chunk_bits=1).collect())
+    assert inter == ["a"] * 4 + ["b"] * 2
+    assert exc == ["a"] * 5 + ["c"]
+    assert sorted(x.key for x in l.intersectAll(r).collect()) == inter
+    assert sorted(x.key for x in l.exceptAll(r).collect()) == exc

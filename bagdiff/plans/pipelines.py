@@ -135,20 +135,18 @@ def diff_file_pairs(
 
     Unpaired names are removed from the small chunk table, and the inner join of
     occurrences with it drops their lines, so no extra pass over the lines is
-    needed. The pair table is broadcast when the listing is within
-    ``MAX_BROADCAST_ROWS`` rows (``files_bound``, counted if not given);
-    otherwise it is joined by a shuffle on (file, key).
+    needed. With ``files_bound`` (listing rows known on the driver) within
+    ``MAX_BROADCAST_ROWS`` the pair table is broadcast. Otherwise the semi-join is
+    salted by key hash, so one file holding a third of all keys is spread over
+    ``RENDER_SALT`` tasks; AQE still broadcasts it when it turns out small.
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
-    if files_bound is None:
-        files_bound = files.count()
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
     tally = chunk_tally(occ, by, order, chunk_bits)
-    if files_bound <= S.MAX_BROADCAST_ROWS:
+    if files_bound is not None and files_bound <= S.MAX_BROADCAST_ROWS:
         tally = tally.join(F.broadcast(pairs), "file", "left_semi")
     else:
-        # one file may hold a third of all keys: salt the pair table by key hash
         salt = S.RENDER_SALT
         salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         tally = (
@@ -172,11 +170,13 @@ def diff_dirs(
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """Compare the files of two directories paired by base name."""
-    files = list_files(spark, dir_left, S.LEFT).unionByName(list_files(spark, dir_right, S.RIGHT))
+    left_files, right_files = list_files(spark, dir_left, S.LEFT), list_files(spark, dir_right, S.RIGHT)
+    files = left_files.unionByName(right_files)
+    files_bound = left_files.count() + right_files.count()  # local data: the listing is on the driver
     occ = read_lines(spark, dir_left, S.LEFT, encoding).unionByName(read_lines(spark, dir_right, S.RIGHT, encoding))
     occ = occ.withColumn("file", base_name("file"))
     return diff_file_pairs(
-        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits
+        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits, files_bound
     )
 
 

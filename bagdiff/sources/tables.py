@@ -62,9 +62,11 @@ def lines_from_column(
         "side", "file", "_ord", (F.col("_boff") + F.col("_doff")).alias("_base")
     )
 
-    # one row per document: joined back by (side, file, order), a hash-balanced
-    # shuffle, or a broadcast when AQE finds the offsets small
-    numbered = docs.join(starts, ["side", "file", "_ord"], "inner")
+    # one row per document, joined back by a hash-balanced shuffle on (side, file,
+    # order). The shuffle is asked for even when the offsets are small: the text
+    # exchange is then shared by every later branch (counts and ranking) instead
+    # of each re-reading the table, and splitting lines runs on all partitions.
+    numbered = docs.join(starts.hint("shuffle_hash"), ["side", "file", "_ord"], "inner")
     return numbered.select(
         "side",
         "file",

@@ -66,8 +66,9 @@ def y_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def y_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listing of Y: one row per (side, file); reads no text."""
-    docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
+    """The listing of Y: one row per (side, file); reads no text. A document with
+    NULL text counts like an empty file: listed, no lines."""
+    docs = _documents(spark, sf_dir)
     return files_from_paths(docs.select(_side().alias("side"), _y_file().alias("path")).distinct())
 
 
@@ -316,8 +317,10 @@ occ AS (
 _X = _lines_cte("side || '.txt'")
 _Y = _lines_cte("source || '_' || lang || '.txt'")
 
-_Y_FILES = """files AS (
-  SELECT DISTINCT side, file AS path, file AS file_name, split_part(file, '.', 1) AS stem FROM lines)"""
+_Y_FILES = f"""files AS (
+  SELECT DISTINCT {_DUCK_SIDE} AS side, source || '_' || lang || '.txt' AS path,
+         source || '_' || lang || '.txt' AS file_name, split_part(source || '_' || lang || '.txt', '.', 1) AS stem
+  FROM documents)"""
 
 _X_CLS = """rk AS (
   SELECT *,
@@ -329,7 +332,7 @@ cls AS (
   SELECT *, CASE WHEN occ_rank <= least(n_left, n_right) THEN 'comm_' ELSE 'diff_' END || side AS bucket FROM rk)"""
 
 _Y_CLS = """paired AS (
-  SELECT file FROM (SELECT DISTINCT side, file FROM occ) GROUP BY file
+  SELECT file_name AS file FROM files GROUP BY file_name
   HAVING count(*) FILTER (WHERE side = 'left') = 1 AND count(*) FILTER (WHERE side = 'right') = 1),
 rk AS (
   SELECT *,
@@ -414,7 +417,7 @@ FROM (SELECT side, label, unnest(['comm_', 'diff_']) AS b FROM (SELECT DISTINCT
   CAST(row_number() OVER (PARTITION BY bucket ORDER BY first_line_no) AS BIGINT) AS pos FROM grp""",
         "repartition_by_key": _with(_X) + "SELECT key, line_no, side FROM occ",
         "diff_files": _with(_X, _X_CLS) + "SELECT bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
-        "diff_dirs": _with(_Y, _Y_CLS) + "SELECT file, bucket, line_no, line, key FROM cls",
+        "diff_dirs": _with(_Y, _Y_FILES, _Y_CLS) + "SELECT file, bucket, line_no, line, key FROM cls",
         "diff_pooled_dirs": _with(_Y, _Z_CLS) + "SELECT bucket, line, key, n_left, n_right FROM cls",
     }
     for name, cond in counts_case.items():

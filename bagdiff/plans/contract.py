@@ -32,7 +32,7 @@ from bagdiff.plans.pipelines import FILES, POOLED, compare, diff_file_pairs, kee
 from bagdiff.session import scratch_path
 from bagdiff.sources.listing import files_from_paths
 from bagdiff.sources.tables import lines_from_column
-from bagdiff.sources.text import read_lines
+from bagdiff.sources.text import read_sides
 
 NEEDLE = "the"
 NAME_NEEDLE = "1"
@@ -102,9 +102,8 @@ def q_text_roundtrip(spark, sf_dir):
     lines.select("side", "line_no", "line").repartitionByRange("side", "line_no").sortWithinPartitions(
         "side", "line_no"
     ).select("side", "line").write.partitionBy("side").option("lineSep", "\r\n").text(path)
-    left = read_lines(spark, f"{path}/side={S.LEFT}", S.LEFT)
-    right = read_lines(spark, f"{path}/side={S.RIGHT}", S.RIGHT)
-    return left.unionByName(right).select("side", "line")
+    both = read_sides(spark, {S.LEFT: f"{path}/side={S.LEFT}", S.RIGHT: f"{path}/side={S.RIGHT}"})
+    return both.select("side", "line")
 
 
 def q_line_numbers(spark, sf_dir):

@@ -26,7 +26,7 @@ from bagdiff.operators.groups import bucket_groups
 from bagdiff.operators.pairing import filter_names, pair_files
 from bagdiff.sources.listing import list_files
 from bagdiff.sources.sinks import write_buckets
-from bagdiff.sources.text import read_lines
+from bagdiff.sources.text import read_sides
 
 FILES = "files"
 DIRS = "dirs"
@@ -109,9 +109,8 @@ def diff_files(
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """Compare two text files (or any two path sets, each read as one body)."""
-    left = read_lines(spark, path_left, S.LEFT, encoding)
-    right = read_lines(spark, path_right, S.RIGHT, encoding)
-    return diff_lines(left, right, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    occ = read_sides(spark, {S.LEFT: path_left, S.RIGHT: path_right}, encoding)
+    return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
 
 
 def _rank_args(mode: str) -> dict:
@@ -173,7 +172,7 @@ def diff_dirs(
     left_files, right_files = list_files(spark, dir_left, S.LEFT), list_files(spark, dir_right, S.RIGHT)
     files = left_files.unionByName(right_files)
     files_bound = left_files.count() + right_files.count()  # local data: the listing is on the driver
-    occ = read_lines(spark, dir_left, S.LEFT, encoding).unionByName(read_lines(spark, dir_right, S.RIGHT, encoding))
+    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding)
     occ = occ.withColumn("file", base_name("file"))
     return diff_file_pairs(
         occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits, files_bound
@@ -209,9 +208,8 @@ def diff_pooled_dirs(
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """Compare every line of two directories, each pooled into one bag."""
-    left = read_lines(spark, dir_left, S.LEFT, encoding)
-    right = read_lines(spark, dir_right, S.RIGHT, encoding)
-    return diff_pooled(left, right, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding)
+    return compare(occ, POOLED, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
 
 
 def render(classified: DataFrame, mode: str = FILES, segment: int = S.RENDER_SEGMENT) -> DataFrame:

@@ -3,7 +3,7 @@
 from bagdiff.sources.listing import files_from_paths, list_files
 from bagdiff.sources.sinks import output_names, read_bucket, write_buckets
 from bagdiff.sources.tables import empty_occurrences, lines_from_column
-from bagdiff.sources.text import block_offsets, decode_line, read_lines, scan_text
+from bagdiff.sources.text import block_offsets, decode_line, read_lines, read_sides, scan_text
 
 __all__ = [
     "block_offsets",
@@ -15,6 +15,7 @@ __all__ = [
     "output_names",
     "read_bucket",
     "read_lines",
+    "read_sides",
     "scan_text",
     "write_buckets",
 ]

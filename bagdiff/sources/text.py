@@ -48,10 +48,10 @@ def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool =
 
 
 def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per (file, block): first row id and the lines before the block."""
-    blocks = scan.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select("_f", "_b", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    """One row per (side, file, block): first row id and the lines before the block."""
+    blocks = scan.groupBy("side", "_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+    before = Window.partitionBy("side", "_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("side", "_f", "_b", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
 
 
 def decode_line(raw, encoding: str = "UTF-8"):
@@ -64,24 +64,28 @@ def decode_line(raw, encoding: str = "UTF-8"):
     return F.decode(raw.cast("binary"), encoding)
 
 
-def read_lines(
+def read_sides(
     spark: SparkSession,
-    paths: str | Sequence[str],
-    side: str,
+    sides: dict[str, str | Sequence[str]],
     encoding: str = "UTF-8",
     recursive: bool = True,
 ) -> DataFrame:
     """Lines of text files as ``side, file, line_no, line`` with 1-based line
-    numbers per file; ``file`` is the decoded path."""
-    scan = scan_text(spark, paths, recursive)
+    numbers per file; ``file`` is the decoded path. ``sides`` maps a side name to
+    its paths. One job builds the block table of all sides (keyed by side, so a
+    file compared with itself is numbered once per side)."""
+    scans = [scan_text(spark, paths, recursive).withColumn("side", F.lit(side)) for side, paths in sides.items()]
+    scan = scans[0]
+    for other in scans[1:]:
+        scan = scan.unionByName(other)
     ensure_checkpoint_dir(spark)
     blocks = block_offsets(scan).checkpoint(eager=True)
     n_blocks = blocks.count()
     blocks = F.broadcast(blocks) if n_blocks <= S.MAX_BROADCAST_ROWS else blocks
-    numbered = scan.join(blocks, ["_f", "_b"], "left")
+    numbered = scan.join(blocks, ["side", "_f", "_b"], "left")
     line_no = F.col("_m") - F.col("_m0") + F.col("_off") + F.lit(1)
     return numbered.select(
-        F.lit(side).alias("side"),
+        "side",
         clean_path("_f").alias("file"),
         F.when(F.col("_m0").isNull(), F.raise_error(F.lit("block table out of date: file splits changed between passes")))
         .otherwise(line_no)
@@ -89,3 +93,14 @@ def read_lines(
         .alias("line_no"),
         decode_line(F.col("_raw"), encoding).alias("line"),
     )
+
+
+def read_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    side: str,
+    encoding: str = "UTF-8",
+    recursive: bool = True,
+) -> DataFrame:
+    """Lines of the text files under ``paths`` for one side (see :func:`read_sides`)."""
+    return read_sides(spark, {side: paths}, encoding, recursive)

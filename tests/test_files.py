@@ -130,3 +130,25 @@ def test_pooled_dirs(spark, dirs):
     assert sorted(by["comm_right"]) == ["d1", "w", "y", "z"]
     assert sorted(by["diff_left"]) == ["d2", "q", "x", "y"]
     assert sorted(by["diff_right"]) == ["e", "e"]
+
+
+def test_same_file_on_both_sides_across_blocks(spark, tmp_path):
+    n = 60_000
+    p = tmp_path / "self.txt"
+    p.write_text("".join(f"line {i % 997}\n" for i in range(1, n + 1)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        res = diff_files(spark, str(p), str(p))
+        stats = res.groupBy("side").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.countDistinct("line_no").alias("distinct_no"),
+            F.max("line_no").alias("max_no"),
+            F.count_if(~F.col("bucket").startswith("comm_")).alias("not_common"),
+            F.count_if(F.col("line") != F.concat(F.lit("line "), (F.col("line_no") % 997).cast("string"))).alias("bad"),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(stats) == 2
+    for r in stats:
+        assert (r.n, r.distinct_no, r.max_no, r.not_common, r.bad) == (n, n, n, 0, 0)

@@ -64,6 +64,21 @@ def decode_line(raw, encoding: str = "UTF-8"):
     return F.decode(raw.cast("binary"), encoding)
 
 
+# Charsets Spark's decode() accepts without the Java-charset setting.
+_SPARK_CHARSETS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF8")
+
+
+def _check_charset(spark: SparkSession, encoding: str) -> None:
+    enc = encoding.upper().replace("_", "-")
+    if enc in _WIDE_CHARSETS:
+        raise ValueError(f"{encoding} text cannot be split into lines by newline bytes")
+    if enc not in _SPARK_CHARSETS and spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
+        raise ValueError(
+            f"charset {encoding} needs spark.sql.legacy.javaCharsets=true "
+            "(call bagdiff.session.enable_java_charsets(spark) or set it at session start)"
+        )
+
+
 def read_sides(
     spark: SparkSession,
     sides: dict[str, str | Sequence[str]],
@@ -74,6 +89,7 @@ def read_sides(
     numbers per file; ``file`` is the decoded path. ``sides`` maps a side name to
     its paths. One job builds the block table of all sides (keyed by side, so a
     file compared with itself is numbered once per side)."""
+    _check_charset(spark, encoding)
     scans = [scan_text(spark, paths, recursive).withColumn("side", F.lit(side)) for side, paths in sides.items()]
     scan = scans[0]
     for other in scans[1:]:

@@ -152,3 +152,12 @@ def test_same_file_on_both_sides_across_blocks(spark, tmp_path):
     assert len(stats) == 2
     for r in stats:
         assert (r.n, r.distinct_no, r.max_no, r.not_common, r.bad) == (n, n, n, 0, 0)
+
+
+def test_java_charset_needs_setting(spark, tree):
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        with pytest.raises(ValueError, match="javaCharsets"):
+            read_lines(spark, str(tree / "one" / "gbk.txt"), "left", encoding="GBK")
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")

@@ -27,14 +27,13 @@ def group_files(files: DataFrame) -> DataFrame:
 
 def pair_files(files: DataFrame) -> DataFrame:
     """``file_name, path_left, path_right`` for names held by exactly one distinct
-    path on each side; other names are dropped (as the reference does, silently)."""
-    per_side = (
-        files.select("side", "file_name", "path")
-        .distinct()
-        .groupBy("side", "file_name")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("path"))
-        .where(F.col("_n") == 1)
+    path on each side; other names are dropped (as the reference does, silently).
+    One aggregation per name; the path sets are as large as the number of
+    same-named files, i.e. listing metadata."""
+    per_name = files.groupBy("file_name").agg(
+        F.collect_set(F.when(F.col("side") == S.LEFT, F.col("path"))).alias("_l"),
+        F.collect_set(F.when(F.col("side") == S.RIGHT, F.col("path"))).alias("_r"),
+    )
+    return per_name.where((F.size("_l") == 1) & (F.size("_r") == 1)).select(
+        "file_name", F.element_at("_l", 1).alias("path_left"), F.element_at("_r", 1).alias("path_right")
     )
-    left = per_side.where(F.col("side") == S.LEFT).select("file_name", F.col("path").alias("path_left"))
-    right = per_side.where(F.col("side") == S.RIGHT).select("file_name", F.col("path").alias("path_right"))
-    return left.join(right, "file_name", "inner")

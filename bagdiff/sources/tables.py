@@ -49,13 +49,11 @@ def lines_from_column(
         F.shiftright("_ord", block_bits).alias("_blk"),
         (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).alias("_n"),
     )
-    ordered = Window.partitionBy("side", "file", "_blk").orderBy("_ord")
-    counts = counts.select(
-        "*",
-        F.coalesce(F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_doff"),
-        F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_btot"),
-    )
-    blocks = counts.groupBy("side", "file", "_blk").agg(F.max("_btot").alias("_bn"))
+    before = Window.partitionBy("side", "file", "_blk").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_doff", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # block total = the largest running total; taken from the same window, so both
+    # uses share one scan and one exchange
+    blocks = counts.groupBy("side", "file", "_blk").agg(F.max(F.col("_doff") + F.col("_n")).alias("_bn"))
     across = Window.partitionBy("side", "file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("side", "file", "_blk", F.coalesce(F.sum("_bn").over(across), F.lit(0)).alias("_boff"))
     starts = counts.join(blocks, ["side", "file", "_blk"], "inner").select(

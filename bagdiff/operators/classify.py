@@ -82,7 +82,9 @@ def rank_occurrences(
         tally = chunk_tally(occ, by, order, chunk_bits)
     chunked = occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits))
     joined = chunked.join(tally, group, "inner")
-    in_chunk = Window.partitionBy(*group).orderBy(F.desc(last))
+    # n_left / n_right are constant inside a chunk; as partition columns they let
+    # filters on the counts move below the window to the small chunk table
+    in_chunk = Window.partitionBy(*group, "n_left", "n_right").orderBy(F.desc(last))
     cols = [c for c in occ.columns]
     return joined.select(
         *cols,

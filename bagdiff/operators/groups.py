@@ -67,7 +67,12 @@ def bucket_groups(
         .select(*gkeys, F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("_last"), "_first", "n", "entries")
     )
 
-    big = laid.where(F.col("_size") > segment)
+    # a coarse test on the counts alone reaches the small chunk table of the
+    # classification (they are window partition columns there), so when no group is
+    # oversized this branch is empty and AQE drops it
+    n_min = F.least("n_left", "n_right")
+    any_big = (n_min > segment) | (F.abs(F.col("n_left") - F.col("n_right")) > segment)
+    big = laid.where(any_big).where(F.col("_size") > segment)
     big_parts = (
         big.groupBy(*gkeys, "_part", "_last")
         .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("_entry")).alias("entries"))
@@ -102,23 +107,33 @@ def sort_groups(groups: DataFrame) -> DataFrame:
     return groups.orderBy(*SORT_KEYS)
 
 
-def with_position(groups: DataFrame, within: str = "bucket", order: Sequence[str] = SORT_KEYS[1:]) -> DataFrame:
+def with_position(
+    groups: DataFrame,
+    within: str = "bucket",
+    order: Sequence[str] = SORT_KEYS[1:],
+    range_col: str = "first_line_no",
+    range_bits: int = 16,
+) -> DataFrame:
     """Add ``pos``: 1-based row position inside ``within`` in ``order``.
 
-    Range-partitioned sort, then per-(bucket, partition) counts turned into offsets;
-    the count table has at most (buckets x partitions) rows, so it is broadcast.
-    No window spans a whole bucket.
+    Rows are cut into ranges of ``2**range_bits`` consecutive ``range_col`` values
+    (``order`` must begin with the columns before ``range_col``, then
+    ``range_col``). A partial aggregation counts each range, a window over the
+    small range table turns counts into offsets, and rows are ranked inside their
+    range. Every step is a pure function of the rows, so recomputation after a
+    lost executor gives the same positions, and no window spans a whole bucket.
     """
-    keys = [within, *order]
-    ordered = groups.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ordered = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    counts = ordered.groupBy(within, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    before = Window.partitionBy(within).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(within, "_pid", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = ordered.join(F.broadcast(counts), [within, "_pid"], "inner")
-    return out.withColumn("pos", (F.col("_m") - F.col("_m0") + F.col("_off") + F.lit(1)).cast("long")).drop(
-        "_pid", "_m", "_m0", "_off"
-    )
+    order = list(order)
+    i = order.index(range_col)
+    prefix = order[:i]
+    rng = [within, *prefix, "_rng"]
+    with_rng = groups.withColumn("_rng", F.shiftright(F.col(range_col), range_bits))
+    counts = with_rng.groupBy(*rng).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(within).orderBy(*prefix, "_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*rng, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = with_rng.join(offsets, rng, "inner")
+    in_range = Window.partitionBy(*rng).orderBy(*order[i:])
+    return joined.withColumn("pos", (F.col("_off") + F.row_number().over(in_range)).cast("long")).drop("_rng", "_off")
 
 
 def unpack_entries(groups: DataFrame) -> DataFrame:

@@ -36,3 +36,17 @@ def test_entry_formats(spark):
     assert [r.rendered for r in labeled] == ["[文件f.txt1:A]", "[文件f.txt1:a]", "[文件f.txt2:b]"]
     bare = render(compare(occ, POOLED), POOLED).orderBy("bucket").collect()
     assert [r.rendered for r in bare] == ["[A]", "[a]", "[b]"]
+
+
+def test_positions_do_not_depend_on_range_size(spark):
+    from bagdiff.plans import contract
+
+    groups = render(compare(contract.y_lines(spark, "/root/testdata/sf0.001"), POOLED), POOLED)
+    a = {(r.bucket, r.key, r.part): r.pos for r in with_position(groups, range_bits=2).collect()}
+    b = {(r.bucket, r.key, r.part): r.pos for r in with_position(groups).collect()}
+    assert a == b
+    per_bucket = {}
+    for (bucket, _, _), pos in a.items():
+        per_bucket.setdefault(bucket, []).append(pos)
+    for pos in per_bucket.values():
+        assert sorted(pos) == list(range(1, len(pos) + 1))

@@ -54,17 +54,19 @@ def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = (
     the same side's occurrences of the key in chunks that rank earlier."""
     by, prefix, last, group = _chunk_plan(by, order)
     tally = occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits)).groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"))
-    per_key = Window.partitionBy(*by, "key")
-    earlier = (
-        Window.partitionBy(*by, "key", "side")
-        .orderBy(*[F.desc(c) for c in prefix], F.desc("_chunk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # one window spec (one sort): left chunks first, latest chunk first; a right
+    # chunk's running total includes every left occurrence, which is subtracted
+    left_first = F.col("side") != F.lit(S.LEFT)
+    spec = Window.partitionBy(*by, "key").orderBy(left_first, *[F.desc(c) for c in prefix], F.desc("_chunk"))
+    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = spec.rowsBetween(Window.unboundedPreceding, -1)
+    n_left = side_count(S.LEFT).over(whole).cast("long")
+    running = F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).cast("long")
     return tally.select(
         *group,
-        side_count(S.LEFT).over(per_key).cast("long").alias("n_left"),
-        side_count(S.RIGHT).over(per_key).cast("long").alias("n_right"),
-        F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).cast("long").alias("_before"),
+        n_left.alias("n_left"),
+        side_count(S.RIGHT).over(whole).cast("long").alias("n_right"),
+        (running - F.when(F.col("side") == S.RIGHT, n_left).otherwise(F.lit(0))).alias("_before"),
     )
 
 

@@ -2,9 +2,10 @@
 
 ``spark.read.text`` splits files into blocks, so a row does not know its line
 number. Each row gets ``monotonically_increasing_id`` (consecutive inside a
-block) and the block it came from; one pass counts the rows of every block, a
-window over each file's blocks turns counts into offsets, and the block table
-(one row per block, checkpointed in the shared folder) is joined back. The join
+block) and the block it came from; one pass counts the rows of every
+(side, file, block) of all sides at once, a window over each file's blocks turns
+counts into offsets, and the block table (one row per block, checkpointed in the
+shared folder) is joined back. The join
 is a broadcast when the table is within ``MAX_BROADCAST_ROWS`` rows, a shuffle
 join otherwise. Lines are never shuffled to be numbered, and no window spans a
 whole file's lines.

@@ -53,7 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset folder is an error, because a machine-local folder would not survive the
     loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the setting
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current

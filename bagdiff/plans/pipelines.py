@@ -132,27 +132,28 @@ def diff_file_pairs(
     """E2 on occurrences whose ``file`` is a base name, given the file listing
     ``side, path, file_name, stem`` (which also holds empty files).
 
-    Unpaired names are removed from the small chunk table, and the inner join of
-    occurrences with it drops their lines, so no extra pass over the lines is
-    needed. With ``files_bound`` (listing rows known on the driver) within
-    ``MAX_BROADCAST_ROWS`` the pair table is broadcast. Otherwise the semi-join is
-    salted by key hash, so one file holding a third of all keys is spread over
-    ``RENDER_SALT`` tasks; AQE still broadcasts it when it turns out small.
+    With ``files_bound`` (listing rows known on the driver) within
+    ``MAX_BROADCAST_ROWS``, lines of unpaired files are dropped right after the
+    scan by a broadcast semi-join, before anything is shuffled. Otherwise unpaired
+    names are removed from the small chunk table with a semi-join salted by key
+    hash (one file holding a third of all keys is spread over ``RENDER_SALT``
+    tasks; AQE still broadcasts it when it turns out small), and the inner join of
+    occurrences with the chunk table drops their lines.
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
-    tally = chunk_tally(occ, by, order, chunk_bits)
     if files_bound is not None and files_bound <= S.MAX_BROADCAST_ROWS:
-        tally = tally.join(F.broadcast(pairs), "file", "left_semi")
-    else:
-        salt = S.RENDER_SALT
-        salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        tally = (
-            tally.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(salt)).cast("int"))
-            .join(salted, ["file", "_s"], "left_semi")
-            .drop("_s")
-        )
+        occ = occ.join(F.broadcast(pairs), "file", "left_semi")
+        return classify(occ, by, order, chunk_bits)
+    salt = S.RENDER_SALT
+    salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    tally = (
+        chunk_tally(occ, by, order, chunk_bits)
+        .withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(salt)).cast("int"))
+        .join(salted, ["file", "_s"], "left_semi")
+        .drop("_s")
+    )
     return classify(occ, by, order, chunk_bits, tally=tally)
 
 

@@ -30,8 +30,10 @@ LIST_CLOSE = "]"
 # Occurrences of one (file, key, side) are ranked inside chunks of 2**CHUNK_BITS
 # consecutive line numbers, so no task ever holds more than one chunk of a hot key.
 CHUNK_BITS = 20
-# Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids.
-DOC_BLOCK_BITS = 16
+# Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids (a window
+# holds one block's text), blocks in super-blocks of 2**DOC_SUPER_BITS blocks.
+DOC_BLOCK_BITS = 10
+DOC_SUPER_BITS = 16
 # A rendered bucket row holds at most this many entries; bigger groups continue on
 # the next row (format note in README).
 RENDER_SEGMENT = 100_000

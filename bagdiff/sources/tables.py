@@ -2,11 +2,19 @@
 empty occurrence set (S6).
 
 Line numbers run per (side, file) in the order of (order column, position in the
-text). They are computed without a global sort and without moving text through a
-window: a narrow row per document (side, file, order, line count) is numbered
-inside blocks of ``2**block_bits`` consecutive order values, a window over the
-small table of block totals supplies the block offsets, and the resulting start
-line of every document is joined back to the text on (side, file, order).
+text), computed without a global sort:
+
+1. Documents are shuffled once by (side, file, block), a block being
+   ``2**block_bits`` consecutive order values. Everything below reads that one
+   exchange (line counts are taken from the shuffled text, so every branch needs
+   the same columns and Spark reuses it): the text column is read once.
+2. Inside a block a window numbers documents (at most ``2**block_bits`` of them);
+   block totals are a hash aggregation over the same exchange.
+3. Offsets of blocks inside super-blocks of ``2**super_bits``
+   blocks, then offsets of super-blocks inside the file: windows over small tables
+   of narrow rows, none growing with a whole file.
+4. Block offsets join back to the documents, which are already partitioned by
+   block, so the text is not shuffled again; lines are split after that.
 """
 
 from __future__ import annotations
@@ -21,6 +29,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _offsets(table: DataFrame, keys: list[str], order: str, size: str, name: str) -> DataFrame:
+    """Running total of ``size`` over earlier ``order`` values within ``keys``."""
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return table.withColumn(name, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+
+
 def lines_from_column(
     df: DataFrame,
     text: str | Column,
@@ -28,52 +42,54 @@ def lines_from_column(
     file: str | Column,
     order: str | Column,
     block_bits: int = S.DOC_BLOCK_BITS,
+    super_bits: int = S.DOC_SUPER_BITS,
 ) -> DataFrame:
     """Split ``text`` on ``\\n`` into rows ``side, file, line_no, line``.
 
     ``order`` must be an integer column, unique within each (side, file); rows with
-    NULL text are skipped before numbering.
+    NULL text or NULL order are skipped before numbering.
     """
-    docs = df.select(
-        _col(side).alias("side"),
-        _col(file).alias("file"),
-        _col(order).cast("long").alias("_ord"),
-        _col(text).alias("_text"),
-    ).where(F.col("_text").isNotNull())
-
-    # narrow rows only: number of lines = number of "\n" + 1 (no array is built)
-    counts = docs.select(
-        "side",
-        "file",
-        "_ord",
-        F.shiftright("_ord", block_bits).alias("_blk"),
-        (F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).alias("_n"),
+    sf = ["side", "file"]
+    side_c, file_c = _col(side), _col(file)
+    ord_c, text_c = _col(order).cast("long"), _col(text)
+    # declared non-null, so joins on block ids infer no extra null filters
+    blk_c = F.coalesce(F.shiftright(ord_c, block_bits), F.lit(0).cast("long"))
+    # shuffle the source rows by expressions, name the columns afterwards: every
+    # branch below then needs the same source columns at the exchange, which Spark
+    # reuses, and the projection keeps the hash partitioning through its aliases
+    docs = (
+        df.where(text_c.isNotNull() & ord_c.isNotNull())
+        .repartition(side_c, file_c, blk_c)
+        .select(
+            side_c.alias("side"),
+            file_c.alias("file"),
+            ord_c.alias("_ord"),
+            text_c.alias("_text"),
+            blk_c.alias("_blk"),
+        )
     )
-    before = Window.partitionBy("side", "file", "_blk").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_doff", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    # block total = the largest running total; taken from the same window, so both
-    # uses share one scan and one exchange
-    blocks = counts.groupBy("side", "file", "_blk").agg(F.max(F.col("_doff") + F.col("_n")).alias("_bn"))
-    across = Window.partitionBy("side", "file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("side", "file", "_blk", F.coalesce(F.sum("_bn").over(across), F.lit(0)).alias("_boff"))
-    starts = counts.join(blocks, ["side", "file", "_blk"], "inner").select(
-        "side", "file", "_ord", (F.col("_boff") + F.col("_doff")).alias("_base")
+    # lines = number of "\n" + 1, counted after the shuffle (no array is built)
+    docs = docs.withColumn("_n", F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1)
+    # block totals: a hash aggregation over the same exchange (no sort of the text)
+    blocks = docs.groupBy(*sf, "_blk").agg(F.sum("_n").alias("_bn"))
+    docs = _offsets(docs, [*sf, "_blk"], "_ord", "_n", "_doff")
+
+    blocks = blocks.withColumn("_sblk", F.shiftright("_blk", super_bits))
+    blocks = _offsets(blocks, [*sf, "_sblk"], "_blk", "_bn", "_boff")
+    supers = blocks.groupBy(*sf, "_sblk").agg(F.sum("_bn").alias("_sn"))
+    supers = _offsets(supers, sf, "_sblk", "_sn", "_soff")
+    starts = blocks.join(supers, [*sf, "_sblk"], "inner").select(
+        *sf, "_blk", (F.col("_soff") + F.col("_boff")).alias("_base")
     )
 
-    # one row per document, joined back by a hash-balanced shuffle on (side, file,
-    # order). The shuffle is asked for even when the offsets are small: the text
-    # exchange is then shared by every later branch (counts and ranking) instead
-    # of each re-reading the table, and splitting lines runs on all partitions.
-    numbered = docs.join(starts.hint("shuffle_hash"), ["side", "file", "_ord"], "inner")
+    numbered = docs.join(starts, [*sf, "_blk"], "inner")
     return numbered.select(
-        "side",
-        "file",
-        "_base",
+        *sf,
+        (F.col("_base") + F.col("_doff")).alias("_start"),
         F.posexplode(F.split("_text", "\n", -1)).alias("_pos", "line"),
     ).select(
-        "side",
-        "file",
-        (F.col("_base") + F.col("_pos") + F.lit(1)).cast("long").alias("line_no"),
+        *sf,
+        (F.col("_start") + F.col("_pos") + F.lit(1)).cast("long").alias("line_no"),
         "line",
     )
 

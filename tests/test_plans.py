@@ -37,3 +37,14 @@ def test_listing_reads_no_text(spark):
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "text" not in schema.replace("text:string", "TEXT") or "doc_id" in schema
     assert "text:string" not in schema
+
+
+@pytest.mark.parametrize("name", ["diff_files", "diff_pooled_dirs", "diff_dirs"])
+def test_document_text_is_read_once(spark, name):
+    """Numbering, counting and ranking share one exchange of the document text."""
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Final Plan")[1].split("Initial Plan")[0]
+    text_scans = [line for line in final.split("\n") if "FileScan parquet" in line and "text" in line]
+    assert len(text_scans) == 1, text_scans

@@ -41,3 +41,16 @@ def test_labels(spark):
         default_label(F.lit("a.txt")).alias("f"),
     ).first()
     assert (r.d, r.e, r.f) == ("目录dirOne", "目录dirTwo", "文件a.txt")
+
+
+def test_command_line(spark, tmp_path):
+    from bagdiff.__main__ import main
+
+    a, b = tmp_path / "a.txt", tmp_path / "b.txt"
+    a.write_text("".join(x + "\n" for x in LEFT))
+    b.write_text("".join(x + "\n" for x in RIGHT))
+    out = tmp_path / "out"
+    main(["files", str(a), str(b), str(out)])
+    for bucket, rows in EXPECTED.items():
+        got = read_bucket(spark, str(out), bucket).orderBy("part_file", "_m").select("value").collect()
+        assert [r.value for r in got] == rows

@@ -16,9 +16,9 @@ the line text crosses the network once (the join).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagdiff import schema as S
@@ -76,13 +76,27 @@ def rank_occurrences(
     order: Sequence[str] = ("line_no",),
     chunk_bits: int = S.CHUNK_BITS,
     tally: DataFrame | None = None,
+    key_of: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank``; rank 1 is the occurrence that
-    comes last in ``order`` within its ``by + key + side``."""
+    comes last in ``order`` within its ``by + key + side``.
+
+    ``key_of`` (the function that made ``key`` from ``line``) lets the large
+    shuffle carry the line only: rows are hash-partitioned by the key expression
+    and the key is recomputed after the exchange, which Spark recognises as the
+    same partitioning, so the join adds no exchange on this side.
+    """
     by, prefix, last, group = _chunk_plan(by, order)
     if tally is None:
         tally = chunk_tally(occ, by, order, chunk_bits)
-    chunked = occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits))
+    chunk = F.shiftright(F.col(last), chunk_bits)
+    if key_of is None:
+        chunked = occ.withColumn("_chunk", chunk)
+    else:
+        exprs = {c: F.col(c) for c in group if c not in ("key", "_chunk")}
+        exprs["key"], exprs["_chunk"] = key_of(F.col("line")), chunk
+        shuffled = occ.drop("key").repartition(*[exprs[c] for c in group])
+        chunked = shuffled.withColumn("key", key_of(F.col("line"))).withColumn("_chunk", chunk)
     joined = chunked.join(tally, group, "inner")
     # n_left / n_right are constant inside a chunk; as partition columns they let
     # filters on the counts move below the window to the small chunk table
@@ -108,13 +122,14 @@ def classify(
     order: Sequence[str] = ("line_no",),
     chunk_bits: int = S.CHUNK_BITS,
     tally: DataFrame | None = None,
+    key_of: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank, bucket``.
 
     ``by``: extra grouping columns (``("file",)`` compares file pairs in one job).
     ``order``: rank order, latest first; ``("file", "line_no")`` for pooled input.
     """
-    ranked = rank_occurrences(occ, by, order, chunk_bits, tally)
+    ranked = rank_occurrences(occ, by, order, chunk_bits, tally, key_of)
     return ranked.withColumn("bucket", bucket_of())
 
 

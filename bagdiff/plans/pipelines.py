@@ -38,6 +38,10 @@ _MODES = {
 }
 
 
+def _key_of(space_sensitive: bool, case_sensitive: bool):
+    return lambda line: normalize_text(line, space_sensitive, case_sensitive)
+
+
 def with_key(occ: DataFrame, space_sensitive: bool = False, case_sensitive: bool = False) -> DataFrame:
     """Add the comparison ``key`` to ``side, file, line_no, line`` rows."""
     return occ.withColumn("key", normalize_text("line", space_sensitive, case_sensitive))
@@ -81,7 +85,7 @@ def compare(
     if mode not in (FILES, POOLED):
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
-    return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits)
+    return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
 
 
 def diff_lines(
@@ -145,7 +149,7 @@ def diff_file_pairs(
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
     if files_bound is not None and files_bound <= S.MAX_BROADCAST_ROWS:
         occ = occ.join(F.broadcast(pairs), "file", "left_semi")
-        return classify(occ, by, order, chunk_bits)
+        return classify(occ, by, order, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
     salt = S.RENDER_SALT
     salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     tally = (
@@ -154,7 +158,7 @@ def diff_file_pairs(
         .join(salted, ["file", "_s"], "left_semi")
         .drop("_s")
     )
-    return classify(occ, by, order, chunk_bits, tally=tally)
+    return classify(occ, by, order, chunk_bits, tally=tally, key_of=_key_of(space_sensitive, case_sensitive))
 
 
 def diff_dirs(

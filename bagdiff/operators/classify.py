@@ -49,11 +49,8 @@ def _chunk_plan(by: Sequence[str], order: Sequence[str]):
     return by, prefix, last, group
 
 
-def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("line_no",), chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
-    """Chunk table: ``group..., n_left, n_right, _before`` where ``_before`` counts
-    the same side's occurrences of the key in chunks that rank earlier."""
-    by, prefix, last, group = _chunk_plan(by, order)
-    tally = occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits)).groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"))
+def _tally(chunked: DataFrame, by: list[str], prefix: list[str], group: list[str]) -> DataFrame:
+    tally = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"))
     # one window spec (one sort): left chunks first, latest chunk first; a right
     # chunk's running total includes every left occurrence, which is subtracted
     left_first = F.col("side") != F.lit(S.LEFT)
@@ -70,6 +67,13 @@ def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = (
     )
 
 
+def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("line_no",), chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """Chunk table: ``group..., n_left, n_right, _before`` where ``_before`` counts
+    the same side's occurrences of the key in chunks that rank earlier."""
+    by, prefix, last, group = _chunk_plan(by, order)
+    return _tally(occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits)), by, prefix, group)
+
+
 def rank_occurrences(
     occ: DataFrame,
     by: Sequence[str] = (),
@@ -77,18 +81,20 @@ def rank_occurrences(
     chunk_bits: int = S.CHUNK_BITS,
     tally: DataFrame | None = None,
     key_of: Callable[[Column], Column] | None = None,
+    tally_filter: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank``; rank 1 is the occurrence that
     comes last in ``order`` within its ``by + key + side``.
 
-    ``key_of`` (the function that made ``key`` from ``line``) lets the large
-    shuffle carry the line only: rows are hash-partitioned by the key expression
-    and the key is recomputed after the exchange, which Spark recognises as the
-    same partitioning, so the join adds no exchange on this side.
+    With ``key_of`` (the function that made ``key`` from ``line``) the lines are
+    shuffled once, without their key: rows are hash-partitioned by the key
+    expression and the key is recomputed after the exchange, which Spark
+    recognises as the join's partitioning. The chunk table is then counted from
+    that same exchange (no second pass over the input, no partial-aggregation
+    shuffle) and only its small rows move again. ``tally_filter`` may restrict the
+    chunk table (directory pairing).
     """
     by, prefix, last, group = _chunk_plan(by, order)
-    if tally is None:
-        tally = chunk_tally(occ, by, order, chunk_bits)
     chunk = F.shiftright(F.col(last), chunk_bits)
     if key_of is None:
         chunked = occ.withColumn("_chunk", chunk)
@@ -97,6 +103,10 @@ def rank_occurrences(
         exprs["key"], exprs["_chunk"] = key_of(F.col("line")), chunk
         shuffled = occ.drop("key").repartition(*[exprs[c] for c in group])
         chunked = shuffled.withColumn("key", key_of(F.col("line"))).withColumn("_chunk", chunk)
+    if tally is None:
+        tally = _tally(chunked, by, prefix, group)
+    if tally_filter is not None:
+        tally = tally_filter(tally)
     joined = chunked.join(tally, group, "inner")
     # n_left / n_right are constant inside a chunk; as partition columns they let
     # filters on the counts move below the window to the small chunk table
@@ -123,13 +133,14 @@ def classify(
     chunk_bits: int = S.CHUNK_BITS,
     tally: DataFrame | None = None,
     key_of: Callable[[Column], Column] | None = None,
+    tally_filter: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank, bucket``.
 
     ``by``: extra grouping columns (``("file",)`` compares file pairs in one job).
     ``order``: rank order, latest first; ``("file", "line_no")`` for pooled input.
     """
-    ranked = rank_occurrences(occ, by, order, chunk_bits, tally, key_of)
+    ranked = rank_occurrences(occ, by, order, chunk_bits, tally, key_of, tally_filter)
     return ranked.withColumn("bucket", bucket_of())
 
 

@@ -21,7 +21,7 @@ from bagdiff import schema as S
 from bagdiff.functions.keys import contains_needle, normalize_needle, normalize_text
 from bagdiff.functions.paths import base_name
 from bagdiff.functions.text import BARE, LABELED, NUMBERED
-from bagdiff.operators.classify import bag_union, chunk_tally, classify
+from bagdiff.operators.classify import bag_union, classify
 from bagdiff.operators.groups import bucket_groups
 from bagdiff.operators.pairing import filter_names, pair_files
 from bagdiff.sources.listing import list_files
@@ -32,7 +32,8 @@ FILES = "files"
 DIRS = "dirs"
 POOLED = "pooled"
 _MODES = {
-    FILES: dict(by=(), order=("line_no",), fmt=NUMBERED),
+    # one file per side in the reference; with several, lines rank by (file, line)
+    FILES: dict(by=(), order=("file", "line_no"), fmt=NUMBERED),
     DIRS: dict(by=("file",), order=("line_no",), fmt=LABELED),
     POOLED: dict(by=(), order=("file", "line_no"), fmt=BARE),
 }
@@ -152,13 +153,15 @@ def diff_file_pairs(
         return classify(occ, by, order, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
     salt = S.RENDER_SALT
     salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    tally = (
-        chunk_tally(occ, by, order, chunk_bits)
-        .withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(salt)).cast("int"))
-        .join(salted, ["file", "_s"], "left_semi")
-        .drop("_s")
-    )
-    return classify(occ, by, order, chunk_bits, tally=tally, key_of=_key_of(space_sensitive, case_sensitive))
+
+    def paired_only(tally: DataFrame) -> DataFrame:
+        return (
+            tally.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(salt)).cast("int"))
+            .join(salted, ["file", "_s"], "left_semi")
+            .drop("_s")
+        )
+
+    return classify(occ, by, order, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive), tally_filter=paired_only)
 
 
 def diff_dirs(

@@ -66,3 +66,23 @@ def test_set_ops_with_tiny_chunks(spark):
     assert exc == ["a"] * 5 + ["c"]
     assert sorted(x.key for x in l.intersectAll(r).collect()) == inter
     assert sorted(x.key for x in l.exceptAll(r).collect()) == exc
+
+
+def test_empty_side_is_identity(spark):
+    from conftest import occurrences
+
+    from bagdiff.sources import empty_occurrences
+
+    right = occurrences(spark, ["a", "b", "a"], "right")
+    empty = empty_occurrences(spark).drop("key")
+    res = diff_lines(empty, right).collect()
+    assert sorted((r.bucket, r.line_no) for r in res) == [("diff_right", 1), ("diff_right", 2), ("diff_right", 3)]
+    assert empty_occurrences(spark).unionByName(empty_occurrences(spark)).count() == 0
+
+
+def test_repartition_by_key_hashes_on_key(spark):
+    from bagdiff.operators import repartition_by_key
+
+    occ = with_key(contract.x_lines(spark, SF))
+    plan = repartition_by_key(occ, 16)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(key" in plan and ", 16)" in plan

@@ -6,12 +6,13 @@ the last line); ranks ``1..least(n_left, n_right)`` are common, the rest differ.
 That single rule covers the one-sided keys, both surplus cases and equal counts.
 
 Ranking is skew-safe. A side's occurrences of a key are cut into chunks of
-``2**chunk_bits`` consecutive line numbers; a partial aggregation counts each
-chunk, a window over the (small) chunk table gives per-key totals and the number
-of occurrences in later chunks, and the occurrences are joined to their chunk row
-and ranked inside the chunk. A key holding a third of all lines is therefore
-spread over many chunks and tasks; no task ranks more than one chunk of it, and
-the line text crosses the network once (the join).
+``2**chunk_bits`` consecutive line numbers. The lines are hash-partitioned once
+by (key, side, chunk), each chunk is counted there, a window over the (small)
+chunk table gives per-key totals and the number of occurrences in later chunks,
+and the occurrences are joined to their chunk row (only the chunk rows move) and
+ranked inside the chunk. A key holding a third of all lines is therefore spread
+over many chunks and tasks; no task ranks more than one chunk of it, and the line
+text crosses the network once.
 """
 
 from __future__ import annotations

@@ -103,7 +103,7 @@ def rank_occurrences(
         exprs = {c: F.col(c) for c in group if c not in ("key", "_chunk")}
         exprs["key"], exprs["_chunk"] = key_of(F.col("line")), chunk
         shuffled = occ.drop("key").repartition(*[exprs[c] for c in group])
-        chunked = shuffled.withColumn("key", key_of(F.col("line"))).withColumn("_chunk", chunk)
+        chunked = shuffled.select("*", key_of(F.col("line")).alias("key"), chunk.alias("_chunk"))
     if tally is None:
         tally = _tally(chunked, by, prefix, group)
     if tally_filter is not None:

@@ -57,18 +57,20 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
-def x_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_column(_documents(spark, sf_dir), "text", _side(), _x_file(), "doc_id")
+def x_lines(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    docs = _documents(spark, sf_dir) if docs is None else docs
+    return lines_from_column(docs, "text", _side(), _x_file(), "doc_id")
 
 
-def y_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_column(_documents(spark, sf_dir), "text", _side(), _y_file(), "doc_id")
+def y_lines(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    docs = _documents(spark, sf_dir) if docs is None else docs
+    return lines_from_column(docs, "text", _side(), _y_file(), "doc_id")
 
 
-def y_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def y_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """The listing of Y: one row per (side, file); reads no text. A document with
     NULL text counts like an empty file: listed, no lines."""
-    docs = _documents(spark, sf_dir)
+    docs = _documents(spark, sf_dir) if docs is None else docs
     return files_from_paths(docs.select(_side().alias("side"), _y_file().alias("path")).distinct())
 
 
@@ -81,7 +83,8 @@ def _x_result(spark, sf_dir):
 
 
 def _y_result(spark, sf_dir):
-    return diff_file_pairs(y_lines(spark, sf_dir), y_files(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
+    return diff_file_pairs(y_lines(spark, sf_dir, docs), y_files(spark, sf_dir, docs))
 
 
 def _z_result(spark, sf_dir):

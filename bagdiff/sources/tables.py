@@ -66,15 +66,14 @@ def lines_from_column(
             ord_c.alias("_ord"),
             text_c.alias("_text"),
             blk_c.alias("_blk"),
+            # lines = number of "\n" + 1, counted after the shuffle (no array is built)
+            (F.length(text_c) - F.length(F.replace(text_c, F.lit("\n"), F.lit(""))) + 1).alias("_n"),
         )
     )
-    # lines = number of "\n" + 1, counted after the shuffle (no array is built)
-    docs = docs.withColumn("_n", F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1)
     # block totals: a hash aggregation over the same exchange (no sort of the text)
-    blocks = docs.groupBy(*sf, "_blk").agg(F.sum("_n").alias("_bn"))
+    blocks = docs.groupBy(*sf, "_blk", F.shiftright("_blk", super_bits).alias("_sblk")).agg(F.sum("_n").alias("_bn"))
     docs = _offsets(docs, [*sf, "_blk"], "_ord", "_n", "_doff")
 
-    blocks = blocks.withColumn("_sblk", F.shiftright("_blk", super_bits))
     blocks = _offsets(blocks, [*sf, "_sblk"], "_blk", "_bn", "_boff")
     supers = blocks.groupBy(*sf, "_sblk").agg(F.sum("_bn").alias("_sn"))
     supers = _offsets(supers, sf, "_sblk", "_sn", "_soff")

@@ -11,8 +11,9 @@ join otherwise. Lines are never shuffled to be numbered, and no window spans a
 whole file's lines.
 
 The two passes read the same scan, so they see the same block packing as long as
-the file-split settings stay unchanged between them. A line whose block is
-missing from the table stops the job with an error instead of losing its number.
+the file-split settings stay unchanged between them. Each line is checked against
+its block's recorded split, partition and row-id range; any difference stops the
+job with an error instead of giving a wrong number.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 
 
 def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """Raw scan: ``_f`` file URI, ``_b`` block start, ``_m`` row id, ``_raw`` line."""
+    """Raw scan: ``_f`` file URI, ``_b``/``_len`` block start and length, ``_m`` row
+    id, ``_raw`` line."""
     reader = spark.read.format("text")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -43,16 +45,19 @@ def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool =
     return raw.select(
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
+        F.col("_metadata.file_block_length").alias("_len"),
         F.monotonically_increasing_id().alias("_m"),
         F.col("value").alias("_raw"),
     )
 
 
 def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per (side, file, block): first row id and the lines before the block."""
-    blocks = scan.groupBy("side", "_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+    """One row per (side, file, block): first row id, rows, and the lines before it."""
+    blocks = scan.groupBy("side", "_f", "_b", "_len").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     before = Window.partitionBy("side", "_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select("side", "_f", "_b", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return blocks.select(
+        "side", "_f", "_b", "_len", "_m0", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
 
 
 def decode_line(raw, encoding: str = "UTF-8"):
@@ -99,12 +104,21 @@ def read_sides(
     blocks = block_offsets(scan).checkpoint(eager=True)
     n_blocks = blocks.count()
     blocks = F.broadcast(blocks) if n_blocks <= S.MAX_BROADCAST_ROWS else blocks
-    numbered = scan.join(blocks, ["side", "_f", "_b"], "left")
-    line_no = F.col("_m") - F.col("_m0") + F.col("_off") + F.lit(1)
+    numbered = scan.join(blocks, ["side", "_f", "_b", "_len"], "left")
+    in_block = F.col("_m") - F.col("_m0")
+    # the second pass must see the block where the first saw it: same split, same
+    # partition (upper bits of the row id), rows inside the recorded id range
+    stale = (
+        F.col("_m0").isNull()
+        | (F.shiftright("_m", 33) != F.shiftright("_m0", 33))
+        | (in_block < 0)
+        | (in_block >= F.col("_n"))
+    )
+    line_no = in_block + F.col("_off") + F.lit(1)
     return numbered.select(
         "side",
         clean_path("_f").alias("file"),
-        F.when(F.col("_m0").isNull(), F.raise_error(F.lit("block table out of date: file splits changed between passes")))
+        F.when(stale, F.raise_error(F.lit("block table out of date: file splits or packing changed between passes")))
         .otherwise(line_no)
         .cast("long")
         .alias("line_no"),

@@ -161,3 +161,22 @@ def test_java_charset_needs_setting(spark, tree):
             read_lines(spark, str(tree / "one" / "gbk.txt"), "left", encoding="GBK")
     finally:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
+def test_changed_split_settings_are_detected(spark, tmp_path):
+    """Split settings changed between the block-table pass and the main pass:
+    the job fails instead of numbering lines wrongly."""
+    p = tmp_path / "blocks.txt"
+    p.write_text("".join(f"l{i}\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        rows = read_lines(spark, str(p), "left")  # block table built now
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "15000")
+        with pytest.raises(Exception, match="block table out of date"):
+            rows.agg(F.max("line_no")).collect()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        bad = rows.where(F.col("line") != F.concat(F.lit("l"), (F.col("line_no") - 1).cast("string"))).count()
+        assert bad == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

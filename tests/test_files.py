@@ -180,3 +180,14 @@ def test_changed_split_settings_are_detected(spark, tmp_path):
         assert bad == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_dir_pairs_content_needle(spark, dirs):
+    left, right = dirs
+    res = diff_dirs(spark, str(left), str(right), needle="y").collect()
+    # line numbers still count every line of the file
+    assert sorted((r.file, r.bucket, r.line_no, r.line) for r in res) == [
+        ("a.txt", "comm_left", 3, "y"),
+        ("a.txt", "comm_right", 1, "y"),
+        ("a.txt", "diff_left", 2, "y"),
+    ]

@@ -86,3 +86,16 @@ def test_repartition_by_key_hashes_on_key(spark):
     occ = with_key(contract.x_lines(spark, SF))
     plan = repartition_by_key(occ, 16)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(key" in plan and ", 16)" in plan
+
+
+def test_line_numbers_do_not_depend_on_block_sizes(spark):
+    from bagdiff.sources import lines_from_column
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    side = F.expr("CASE WHEN (doc_id div 20) % 2 = 0 THEN 'left' ELSE 'right' END")
+    file = F.concat(F.col("source"), F.lit(".txt"))
+    small = lines_from_column(docs, "text", side, file, "doc_id", block_bits=1, super_bits=1)
+    default = lines_from_column(docs, "text", side, file, "doc_id")
+    assert small.exceptAll(default).count() == 0 and default.exceptAll(small).count() == 0
+    per_file = small.groupBy("side", "file").agg(F.count(F.lit(1)).alias("n"), F.max("line_no").alias("m"), F.min("line_no").alias("lo"))
+    assert per_file.where((F.col("n") != F.col("m")) | (F.col("lo") != 1)).count() == 0

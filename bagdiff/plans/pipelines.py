@@ -25,7 +25,7 @@ from bagdiff.operators.classify import bag_union, classify
 from bagdiff.operators.groups import bucket_groups
 from bagdiff.operators.pairing import filter_names, pair_files
 from bagdiff.sources.listing import list_files
-from bagdiff.sources.sinks import write_buckets
+from bagdiff.sources.sinks import bucket_names, write_buckets
 from bagdiff.sources.text import read_sides
 
 FILES = "files"
@@ -226,9 +226,18 @@ def render(classified: DataFrame, mode: str = FILES, segment: int = S.RENDER_SEG
     return bucket_groups(classified, by=m["by"], fmt=m["fmt"], segment=segment)
 
 
-def write_result(classified: DataFrame, path: str, mode: str = FILES, line_sep: str = "\r\n") -> None:
-    """Render and write the four buckets under ``path``."""
-    write_buckets(render(classified, mode), path, line_sep)
+def write_result(
+    classified: DataFrame,
+    path: str,
+    mode: str = FILES,
+    line_sep: str = "\r\n",
+    labels: tuple[str, str] | None = None,
+) -> None:
+    """Render and write the four buckets under ``path``; with ``labels`` (left,
+    right) the folders carry the reference's names (``Comm <name>.txt``) unless two
+    would collide."""
+    names = bucket_names(*labels) if labels else None
+    write_buckets(render(classified, mode), path, line_sep, names=names)
 
 
 __all__ = [

@@ -1,12 +1,13 @@
 """Sources and sinks: text files, file listings, text columns of tables, bucket output."""
 
 from bagdiff.sources.listing import files_from_paths, list_files
-from bagdiff.sources.sinks import output_names, read_bucket, write_buckets
+from bagdiff.sources.sinks import bucket_names, output_names, read_bucket, write_buckets
 from bagdiff.sources.tables import empty_occurrences, lines_from_column
 from bagdiff.sources.text import block_offsets, decode_line, read_lines, read_sides, scan_text
 
 __all__ = [
     "block_offsets",
+    "bucket_names",
     "decode_line",
     "empty_occurrences",
     "files_from_paths",

@@ -18,14 +18,45 @@ from bagdiff.functions.paths import output_name
 from bagdiff.operators.groups import SORT_KEYS
 
 
-def write_buckets(groups: DataFrame, path: str, line_sep: str = "\r\n", mode: str = "errorifexists") -> None:
-    """Write rendered bucket rows to ``path/bucket=<bucket>/part-*.txt`` in order."""
+def bucket_names(left_label: str, right_label: str) -> dict[str, str] | None:
+    """Reference-style output names per bucket (``Comm a.txt``, ...), or None when
+    two buckets would get the same name (the reference then overwrote one)."""
+
+    def base(label: str) -> str:
+        return label.split(".", 1)[0].split("/")[-1]
+
+    names = {
+        S.COMM_LEFT: f"{S.COMM_NAME_PREFIX}{base(left_label)}{S.OUTPUT_SUFFIX}",
+        S.DIFF_LEFT: f"{S.DIFF_NAME_PREFIX}{base(left_label)}{S.OUTPUT_SUFFIX}",
+        S.COMM_RIGHT: f"{S.COMM_NAME_PREFIX}{base(right_label)}{S.OUTPUT_SUFFIX}",
+        S.DIFF_RIGHT: f"{S.DIFF_NAME_PREFIX}{base(right_label)}{S.OUTPUT_SUFFIX}",
+    }
+    return names if len(set(names.values())) == len(names) else None
+
+
+def write_buckets(
+    groups: DataFrame,
+    path: str,
+    line_sep: str = "\r\n",
+    mode: str = "errorifexists",
+    names: dict[str, str] | None = None,
+) -> None:
+    """Write rendered bucket rows to ``path/bucket=<bucket>/part-*.txt`` in order.
+
+    With ``names`` (see :func:`bucket_names`) the folders are
+    ``path/output=<name>/`` instead, e.g. ``output=Comm a.txt``.
+    """
     keys = list(SORT_KEYS)
     ordered = groups.select(*keys, "rendered").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    part = "bucket"
+    if names:
+        mapping = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+        ordered = ordered.withColumn("output", mapping[F.col("bucket")])
+        part = "output"
     (
-        ordered.select("bucket", "rendered")
+        ordered.select(part, "rendered")
         .write.mode(mode)
-        .partitionBy("bucket")
+        .partitionBy(part)
         .option("lineSep", line_sep)
         .text(path)
     )

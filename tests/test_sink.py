@@ -54,3 +54,21 @@ def test_command_line(spark, tmp_path):
     for bucket, rows in EXPECTED.items():
         got = read_bucket(spark, str(out), bucket).orderBy("part_file", "_m").select("value").collect()
         assert [r.value for r in got] == rows
+
+
+def test_named_outputs(spark, tmp_path):
+    from bagdiff.sources import bucket_names
+
+    assert bucket_names("dirOne/a.txt", "dirOne/a.csv") is None  # the reference would overwrite
+    res = diff_lines(occurrences(spark, LEFT, "left"), occurrences(spark, RIGHT, "right"))
+    out = str(tmp_path / "named")
+    write_result(res, out, labels=("dirOne/a.txt", "dirTwo/b.txt"))
+    import os
+
+    assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == sorted(
+        ["_SUCCESS", "output=Comm a.txt", "output=Diff a.txt", "output=Comm b.txt", "output=Diff b.txt"]
+    )
+    got = spark.read.option("lineSep", "\r\n").text(f"{out}/output=Diff a.txt").select(
+        F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("m"), "value"
+    )
+    assert [r.value for r in got.orderBy("f", "m").collect()] == EXPECTED["diff_left"]

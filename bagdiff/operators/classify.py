@@ -51,7 +51,7 @@ def _chunk_plan(by: Sequence[str], order: Sequence[str]):
 
 
 def _tally(chunked: DataFrame, by: list[str], prefix: list[str], group: list[str]) -> DataFrame:
-    tally = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"))
+    tally = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"), F.max(F.length("line")).alias("_len"))
     # one window spec (one sort): left chunks first, latest chunk first; a right
     # chunk's running total includes every left occurrence, which is subtracted
     left_first = F.col("side") != F.lit(S.LEFT)
@@ -65,12 +65,14 @@ def _tally(chunked: DataFrame, by: list[str], prefix: list[str], group: list[str
         n_left.alias("n_left"),
         side_count(S.RIGHT).over(whole).cast("long").alias("n_right"),
         (running - F.when(F.col("side") == S.RIGHT, n_left).otherwise(F.lit(0))).alias("_before"),
+        # longest line of the key (both sides): bounds the bytes of a rendered row
+        F.max("_len").over(whole).cast("long").alias("max_len"),
     )
 
 
 def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("line_no",), chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
-    """Chunk table: ``group..., n_left, n_right, _before`` where ``_before`` counts
-    the same side's occurrences of the key in chunks that rank earlier."""
+    """Chunk table: ``group..., n_left, n_right, _before, max_len`` where ``_before``
+    counts the same side's occurrences of the key in chunks that rank earlier."""
     by, prefix, last, group = _chunk_plan(by, order)
     return _tally(occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits)), by, prefix, group)
 
@@ -84,8 +86,9 @@ def rank_occurrences(
     key_of: Callable[[Column], Column] | None = None,
     tally_filter: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Occurrences plus ``n_left, n_right, occ_rank``; rank 1 is the occurrence that
-    comes last in ``order`` within its ``by + key + side``.
+    """Occurrences plus ``n_left, n_right, occ_rank, max_len`` (longest line of the
+    key); rank 1 is the occurrence that comes last in ``order`` within its
+    ``by + key + side``.
 
     With ``key_of`` (the function that made ``key`` from ``line``) the lines are
     shuffled once, without their key: rows are hash-partitioned by the key
@@ -111,13 +114,14 @@ def rank_occurrences(
     joined = chunked.join(tally, group, "inner")
     # n_left / n_right are constant inside a chunk; as partition columns they let
     # filters on the counts move below the window to the small chunk table
-    in_chunk = Window.partitionBy(*group, "n_left", "n_right").orderBy(F.desc(last))
+    in_chunk = Window.partitionBy(*group, "n_left", "n_right", "max_len").orderBy(F.desc(last))
     cols = [c for c in occ.columns]
     return joined.select(
         *cols,
         "n_left",
         "n_right",
         (F.col("_before") + F.row_number().over(in_chunk)).cast("long").alias("occ_rank"),
+        "max_len",
     )
 
 

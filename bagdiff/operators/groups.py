@@ -5,7 +5,8 @@ first, and bucket rows are sorted by their first entry. The first entry is the
 greatest (file, line_no) of the row's entries, so it comes from a plain ``max``,
 not from a window over the group.
 
-A row holds at most ``segment`` entries. The rare bigger groups continue on the
+A row holds at most ``segment`` entries, fewer when the key's longest line would
+make the row exceed about ``RENDER_BYTES``. The rare bigger groups continue on the
 following rows (``part`` 1, 2, ...), so no task builds an unbounded array; those
 rows learn their group's first entry through a join salted ``salt`` ways, which
 keeps one hot group off a single task.
@@ -22,7 +23,15 @@ from bagdiff import schema as S
 from bagdiff.functions.text import NUMBERED, render_entries
 
 
-def _layout(classified: DataFrame, segment: int) -> DataFrame:
+def row_capacity(segment: int, max_bytes: int = S.RENDER_BYTES):
+    """Entries per rendered row for a key: ``segment``, fewer when the key's longest
+    line would make a row exceed about ``max_bytes``; constant per key."""
+    per_entry = F.coalesce(F.col("max_len"), F.lit(0)) + F.lit(24)
+    return F.greatest(F.lit(1).cast("long"), F.least(F.lit(segment).cast("long"), F.floor(F.lit(max_bytes) / per_entry).cast("long")))
+
+
+def _layout(classified: DataFrame, segment: int, max_bytes: int) -> DataFrame:
+    cap = row_capacity(segment, max_bytes) if "max_len" in classified.columns else F.lit(segment).cast("long")
     n_min = F.least("n_left", "n_right")
     is_diff = F.col("bucket").startswith("diff_")
     n_side = F.when(F.col("side") == S.LEFT, F.col("n_left")).otherwise(F.col("n_right"))
@@ -32,8 +41,9 @@ def _layout(classified: DataFrame, segment: int) -> DataFrame:
     return classified.select(
         "*",
         size.alias("_size"),
-        F.floor(idx / F.lit(segment)).cast("long").alias("_part"),
-        F.floor((size - F.lit(1)) / F.lit(segment)).cast("long").alias("_last"),
+        cap.alias("_cap"),
+        F.floor(idx / cap).cast("long").alias("_part"),
+        F.floor((size - F.lit(1)) / cap).cast("long").alias("_last"),
         F.struct(
             F.col("occ_rank").cast("long").alias("occ_rank"),
             F.col("line_no").cast("long").alias("line_no"),
@@ -50,14 +60,15 @@ def bucket_groups(
     fmt: str = NUMBERED,
     segment: int = S.RENDER_SEGMENT,
     salt: int = S.RENDER_SALT,
+    max_bytes: int = S.RENDER_BYTES,
 ) -> DataFrame:
     """``bucket, by..., key, part, first_file, first_line_no, n, entries, rendered``."""
     by = list(by)
-    laid = _layout(classified, segment)
+    laid = _layout(classified, segment, max_bytes)
     gkeys = ["bucket", *by, "key"]
 
     small = (
-        laid.where(F.col("_size") <= segment)
+        laid.where(F.col("_size") <= F.col("_cap"))
         .groupBy(*gkeys)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -71,8 +82,9 @@ def bucket_groups(
     # classification (they are window partition columns there), so when no group is
     # oversized this branch is empty and AQE drops it
     n_min = F.least("n_left", "n_right")
-    any_big = (n_min > segment) | (F.abs(F.col("n_left") - F.col("n_right")) > segment)
-    big = laid.where(any_big).where(F.col("_size") > segment)
+    cap = row_capacity(segment, max_bytes) if "max_len" in classified.columns else F.lit(segment).cast("long")
+    any_big = (n_min > cap) | (F.abs(F.col("n_left") - F.col("n_right")) > cap)
+    big = laid.where(any_big).where(F.col("_size") > F.col("_cap"))
     big_parts = (
         big.groupBy(*gkeys, "_part", "_last")
         .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("_entry")).alias("entries"))

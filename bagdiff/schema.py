@@ -37,6 +37,8 @@ DOC_SUPER_BITS = 16
 # A rendered bucket row holds at most this many entries; bigger groups continue on
 # the next row (format note in README).
 RENDER_SEGMENT = 100_000
+# ... and at most about this many bytes (entries of the key's longest line).
+RENDER_BYTES = 64 << 20
 # Salt fan-out for joining per-group data back to the segments of oversized groups.
 RENDER_SALT = 64
 # Largest helper table (blocks of a text scan, listed files) sent by broadcast.

@@ -50,3 +50,17 @@ def test_positions_do_not_depend_on_range_size(spark):
         per_bucket.setdefault(bucket, []).append(pos)
     for pos in per_bucket.values():
         assert sorted(pos) == list(range(1, len(pos) + 1))
+
+
+def test_long_lines_make_shorter_rows(spark):
+    long = "x" * 100
+    left = [long] * 10 + ["a"]
+    right = [long, "a"]
+    res = diff_lines(occurrences(spark, left, "left"), occurrences(spark, right, "right"))
+    # about 300 bytes per row: 300 // (100 + 24) = 2 entries of the long key per row
+    rows = bucket_groups(res, segment=1000, max_bytes=300).where("bucket = 'diff_left'").orderBy("part").collect()
+    assert [r.n for r in rows] == [2, 2, 2, 2, 1]
+    assert {r.first_line_no for r in rows} == {9}
+    assert "".join(r.rendered for r in rows).count(":" + long) == 9
+    short = bucket_groups(res, segment=1000).where("bucket = 'diff_left'").collect()
+    assert [r.n for r in short] == [9]

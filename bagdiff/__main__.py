@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--case-sensitive", action="store_true", help="keep letter case in keys")
     ap.add_argument("--normalize-needle", action="store_true", help="normalise the needle like the keys")
     ap.add_argument("--labels", nargs=2, metavar=("LEFT", "RIGHT"), help="name output folders like 'Comm LEFT.txt'")
+    ap.add_argument("--explain", action="store_true", help="print the physical plan of the comparison, write nothing")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("bagdiff").getOrCreate()
@@ -48,6 +49,9 @@ def main(argv: list[str] | None = None) -> None:
         res = diff_dirs(spark, args.left, args.right, name_needle=args.name_needle, **common)
     else:
         res = diff_pooled_dirs(spark, args.left, args.right, **common)
+    if args.explain:
+        res.explain("formatted")
+        return
     write_result(res, args.out, args.mode, labels=tuple(args.labels) if args.labels else None)
 
 

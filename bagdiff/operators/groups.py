@@ -124,7 +124,7 @@ def with_position(
     within: str = "bucket",
     order: Sequence[str] = SORT_KEYS[1:],
     range_col: str = "first_line_no",
-    range_bits: int = 16,
+    range_bits: int = 20,
 ) -> DataFrame:
     """Add ``pos``: 1-based row position inside ``within`` in ``order``.
 

@@ -20,7 +20,8 @@ def clean_path(uri: str | Column) -> Column:
     ``+`` is protected before URL decoding, which would turn it into a space.
     """
     u = F.regexp_replace(_col(uri), r"^file:(//)?(?=/)", "")
-    return F.url_decode(F.replace(u, F.lit("+"), F.lit("%2B")))
+    # a malformed escape keeps the path as given instead of failing the job
+    return F.coalesce(F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2B"))), u)
 
 
 def base_name(path: str | Column) -> Column:

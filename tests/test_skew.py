@@ -52,3 +52,24 @@ def test_pooled_order_is_file_then_line(spark):
         ("b.txt", 1, 2, "diff_left"),
         ("a.txt", 1, 3, "diff_left"),
     ]
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    rows = [("left", "l.txt", i + 1, "" if i % 3 else f"v{i}") for i in range(6000)]
+    rows += [("right", "r.txt", i + 1, "" if i % 2 else f"w{i}") for i in range(3000)]
+    occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
+    res = compare(occ, FILES, chunk_bits=7)  # 128 lines per chunk
+    hot = res.where(F.col("key") == "").select(F.spark_partition_id().alias("p"))
+    # AQE would merge this tiny shuffle into one task; keep the 8 partitions
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    whole = compare(occ, FILES).where(F.col("key") == "").select(F.spark_partition_id().alias("p"))
+    try:
+        per_part = [r["count"] for r in hot.groupBy("p").count().collect()]
+        unchunked = whole.select("p").distinct().count()
+    finally:
+        spark.conf.set(key, old)
+    assert len(per_part) >= 4  # 5,500 blank lines in 47 chunks, over several tasks
+    assert max(per_part) < 0.6 * sum(per_part)
+    assert unchunked <= 2  # one chunk per side: one task each

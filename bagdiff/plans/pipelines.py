@@ -85,6 +85,8 @@ def compare(
     which also needs the file listing."""
     if mode not in (FILES, POOLED):
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
+    if "file" not in occ.columns:
+        occ = occ.withColumn("file", F.lit(None).cast("string"))
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
     return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
 

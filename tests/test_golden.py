@@ -44,3 +44,12 @@ def test_ranks_and_counts(spark):
         ("left", 1, 3, 3, 1),
         ("right", 2, 1, 3, 1),
     ]
+
+
+def test_input_without_file_column(spark):
+    from bagdiff import compare
+    from bagdiff.plans.pipelines import FILES
+
+    occ = occurrences(spark, LEFT, "left").unionByName(occurrences(spark, RIGHT, "right")).drop("file")
+    got = {(r.side, r.line_no): r.bucket for r in compare(occ, FILES).collect()}
+    assert got == emulate(LEFT, RIGHT)[0]

@@ -39,6 +39,14 @@ _MODES = {
 }
 
 
+def _named(occ: DataFrame) -> DataFrame:
+    """``file`` is a join key inside the comparison: a missing or NULL file name is
+    the empty name, so no line is lost to NULL-never-equal joins."""
+    if "file" not in occ.columns:
+        return occ.withColumn("file", F.lit(""))
+    return occ.withColumn("file", F.coalesce(F.col("file"), F.lit("")))
+
+
 def _key_of(space_sensitive: bool, case_sensitive: bool):
     return lambda line: normalize_text(line, space_sensitive, case_sensitive)
 
@@ -85,8 +93,7 @@ def compare(
     which also needs the file listing."""
     if mode not in (FILES, POOLED):
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
-    if "file" not in occ.columns:
-        occ = occ.withColumn("file", F.lit(None).cast("string"))
+    occ = _named(occ)
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
     return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
 
@@ -148,7 +155,7 @@ def diff_file_pairs(
     occurrences with the chunk table drops their lines.
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
-    occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
+    occ = _prepare(_named(occ), needle, space_sensitive, case_sensitive, normalize_needle)
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
     if files_bound is not None and files_bound <= S.MAX_BROADCAST_ROWS:
         occ = occ.join(F.broadcast(pairs), "file", "left_semi")

@@ -50,7 +50,8 @@ def lines_from_column(
     NULL text or NULL order are skipped before numbering.
     """
     sf = ["side", "file"]
-    side_c, file_c = _col(side), _col(file)
+    # file is a join key below: a NULL name is the empty name (no line is lost)
+    side_c, file_c = _col(side), F.coalesce(_col(file), F.lit(""))
     ord_c, text_c = _col(order).cast("long"), _col(text)
     # declared non-null, so joins on block ids infer no extra null filters
     blk_c = F.coalesce(F.shiftright(ord_c, block_bits), F.lit(0).cast("long"))

@@ -53,3 +53,12 @@ def test_input_without_file_column(spark):
     occ = occurrences(spark, LEFT, "left").unionByName(occurrences(spark, RIGHT, "right")).drop("file")
     got = {(r.side, r.line_no): r.bucket for r in compare(occ, FILES).collect()}
     assert got == emulate(LEFT, RIGHT)[0]
+
+
+def test_null_file_names_lose_no_line(spark):
+    from bagdiff import compare
+    from bagdiff.plans.pipelines import POOLED
+
+    occ = occurrences(spark, LEFT, "left").unionByName(occurrences(spark, RIGHT, "right"))
+    occ = occ.withColumn("file", F.lit(None).cast("string"))
+    assert compare(occ, POOLED).count() == len(LEFT) + len(RIGHT)

@@ -76,6 +76,8 @@ def keep_needle(
 
 
 def _prepare(occ, needle, space_sensitive, case_sensitive, normalize):
+    # a text line is never NULL; NULL rows of a user table are skipped explicitly
+    occ = occ.where(F.col("line").isNotNull())
     return keep_needle(with_key(occ, space_sensitive, case_sensitive), needle, space_sensitive, case_sensitive, normalize)
 
 

@@ -59,3 +59,22 @@ def test_small_chunks_match_oracle(spark, duck, mode):
     rows = df.select(*cols).collect()
     rel = duck.sql(E.oracle_sql()[name])
     assert canon(cols, rows) == canon(rel.columns, rel.fetchall())
+
+
+def test_entry_in_a_plain_session(tmp_path):
+    """As the driver calls it: a fresh process, a plain local session, no
+    checkpoint folder configured."""
+    import subprocess
+
+    script = tmp_path / "smoke.py"
+    script.write_text(
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        f"spec = importlib.util.spec_from_file_location('e', '{Path(__file__).resolve().parents[1]}/__spark_entry__.py')\n"
+        "E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "df = E.entry(spark)\n"
+        "print('ROWS', df.count(), ','.join(df.columns))\n"
+    )
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600, cwd=tmp_path)
+    assert "ROWS 1829 bucket,line_no,line,key,n_left,n_right,occ_rank" in out.stdout, out.stderr[-2000:]

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagdiff.llm import exact_dedup, language_id
+from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, simhash
+
+#: Folder of public vocabulary files.
+TOKENIZERS = os.environ.get("BAGDIFF_TOKENIZERS", "/opt/tokenizers")
+SHINGLE, DISTANCE = 4, 4
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +32,42 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=SHINGLE, distance=DISTANCE)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in spans shared with benchmark items."""
+    found = decontaminate.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def tokenized(docs: DataFrame) -> DataFrame:
+    """Digests of the ids and of the decoded text of every row of ``docs`` (doc_id, text)."""
+    path = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    return found.select(
+        "doc_id",
+        bpe.n_tokens(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a public byte-level vocabulary, and decoded again."""
+    return tokenized(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document and whether it stays."""
     found = exact_dedup.group_copies(_table(spark, sf_dir, "documents"))
@@ -34,6 +76,40 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP7_SQL = r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), bw AS (
+  SELECT item_id, len(w) AS n, w FROM (
+    SELECT DISTINCT item_id,
+      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+  ) WHERE len(w) > 0
+), bwin AS (
+  SELECT DISTINCT item_id, least(n, 10) AS k, array_to_string(list_slice(w, i, i + least(n, 10) - 1), ' ') AS win
+  FROM (SELECT *, unnest(generate_series(1, n - least(n, 10) + 1)) AS i FROM bw)
+), ks AS (
+  SELECT DISTINCT k FROM bwin
+), dwin AS (
+  SELECT r, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT r, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM dw, ks WHERE len(w) >= k)
+), hits AS (
+  SELECT d.r, d.i, d.k, b.item_id FROM dwin d JOIN bwin b ON d.k = b.k AND d.win = b.win
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (
+    SELECT r, unnest(generate_series(i, i + k - 1)) AS p FROM (SELECT DISTINCT r, i, k FROM hits)
+  ) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
 OP9_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -47,10 +123,13 @@ FROM t JOIN g ON t.norm = g.norm
 
 def queries() -> dict:
     return {
+        "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op6_language_id": op6_language_id,
+        "op7_benchmark_decontamination": op7_benchmark_decontamination,
+        "op8_bpe": op8_bpe,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op7_benchmark_decontamination": OP7_SQL, "op9_exact_dedup": OP9_SQL}

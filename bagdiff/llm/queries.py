@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, simhash
+from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, simhash, url_filter
 
 #: Folder of public vocabulary files.
 TOKENIZERS = os.environ.get("BAGDIFF_TOKENIZERS", "/opt/tokenizers")
@@ -23,6 +23,30 @@ def _fold(id: str, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page, by rules and by the pages' redirect and canonical links."""
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    base = F.array_distinct(F.transform("places", lambda p: p["label"]))
+    more = F.transform("matches", lambda m: m["label"])
+    best = F.array_max(F.transform("matches", lambda m: m["share"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,6 +100,103 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DUCK_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Components are reached by walking the links; there is a row per page.
+OP4_SQL = r"""
+WITH RECURSIVE rules(host, path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages
+), refs AS (
+  SELECT url, trim(replace(CASE
+    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical\b')
+      THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^\s"''>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')
+      THEN regexp_extract(tag, '(?is)\burl\s*=\s*[''"]?([^\s"''>]+)', 1) END, '&amp;', '&'), ' ') AS ref
+  FROM tags
+), targets AS (
+  SELECT url, CASE
+    WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref
+    WHEN starts_with(ref, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || ref
+    WHEN starts_with(ref, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) || ref
+    ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*', 0) || coalesce(nullif(regexp_replace(
+      regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), ''), '/') || ref END AS target
+  FROM refs WHERE ref <> ''
+), urls AS (
+  SELECT url FROM pages UNION SELECT target FROM targets
+), parsed AS (
+  SELECT url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS scheme,
+    coalesce(nullif(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1), ''), '/') AS rest
+  FROM urls
+), ruled AS (
+  SELECT p.*, CASE WHEN p.host <> '' THEN p.scheme || '://' || p.host || p.rest END AS node, r.rule, r.verdict
+  FROM parsed p LEFT JOIN (
+    SELECT q.url, max_by(r.host || r.path, length(r.host || r.path)) AS rule, max_by(r.verdict, length(r.host || r.path)) AS verdict
+    FROM parsed q JOIN rules r
+      ON (q.host = r.host OR suffix(q.host, '.' || r.host)) AND starts_with(q.path, r.path)
+    GROUP BY q.url
+  ) r ON p.url IS NOT DISTINCT FROM r.url
+), links AS (
+  SELECT DISTINCT a.node AS a, b.node AS b FROM targets t
+  JOIN ruled a ON t.url = a.url JOIN ruled b ON t.target = b.url WHERE a.node IS NOT NULL AND b.node IS NOT NULL
+), both_ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(node, other) AS (
+  SELECT a, a FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a
+), blocked AS (
+  SELECT reach.node FROM reach JOIN ruled ON reach.other = ruled.node
+  GROUP BY reach.node HAVING bool_or(ruled.verdict = 'block') AND NOT coalesce(bool_or(ruled.verdict = 'allow'), false)
+)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN node IN (SELECT node FROM blocked) THEN 'block' END, 'allow') AS verdict
+FROM pages JOIN ruled ON pages.url IS NOT DISTINCT FROM ruled.url
+"""
+
+
+def _op5_sql() -> str:
+    """Every block against every template, without the filters."""
+    templates = ", ".join(
+        "('{}', [{}], {})".format(
+            label, ", ".join(f"'{w}'" for w in own), license_scan.least_shared(len(own), license_scan.THRESHOLD)
+        )
+        for label, text in license_scan.TEMPLATES
+        for own in [license_scan.template_words(text)]
+    )
+    phrases = ", ".join(f"({p.split(' ')}, '{label}')" for p, label in license_scan.PHRASES)
+    size = license_scan.BLOCK
+    return f"""
+WITH templates(label, own, least) AS (VALUES {templates}), phrases(parts, label) AS (VALUES {phrases}), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_DUCK_WORDS.format("text")} AS w FROM documents
+), blocks AS (
+  SELECT r, list_slice(w, s + 1, s + {size}) AS block
+  FROM (SELECT r, w, unnest(generate_series(0, len(w) - 1, {size // 2})) AS s FROM docs)
+), matches AS (
+  SELECT r, label, len(list_intersect(own, block)) / len(own) AS share
+  FROM blocks, templates WHERE len(list_intersect(own, block)) >= least
+), places AS (
+  SELECT r, label, i - 1 AS start FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM docs WHERE list_contains(w, 'license')), phrases
+  WHERE list_slice(w, i, i + len(parts) - 1) = parts
+), base AS (
+  SELECT r, count(*) AS n, min(start) AS lo, max(start) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r
+), found AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM places UNION ALL SELECT r, label FROM matches) GROUP BY r
+), best AS (
+  SELECT r, max(share) AS share FROM matches GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+  coalesce(base.labels, '') AS base_labels, coalesce(found.labels, '') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM docs LEFT JOIN base USING (r) LEFT JOIN found USING (r) LEFT JOIN best USING (r)
+"""
+
+
 OP7_SQL = r"""
 WITH dw AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -124,6 +245,8 @@ FROM t JOIN g ON t.norm = g.norm
 def queries() -> dict:
     return {
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_url_filter": op4_url_filter,
+        "op5_license_scan": op5_license_scan,
         "op6_language_id": op6_language_id,
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_bpe": op8_bpe,
@@ -132,4 +255,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {
+        "op4_url_filter": OP4_SQL,
+        "op5_license_scan": _op5_sql(),
+        "op7_benchmark_decontamination": OP7_SQL,
+        "op9_exact_dedup": OP9_SQL,
+    }

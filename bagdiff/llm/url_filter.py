@@ -92,7 +92,7 @@ def _target(url: Column, ref: Column) -> Column:
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): nodes that a page's canonical link or refresh declares equal to the page's URL."""
+    """(a, b): nodes that a page's canonical link or refresh declares equal to the page's URL; null for one without host."""
     tags = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     quoted = r"""\s*=\s*["']?\s*"""
     tag = F.col("tag")
@@ -105,7 +105,7 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     found = pages.filter(declared).select(F.col(url).alias("url"), F.explode(tags).alias("tag"))
     found = found.select("url", F.regexp_replace(ref, "&amp;", "&").alias("ref")).filter("ref <> ''")
     found = found.select("url", _target(F.col("url"), F.col("ref")).alias("target"))
-    return found.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b")).dropna()
+    return found.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b"))
 
 
 def judge(
@@ -130,11 +130,11 @@ def judge(
         edges = link_edges(pages, url, html)
     if redirects is not None:
         a, b = redirects.columns[:2]
-        more = redirects.select(node_of(F.col(a)).alias("a"), node_of(F.col(b)).alias("b")).dropna()
+        more = redirects.select(node_of(F.col(a)).alias("a"), node_of(F.col(b)).alias("b"))
         edges = more if edges is None else edges.unionByName(more)
     if edges is None:
         edges = rows.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
-    joined = components(edges)
+    joined = components(materialize(edges, "url-links"))
     parts = joined.select("*", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path"))
     ruled = parts.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)["verdict"])
     verdicts = ruled.groupBy("component").agg(

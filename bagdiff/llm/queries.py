@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, simhash, url_filter
+from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, secret_scan, simhash, url_filter
 
 #: Folder of public vocabulary files.
 TOKENIZERS = os.environ.get("BAGDIFF_TOKENIZERS", "/opt/tokenizers")
@@ -56,6 +56,19 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: patterns, and what a network trained on their findings adds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.with_spans(docs, secret_scan.fit(docs))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[secret_scan.count_of(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(spans, ("assign", "access", "hex")), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=SHINGLE, distance=DISTANCE)
@@ -244,6 +257,7 @@ FROM t JOIN g ON t.norm = g.norm
 
 def queries() -> dict:
     return {
+        "op2_secret_scan": op2_secret_scan,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_url_filter": op4_url_filter,
         "op5_license_scan": op5_license_scan,

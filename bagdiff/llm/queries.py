@@ -7,7 +7,18 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagdiff.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, secret_scan, simhash, url_filter
+from bagdiff.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    language_id,
+    license_scan,
+    quality,
+    secret_scan,
+    simhash,
+    url_filter,
+)
 
 #: Folder of public vocabulary files.
 TOKENIZERS = os.environ.get("BAGDIFF_TOKENIZERS", "/opt/tokenizers")
@@ -56,6 +67,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.with_main_text(_table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("bigint").alias("n_chars")
+    )
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: patterns, and what a network trained on their findings adds."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +132,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    held_out = _fold("doc_id", 5) == 0
+    ranking = quality.fit(docs, labels.filter(~held_out))
+    found = quality.with_score(docs, ranking)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _DUCK_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -257,6 +288,7 @@ FROM t JOIN g ON t.norm = g.norm
 
 def queries() -> dict:
     return {
+        "op1_html_text": op1_html_text,
         "op2_secret_scan": op2_secret_scan,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_url_filter": op4_url_filter,
@@ -265,6 +297,7 @@ def queries() -> dict:
         "op7_benchmark_decontamination": op7_benchmark_decontamination,
         "op8_bpe": op8_bpe,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_quality": op10_quality,
     }
 
 

@@ -243,6 +243,6 @@ def clean_rows(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str
     """
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     keyed = docs.select(F.struct(F.col(id).alias("id"), digest.alias("d")).alias("key"), F.col(text).alias("text"))
-    dirty = find_hits(keyed, items, id="key").filter("n_hit > 0").select("key").distinct()
+    dirty = find_hits(keyed, items, id="key").filter("n_hit > 0").select(F.col("key").alias("__dirty")).distinct()
     tagged = docs.withColumn("__key", F.struct(F.col(id).alias("id"), digest.alias("d")))
-    return tagged.join(dirty, F.col("__key").eqNullSafe(F.col("key")), "left_anti").drop("__key")
+    return tagged.join(dirty, F.col("__key").eqNullSafe(F.col("__dirty")), "left_anti").drop("__key")

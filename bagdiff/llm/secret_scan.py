@@ -10,9 +10,9 @@ outside the candidate, and a logistic output. It is trained on the driver, in
 numpy, on labelled findings: candidates of training documents, labelled by whether
 a pattern found them, ``FINDINGS`` of each label at most, from about ``SAMPLE``
 documents. For half of the training windows the text around is blanked, so that a
-candidate's own shape counts. On findings kept apart, the output is calibrated
-(a logistic fit), and the threshold is the largest that still finds ``RECALL`` of the
-true ones. Candidates at or above it that touch no base span become spans of kind
+candidate's own shape counts. On findings kept apart, with and without the text
+around, the output is calibrated (a logistic fit), and the threshold is the largest
+that still finds ``RECALL`` of the true ones. Candidates at or above it that touch no base span become spans of kind
 ``net``.
 
 Texts are scanned whole; character classes are found over a batch at once in numpy.
@@ -110,7 +110,7 @@ def _find(texts, table, assign, access):
 def _patterns():
     import re
 
-    return re.compile(ASSIGN), re.compile(ACCESS)
+    return re.compile(ASSIGN, re.ASCII), re.compile(ACCESS)  # ASCII: no other letter counts as a case of these
 
 
 def _window(text, start, end):
@@ -133,6 +133,14 @@ def _codes(windows):
     return np.where(shown, points - 30, np.where(points == 0, 0, 1)).astype(np.int64)
 
 
+def _alone(codes):
+    """Windows with the text around blanked."""
+    out = codes.copy()
+    out[:, :LEFT] = 0
+    out[:, -RIGHT:] = 0
+    return out
+
+
 @dataclass
 class Network:
     """Weights, calibration (slope, shift) of the output, and the threshold on the calibrated score."""
@@ -201,8 +209,7 @@ class Network:
                 at = order[s : s + 128]
                 x, y = codes[at].copy(), labels[at]
                 hide = rng.random(len(at)) < 0.5
-                x[hide, :LEFT] = 0
-                x[hide, -RIGHT:] = 0
+                x[hide] = _alone(x[hide])
                 self.shift = float(weights[4][0])
                 cols, inner, outer, top, raw = self._forward(x)
                 wrong = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) / len(at)
@@ -279,7 +286,9 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAM
         inner = ~apart
     net = Network.start()
     net.train(codes[inner], labels[inner])
-    net.calibrate(codes[apart], labels[apart], RECALL)
+    # recall is to hold with and without the text around
+    held = np.concatenate((codes[apart], _alone(codes[apart])))
+    net.calibrate(held, np.tile(labels[apart], 2), RECALL)
     return net
 
 

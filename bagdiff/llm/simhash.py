@@ -8,10 +8,11 @@ shingles' XXH64 (UTF-8, seed 42) have it. No words: fingerprint zero.
 *Index.* ``distance`` differing bits touch at most that many of the eight bytes, so
 linked fingerprints agree in at least ``8 - distance`` (byte, position) pairs: the
 guaranteed minimum. A list per single (byte, position) would hold 1/256 of all
-fingerprints and cost their square, so the index lists each fingerprint under every
-*combination* of that many positional bytes (70 for a distance of 4); a pair meets
-in a list exactly if its tally of shared positional bytes reaches the minimum. Each
-pair is then tallied, kept at the minimum or more, and verified on its bits.
+fingerprints and cost their square, so a list is kept per combination of
+``INDEX_BYTES`` positional bytes, for a family of combinations that meets every
+possible set of the minimum's size (20 to 24 lists for a distance of 4). Each pair that
+meets in a list is tallied by its shared positional bytes, retained at the minimum
+or more, and verified on its bits.
 
 *Hot lists.* A list of over ``LIST_MAX`` fingerprints would make too many pairs.
 Its members are instead listed under every value within half the distance: two
@@ -39,6 +40,8 @@ from bagdiff.llm.components import components
 
 SEED = 42
 LIST_MAX = 64
+#: Positional bytes in a list's key; four for over about 10^8 distinct fingerprints.
+INDEX_BYTES = 3
 #: Shingle hashes that are expanded to bits at once.
 BLOCK = 32_768
 
@@ -85,10 +88,25 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _lists(distance: int) -> Column:
-    """The keys of the lists of ``fp``: it with all but 8 - distance bytes set to zero."""
-    masks = [_signed(sum(0xFF << 8 * i for i in at)) for at in combinations(range(8), 8 - distance)]
-    return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: F.col("fp").bitwiseAND(m))
+def index_combinations(matches: int, size: int) -> list[tuple[int, ...]]:
+    """Combinations of ``size`` of the eight byte positions, at least one inside every set of ``matches`` positions.
+
+    Chosen greedily: each next one lies in the most sets that have none yet.
+    """
+    left = [set(x) for x in combinations(range(8), matches)]
+    pool, chosen = list(combinations(range(8), min(size, matches))), []
+    while left:
+        best = max(pool, key=lambda c: sum(set(c) <= x for x in left))
+        chosen.append(best)
+        left = [x for x in left if not set(best) <= x]
+    return chosen
+
+
+def _lists(distance: int, index_bytes: int) -> Column:
+    """The keys of the lists of ``fp``: it with all bytes outside a combination set to zero."""
+    chosen = index_combinations(8 - distance, index_bytes)
+    masks = [_signed(sum(0xFF << 8 * i for i in at)) for at in chosen]
+    return F.array_distinct(F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: m.bitwiseAND(F.col("fp"))))
 
 
 def _shared_bytes(x: Column) -> Column:
@@ -103,7 +121,9 @@ def _middles(radius: int) -> Column:
     return F.transform(F.array(*[F.lit(_signed(x)) for x in flips]), lambda x: F.col("fp").bitwiseXOR(x))
 
 
-def links(fps: DataFrame, distance: int = 4, list_max: int = LIST_MAX) -> DataFrame:
+def links(
+    fps: DataFrame, distance: int = 4, list_max: int = LIST_MAX, index_bytes: int = INDEX_BYTES
+) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fp``, complete up to connectedness.
 
     Pairs of lists of at most ``list_max`` are all there; in larger lists each
@@ -111,7 +131,7 @@ def links(fps: DataFrame, distance: int = 4, list_max: int = LIST_MAX) -> DataFr
     """
     if not 0 <= distance <= 7:
         raise ValueError("distance must be from 0 to 7")
-    lists = fps.select("fp", F.explode(F.array_distinct(_lists(distance))).alias("key"))
+    lists = fps.select("fp", F.explode(_lists(distance, index_bytes)).alias("key"))
     sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     sizes = materialize(sizes.filter("n > 1"), "simhash-lists")
     pairs = sizes.filter("n = 2").select("a", "b")
@@ -156,13 +176,19 @@ def _one_further(hot: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4, list_max: int = LIST_MAX
+    df: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 4,
+    distance: int = 4,
+    list_max: int = LIST_MAX,
+    index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
     """One row per row of ``df``: ``id``, fp (bigint), component_id."""
     rows = df.select(F.col(id).alias("id"), fingerprint(F.col(text), shingle).alias("fp"))
     rows = materialize(rows, "simhash-rows")
     nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
-    joined = components(links(nodes.select("fp"), distance, list_max)).select(
+    joined = components(links(nodes.select("fp"), distance, list_max, index_bytes)).select(
         F.col("node").alias("fp"), "component"
     )
     nodes = nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))

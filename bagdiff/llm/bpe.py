@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from bagdiff.llm.common import chunks
 
-#: Distinct pieces that a task remembers.
-REMEMBERED = 400_000
+#: Distinct units that a task remembers, and characters that it encodes together.
+REMEMBERED = 250_000
+TOGETHER = 2_000_000
 
 #: Unicode white space, as the pre-tokenizer reads it.
 _WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -125,8 +126,9 @@ def _merge_all(vocab, data: bytes, ends):
     symbol = np.append(symbol, -1)
     rank = _ranks(vocab, symbol[:n], symbol[after])
     rank = np.append(rank, -1)
-    # the index: rank -> arrays of positions; a position is live there while rank[position] says so
-    index, queue = {}, []
+    # the index: rank -> arrays of positions; a position is live there while rank[position] says so.
+    # Symbols only grow, so a position never comes back to a pair it has left.
+    index, queue, merged = {}, [], np.zeros(n + 1, bool)
 
     def enter(places):
         got = rank[places]
@@ -147,12 +149,13 @@ def _merge_all(vocab, data: bytes, ends):
     while queue:
         r = heapq.heappop(queue)
         held = index.pop(r)
-        at = np.concatenate(held)
-        at = np.unique(at[rank[at] == r])
+        at = held[0] if len(held) == 1 else np.concatenate(held)
+        at = at[rank[at] == r]
         if not len(at):
             continue
         pair = int(vocab.rank_pairs[r])
         if pair >> 32 == pair & 0xFFFFFFFF and len(at) > 1:  # a run of one symbol merges two by two from its left
+            at = np.sort(at)
             joined = np.concatenate(([False], after[at[:-1]] == at[1:]))
             run = np.maximum.accumulate(np.where(joined, 0, np.arange(len(at))))
             at = at[(np.arange(len(at)) - run) % 2 == 0]
@@ -166,7 +169,9 @@ def _merge_all(vocab, data: bytes, ends):
         before[far[inner]] = at[inner]
         rank[at] = _ranks(vocab, symbol[at], symbol[far])
         near = before[at]
-        near = near[near < n]
+        merged[at] = True
+        near = near[(near < n) & ~merged[near]]
+        merged[at] = False
         rank[near] = _ranks(vocab, symbol[near], symbol[after[near]])
         enter(np.concatenate((at, near)) if len(near) else at)
     live = symbol[:n] >= 0
@@ -175,6 +180,19 @@ def _merge_all(vocab, data: bytes, ends):
     return symbol[:n][live], total[ends] - total[starts]
 
 
+class _Numbers(dict):
+    """Numbers units as they are first asked for; ``new`` has those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, unit):
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
 class _Encoder:
     """Encodes batches of texts; remembers the ids of pieces of earlier ones."""
 
@@ -194,7 +212,7 @@ class _Encoder:
     def forget(self):
         import numpy as np
 
-        self.known, self.flat = {}, np.zeros(0, np.int32)
+        self.known, self.flat = _Numbers(), np.zeros(0, np.int32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _cut(self, text):
@@ -213,10 +231,18 @@ class _Encoder:
         """Encode units not met before: through their distinct pieces, all at once."""
         import numpy as np
 
-        numbers, cut = {}, []
+        numbers, flat, per_unit = {}, [], []
+        number = numbers.setdefault
         for unit in new:
-            parts = [unit] if isinstance(unit, int) else self.pieces(unit)
-            cut.append([numbers.setdefault(p, len(numbers)) for p in parts])
+            # letters, with a space before them or none, are one piece
+            if isinstance(unit, int) or unit.isalpha() or (unit[0] == " " and unit[1:].isalpha()):
+                flat.append(number(unit, len(numbers)))
+                per_unit.append(1)
+            else:
+                parts = self.pieces(unit)
+                for p in parts:
+                    flat.append(number(p, len(numbers)))
+                per_unit.append(len(parts))
         texts = [p for p in numbers if not isinstance(p, int)]
         raw = [p.encode() for p in texts]
         lens = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -227,35 +253,36 @@ class _Encoder:
         ids, sizes = np.concatenate((ids, extra)), np.concatenate((sizes, np.ones(len(extra), np.int64)))
         starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         order = np.array([place[p] for p in numbers], np.int64)
-        which = order[np.fromiter((i for c in cut for i in c), np.int64)]
-        per_unit = np.fromiter(map(len, cut), np.int64, len(cut))
-        flat = ids[_spans(starts[which], sizes[which])].astype(np.int32)
+        which = order[np.array(flat, np.int64)]
+        per_unit = np.array(per_unit, np.int64)
+        made = ids[_spans(starts[which], sizes[which])].astype(np.int32)
         total = np.concatenate(([0], np.cumsum(sizes[which])))
         last = np.cumsum(per_unit)
         unit_sizes = total[last] - total[last - per_unit]
-        base = len(self.starts)
-        self.known.update(zip(new, range(base, base + len(new)), strict=True))
         unit_starts = len(self.flat) + np.concatenate(([0], np.cumsum(unit_sizes)))[:-1]
-        self.flat = np.concatenate((self.flat, flat))
+        self.flat = np.concatenate((self.flat, made))
         self.starts = np.concatenate((self.starts, unit_starts))
         self.sizes = np.concatenate((self.sizes, unit_sizes))
 
     def encode(self, texts):
         """Little-endian 32-bit ids of each text, as bytes."""
+        from itertools import chain
+
         import numpy as np
 
-        cut = [self._cut(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
-        known = self.known
-        new = list(dict.fromkeys(u for c in cut for u in c if u not in known))
-        if new:
-            self._learn(new)
-        at = np.fromiter((known[u] for c in cut for u in c), np.int64, sum(map(len, cut)))
+        cut = [self._cut(t) for t in texts]
+        lens = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(lens.sum()))
+        del cut
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
         sizes = self.sizes[at]
         ids = self.flat[_spans(self.starts[at], sizes)].astype("<u4").tobytes()
         total = 4 * np.concatenate(([0], np.cumsum(sizes)))
-        last = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        last = np.cumsum(lens)
         ends = total[last].tolist()
         return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
@@ -283,6 +310,11 @@ def _udf(make, returns):
     return F.arrow_udf(make, returns)
 
 
+def _encoded(encoder, texts) -> Iterator[list[bytes]]:
+    for _, part in chunks(texts, TOGETHER):
+        yield encoder.encode(part)
+
+
 def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with a binary column ``into``: the text's ids as little-endian unsigned 32-bit integers."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
@@ -292,7 +324,8 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
 
         encoder = _Encoder(shared.value)
         for texts in batches:
-            yield pa.array([x for _, part in chunks(texts) for x in encoder.encode(part)], pa.binary())
+            for ids in _encoded(encoder, texts):
+                yield pa.array(ids, pa.binary())
 
     return df.withColumn(into, _udf(run, "binary")(F.col(text)))
 
@@ -305,13 +338,30 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
         import pyarrow as pa
 
         for held in batches:
-            out = []
             for s in range(0, len(held), 256):
-                out += [None if x is None else _decode(x, shared.value) for x in held.slice(s, 256).to_pylist()]
-            yield pa.array(out, pa.string())
+                part = held.slice(s, 256).to_pylist()
+                yield pa.array([None if x is None else _decode(x, shared.value) for x in part], pa.string())
 
     return df.withColumn(into, _udf(run, "string")(F.col(ids)))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts: ``df`` with both columns."""
+    shared = df.sparkSession.sparkContext.broadcast(load(path))
+
+    def run(batches):
+        import pyarrow as pa
+
+        encoder, tokens = _Encoder(shared.value), shared.value.token_bytes
+        kind = pa.struct([("ids", pa.binary()), ("decoded", pa.string())])
+        for texts in batches:
+            for packed in _encoded(encoder, texts):
+                back = pa.array([_decode(x, tokens) for x in packed], pa.string())
+                yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), back], fields=list(kind))
+
+    tried = df.withColumn("__bpe", _udf(run, "struct<ids:binary,decoded:string>")(F.col(text)))
+    return tried.withColumns({ids: F.col("__bpe.ids"), decoded: F.col("__bpe.decoded")}).drop("__bpe")
+
+
 def n_tokens(ids: Column) -> Column:
     return F.shiftright(F.octet_length(ids).cast("bigint"), 2)

@@ -232,7 +232,8 @@ def with_main_text(df: DataFrame, html: str = "html", into: str = "main_text") -
         patterns = _patterns()
         stop_words = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
         for pages in batches:
-            yield pa.array([main_text(p, patterns, stop_words) for _, part in chunks(pages) for p in part], pa.string())
+            for _, part in chunks(pages):
+                yield pa.array([main_text(p, patterns, stop_words) for p in part], pa.string())
 
     import pyarrow as pa
 

@@ -110,7 +110,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def tokenized(docs: DataFrame) -> DataFrame:
     """Digests of the ids and of the decoded text of every row of ``docs`` (doc_id, text)."""
     path = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
-    found = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    found = bpe.round_trip(docs.select("doc_id", "text"), path)
     return found.select(
         "doc_id",
         bpe.n_tokens(F.col("ids")).alias("n_tokens"),

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import chunks
+from bagdiff.llm.common import arrow_column, chunks
 
 #: Distinct units that a task remembers, and characters that it encodes together.
 REMEMBERED = 250_000
@@ -303,13 +303,6 @@ def _decode(ids: bytes, tokens: list) -> str:
     return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist() if i < known]).decode("utf-8", "replace")
 
 
-def _udf(make, returns):
-    import pyarrow as pa
-
-    make.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(make, returns)
-
-
 def _encoded(encoder, texts) -> Iterator[list[bytes]]:
     for _, part in chunks(texts, TOGETHER):
         yield encoder.encode(part)
@@ -327,7 +320,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
             for ids in _encoded(encoder, texts):
                 yield pa.array(ids, pa.binary())
 
-    return df.withColumn(into, _udf(run, "binary")(F.col(text)))
+    return df.withColumn(into, arrow_column(run, "binary", F.col(text)))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -342,7 +335,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
                 part = held.slice(s, 256).to_pylist()
                 yield pa.array([None if x is None else _decode(x, shared.value) for x in part], pa.string())
 
-    return df.withColumn(into, _udf(run, "string")(F.col(ids)))
+    return df.withColumn(into, arrow_column(run, "string", F.col(ids)))
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -359,7 +352,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
                 back = pa.array([_decode(x, tokens) for x in packed], pa.string())
                 yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), back], fields=list(kind))
 
-    tried = df.withColumn("__bpe", _udf(run, "struct<ids:binary,decoded:string>")(F.col(text)))
+    tried = df.withColumn("__bpe", arrow_column(run, "struct<ids:binary,decoded:string>", F.col(text)))
     return tried.withColumns({ids: F.col("__bpe.ids"), decoded: F.col("__bpe.decoded")}).drop("__bpe")
 
 

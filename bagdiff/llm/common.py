@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from bagdiff.session import scratch_path
 
 #: Characters that a task holds at once in expanded (numpy) form.
 CHUNK_CHARS = 1_000_000
+#: Bytes of an Arrow batch between Spark and Python: executors hold a few of them outside their heap.
+BATCH_BYTES = 8 << 20
 #: A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so at most HEAVY_SHARE keys are.
 HEAVY_SHARE = 512
 
@@ -74,5 +76,17 @@ def attach_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     )
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold ``BATCH_BYTES`` at most, as the operators' memory bounds assume."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int("".join(filter(str.isdigit, spark.conf.get(key)))) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def arrow_column(run: Callable, returns: str, column: Column) -> Column:
+    """Column of a function from an iterator of Arrow arrays to one of Arrow arrays, as many values in all."""
+    import pyarrow as pa
+
+    bound_batches(SparkSession.active())
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, returns)(column)

@@ -26,12 +26,10 @@ Other columns are ignored; ``clean_rows`` keeps them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import chunks, materialize
+from bagdiff.llm.common import arrow_column, chunks, materialize
 
 SPAN = 10
 GRAM = 5
@@ -52,7 +50,7 @@ class _Hashes(dict):
     def __missing__(self, word):
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         out = self[word] = xxhash.xxh64_intdigest(word, 7)
         return out
@@ -135,16 +133,14 @@ def fingerprints(text: Column, spans: list[int], wanted: Column | None = None, s
             )
         )
         for texts in batches:
-            got = [x for _, part in chunks(texts) for x in _scan(part, spans, held, known)]
-            found = [[dict(zip(("span", "hash", "pos", "before", "words"), f, strict=True)) for f in x[1]] for x in got]
-            yield pa.StructArray.from_arrays(
-                [pa.array([x[0] for x in got], pa.int64()), pa.array(found, kind)], ["n_words", "found"]
-            )
-
-    import pyarrow as pa
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, f"struct<n_words:bigint,found:array<{_FOUND}>>")(text)
+            for _, part in chunks(texts):
+                got = _scan(part, spans, held, known)
+                found = [[dict(zip(("span", "hash", "pos", "before", "words"), f, strict=True)) for f in x[1]] for x in got]
+                yield pa.StructArray.from_arrays(
+                    [pa.array([x[0] for x in got], pa.int64()), pa.array(found, kind)], ["n_words", "found"]
+                )
+
+    return arrow_column(run, f"struct<n_words:bigint,found:array<{_FOUND}>>", text)
 
 
 def _reach() -> Column:

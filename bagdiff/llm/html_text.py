@@ -25,12 +25,10 @@ and pages are read each for itself; other columns are kept.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import chunks
+from bagdiff.llm.common import arrow_column, chunks
 
 #: A block of at least LONG characters can be decided; link density over LINKS decides against it.
 LONG = 60
@@ -235,7 +233,4 @@ def with_main_text(df: DataFrame, html: str = "html", into: str = "main_text") -
             for _, part in chunks(pages):
                 yield pa.array([main_text(p, patterns, stop_words) for p in part], pa.string())
 
-    import pyarrow as pa
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn(into, F.arrow_udf(run, "string")(F.col(html)))
+    return df.withColumn(into, arrow_column(run, "string", F.col(html)))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import CHUNK_CHARS, chunks
+from bagdiff.llm.common import CHUNK_CHARS, arrow_column, bound_batches, chunks
 
 NGRAMS = (1, 2, 3)
 BITS = 15
@@ -144,6 +144,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
 
     rows = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    bound_batches(df.sparkSession)
     counted = rows.mapInArrow(_count, "lang string, bucket int, n bigint")
     n_langs = df.select(lang).distinct().count()
     if not n_langs:
@@ -215,21 +216,13 @@ def language(model: Model | None, text: Column, spark) -> Column:
 
         held, table, letter = shared.value, _letters(), regex.compile(r"\p{L}").search
         for texts in batches:
-            langs, scores = [], []
             for _, part in chunks(texts):
-                got = _judge(part, held, table, letter)
-                langs += got[0]
-                scores += got[1].tolist()
-            yield pa.StructArray.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
-            )
+                langs, scores = _judge(part, held, table, letter)
+                yield pa.StructArray.from_arrays(
+                    [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
+                )
 
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, schema)(text)
+    return arrow_column(run, schema, text)
 
 
 def with_language(df: DataFrame, model: Model | None, text: str = "text", into: str = "language") -> DataFrame:

@@ -24,13 +24,12 @@ remain. Repeated rows are scanned each for itself; other columns are kept.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import chunks
+from bagdiff.llm.common import arrow_column, bound_batches, chunks
 
 CANDIDATE = 16
 #: Bounds of the training sample: documents (about) and findings of each label.
@@ -267,6 +266,7 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAM
     """Train on labelled findings of about ``sample`` documents, chosen by a hash of the id; None without both labels."""
     import numpy as np
 
+    bound_batches(df.sparkSession)
     total = max(1, df.count())
     share = min(1.0, sample / total)
     chosen = df.filter(F.pmod(F.xxhash64(id), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -325,10 +325,7 @@ def with_spans(df: DataFrame, net: Network | None, text: str = "text", into: str
         for texts in batches:
             yield pa.array([x for _, part in chunks(texts) for x in scan(part)], kind)
 
-    import pyarrow as pa
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn(into, F.arrow_udf(run, f"array<{_SPAN}>")(F.col(text)))
+    return df.withColumn(into, arrow_column(run, f"array<{_SPAN}>", F.col(text)))
 
 
 def listed(spans: Column, kinds=KINDS) -> Column:

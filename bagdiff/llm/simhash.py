@@ -29,13 +29,12 @@ results. Other columns are ignored; ``one_of_each`` keeps them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import attach_by_key, chunks, materialize
+from bagdiff.llm.common import arrow_column, attach_by_key, chunks, materialize
 from bagdiff.llm.components import components
 
 SEED = 42
@@ -78,10 +77,7 @@ def fingerprint(text: Column, shingle: int = 4) -> Column:
         for texts in batches:
             yield pa.array([_fingerprint(t, shingle) for _, part in chunks(texts) for t in part], pa.int64())
 
-    import pyarrow as pa
-
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "bigint")(text)
+    return arrow_column(run, "bigint", text)
 
 
 def _signed(x: int) -> int:

@@ -18,6 +18,7 @@ from bagdiff.plans.pipelines import (
     diff_pooled_dirs,
     keep_needle,
     render,
+    side_label,
     with_key,
     write_result,
 )
@@ -35,6 +36,7 @@ __all__ = [
     "diff_pooled_dirs",
     "keep_needle",
     "render",
+    "side_label",
     "with_key",
     "write_result",
 ]

@@ -2,7 +2,7 @@
 
 Compares two files, two directories paired by file name, or two pooled
 directories and writes the four sorted bucket outputs under ``OUT`` (one folder
-per bucket, CRLF rows). Runs in whatever session ``spark-submit`` provides, or a
+per bucket, named after the sides, CRLF lines). Runs in whatever session ``spark-submit`` provides, or a
 local one.
 """
 
@@ -28,7 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--space-sensitive", action="store_true", help="keep spaces in keys")
     ap.add_argument("--case-sensitive", action="store_true", help="keep letter case in keys")
     ap.add_argument("--normalize-needle", action="store_true", help="normalise the needle like the keys")
-    ap.add_argument("--labels", nargs=2, metavar=("LEFT", "RIGHT"), help="name output folders like 'Comm LEFT.txt'")
+    ap.add_argument("--labels", nargs=2, metavar=("LEFT", "RIGHT"), help="names of the sides for the outputs (default: the paths)")
+    ap.add_argument("--no-recursive", action="store_true", help="leave out folders below the given ones")
     ap.add_argument("--explain", action="store_true", help="print the physical plan of the comparison, write nothing")
     args = ap.parse_args(argv)
 
@@ -42,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
         space_sensitive=args.space_sensitive,
         case_sensitive=args.case_sensitive,
         normalize_needle=args.normalize_needle,
+        recursive=not args.no_recursive,
     )
     if args.mode == FILES:
         res = diff_files(spark, args.left, args.right, **common)
@@ -52,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.explain:
         res.explain("formatted")
         return
-    write_result(res, args.out, args.mode, labels=tuple(args.labels) if args.labels else None)
+    write_result(res, args.out, args.mode, labels=tuple(args.labels or (args.left, args.right)))
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from bagdiff.functions.paths import (
     output_name,
     stem,
 )
-from bagdiff.functions.text import BARE, LABELED, NUMBERED, entry_text, render_entries
+from bagdiff.functions.text import BARE, LABELED, NUMBERED, entry_text, piece_text
 
 __all__ = [
     "BARE",
@@ -26,6 +26,6 @@ __all__ = [
     "normalize_text",
     "output_base",
     "output_name",
-    "render_entries",
+    "piece_text",
     "stem",
 ]

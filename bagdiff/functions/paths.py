@@ -37,8 +37,9 @@ def stem(path: str | Column) -> Column:
 
 def dir_label(glob_path: str | Column) -> Column:
     """Directory label: second-last segment of a path or glob (either slash), with
-    the directory prefix."""
-    parts = F.split(_col(glob_path), r"[/\\]")
+    the directory prefix; a path without a slash is the directory itself."""
+    path = _col(glob_path)
+    parts = F.split(F.when(path.rlike(r"[/\\]"), path).otherwise(F.concat(path, F.lit("/"))), r"[/\\]")
     return F.concat(F.lit(S.DIR_LABEL_PREFIX), F.element_at(parts, -2))
 
 
@@ -50,8 +51,9 @@ def default_label(name: str | Column, directory: bool = False) -> Column:
 
 def output_base(label: str | Column) -> Column:
     """Name part of an output file: the label cut at its first ``.``, then its last
-    ``/`` segment."""
-    return F.element_at(F.split(F.substring_index(_col(label), ".", 1), "/"), -1)
+    ``/`` segment (slashes at its end do not count)."""
+    cut = F.regexp_replace(F.substring_index(_col(label), ".", 1), "/+$", "")
+    return F.element_at(F.split(cut, "/"), -1)
 
 
 def output_name(label: str | Column, common: bool) -> Column:

@@ -24,17 +24,10 @@ def entry_text(line_no: Column, line: Column, file: Column | None = None, fmt: s
     raise ValueError(f"entry format must be one of {ENTRY_FORMATS}")
 
 
-def render_entries(entries: Column, fmt: str = NUMBERED, opened: Column | bool = True, closed: Column | bool = True) -> Column:
-    """``[a, b]`` from an array of entry structs (occ_rank, line_no, line, file).
-
-    ``opened``/``closed`` say whether this row starts/ends its list; a list split
-    over several rows ends its inner rows with a comma.
-    """
-    opened = F.lit(opened) if isinstance(opened, bool) else opened
-    closed = F.lit(closed) if isinstance(closed, bool) else closed
-    body = F.array_join(F.transform(entries, lambda e: entry_text(e["line_no"], e["line"], e["file"], fmt)), S.LIST_SEP)
+def piece_text(entry: Column, first: Column, last: Column) -> Column:
+    """An entry as it stands in its row: ``[`` before the first, ``]`` after the last, ``,`` after any other."""
     return F.concat(
-        F.when(opened, F.lit(S.LIST_OPEN)).otherwise(F.lit("")),
-        body,
-        F.when(closed, F.lit(S.LIST_CLOSE)).otherwise(F.lit(",")),
+        F.when(first, F.lit(S.LIST_OPEN)).otherwise(F.lit("")),
+        entry,
+        F.when(last, F.lit(S.LIST_CLOSE)).otherwise(F.lit(S.LIST_COMMA)),
     )

@@ -4,7 +4,6 @@ from bagdiff.operators.classify import (
     bag_union,
     bucket_of,
     bucket_view,
-    chunk_tally,
     classify,
     except_all_keys,
     intersect_all_keys,
@@ -12,16 +11,15 @@ from bagdiff.operators.classify import (
     rank_occurrences,
     replicate,
 )
-from bagdiff.operators.groups import bucket_groups, slice_entries, sort_groups, unpack_entries, with_position
+from bagdiff.operators.groups import bucket_entries, slice_entries, unpack_entries, with_position
 from bagdiff.operators.pairing import filter_names, group_files, pair_files
 from bagdiff.operators.partition import repartition_by_key
 
 __all__ = [
     "bag_union",
-    "bucket_groups",
+    "bucket_entries",
     "bucket_of",
     "bucket_view",
-    "chunk_tally",
     "classify",
     "except_all_keys",
     "filter_names",
@@ -33,7 +31,6 @@ __all__ = [
     "repartition_by_key",
     "replicate",
     "slice_entries",
-    "sort_groups",
     "unpack_entries",
     "with_position",
 ]

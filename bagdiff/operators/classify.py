@@ -5,14 +5,15 @@ occurrences, the occurrences of a side are ranked latest first (``occ_rank`` 1 i
 the last line); ranks ``1..least(n_left, n_right)`` are common, the rest differ.
 That single rule covers the one-sided keys, both surplus cases and equal counts.
 
-Ranking is skew-safe. A side's occurrences of a key are cut into chunks of
-``2**chunk_bits`` consecutive line numbers. The lines are hash-partitioned once
-by (key, side, chunk), each chunk is counted there, a window over the (small)
-chunk table gives per-key totals and the number of occurrences in later chunks,
-and the occurrences are joined to their chunk row (only the chunk rows move) and
-ranked inside the chunk. A key holding a third of all lines is therefore spread
-over many chunks and tasks; no task ranks more than one chunk of it, and the line
-text crosses the network once.
+The lines of a key meet in one exchange and get counts and ranks from windows
+there, without a join. A key with over ``heavy_rows`` lines would make one task too
+large; such keys are found by a count per 64-bit hash of the key (narrow rows,
+combined before they move) and take another way: their lines are cut into chunks of
+``2**chunk_bits`` consecutive line numbers, chunks are counted, a window over the
+chunk counts gives totals and the occurrences in later chunks, and lines are ranked
+inside their chunk. At most ``MAX_HEAVY`` hashes, those with the most lines, are
+treated so; that bounds the broadcast list. A key that merely shares a heavy key's
+hash takes the chunked way too, with the same result.
 """
 
 from __future__ import annotations
@@ -25,10 +26,6 @@ from pyspark.sql import functions as F
 from bagdiff import schema as S
 
 
-def side_count(side: str):
-    return F.sum(F.when(F.col("side") == side, F.col("_cnt")).otherwise(F.lit(0)))
-
-
 def key_counts(occ: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``by..., key, n_left, n_right``: partial + final hash aggregation."""
     return occ.groupBy(*by, "key").agg(
@@ -42,87 +39,136 @@ def bag_union(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True)
 
 
-def _chunk_plan(by: Sequence[str], order: Sequence[str]):
-    by = list(by)
-    prefix = [c for c in order[:-1]]
-    last = order[-1]
-    group = by + ["key", "side"] + [c for c in prefix if c not in by] + ["_chunk"]
-    return by, prefix, last, group
-
-
-def _tally(chunked: DataFrame, by: list[str], prefix: list[str], group: list[str]) -> DataFrame:
-    tally = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"), F.max(F.length("line")).alias("_len"))
-    # one window spec (one sort): left chunks first, latest chunk first; a right
-    # chunk's running total includes every left occurrence, which is subtracted
-    left_first = F.col("side") != F.lit(S.LEFT)
-    spec = Window.partitionBy(*by, "key").orderBy(left_first, *[F.desc(c) for c in prefix], F.desc("_chunk"))
+def heavy_keys(occ: DataFrame, by: Sequence[str], heavy_rows: int, max_heavy: int = S.MAX_HEAVY) -> DataFrame:
+    """``_h``: hashes of the keys with over ``heavy_rows`` lines, at most ``max_heavy`` of them, most lines first."""
+    # the filter holds for every numbered line; naming the number keeps this branch on
+    # the exchange that the main branch reads, so the source is read once
+    counted = occ.where(F.col("line_no") >= 0).groupBy(F.xxhash64(*by, "key").alias("_h"))
+    counts = counted.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
+    return counts.orderBy(F.desc("_n"), "_h").limit(max_heavy).select("_h")
+
+
+def _exchanged(occ: DataFrame, cols: list[Column], names: list[str], key_of) -> DataFrame:
+    """Hash-partition by ``cols`` (named ``names`` afterwards). With ``key_of`` the key is
+    left out of the exchange and made again from the line behind it."""
+    if key_of is None:
+        return occ.select("*", *[c.alias(n) for c, n in zip(cols, names, strict=True) if n not in occ.columns]).repartition(
+            *names
+        )
+    made = [key_of(F.col("line")) if n == "key" else c for c, n in zip(cols, names, strict=True)]
+    moved = occ.drop("key").repartition(*made)
+    return moved.select("*", *[c.alias(n) for c, n in zip(made, names, strict=True) if n not in moved.columns])
+
+
+def _position(order: Sequence[str]) -> Column:
+    """(file, line_no) of an occurrence; file is null where a group has one file."""
+    file = F.col("file") if "file" in order else F.lit(None).cast("string")
+    return F.struct(file.alias("file"), F.col("line_no").cast("long").alias("line_no"))
+
+
+def _with_firsts(ranked: DataFrame, keys: list[str], order: Sequence[str], latest: Column) -> DataFrame:
+    """Add ``first_file, first_line_no``: the first entry of the occurrence's bucket row."""
+    n_min = F.least("n_left", "n_right")
+    opening = F.when(F.col("occ_rank") == n_min + 1, _position(order))
+    first_diff = F.max(opening).over(Window.partitionBy(*keys, "side"))
+    first = F.when(F.col("occ_rank") <= n_min, latest).otherwise(first_diff)
+    return ranked.withColumn("_first", first).select(
+        *[c for c in ranked.columns if c != "_latest"],
+        F.col("_first.file").alias("first_file"),
+        F.col("_first.line_no").alias("first_line_no"),
+    )
+
+
+def _rank_whole(occ: DataFrame, by: list[str], order: Sequence[str], key_of) -> DataFrame:
+    """Counts, ranks and first entries from windows over one exchange by ``by + key``."""
+    keys = [*by, "key"]
+    met = _exchanged(occ, [F.col(c) for c in keys], keys, key_of)
+    latest_first = Window.partitionBy(*keys, "side").orderBy(*[F.desc(c) for c in order])
+    whole = Window.partitionBy(*keys)
+    ranked = met.select(
+        *occ.columns,
+        F.row_number().over(latest_first).cast("long").alias("occ_rank"),
+        F.first(_position(order)).over(latest_first).alias("_latest"),
+    )
+    ranked = ranked.select(
+        *occ.columns,
+        F.count_if(F.col("side") == S.LEFT).over(whole).cast("long").alias("n_left"),
+        F.count_if(F.col("side") == S.RIGHT).over(whole).cast("long").alias("n_right"),
+        "occ_rank",
+        "_latest",
+    )
+    return _with_firsts(ranked, keys, order, F.col("_latest"))
+
+
+def _rank_chunks(occ: DataFrame, by: list[str], order: Sequence[str], chunk_bits: int, key_of) -> DataFrame:
+    """The same result for heavy keys: no task holds more than one chunk of a key."""
+    keys, prefix, last = [*by, "key"], [c for c in order[:-1] if c not in by], order[-1]
+    group = [*keys, "side", *prefix, "_chunk"]
+    cols = [F.shiftright(F.col(last), chunk_bits) if c == "_chunk" else F.col(c) for c in group]
+    chunked = _exchanged(occ, cols, group, key_of)
+    counts = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"), F.max(_position(order)).alias("_latest"))
+    # left chunks first, latest chunk first; a right chunk's running total includes
+    # every left occurrence, which is subtracted
+    spec = Window.partitionBy(*keys).orderBy(F.col("side") != S.LEFT, *[F.desc(c) for c in prefix], F.desc("_chunk"))
     whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     earlier = spec.rowsBetween(Window.unboundedPreceding, -1)
-    n_left = side_count(S.LEFT).over(whole).cast("long")
+
+    def side_total(side: str) -> Column:
+        return F.sum(F.when(F.col("side") == side, F.col("_cnt")).otherwise(F.lit(0))).over(whole).cast("long")
+
     running = F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).cast("long")
-    return tally.select(
+    before = running - F.when(F.col("side") == S.RIGHT, side_total(S.LEFT)).otherwise(F.lit(0))
+    tally = counts.select(
         *group,
-        n_left.alias("n_left"),
-        side_count(S.RIGHT).over(whole).cast("long").alias("n_right"),
-        (running - F.when(F.col("side") == S.RIGHT, n_left).otherwise(F.lit(0))).alias("_before"),
-        # longest line of the key (both sides): bounds the bytes of a rendered row
-        F.max("_len").over(whole).cast("long").alias("max_len"),
+        side_total(S.LEFT).alias("n_left"),
+        side_total(S.RIGHT).alias("n_right"),
+        before.alias("_before"),
+        F.max("_latest").over(Window.partitionBy(*keys, "side")).alias("_latest"),
+    )
+    in_chunk = Window.partitionBy(*group).orderBy(F.desc(last))
+    ranked = chunked.join(tally, group).select(
+        *occ.columns,
+        "n_left",
+        "n_right",
+        (F.col("_before") + F.row_number().over(in_chunk)).cast("long").alias("occ_rank"),
+        "_latest",
+    )
+    # the row that opens the differing occurrences of a side: one per heavy key and side
+    n_min = F.least("n_left", "n_right")
+    opening = ranked.where(F.col("occ_rank") == n_min + 1).select(*keys, "side", _position(order).alias("_opens"))
+    out = ranked.join(opening, [*keys, "side"], "left")
+    first = F.when(F.col("occ_rank") <= n_min, F.col("_latest")).otherwise(F.col("_opens"))
+    return out.withColumn("_first", first).select(
+        *[c for c in ranked.columns if c != "_latest"],
+        F.col("_first.file").alias("first_file"),
+        F.col("_first.line_no").alias("first_line_no"),
     )
-
-
-def chunk_tally(occ: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("line_no",), chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
-    """Chunk table: ``group..., n_left, n_right, _before, max_len`` where ``_before``
-    counts the same side's occurrences of the key in chunks that rank earlier."""
-    by, prefix, last, group = _chunk_plan(by, order)
-    return _tally(occ.withColumn("_chunk", F.shiftright(F.col(last), chunk_bits)), by, prefix, group)
 
 
 def rank_occurrences(
     occ: DataFrame,
     by: Sequence[str] = (),
     order: Sequence[str] = ("line_no",),
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
-    tally: DataFrame | None = None,
     key_of: Callable[[Column], Column] | None = None,
-    tally_filter: Callable[[DataFrame], DataFrame] | None = None,
+    max_heavy: int = S.MAX_HEAVY,
 ) -> DataFrame:
-    """Occurrences plus ``n_left, n_right, occ_rank, max_len`` (longest line of the
-    key); rank 1 is the occurrence that comes last in ``order`` within its
-    ``by + key + side``.
-
-    With ``key_of`` (the function that made ``key`` from ``line``) the lines are
-    shuffled once, without their key: rows are hash-partitioned by the key
-    expression and the key is recomputed after the exchange, which Spark
-    recognises as the join's partitioning. The chunk table is then counted from
-    that same exchange (no second pass over the input, no partial-aggregation
-    shuffle) and only its small rows move again. ``tally_filter`` may restrict the
-    chunk table (directory pairing).
+    """Occurrences plus ``n_left, n_right, occ_rank, first_file, first_line_no``.
+
+    Rank 1 is the occurrence that comes last in ``order`` within its
+    ``by + key + side``. With ``key_of`` (the function that made ``key`` from
+    ``line``) lines move without their key. ``heavy_rows=None`` treats no key as
+    heavy. ``first_*`` is the first entry of the occurrence's bucket row.
     """
-    by, prefix, last, group = _chunk_plan(by, order)
-    chunk = F.shiftright(F.col(last), chunk_bits)
-    if key_of is None:
-        chunked = occ.withColumn("_chunk", chunk)
-    else:
-        exprs = {c: F.col(c) for c in group if c not in ("key", "_chunk")}
-        exprs["key"], exprs["_chunk"] = key_of(F.col("line")), chunk
-        shuffled = occ.drop("key").repartition(*[exprs[c] for c in group])
-        chunked = shuffled.select("*", key_of(F.col("line")).alias("key"), chunk.alias("_chunk"))
-    if tally is None:
-        tally = _tally(chunked, by, prefix, group)
-    if tally_filter is not None:
-        tally = tally_filter(tally)
-    joined = chunked.join(tally, group, "inner")
-    # n_left / n_right are constant inside a chunk; as partition columns they let
-    # filters on the counts move below the window to the small chunk table
-    in_chunk = Window.partitionBy(*group, "n_left", "n_right", "max_len").orderBy(F.desc(last))
-    cols = [c for c in occ.columns]
-    return joined.select(
-        *cols,
-        "n_left",
-        "n_right",
-        (F.col("_before") + F.row_number().over(in_chunk)).cast("long").alias("occ_rank"),
-        "max_len",
-    )
+    by = list(by)
+    if heavy_rows is None:
+        return _rank_whole(occ, by, order, key_of)
+    heavy = F.broadcast(heavy_keys(occ, by, heavy_rows, max_heavy))
+    hashed = occ.withColumn("_h", F.xxhash64(*by, "key"))
+    light = hashed.join(heavy, "_h", "left_anti").select(*occ.columns)
+    hot = hashed.join(heavy, "_h", "left_semi").select(*occ.columns)
+    return _rank_whole(light, by, order, key_of).unionByName(_rank_chunks(hot, by, order, chunk_bits, key_of))
 
 
 def bucket_of(occ_rank="occ_rank", n_left="n_left", n_right="n_right", side="side"):
@@ -135,18 +181,16 @@ def classify(
     occ: DataFrame,
     by: Sequence[str] = (),
     order: Sequence[str] = ("line_no",),
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
-    tally: DataFrame | None = None,
     key_of: Callable[[Column], Column] | None = None,
-    tally_filter: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Occurrences plus ``n_left, n_right, occ_rank, bucket``.
+    """Occurrences plus ``n_left, n_right, occ_rank, first_file, first_line_no, bucket``.
 
     ``by``: extra grouping columns (``("file",)`` compares file pairs in one job).
     ``order``: rank order, latest first; ``("file", "line_no")`` for pooled input.
     """
-    ranked = rank_occurrences(occ, by, order, chunk_bits, tally, key_of, tally_filter)
-    return ranked.withColumn("bucket", bucket_of())
+    return rank_occurrences(occ, by, order, heavy_rows, chunk_bits, key_of).withColumn("bucket", bucket_of())
 
 
 def bucket_view(classified: DataFrame, bucket: str) -> DataFrame:
@@ -172,26 +216,16 @@ def replicate(counts: DataFrame, n: str, cols: Sequence[str], chunk_bits: int =
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), in_chunk)).alias("_i")).select(*cols)
 
 
-def _side_counts(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    tagged = left.select(*cols, F.lit(S.LEFT).alias("side")).unionByName(right.select(*cols, F.lit(S.RIGHT).alias("side")))
-    return tagged.groupBy(*cols).agg(
-        F.count_if(F.col("side") == S.LEFT).cast("long").alias("n_left"),
-        F.count_if(F.col("side") == S.RIGHT).cast("long").alias("n_right"),
-    )
-
-
-def intersect_all_keys(left_keys: DataFrame, right_keys: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
-    """Rows common to both bags, with multiplicity (INTERSECT ALL): each distinct row
-    ``least(n_left, n_right)`` times. Counting is a partial aggregation; the copies
-    are generated by :func:`replicate`."""
-    cols = left_keys.columns
-    counts = _side_counts(left_keys, right_keys, cols).withColumn("_m", F.least("n_left", "n_right"))
-    return replicate(counts, "_m", cols, chunk_bits)
+def intersect_all_keys(bag: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """Keys common to both sides of a bag (``side, key``), with multiplicity
+    (INTERSECT ALL): each ``least(n_left, n_right)`` times. Both sides are counted in
+    one partial aggregation; the copies are generated by :func:`replicate`."""
+    counts = key_counts(bag).withColumn("_m", F.least("n_left", "n_right"))
+    return replicate(counts, "_m", ["key"], chunk_bits)
 
 
-def except_all_keys(left_keys: DataFrame, right_keys: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
-    """Rows of the left bag not matched on the right, with multiplicity (EXCEPT ALL):
-    each distinct row ``n_left - n_right`` times when positive."""
-    cols = left_keys.columns
-    counts = _side_counts(left_keys, right_keys, cols).withColumn("_m", F.col("n_left") - F.col("n_right"))
-    return replicate(counts, "_m", cols, chunk_bits)
+def except_all_keys(bag: DataFrame, chunk_bits: int = S.CHUNK_BITS) -> DataFrame:
+    """Left keys of a bag (``side, key``) not matched on the right, with multiplicity
+    (EXCEPT ALL): each ``n_left - n_right`` times when positive."""
+    counts = key_counts(bag).withColumn("_m", F.col("n_left") - F.col("n_right"))
+    return replicate(counts, "_m", ["key"], chunk_bits)

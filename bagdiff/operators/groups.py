@@ -1,15 +1,14 @@
-"""Bucket rows: entries grouped per key, rendered and sorted.
+"""Bucket rows as entries.
 
 A bucket row lists one key's entries of that bucket in rank order, latest line
-first, and bucket rows are sorted by their first entry. The first entry is the
-greatest (file, line_no) of the row's entries, so it comes from a plain ``max``,
-not from a window over the group.
-
-A row holds at most ``segment`` entries, fewer when the key's longest line would
-make the row exceed about ``RENDER_BYTES``. The rare bigger groups continue on the
-following rows (``part`` 1, 2, ...), so no task builds an unbounded array; those
-rows learn their group's first entry through a join salted ``salt`` ways, which
-keeps one hot group off a single task.
+first, and bucket rows are sorted by their first entry. Rows are kept as one record
+per entry at every size: ``position`` counts the entries from 1, and ``piece`` holds
+the entry with ``[`` in front of the first, ``]`` after the last and ``,`` after any
+other. A row's pieces in order, joined by one space, are the row's text. So no task
+builds a row, however often a key occurs, and unpacking and slicing are filters.
+
+All columns come from the counts, rank and first entry that the comparison gives;
+making entries moves no data.
 """
 
 from __future__ import annotations
@@ -20,142 +19,75 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bagdiff import schema as S
-from bagdiff.functions.text import NUMBERED, render_entries
+from bagdiff.functions.text import NUMBERED, entry_text, piece_text
 
+#: Output order of the entries.
+SORT_KEYS = ("bucket", "first_file", "first_line_no", "position")
 
-def row_capacity(segment: int, max_bytes: int = S.RENDER_BYTES):
-    """Entries per rendered row for a key: ``segment``, fewer when the key's longest
-    line would make a row exceed about ``max_bytes``; constant per key."""
-    per_entry = F.coalesce(F.col("max_len"), F.lit(0)) + F.lit(24)
-    return F.greatest(F.lit(1).cast("long"), F.least(F.lit(segment).cast("long"), F.floor(F.lit(max_bytes) / per_entry).cast("long")))
 
-
-def _layout(classified: DataFrame, segment: int, max_bytes: int) -> DataFrame:
-    cap = row_capacity(segment, max_bytes) if "max_len" in classified.columns else F.lit(segment).cast("long")
-    n_min = F.least("n_left", "n_right")
-    is_diff = F.col("bucket").startswith("diff_")
-    n_side = F.when(F.col("side") == S.LEFT, F.col("n_left")).otherwise(F.col("n_right"))
-    size = F.when(is_diff, n_side - n_min).otherwise(n_min)
-    idx = F.col("occ_rank") - F.lit(1) - F.when(is_diff, n_min).otherwise(F.lit(0))
-    file_col = F.col("file") if "file" in classified.columns else F.lit(None).cast("string")
-    return classified.select(
-        "*",
-        size.alias("_size"),
-        cap.alias("_cap"),
-        F.floor(idx / cap).cast("long").alias("_part"),
-        F.floor((size - F.lit(1)) / cap).cast("long").alias("_last"),
-        F.struct(
-            F.col("occ_rank").cast("long").alias("occ_rank"),
-            F.col("line_no").cast("long").alias("line_no"),
-            F.col("line").alias("line"),
-            file_col.alias("file"),
-        ).alias("_entry"),
-        F.struct(file_col.alias("file"), F.col("line_no").alias("line_no")).alias("_pos"),
-    )
-
-
-def bucket_groups(
-    classified: DataFrame,
-    by: Sequence[str] = (),
-    fmt: str = NUMBERED,
-    segment: int = S.RENDER_SEGMENT,
-    salt: int = S.RENDER_SALT,
-    max_bytes: int = S.RENDER_BYTES,
-) -> DataFrame:
-    """``bucket, by..., key, part, first_file, first_line_no, n, entries, rendered``."""
+def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUMBERED) -> DataFrame:
+    """``bucket, by..., key, first_file, first_line_no, position, n, occ_rank, line_no, line, file, piece``."""
     by = list(by)
-    laid = _layout(classified, segment, max_bytes)
-    gkeys = ["bucket", *by, "key"]
-
-    small = (
-        laid.where(F.col("_size") <= F.col("_cap"))
-        .groupBy(*gkeys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array_sort(F.collect_list("_entry")).alias("entries"),
-            F.max("_pos").alias("_first"),
-        )
-        .select(*gkeys, F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("_last"), "_first", "n", "entries")
-    )
-
-    # a coarse test on the counts alone reaches the small chunk table of the
-    # classification (they are window partition columns there), so when no group is
-    # oversized this branch is empty and AQE drops it
     n_min = F.least("n_left", "n_right")
-    cap = row_capacity(segment, max_bytes) if "max_len" in classified.columns else F.lit(segment).cast("long")
-    any_big = (n_min > cap) | (F.abs(F.col("n_left") - F.col("n_right")) > cap)
-    big = laid.where(any_big).where(F.col("_size") > F.col("_cap"))
-    big_parts = (
-        big.groupBy(*gkeys, "_part", "_last")
-        .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("_entry")).alias("entries"))
-        .withColumn("_salt", F.pmod(F.col("_part"), F.lit(salt)))
-    )
-    big_first = (
-        big.groupBy(*gkeys)
-        .agg(F.max("_pos").alias("_first"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")))
-    )
-    big_rows = big_parts.join(big_first, [*gkeys, "_salt"], "inner").select(
-        *gkeys, F.col("_part").alias("part"), "_last", "_first", "n", "entries"
-    )
-
-    rows = small.unionByName(big_rows)
-    return rows.select(
-        *gkeys,
-        "part",
-        F.col("_first.file").alias("first_file"),
-        F.col("_first.line_no").alias("first_line_no"),
-        "n",
-        "entries",
-        render_entries(F.col("entries"), fmt, F.col("part") == 0, F.col("part") == F.col("_last")).alias("rendered"),
+    differs = F.col("bucket").startswith("diff_")
+    n_side = F.when(F.col("side") == S.LEFT, F.col("n_left")).otherwise(F.col("n_right"))
+    file = F.col("file") if "file" in classified.columns else F.lit(None).cast("string")
+    rows = classified.select(
+        "bucket",
+        *by,
+        "key",
+        (F.col("file") if "file" in by else F.col("first_file")).alias("first_file"),
+        "first_line_no",
+        (F.col("occ_rank") - F.when(differs, n_min).otherwise(F.lit(0))).cast("long").alias("position"),
+        F.when(differs, n_side - n_min).otherwise(n_min).cast("long").alias("n"),
+        F.col("occ_rank").cast("long").alias("occ_rank"),
+        F.col("line_no").cast("long").alias("line_no"),
+        "line",
+        *([] if "file" in by else [file.alias("file")]),
     )
+    entry = entry_text(F.col("line_no"), F.col("line"), F.col("file"), fmt)
+    return rows.withColumn("piece", piece_text(entry, F.col("position") == 1, F.col("position") == F.col("n")))
 
 
-SORT_KEYS = ("bucket", "first_file", "first_line_no", "part")
+def unpack_entries(entries: DataFrame) -> DataFrame:
+    """One row per entry with its 1-based ``position`` in the bucket row (P10): the entries without their text form."""
+    return entries.drop("piece")
 
 
-def sort_groups(groups: DataFrame) -> DataFrame:
-    """Bucket rows in output order: per bucket, ascending first entry (range sort)."""
-    return groups.orderBy(*SORT_KEYS)
+def slice_entries(entries: DataFrame, start: int, length: int) -> DataFrame:
+    """``length`` entries of each bucket row from 1-based ``start``."""
+    return entries.where((F.col("position") >= start) & (F.col("position") < start + length))
 
 
-def with_position(
-    groups: DataFrame,
-    within: str = "bucket",
-    order: Sequence[str] = SORT_KEYS[1:],
-    range_col: str = "first_line_no",
-    range_bits: int = 20,
-) -> DataFrame:
-    """Add ``pos``: 1-based row position inside ``within`` in ``order``.
+def with_position(entries: DataFrame, range_bits: int = 20) -> DataFrame:
+    """Add ``pos``: the 1-based place of the entry's bucket row inside its bucket.
 
-    Rows are cut into ranges of ``2**range_bits`` consecutive ``range_col`` values
-    (``order`` must begin with the columns before ``range_col``, then
-    ``range_col``). A partial aggregation counts each range, a window over the
-    small range table turns counts into offsets, and rows are ranked inside their
-    range. Every step is a pure function of the rows, so recomputation after a
-    lost executor gives the same positions, and no window spans a whole bucket.
+    Rows are placed by their first entries alone, which are narrow: they are cut into
+    ranges of ``2**range_bits`` consecutive first line numbers of a file, each range is
+    counted, a window over the ranges of a file and one over the files of a bucket turn
+    counts into offsets, and rows are ranked inside their range. No window holds more
+    than a range, a file's ranges, or one row per file. Every step is a pure function of
+    the rows, so a lost executor gives the same places.
     """
-    order = list(order)
-    i = order.index(range_col)
-    prefix = order[:i]
-    rng = [within, *prefix, "_rng"]
-    with_rng = groups.withColumn("_rng", F.shiftright(F.col(range_col), range_bits))
-    counts = with_rng.groupBy(*rng).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(within).orderBy(*prefix, "_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*rng, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = with_rng.join(offsets, rng, "inner")
-    in_range = Window.partitionBy(*rng).orderBy(*order[i:])
-    return joined.withColumn("pos", (F.col("_off") + F.row_number().over(in_range)).cast("long")).drop("_rng", "_off")
-
-
-def unpack_entries(groups: DataFrame) -> DataFrame:
-    """One row per entry with its 1-based ``position`` in the bucket row."""
-    keys = [c for c in groups.columns if c not in ("entries", "rendered")]
-    return groups.select(*keys, F.posexplode("entries").alias("_p", "entry")).select(
-        *keys, (F.col("_p") + F.lit(1)).cast("long").alias("position"), "entry.*"
+    head = ["bucket", "first_file", "first_line_no"]
+    # a file name is a join key below: a missing one is the empty name
+    named = F.coalesce(F.col("first_file"), F.lit("")).alias("first_file")
+    heads = entries.where(F.col("position") == 1).select("bucket", named, "first_line_no")
+    heads = heads.withColumn("_rng", F.shiftright("first_line_no", range_bits))
+    in_file, in_bucket = ["bucket", "first_file"], ["bucket"]
+
+    def before(size: str, keys: list[str], order: str):
+        spec = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(spec), F.lit(0))
+
+    ranges = heads.groupBy(*in_file, "_rng").agg(F.count(F.lit(1)).alias("_n"))
+    files = ranges.groupBy(*in_file).agg(F.sum("_n").alias("_fn"))
+    files = files.select(*in_file, before("_fn", in_bucket, "first_file").alias("_foff"))
+    ranges = ranges.select(*in_file, "_rng", before("_n", in_file, "_rng").alias("_off")).join(files, in_file)
+    in_range = Window.partitionBy(*in_file, "_rng").orderBy("first_line_no")
+    placed = heads.join(ranges, [*in_file, "_rng"]).select(
+        *head, (F.col("_foff") + F.col("_off") + F.row_number().over(in_range)).cast("long").alias("pos")
     )
-
-
-def slice_entries(groups: DataFrame, start: int, length: int) -> DataFrame:
-    """Bucket rows keeping ``length`` entries from 1-based ``start``."""
-    return groups.withColumn("entries", F.slice("entries", start, length))
+    rows = entries.withColumn("_file", F.col("first_file")).withColumn("first_file", F.coalesce("first_file", F.lit("")))
+    out = rows.join(placed, head)
+    return out.withColumn("first_file", F.col("_file")).select(*entries.columns, "pos")

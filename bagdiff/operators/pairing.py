@@ -16,24 +16,25 @@ def filter_names(files: DataFrame, needle: str | None) -> DataFrame:
 
 
 def group_files(files: DataFrame) -> DataFrame:
-    """``file_name, n_paths, n_left, n_right, paths`` per base name."""
+    """``file_name, n_paths, n_left, n_right`` per base name."""
     return files.groupBy("file_name").agg(
         F.count(F.lit(1)).alias("n_paths"),
         F.count_if(F.col("side") == S.LEFT).cast("long").alias("n_left"),
         F.count_if(F.col("side") == S.RIGHT).cast("long").alias("n_right"),
-        F.array_sort(F.collect_list("path")).alias("paths"),
     )
 
 
 def pair_files(files: DataFrame) -> DataFrame:
     """``file_name, path_left, path_right`` for names held by exactly one distinct
     path on each side; other names are dropped (as the reference does, silently).
-    One aggregation per name; the path sets are as large as the number of
-    same-named files, i.e. listing metadata."""
+    A side has one path exactly if its smallest and its greatest are the same."""
+    left = F.when(F.col("side") == S.LEFT, F.col("path"))
+    right = F.when(F.col("side") == S.RIGHT, F.col("path"))
     per_name = files.groupBy("file_name").agg(
-        F.collect_set(F.when(F.col("side") == S.LEFT, F.col("path"))).alias("_l"),
-        F.collect_set(F.when(F.col("side") == S.RIGHT, F.col("path"))).alias("_r"),
-    )
-    return per_name.where((F.size("_l") == 1) & (F.size("_r") == 1)).select(
-        "file_name", F.element_at("_l", 1).alias("path_left"), F.element_at("_r", 1).alias("path_right")
+        F.min(left).alias("path_left"),
+        F.max(left).alias("_l"),
+        F.min(right).alias("path_right"),
+        F.max(right).alias("_r"),
     )
+    one_each = (F.col("path_left") == F.col("_l")) & (F.col("path_right") == F.col("_r"))
+    return per_name.where(one_each).select("file_name", "path_left", "path_right")

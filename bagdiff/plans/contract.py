@@ -9,6 +9,9 @@ per (side, file) in (doc_id, position) order. Every query reads the whole table.
 * Y, two directories: the same sides; a document belongs to file
   ``<source>_<lang>.txt``. Some names exist on one side only and are not paired.
 * Z, pooled directories: the sides and files of Y, file ignored for keys.
+* T, text directories: every line of the table written as text, one folder per side
+  and ten files in each (by the last character of the source), then read by the text
+  reader. These queries write their input when they are built.
 
 Keys use the default flags (spaces and case ignored) unless a query says other.
 """
@@ -22,17 +25,31 @@ from pyspark.sql import functions as F
 
 from bagdiff import schema as S
 from bagdiff.functions.keys import normalize_text
-from bagdiff.functions.paths import output_name
+from bagdiff.functions.paths import base_name, default_label, dir_label
 from bagdiff.functions.text import BARE, LABELED, NUMBERED, entry_text
 from bagdiff.operators.classify import except_all_keys, intersect_all_keys, key_counts
 from bagdiff.operators.groups import slice_entries, unpack_entries, with_position
 from bagdiff.operators.pairing import filter_names, group_files, pair_files
 from bagdiff.operators.partition import repartition_by_key
-from bagdiff.plans.pipelines import FILES, POOLED, compare, diff_file_pairs, keep_needle, render, with_key
+from bagdiff.plans.pipelines import (
+    DIRS,
+    FILES,
+    POOLED,
+    compare,
+    diff_dirs,
+    diff_file_pairs,
+    diff_files,
+    diff_pooled_dirs,
+    keep_needle,
+    render,
+    with_key,
+    write_result,
+)
 from bagdiff.session import scratch_path
-from bagdiff.sources.listing import files_from_paths
-from bagdiff.sources.tables import lines_from_column
-from bagdiff.sources.text import read_sides
+from bagdiff.sources.listing import files_from_paths, list_files
+from bagdiff.sources.sinks import output_names, read_output
+from bagdiff.sources.tables import bag_from_column, empty_occurrences, lines_from_column
+from bagdiff.sources.text import read_bag, read_sides
 
 NEEDLE = "the"
 NAME_NEEDLE = "1"
@@ -67,6 +84,39 @@ def y_lines(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) ->
     return lines_from_column(docs, "text", _side(), _y_file(), "doc_id")
 
 
+def x_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X without line numbers, with keys."""
+    return with_key(bag_from_column(_documents(spark, sf_dir), "text", _side(), _x_file()))
+
+
+T_FILES = 10
+_T_FILE_SQL = f"ascii(right(coalesce(source, ''), 1)) % {T_FILES}"
+
+
+def text_folders(spark: SparkSession, sf_dir: str, encoding: str | None = None) -> dict[str, str]:
+    """T: folder of each side. Spark's files of one job share their names over the folders
+    of the sides, numbered by the task, so the files pair by name.
+
+    Another charset is written by the CSV writer, as lines without quoting; characters
+    that it lacks become question marks.
+    """
+    path = scratch_path(spark, "text")
+    lines = lines_from_column(_documents(spark, sf_dir), "text", _side(), F.expr(_T_FILE_SQL).cast("string"), "doc_id")
+    placed = lines.repartitionById(T_FILES, F.col("file").cast("int")).sortWithinPartitions("side", "line_no")
+    writer = placed.select("side", "line").write.partitionBy("side").option("lineSep", "\r\n" if encoding is None else "\n")
+    if encoding is None:
+        writer.text(path)
+    else:
+        plain = {"quote": "", "sep": "\u0001", "escape": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(encoding=encoding, **plain).csv(path)
+    return {side: f"{path}/side={side}" for side in (S.LEFT, S.RIGHT)}
+
+
+def _t_number(file: str = "file"):
+    """Number of a file of T, from its name."""
+    return F.regexp_extract(base_name(file), r"^part-(\d+)", 1).cast("int")
+
+
 def y_files(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     """The listing of Y: one row per (side, file); reads no text. A document with
     NULL text counts like an empty file: listed, no lines."""
@@ -114,10 +164,69 @@ def q_line_numbers(spark, sf_dir):
 
 
 def q_pooled_scan(spark, sf_dir):
-    occ = keep_needle(with_key(y_lines(spark, sf_dir)), NEEDLE)
+    occ = keep_needle(with_key(bag_from_column(_documents(spark, sf_dir), "text", _side(), _y_file())), NEEDLE)
     return occ.select("side", "line", "key")
 
 
+def q_text_lines(spark, sf_dir):
+    return read_sides(spark, text_folders(spark, sf_dir)).select("side", _t_number().alias("file_no"), "line_no", "line")
+
+
+def q_text_charset(spark, sf_dir):
+    lines = read_sides(spark, text_folders(spark, sf_dir, "ISO-8859-1"), encoding="ISO-8859-1")
+    return lines.select("side", _t_number().alias("file_no"), "line_no", "line")
+
+
+def q_text_bag(spark, sf_dir):
+    occ = keep_needle(with_key(read_bag(spark, text_folders(spark, sf_dir))), NEEDLE)
+    return occ.select("side", "line", "key")
+
+
+def q_text_file_list(spark, sf_dir):
+    folders = text_folders(spark, sf_dir)
+    left, right = (list_files(spark, folders[side], side) for side in (S.LEFT, S.RIGHT))
+    return left.unionByName(right).select("side", _t_number("path").alias("file_no"))
+
+
+def q_text_diff_files(spark, sf_dir):
+    folders = text_folders(spark, sf_dir)
+    res = diff_files(spark, folders[S.LEFT], folders[S.RIGHT])
+    cols = ["bucket", "line_no", "line", "key", "n_left", "n_right", "occ_rank"]
+    return res.select(_t_number().alias("file_no"), *cols)
+
+
+def q_text_diff_dirs(spark, sf_dir):
+    folders = text_folders(spark, sf_dir)
+    res = diff_dirs(spark, folders[S.LEFT], folders[S.RIGHT])
+    return res.select(_t_number().alias("file_no"), "bucket", "line_no", "line", "key")
+
+
+def q_text_diff_pooled(spark, sf_dir):
+    folders = text_folders(spark, sf_dir)
+    res = diff_pooled_dirs(spark, folders[S.LEFT], folders[S.RIGHT], needle=NEEDLE)
+    return res.select("bucket", "line", "key", "n_left", "n_right")
+
+
+def q_written_buckets(spark, sf_dir):
+    """X compared, written with the reference's names, and read back: name of the output and its lines."""
+    path = scratch_path(spark, "written")
+    write_result(_x_result(spark, sf_dir), path, FILES, labels=("one/left.txt", "two/right.txt"))
+    found = None
+    for kind in ("Comm", "Diff"):
+        for side in (S.LEFT, S.RIGHT):
+            own = read_output(spark, f"{path}/output={kind} {side}.txt").select(F.lit(f"{kind} {side}.txt").alias("name"), "value")
+            found = own if found is None else found.unionByName(own)
+    return found
+
+
+def q_empty_side(spark, sf_dir):
+    """X against nothing: every line differs, on the side it has."""
+    nothing = empty_occurrences(spark).drop("key")
+    left = _documents(spark, sf_dir).where(_side() == S.LEFT)
+    res = compare(x_lines(spark, sf_dir, left).unionByName(nothing), FILES)
+    return res.select("bucket", "line_no", "key", "n_left", "n_right", "occ_rank")
+
+
 def q_file_list(spark, sf_dir):
     return y_files(spark, sf_dir).select("side", "file_name", "stem")
 
@@ -134,6 +243,21 @@ def q_pair_files(spark, sf_dir):
     return pair_files(y_files(spark, sf_dir)).select("file_name", "path_left", "path_right")
 
 
+def _nested_files(spark, sf_dir):
+    """A listing in which some names stand in several folders of a side."""
+    docs = _documents(spark, sf_dir)
+    path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("_"), F.col("n_chars") % 50, F.lit(".txt"))
+    return files_from_paths(docs.select(_side().alias("side"), path.alias("path")))
+
+
+def q_pair_nested_files(spark, sf_dir):
+    return pair_files(_nested_files(spark, sf_dir))
+
+
+def q_group_nested_files(spark, sf_dir):
+    return group_files(_nested_files(spark, sf_dir))
+
+
 def q_normalize_space(spark, sf_dir):
     occ = x_lines(spark, sf_dir)
     return occ.select("line_no", "side", normalize_text("line", space_sensitive=False, case_sensitive=True).alias("key"))
@@ -161,22 +285,34 @@ def q_entry_text(spark, sf_dir):
 
 
 def q_output_names(spark, sf_dir):
-    files = x_lines(spark, sf_dir).select("side", F.col("file").alias("label")).distinct()
-    both = files.withColumn("common", F.explode(F.array(F.lit(True), F.lit(False))))
-    return both.select(
+    docs = _documents(spark, sf_dir).where(F.col("text").isNotNull())
+    return output_names(docs.select(_side().alias("side"), _x_file().alias("label")).distinct())
+
+
+def q_default_labels(spark, sf_dir):
+    """The labels that the three comparisons give to the files and folders of Y, and their output names."""
+    docs = _documents(spark, sf_dir).select(_side().alias("side"), F.concat(_side(), F.lit("/"), F.col("source")).alias("dir"))
+    names = docs.distinct().select(
         "side",
-        F.concat(F.when(F.col("common"), F.lit("comm_")).otherwise(F.lit("diff_")), F.col("side")).alias("bucket"),
-        "label",
-        F.when(F.col("common"), output_name("label", True)).otherwise(output_name("label", False)).alias("name"),
+        "dir",
+        F.explode(
+            F.array(
+                F.struct(F.lit(FILES).alias("mode"), default_label(F.concat("dir", F.lit("/a.b.txt"))).alias("label")),
+                F.struct(F.lit(DIRS).alias("mode"), dir_label(F.concat("dir", F.lit("/*"))).alias("label")),
+                F.struct(F.lit(POOLED).alias("mode"), default_label(F.concat("dir", F.lit("/")), True).alias("label")),
+            )
+        ).alias("l"),
     )
+    named = output_names(names.select("side", "l.label").distinct())
+    return names.select("side", "dir", "l.mode", "l.label").join(named, ["side", "label"])
 
 
 def q_bag_union(spark, sf_dir):
-    return _x_occ(spark, sf_dir).select("side", "key")
+    return x_bag(spark, sf_dir).select("side", "key")
 
 
 def q_key_counts(spark, sf_dir):
-    return key_counts(_x_occ(spark, sf_dir))
+    return key_counts(x_bag(spark, sf_dir))
 
 
 def q_occurrence_rank(spark, sf_dir):
@@ -219,25 +355,19 @@ def _bucket(name):
 
 
 def q_intersect_all_keys(spark, sf_dir):
-    occ = _x_occ(spark, sf_dir)
-    return intersect_all_keys(
-        occ.where(F.col("side") == S.LEFT).select("key"), occ.where(F.col("side") == S.RIGHT).select("key")
-    )
+    return intersect_all_keys(x_bag(spark, sf_dir))
 
 
 def q_except_all_keys(spark, sf_dir):
-    occ = _x_occ(spark, sf_dir)
-    return except_all_keys(
-        occ.where(F.col("side") == S.LEFT).select("key"), occ.where(F.col("side") == S.RIGHT).select("key")
-    )
+    return except_all_keys(x_bag(spark, sf_dir))
 
 
 def q_render_groups(spark, sf_dir):
-    return _x_groups(spark, sf_dir).select("bucket", "key", "rendered")
+    return _x_groups(spark, sf_dir).select("bucket", "key", "position", "piece")
 
 
 def q_sorted_buckets(spark, sf_dir):
-    return with_position(_x_groups(spark, sf_dir)).select("bucket", "first_line_no", "rendered", "pos")
+    return with_position(_x_groups(spark, sf_dir)).select("bucket", "first_line_no", "pos", "position", "piece")
 
 
 def q_repartition_by_key(spark, sf_dir):
@@ -262,6 +392,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "text_roundtrip": q_text_roundtrip,
         "line_numbers": q_line_numbers,
         "pooled_scan": q_pooled_scan,
+        "text_lines": q_text_lines,
+        "text_charset": q_text_charset,
+        "text_bag": q_text_bag,
+        "text_file_list": q_text_file_list,
+        "text_diff_files": q_text_diff_files,
+        "text_diff_dirs": q_text_diff_dirs,
+        "text_diff_pooled": q_text_diff_pooled,
+        "written_buckets": q_written_buckets,
+        "empty_side": q_empty_side,
+        "pair_nested_files": q_pair_nested_files,
+        "group_nested_files": q_group_nested_files,
+        "default_labels": q_default_labels,
+        "demo": flagship,
         "file_list": q_file_list,
         "file_name_filter": q_file_name_filter,
         "group_files": q_group_files,
@@ -324,6 +467,13 @@ _Y_FILES = f"""files AS (
          source || '_' || lang || '.txt' AS file_name, split_part(source || '_' || lang || '.txt', '.', 1) AS stem
   FROM documents)"""
 
+_T_FILES_CTE = "files AS (SELECT DISTINCT side, file AS file_name FROM lines)"
+
+_NESTED = f"""files AS (
+  SELECT {_DUCK_SIDE} AS side, source || '/' || lang || '_' || (n_chars % 50) || '.txt' AS path,
+    lang || '_' || (n_chars % 50) || '.txt' AS file_name
+  FROM documents)"""
+
 _X_CLS = """rk AS (
   SELECT *,
     CAST(row_number() OVER (PARTITION BY key, side ORDER BY line_no DESC) AS BIGINT) AS occ_rank,
@@ -355,11 +505,18 @@ cls AS (
   SELECT *, CASE WHEN occ_rank <= least(n_left, n_right) THEN 'comm_' ELSE 'diff_' END || side AS bucket FROM rk)"""
 
 _X_GROUPS = """ent AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY bucket, key ORDER BY occ_rank) AS BIGINT) AS position FROM cls),
-grp AS (
-  SELECT bucket, key, max(line_no) AS first_line_no,
-         '[' || string_agg(CAST(line_no AS VARCHAR) || ':' || line, ', ' ORDER BY occ_rank) || ']' AS rendered
-  FROM cls GROUP BY bucket, key)"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY bucket, key ORDER BY occ_rank) AS BIGINT) AS position,
+    count(*) OVER (PARTITION BY bucket, key) AS size, max(line_no) OVER (PARTITION BY bucket, key) AS first_line_no
+  FROM cls),
+pieces AS (
+  SELECT *, CASE WHEN position = 1 THEN '[' ELSE '' END || CAST(line_no AS VARCHAR) || ':' || line
+    || CASE WHEN position = size THEN ']' ELSE ',' END AS piece,
+    CAST(dense_rank() OVER (PARTITION BY bucket ORDER BY first_line_no) AS BIGINT) AS pos
+  FROM ent)"""
+
+_T_CTE = _lines_cte("ascii(right(coalesce(source, ''), 1)) % 10")
+
+_T_LATIN = """SELECT side, CAST(file AS INTEGER) AS file_no, line_no, regexp_replace(line, '[^\\x00-\\xFF]', '?', 'g') AS line FROM lines"""
 
 
 def _with(*ctes: str) -> str:
@@ -401,6 +558,37 @@ FROM (SELECT * FROM files WHERE side = 'left') l JOIN (SELECT * FROM files WHERE
   CASE WHEN b = 'comm_' THEN 'Comm ' ELSE 'Diff ' END
     || list_last(string_split(split_part(label, '.', 1), '/')) || '.txt' AS name
 FROM (SELECT side, label, unnest(['comm_', 'diff_']) AS b FROM (SELECT DISTINCT side, file AS label FROM lines))""",
+        "text_lines": _with(_T_CTE) + "SELECT side, CAST(file AS INTEGER) AS file_no, line_no, line FROM lines",
+        "text_charset": _with(_T_CTE) + _T_LATIN,
+        "text_bag": _with(_T_CTE) + f"SELECT side, line, key FROM occ WHERE contains(key, '{NEEDLE}')",
+        "text_file_list": _with(_T_CTE) + "SELECT DISTINCT side, CAST(file AS INTEGER) AS file_no FROM lines",
+        "text_diff_files": _with(_T_CTE, _Z_CLS)
+        + "SELECT CAST(file AS INTEGER) AS file_no, bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
+        "text_diff_dirs": _with(_T_CTE, _T_FILES_CTE, _Y_CLS)
+        + "SELECT CAST(file AS INTEGER) AS file_no, bucket, line_no, line, key FROM cls",
+        "text_diff_pooled": _with(_T_CTE, _Z_CLS.replace("FROM occ)", f"FROM occ WHERE contains(key, '{NEEDLE}'))"))
+        + "SELECT bucket, line, key, n_left, n_right FROM cls",
+        "written_buckets": _with(_X, _X_CLS, _X_GROUPS)
+        + """SELECT CASE WHEN starts_with(bucket, 'comm') THEN 'Comm ' ELSE 'Diff ' END || side || '.txt' AS name,
+  piece AS value FROM pieces""",
+        "empty_side": _with(_X)
+        + """SELECT 'diff_left' AS bucket, line_no, key, count(*) OVER (PARTITION BY key) AS n_left, CAST(0 AS BIGINT) AS n_right,
+  CAST(row_number() OVER (PARTITION BY key ORDER BY line_no DESC) AS BIGINT) AS occ_rank FROM occ WHERE side = 'left'""",
+        "pair_nested_files": _with(_NESTED)
+        + """SELECT file_name, min(path) FILTER (WHERE side = 'left') AS path_left, min(path) FILTER (WHERE side = 'right') AS path_right
+FROM files GROUP BY file_name HAVING count(DISTINCT path) FILTER (WHERE side = 'left') = 1
+  AND count(DISTINCT path) FILTER (WHERE side = 'right') = 1""",
+        "group_nested_files": _with(_NESTED)
+        + """SELECT file_name, count(*) AS n_paths, count(*) FILTER (WHERE side = 'left') AS n_left,
+  count(*) FILTER (WHERE side = 'right') AS n_right FROM files GROUP BY file_name""",
+        "default_labels": f"""SELECT side, dir, mode, label, b || side AS bucket,
+  CASE WHEN b = 'comm_' THEN 'Comm ' ELSE 'Diff ' END
+    || list_last(string_split(rtrim(split_part(label, '.', 1), '/'), '/')) || '.txt' AS name
+FROM (SELECT side, dir, mode, unnest(['comm_', 'diff_']) AS b,
+    CASE mode WHEN 'files' THEN '文件' || dir || '/a.b.txt' WHEN 'dirs' THEN '目录' || source ELSE '目录' || dir || '/' END AS label
+  FROM (SELECT DISTINCT {_DUCK_SIDE} AS side, source, {_DUCK_SIDE} || '/' || source AS dir FROM documents),
+    (VALUES ('files'), ('dirs'), ('pooled')) AS m(mode))""",
+        "demo": _with(_X, _X_CLS) + "SELECT bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
         "bag_union": _with(_X) + "SELECT side, key FROM occ",
         "key_counts": _with(_X)
         + """SELECT key, count(*) FILTER (WHERE side = 'left') AS n_left,
@@ -413,10 +601,9 @@ FROM (SELECT side, label, unnest(['comm_', 'diff_']) AS b FROM (SELECT DISTINCT
         + "SELECT key FROM occ WHERE side = 'left' INTERSECT ALL SELECT key FROM occ WHERE side = 'right'",
         "except_all_keys": _with(_X)
         + "SELECT key FROM occ WHERE side = 'left' EXCEPT ALL SELECT key FROM occ WHERE side = 'right'",
-        "render_groups": _with(_X, _X_CLS, _X_GROUPS) + "SELECT bucket, key, rendered FROM grp",
+        "render_groups": _with(_X, _X_CLS, _X_GROUPS) + "SELECT bucket, key, position, piece FROM pieces",
         "sorted_buckets": _with(_X, _X_CLS, _X_GROUPS)
-        + """SELECT bucket, first_line_no, rendered,
-  CAST(row_number() OVER (PARTITION BY bucket ORDER BY first_line_no) AS BIGINT) AS pos FROM grp""",
+        + "SELECT bucket, first_line_no, pos, position, piece FROM pieces",
         "repartition_by_key": _with(_X) + "SELECT key, line_no, side FROM occ",
         "diff_files": _with(_X, _X_CLS) + "SELECT bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
         "diff_dirs": _with(_Y, _Y_FILES, _Y_CLS) + "SELECT file, bucket, line_no, line, key FROM cls",

@@ -22,7 +22,7 @@ from bagdiff.functions.keys import contains_needle, normalize_needle, normalize_
 from bagdiff.functions.paths import base_name
 from bagdiff.functions.text import BARE, LABELED, NUMBERED
 from bagdiff.operators.classify import bag_union, classify
-from bagdiff.operators.groups import bucket_groups
+from bagdiff.operators.groups import bucket_entries
 from bagdiff.operators.pairing import filter_names, pair_files
 from bagdiff.sources.listing import list_files
 from bagdiff.sources.sinks import bucket_names, write_buckets
@@ -88,6 +88,7 @@ def compare(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """E1 (``FILES``) or E3 (``POOLED``) on one occurrence DataFrame holding both
@@ -97,7 +98,7 @@ def compare(
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
     occ = _named(occ)
     occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
-    return classify(occ, **_rank_args(mode), chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
+    return classify(occ, **_rank_args(mode), heavy_rows=heavy_rows, chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
 
 
 def diff_lines(
@@ -107,10 +108,11 @@ def diff_lines(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """E1 on two occurrence DataFrames (``side, file, line_no, line``)."""
-    return compare(bag_union(left, right), FILES, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    return compare(bag_union(left, right), FILES, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
 
 
 def diff_files(
@@ -122,11 +124,13 @@ def diff_files(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
+    recursive: bool = True,
 ) -> DataFrame:
     """Compare two text files (or any two path sets, each read as one body)."""
-    occ = read_sides(spark, {S.LEFT: path_left, S.RIGHT: path_right}, encoding)
-    return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    occ = read_sides(spark, {S.LEFT: path_left, S.RIGHT: path_right}, encoding, recursive)
+    return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
 
 
 def _rank_args(mode: str) -> dict:
@@ -142,37 +146,21 @@ def diff_file_pairs(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
-    files_bound: int | None = None,
 ) -> DataFrame:
     """E2 on occurrences whose ``file`` is a base name, given the file listing
     ``side, path, file_name, stem`` (which also holds empty files).
 
-    With ``files_bound`` (listing rows known on the driver) within
-    ``MAX_BROADCAST_ROWS``, lines of unpaired files are dropped right after the
-    scan by a broadcast semi-join, before anything is shuffled. Otherwise unpaired
-    names are removed from the small chunk table with a semi-join salted by key
-    hash (one file holding a third of all keys is spread over ``RENDER_SALT``
-    tasks; AQE still broadcasts it when it turns out small), and the inner join of
-    occurrences with the chunk table drops their lines.
+    Lines of unpaired files are dropped by a semi-join before they move to their keys;
+    Spark broadcasts the pairs when their measured size allows it, and joins by
+    shuffle (splitting a file that holds very many lines) when not.
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
     occ = _prepare(_named(occ), needle, space_sensitive, case_sensitive, normalize_needle)
+    occ = occ.join(pairs, "file", "left_semi")
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
-    if files_bound is not None and files_bound <= S.MAX_BROADCAST_ROWS:
-        occ = occ.join(F.broadcast(pairs), "file", "left_semi")
-        return classify(occ, by, order, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
-    salt = S.RENDER_SALT
-    salted = pairs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-
-    def paired_only(tally: DataFrame) -> DataFrame:
-        return (
-            tally.withColumn("_s", F.pmod(F.xxhash64("key"), F.lit(salt)).cast("int"))
-            .join(salted, ["file", "_s"], "left_semi")
-            .drop("_s")
-        )
-
-    return classify(occ, by, order, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive), tally_filter=paired_only)
+    return classify(occ, by, order, heavy_rows, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
 
 
 def diff_dirs(
@@ -185,16 +173,20 @@ def diff_dirs(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
+    recursive: bool = True,
 ) -> DataFrame:
-    """Compare the files of two directories paired by base name."""
-    left_files, right_files = list_files(spark, dir_left, S.LEFT), list_files(spark, dir_right, S.RIGHT)
-    files = left_files.unionByName(right_files)
-    files_bound = left_files.count() + right_files.count()  # local data: the listing is on the driver
-    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding)
+    """Compare the files of two directories paired by base name.
+
+    ``recursive`` also reads folders below; a name found there too is then on its side
+    twice and not paired.
+    """
+    files = list_files(spark, dir_left, S.LEFT, recursive).unionByName(list_files(spark, dir_right, S.RIGHT, recursive))
+    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding, recursive)
     occ = occ.withColumn("file", base_name("file"))
     return diff_file_pairs(
-        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits, files_bound
+        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits
     )
 
 
@@ -205,6 +197,7 @@ def diff_pooled(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
 ) -> DataFrame:
     """E3 on two occurrence DataFrames: one bag per side, file ignored for keys.
@@ -212,7 +205,7 @@ def diff_pooled(
     The reference gives pooled entries no order; here the latest (file, line_no)
     occurrences are the common ones, which makes the result deterministic.
     """
-    return compare(bag_union(left, right), POOLED, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    return compare(bag_union(left, right), POOLED, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
 
 
 def diff_pooled_dirs(
@@ -224,17 +217,32 @@ def diff_pooled_dirs(
     space_sensitive: bool = False,
     case_sensitive: bool = False,
     normalize_needle: bool = False,
+    heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
+    recursive: bool = True,
 ) -> DataFrame:
     """Compare every line of two directories, each pooled into one bag."""
-    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding)
-    return compare(occ, POOLED, needle, space_sensitive, case_sensitive, normalize_needle, chunk_bits)
+    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding, recursive)
+    return compare(occ, POOLED, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
 
 
-def render(classified: DataFrame, mode: str = FILES, segment: int = S.RENDER_SEGMENT) -> DataFrame:
-    """Bucket rows of a result in the reference's text form for ``mode``."""
+def render(classified: DataFrame, mode: str = FILES) -> DataFrame:
+    """Bucket rows of a result, one record per entry, in the reference's text form for ``mode``."""
     m = _MODES[mode]
-    return bucket_groups(classified, by=m["by"], fmt=m["fmt"], segment=segment)
+    return bucket_entries(classified, by=m["by"], fmt=m["fmt"])
+
+
+def side_label(name: str, mode: str = FILES) -> str:
+    """The reference's label of a side: the file prefix and the caller's name for two
+    files, the directory prefix and the folder for directory pairs (the second-last
+    segment of a path or glob), the directory prefix and the caller's name for pooled
+    directories."""
+    if mode == FILES:
+        return S.FILE_LABEL_PREFIX + name
+    if mode == POOLED:
+        return S.DIR_LABEL_PREFIX + name
+    parts = name.replace("\\", "/").split("/")
+    return S.DIR_LABEL_PREFIX + (parts[-2] if len(parts) > 1 else parts[0])
 
 
 def write_result(
@@ -244,10 +252,10 @@ def write_result(
     line_sep: str = "\r\n",
     labels: tuple[str, str] | None = None,
 ) -> None:
-    """Render and write the four buckets under ``path``; with ``labels`` (left,
-    right) the folders carry the reference's names (``Comm <name>.txt``) unless two
-    would collide."""
-    names = bucket_names(*labels) if labels else None
+    """Render and write the four buckets under ``path``. With ``labels`` (the names or
+    paths of left and right) the folders carry the reference's names for the mode
+    (``Comm <name>.txt``, see :func:`side_label`) unless two would collide."""
+    names = bucket_names(*[side_label(x, mode) for x in labels]) if labels else None
     write_buckets(render(classified, mode), path, line_sep, names=names)
 
 
@@ -264,6 +272,7 @@ __all__ = [
     "diff_pooled_dirs",
     "keep_needle",
     "render",
+    "side_label",
     "with_key",
     "write_result",
 ]

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 LEFT = "left"
 RIGHT = "right"
-SIDES = (LEFT, RIGHT)
 
 COMM_LEFT = "comm_left"
 COMM_RIGHT = "comm_right"
@@ -17,32 +16,26 @@ BUCKETS = (COMM_LEFT, COMM_RIGHT, DIFF_LEFT, DIFF_RIGHT)
 # Fixed values that must equal the reference's output format:
 #   entry label prefix for files "文件", directory label prefix "目录",
 #   output file name prefixes "Comm " and "Diff ", output suffix ".txt",
-#   list rendering "[" + entries joined by ", " + "]".
+#   list rendering "[" + entries joined by "," and a space + "]".
 FILE_LABEL_PREFIX = "文件"
 DIR_LABEL_PREFIX = "目录"
 COMM_NAME_PREFIX = "Comm "
 DIFF_NAME_PREFIX = "Diff "
 OUTPUT_SUFFIX = ".txt"
 LIST_OPEN = "["
-LIST_SEP = ", "
+LIST_COMMA = ","
 LIST_CLOSE = "]"
 
-# Occurrences of one (file, key, side) are ranked inside chunks of 2**CHUNK_BITS
-# consecutive line numbers, so no task ever holds more than one chunk of a hot key.
+# A key with over HEAVY_ROWS lines is ranked in chunks of 2**CHUNK_BITS consecutive
+# line numbers, so no task holds more than that of it; at most MAX_HEAVY keys are.
+HEAVY_ROWS = 1 << 20
 CHUNK_BITS = 20
-# Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids (a window
-# holds one block's text), blocks in super-blocks of 2**DOC_SUPER_BITS blocks.
+MAX_HEAVY = 4096
+# Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids; blocks form
+# groups of 2**DOC_LEVEL_BITS, and these again, so that no window holds more whatever
+# the ids (64 = 10 + 3 * 18).
 DOC_BLOCK_BITS = 10
-DOC_SUPER_BITS = 16
-# A rendered bucket row holds at most this many entries; bigger groups continue on
-# the next row (format note in README).
-RENDER_SEGMENT = 100_000
-# ... and at most about this many bytes (entries of the key's longest line).
-RENDER_BYTES = 64 << 20
-# Salt fan-out for joining per-group data back to the segments of oversized groups.
-RENDER_SALT = 64
-# Largest helper table (blocks of a text scan, listed files) sent by broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
+DOC_LEVEL_BITS = 18
 
 OCCURRENCE = T.StructType(
     [
@@ -53,21 +46,3 @@ OCCURRENCE = T.StructType(
         T.StructField("key", T.StringType(), False),
     ]
 )
-
-FILE = T.StructType(
-    [
-        T.StructField("side", T.StringType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField("file_name", T.StringType(), False),
-        T.StructField("stem", T.StringType(), False),
-    ]
-)
-
-ENTRY = T.StructType(
-    [
-        T.StructField("occ_rank", T.LongType(), False),
-        T.StructField("line_no", T.LongType(), False),
-        T.StructField("line", T.StringType(), False),
-        T.StructField("file", T.StringType(), True),
-    ]
-)

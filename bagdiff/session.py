@@ -3,7 +3,9 @@ the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The setting is read from the session. Only when it is unset and the master is
-    local (tests, benches) is a private temporary folder created; on a cluster an
+    local (tests, benches) is a private temporary folder created, and removed when the
+    process ends; on a cluster an
     unset folder is an error, because a machine-local folder would not survive the
     loss of an executor.
     """
@@ -68,6 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         conf_dir = tempfile.mkdtemp(prefix="bagdiff-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)  # private to this process
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -10,9 +10,10 @@ text), computed without a global sort:
    the same columns and Spark reuses it): the text column is read once.
 2. Inside a block a window numbers documents (at most ``2**block_bits`` of them);
    block totals are a hash aggregation over the same exchange.
-3. Offsets of blocks inside super-blocks of ``2**super_bits``
-   blocks, then offsets of super-blocks inside the file: windows over small tables
-   of narrow rows, none growing with a whole file.
+3. Blocks form groups of ``2**level_bits`` consecutive blocks, and groups form groups
+   in the same way up to the whole range of 64-bit values. Offsets come from windows
+   inside these groups over narrow rows, so no window holds more than
+   ``2**level_bits`` rows, however sparse the order values are.
 4. Block offsets join back to the documents, which are already partitioned by
    block, so the text is not shuffled again; lines are split after that.
 """
@@ -35,6 +36,29 @@ def _offsets(table: DataFrame, keys: list[str], order: str, size: str, name: str
     return table.withColumn(name, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
 
 
+def _starts(table: DataFrame, sf: list[str], name: str, bits: int, level_bits: int) -> DataFrame:
+    """``sf, name, _base``: the total ``_size`` of a file's rows with smaller ``name``,
+    a value of ``bits`` bits, by way of groups of ``2**level_bits`` values."""
+    if bits <= level_bits:
+        return _offsets(table, sf, name, "_size", "_base").select(*sf, name, "_base")
+    up = f"{name}_"
+    inside = _offsets(table.withColumn(up, F.shiftright(name, level_bits)), [*sf, up], name, "_size", "_in")
+    # the greatest end is the group's total, taken from the rows that the window has made
+    groups = inside.groupBy(*sf, up).agg(F.max(F.col("_in") + F.col("_size")).alias("_size"))
+    above = _starts(groups, sf, up, bits - level_bits, level_bits)
+    return inside.join(above, [*sf, up]).select(*sf, name, (F.col("_base") + F.col("_in")).alias("_base"))
+
+
+def bag_from_column(df: DataFrame, text: str | Column, side: str | Column, file: str | Column) -> DataFrame:
+    """Lines without numbers as ``side, file, line``: nothing is shuffled. NULL texts have no lines."""
+    text_c = _col(text)
+    return df.where(text_c.isNotNull()).select(
+        _col(side).alias("side"),
+        F.coalesce(_col(file), F.lit("")).alias("file"),
+        F.explode(F.split(text_c, "\n", -1)).alias("line"),
+    )
+
+
 def lines_from_column(
     df: DataFrame,
     text: str | Column,
@@ -42,7 +66,7 @@ def lines_from_column(
     file: str | Column,
     order: str | Column,
     block_bits: int = S.DOC_BLOCK_BITS,
-    super_bits: int = S.DOC_SUPER_BITS,
+    level_bits: int = S.DOC_LEVEL_BITS,
 ) -> DataFrame:
     """Split ``text`` on ``\\n`` into rows ``side, file, line_no, line``.
 
@@ -72,15 +96,9 @@ def lines_from_column(
         )
     )
     # block totals: a hash aggregation over the same exchange (no sort of the text)
-    blocks = docs.groupBy(*sf, "_blk", F.shiftright("_blk", super_bits).alias("_sblk")).agg(F.sum("_n").alias("_bn"))
+    blocks = docs.groupBy(*sf, "_blk").agg(F.sum("_n").alias("_size"))
     docs = _offsets(docs, [*sf, "_blk"], "_ord", "_n", "_doff")
-
-    blocks = _offsets(blocks, [*sf, "_sblk"], "_blk", "_bn", "_boff")
-    supers = blocks.groupBy(*sf, "_sblk").agg(F.sum("_bn").alias("_sn"))
-    supers = _offsets(supers, sf, "_sblk", "_sn", "_soff")
-    starts = blocks.join(supers, [*sf, "_sblk"], "inner").select(
-        *sf, "_blk", (F.col("_soff") + F.col("_boff")).alias("_base")
-    )
+    starts = _starts(blocks, sf, "_blk", 64 - block_bits, level_bits)
 
     numbered = docs.join(starts, [*sf, "_blk"], "inner")
     return numbered.select(

@@ -2,18 +2,11 @@
 
 ``spark.read.text`` splits files into blocks, so a row does not know its line
 number. Each row gets ``monotonically_increasing_id`` (consecutive inside a
-block) and the block it came from; one pass counts the rows of every
-(side, file, block) of all sides at once, a window over each file's blocks turns
-counts into offsets, and the block table (one row per block, checkpointed in the
-shared folder) is joined back. The join
-is a broadcast when the table is within ``MAX_BROADCAST_ROWS`` rows, a shuffle
-join otherwise. Lines are never shuffled to be numbered, and no window spans a
-whole file's lines.
-
-The two passes read the same scan, so they see the same block packing as long as
-the file-split settings stay unchanged between them. Each line is checked against
-its block's recorded split, partition and row-id range; any difference stops the
-job with an error instead of giving a wrong number.
+block) and the block it came from. The rows are exchanged once by (side, file,
+block); block sizes and first row ids are counted from that same exchange, a window
+over each file's blocks turns sizes into offsets, and these join back to rows that
+are already where they are needed. So the files are read once, and numbers do not
+depend on how blocks were packed into tasks. Nothing runs before an action.
 """
 
 from __future__ import annotations
@@ -23,40 +16,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bagdiff import schema as S
 from bagdiff.functions.paths import clean_path
-from bagdiff.session import ensure_checkpoint_dir
 
 # Charsets whose newline is not the single byte 0x0A cannot be split on line bytes.
 _WIDE_CHARSETS = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "UTF-32BE", "UTF-32LE")
-
-
-def _paths(paths: str | Sequence[str]) -> list[str]:
-    return [paths] if isinstance(paths, str) else list(paths)
+_BLOCK = ["side", "_f", "_b"]
 
 
 def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """Raw scan: ``_f`` file URI, ``_b``/``_len`` block start and length, ``_m`` row
-    id, ``_raw`` line."""
-    reader = spark.read.format("text")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    raw = reader.load(_paths(paths))
+    """Raw scan: ``_f`` file URI, ``_b`` block start, ``_m`` row id, ``_raw`` line."""
+    reader = spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
+    raw = reader.load([paths] if isinstance(paths, str) else list(paths))
     return raw.select(
         F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"),
-        F.col("_metadata.file_block_length").alias("_len"),
         F.monotonically_increasing_id().alias("_m"),
-        F.col("value").alias("_raw"),
-    )
-
-
-def block_offsets(scan: DataFrame) -> DataFrame:
-    """One row per (side, file, block): first row id, rows, and the lines before it."""
-    blocks = scan.groupBy("side", "_f", "_b", "_len").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    before = Window.partitionBy("side", "_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select(
-        "side", "_f", "_b", "_len", "_m0", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+        F.coalesce(F.col("value"), F.lit("")).alias("_raw"),
     )
 
 
@@ -85,6 +60,14 @@ def _check_charset(spark: SparkSession, encoding: str) -> None:
         )
 
 
+def _both(spark, sides, recursive) -> DataFrame:
+    scan = None
+    for side, paths in sides.items():
+        own = scan_text(spark, paths, recursive).withColumn("side", F.lit(side))
+        scan = own if scan is None else scan.unionByName(own)
+    return scan
+
+
 def read_sides(
     spark: SparkSession,
     sides: dict[str, str | Sequence[str]],
@@ -93,36 +76,21 @@ def read_sides(
 ) -> DataFrame:
     """Lines of text files as ``side, file, line_no, line`` with 1-based line
     numbers per file; ``file`` is the decoded path. ``sides`` maps a side name to
-    its paths. One job builds the block table of all sides (keyed by side, so a
-    file compared with itself is numbered once per side)."""
+    its paths; a file compared with itself is numbered once per side."""
     _check_charset(spark, encoding)
-    scans = [scan_text(spark, paths, recursive).withColumn("side", F.lit(side)) for side, paths in sides.items()]
-    scan = scans[0]
-    for other in scans[1:]:
-        scan = scan.unionByName(other)
-    ensure_checkpoint_dir(spark)
-    blocks = block_offsets(scan).checkpoint(eager=True)
-    n_blocks = blocks.count()
-    blocks = F.broadcast(blocks) if n_blocks <= S.MAX_BROADCAST_ROWS else blocks
-    numbered = scan.join(blocks, ["side", "_f", "_b", "_len"], "left")
-    in_block = F.col("_m") - F.col("_m0")
-    # the second pass must see the block where the first saw it: same split, same
-    # partition (upper bits of the row id), rows inside the recorded id range
-    stale = (
-        F.col("_m0").isNull()
-        | (F.shiftright("_m", 33) != F.shiftright("_m0", 33))
-        | (in_block < 0)
-        | (in_block >= F.col("_n"))
-    )
-    line_no = in_block + F.col("_off") + F.lit(1)
-    return numbered.select(
+    rows = _both(spark, sides, recursive).repartition(*_BLOCK)
+    # block sizes are taken from all columns that the rows need, so both branches share the exchange
+    blocks = rows.groupBy(*_BLOCK).agg(F.count_if(F.length("_raw") >= 0).alias("_n"), F.min("_m").alias("_m0"))
+    before = Window.partitionBy("side", "_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(*_BLOCK, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_m0")).alias("_start"))
+    # a line belongs to its numbered block: so no later filter on lines is moved below the
+    # exchange, where it would change what is counted
+    line = F.when(F.col("_start").isNotNull(), decode_line(F.col("_raw"), encoding))
+    return rows.join(starts, _BLOCK).select(
         "side",
         clean_path("_f").alias("file"),
-        F.when(stale, F.raise_error(F.lit("block table out of date: file splits or packing changed between passes")))
-        .otherwise(line_no)
-        .cast("long")
-        .alias("line_no"),
-        decode_line(F.col("_raw"), encoding).alias("line"),
+        (F.col("_start") + F.col("_m")).cast("long").alias("line_no"),
+        line.alias("line"),
     )
 
 
@@ -135,3 +103,15 @@ def read_lines(
 ) -> DataFrame:
     """Lines of the text files under ``paths`` for one side (see :func:`read_sides`)."""
     return read_sides(spark, {side: paths}, encoding, recursive)
+
+
+def read_bag(
+    spark: SparkSession,
+    sides: dict[str, str | Sequence[str]],
+    encoding: str = "UTF-8",
+    recursive: bool = True,
+) -> DataFrame:
+    """Lines without numbers as ``side, file, line``: a plain scan, nothing is exchanged."""
+    _check_charset(spark, encoding)
+    raw = _both(spark, sides, recursive)
+    return raw.select("side", clean_path("_f").alias("file"), decode_line(F.col("_raw"), encoding).alias("line"))

@@ -43,6 +43,21 @@ def occurrences(spark, lines, side, file=None):
     return spark.createDataFrame(rows, "side string, file string, line_no long, line string")
 
 
+def bucket_rows(entries):
+    """{bucket: row texts in order} of rendered entries: a row's pieces joined by one space."""
+    from collections import defaultdict
+
+    from bagdiff.operators.groups import with_position
+
+    rows = defaultdict(list)
+    for r in sorted(with_position(entries).collect(), key=lambda r: (r.bucket, r.pos, r.position)):
+        if r.position == 1:
+            rows[r.bucket].append(r.piece)
+        else:
+            rows[r.bucket][-1] += " " + r.piece
+    return dict(rows)
+
+
 def emulate(left, right, space_sensitive=False, case_sensitive=False, needle=""):
     """Pure-Python model of the comparison: {(side, line_no): bucket}, plus groups."""
     from collections import defaultdict

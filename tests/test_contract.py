@@ -43,19 +43,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert canon(df.columns, rows) == canon(rel.columns, orows)
 
 
+@pytest.mark.parametrize("heavy_rows", [0, 3, None])
 @pytest.mark.parametrize("mode", ["files", "dirs", "pooled"])
-def test_small_chunks_match_oracle(spark, duck, mode):
-    """The chunked rank with 8-line chunks gives the oracle's rows on real data."""
+def test_heavy_keys_match_oracle(spark, duck, mode, heavy_rows):
+    """All, some or no keys ranked in 8-line chunks: the oracle's rows on real data."""
     from bagdiff.plans.pipelines import FILES, POOLED, compare, diff_file_pairs
 
     if mode == "files":
-        df = compare(contract.x_lines(spark, SF), FILES, chunk_bits=3)
+        df = compare(contract.x_lines(spark, SF), FILES, heavy_rows=heavy_rows, chunk_bits=3)
         name, cols = "diff_files", ["bucket", "line_no", "line", "key", "n_left", "n_right", "occ_rank"]
     elif mode == "dirs":
-        df = diff_file_pairs(contract.y_lines(spark, SF), contract.y_files(spark, SF), chunk_bits=3)
+        df = diff_file_pairs(contract.y_lines(spark, SF), contract.y_files(spark, SF), heavy_rows=heavy_rows, chunk_bits=3)
         name, cols = "diff_dirs", ["file", "bucket", "line_no", "line", "key"]
     else:
-        df = compare(contract.y_lines(spark, SF), POOLED, chunk_bits=3)
+        df = compare(contract.y_lines(spark, SF), POOLED, heavy_rows=heavy_rows, chunk_bits=3)
         name, cols = "diff_pooled_dirs", ["bucket", "line", "key", "n_left", "n_right"]
     rows = df.select(*cols).collect()
     rel = duck.sql(E.oracle_sql()[name])

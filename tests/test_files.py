@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bagdiff import diff_dirs, diff_files, diff_pooled_dirs
-from bagdiff.sources import list_files, read_lines
+from bagdiff.sources import list_files, read_lines, scan_text
 
 
 def _write(path: Path, data: bytes):
@@ -71,7 +71,7 @@ def test_line_numbers_across_blocks(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
     try:
         df = read_lines(spark, str(p), "left")
-        assert df.rdd.getNumPartitions() > 4
+        assert scan_text(spark, str(p)).rdd.getNumPartitions() > 4
         stats = df.agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("line") != F.concat(F.lit("line "), F.col("line_no").cast("string"))).alias("bad"),
@@ -163,25 +163,47 @@ def test_java_charset_needs_setting(spark, tree):
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
-def test_changed_split_settings_are_detected(spark, tmp_path):
-    """Split settings changed between the block-table pass and the main pass:
-    the job fails instead of numbering lines wrongly."""
+def test_numbers_do_not_depend_on_packing(spark, tmp_path):
+    """Split settings changed between building the plan and running it, and between runs."""
     p = tmp_path / "blocks.txt"
     p.write_text("".join(f"l{i}\n" for i in range(20_000)))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
-        rows = read_lines(spark, str(p), "left")  # block table built now
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "15000")
-        with pytest.raises(Exception, match="block table out of date"):
-            rows.agg(F.max("line_no")).collect()
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
-        bad = rows.where(F.col("line") != F.concat(F.lit("l"), (F.col("line_no") - 1).cast("string"))).count()
-        assert bad == 0
+        rows = read_lines(spark, str(p), "left")
+        wrong = rows.where(F.col("line") != F.concat(F.lit("l"), (F.col("line_no") - 1).cast("string")))
+        for size in ("15000", "90000", "3000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert rows.agg(F.max("line_no"), F.count_distinct("line_no")).first()[:] == (20_000, 20_000)
+            assert wrong.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_nothing_runs_before_an_action(spark, dirs):
+    left, right = dirs
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "plan-only")
+    try:
+        diff_dirs(spark, str(left), str(right), needle="y")
+        assert len(tracker.getJobIdsForGroup("plan-only")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_recursion_switch(spark, tmp_path):
+    """A copy in a folder below is a second path of the name, unless folders below are left out."""
+    _write(tmp_path / "l" / "a.txt", b"x\n")
+    _write(tmp_path / "l" / "sub" / "a.txt", b"y\n")
+    _write(tmp_path / "r" / "a.txt", b"x\n")
+    left, right = str(tmp_path / "l"), str(tmp_path / "r")
+    assert diff_dirs(spark, left, right).count() == 0
+    assert {r.bucket for r in diff_dirs(spark, left, right, recursive=False).collect()} == {"comm_left", "comm_right"}
+    assert diff_pooled_dirs(spark, left, right).count() == 3
+    assert diff_pooled_dirs(spark, left, right, recursive=False).count() == 2
+    assert diff_files(spark, left, right, recursive=False).count() == 2
+
+
 def test_dir_pairs_content_needle(spark, dirs):
     left, right = dirs
     res = diff_dirs(spark, str(left), str(right), needle="y").collect()

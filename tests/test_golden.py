@@ -1,11 +1,10 @@
 """G1: the golden two-file case, at several chunk sizes."""
 
 import pytest
-from conftest import emulate, occurrences
+from conftest import bucket_rows, emulate, occurrences
 from pyspark.sql import functions as F
 
 from bagdiff import diff_lines, render
-from bagdiff.operators.groups import with_position
 
 LEFT = ["Apple", "b c", "", "apple", "APP LE", "only left"]
 RIGHT = ["bC", "apple", "", "", "only right"]
@@ -17,14 +16,10 @@ EXPECTED = {
 }
 
 
-@pytest.mark.parametrize("chunk_bits", [0, 1, 20])
-def test_golden_buckets(spark, chunk_bits):
-    res = diff_lines(occurrences(spark, LEFT, "left"), occurrences(spark, RIGHT, "right"), chunk_bits=chunk_bits)
-    rows = with_position(render(res)).select("bucket", "pos", "rendered").collect()
-    got = {}
-    for r in sorted(rows, key=lambda r: (r.bucket, r.pos)):
-        got.setdefault(r.bucket, []).append(r.rendered)
-    assert got == EXPECTED
+@pytest.mark.parametrize("heavy_rows,chunk_bits", [(None, 20), (0, 0), (0, 1), (1, 20), (2, 1), (1 << 20, 20)])
+def test_golden_buckets(spark, heavy_rows, chunk_bits):
+    occ = occurrences(spark, LEFT, "left"), occurrences(spark, RIGHT, "right")
+    assert bucket_rows(render(diff_lines(*occ, heavy_rows=heavy_rows, chunk_bits=chunk_bits))) == EXPECTED
 
 
 def test_golden_matches_emulation(spark):

@@ -60,8 +60,9 @@ def test_set_ops_with_tiny_chunks(spark):
 
     l = spark.createDataFrame([(k,) for k in ["a"] * 9 + ["b"] * 2 + ["c"]], "key string")
     r = spark.createDataFrame([(k,) for k in ["a"] * 4 + ["b"] * 3 + ["d"]], "key string")
-    inter = sorted(x.key for x in intersect_all_keys(l, r, chunk_bits=1).collect())
-    exc = sorted(x.key for x in except_all_keys(l, r, chunk_bits=1).collect())
+    bag = l.withColumn("side", F.lit("left")).unionByName(r.withColumn("side", F.lit("right")))
+    inter = sorted(x.key for x in intersect_all_keys(bag, chunk_bits=1).collect())
+    exc = sorted(x.key for x in except_all_keys(bag, chunk_bits=1).collect())
     assert inter == ["a"] * 4 + ["b"] * 2
     assert exc == ["a"] * 5 + ["c"]
     assert sorted(x.key for x in l.intersectAll(r).collect()) == inter
@@ -94,8 +95,35 @@ def test_line_numbers_do_not_depend_on_block_sizes(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     side = F.expr("CASE WHEN (doc_id div 20) % 2 = 0 THEN 'left' ELSE 'right' END")
     file = F.concat(F.col("source"), F.lit(".txt"))
-    small = lines_from_column(docs, "text", side, file, "doc_id", block_bits=1, super_bits=1)
+    small = lines_from_column(docs, "text", side, file, "doc_id", block_bits=1, level_bits=13)
     default = lines_from_column(docs, "text", side, file, "doc_id")
     assert small.exceptAll(default).count() == 0 and default.exceptAll(small).count() == 0
     per_file = small.groupBy("side", "file").agg(F.count(F.lit(1)).alias("n"), F.max("line_no").alias("m"), F.min("line_no").alias("lo"))
     assert per_file.where((F.col("n") != F.col("m")) | (F.col("lo") != 1)).count() == 0
+
+
+def test_sparse_order_values_are_numbered_in_bounded_windows(spark):
+    """Hashed 64-bit ids, negative ones too: the same numbers as a window over the whole file, and no
+    window of the plan over more than a group of ids."""
+    from pyspark.sql import Window
+
+    from bagdiff.sources import lines_from_column
+
+    docs = spark.range(3000).select(F.xxhash64("id").alias("id"), F.concat_ws("\n", F.lit("a"), F.col("id")).alias("text"))
+    lines = lines_from_column(docs, "text", F.lit("left"), F.lit("f"), "id")
+    direct = docs.select("id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
+    numbers = F.row_number().over(Window.orderBy("id", "p")).cast("long")
+    want = sorted(tuple(r) for r in direct.select(numbers.alias("line_no"), "line").collect())
+    assert sorted((r.line_no, r.line) for r in lines.collect()) == want
+    # groups of 2^18 blocks of 2^10 ids at each level: spread ids fall into many groups
+    for shift in (10, 28, 46):
+        inside = docs.groupBy(F.shiftright("id", shift + 18).alias("g")).agg(
+            F.countDistinct(F.shiftright("id", shift)).alias("n")
+        )
+        assert inside.agg(F.max("n")).first()[0] <= 1 << 18
+
+
+def test_lines_without_numbers_are_the_same_lines(spark):
+    left = contract.x_bag(spark, SF).select("side", "file", "line", "key")
+    right = with_key(contract.x_lines(spark, SF)).select("side", "file", "line", "key")
+    assert left.exceptAll(right).count() == 0 and right.exceptAll(left).count() == 0

@@ -1,27 +1,53 @@
-"""Bucket rows: oversized groups split into ordered parts; entry formats."""
+"""Bucket rows: one record per entry at every size; entry formats; places."""
 
-from conftest import occurrences
+from conftest import bucket_rows, occurrences
 from pyspark.sql import functions as F
 
 from bagdiff import DIRS, POOLED, compare, diff_lines, render
-from bagdiff.operators.groups import bucket_groups, with_position
+from bagdiff.operators.groups import bucket_entries, slice_entries, unpack_entries, with_position
 
 
-def test_oversized_groups_continue_on_next_rows(spark):
+def test_entries_of_a_row(spark):
     left = ["k"] * 7 + ["a", "b"]
     right = ["k"] * 2 + ["a"]
-    res = diff_lines(occurrences(spark, left, "left"), occurrences(spark, right, "right"), chunk_bits=1)
-    rows = with_position(bucket_groups(res, segment=2)).orderBy("bucket", "pos").collect()
-    diff_left = [(r.part, r.first_line_no, r.rendered) for r in rows if r.bucket == "diff_left"]
-    # k: 7 left, 2 right -> ranks 3..7 (lines 5..1) differ, split 2+2+1; then b (line 9)
-    assert diff_left == [
-        (0, 5, "[5:k, 4:k,"),
-        (1, 5, "3:k, 2:k,"),
-        (2, 5, "1:k]"),
-        (0, 9, "[9:b]"),
+    res = diff_lines(occurrences(spark, left, "left"), occurrences(spark, right, "right"), heavy_rows=3, chunk_bits=1)
+    rows = with_position(bucket_entries(res)).orderBy("bucket", "pos", "position").collect()
+    # k: 7 left, 2 right -> ranks 3..7 (lines 5..1) differ; then b (line 9)
+    assert [(r.pos, r.position, r.first_line_no, r.piece) for r in rows if r.bucket == "diff_left"] == [
+        (1, 1, 5, "[5:k,"),
+        (1, 2, 5, "4:k,"),
+        (1, 3, 5, "3:k,"),
+        (1, 4, 5, "2:k,"),
+        (1, 5, 5, "1:k]"),
+        (2, 1, 9, "[9:b]"),
     ]
-    comm_left = [(r.part, r.rendered) for r in rows if r.bucket == "comm_left"]
-    assert comm_left == [(0, "[7:k, 6:k]"), (0, "[8:a]")]
+    assert bucket_rows(render(res))["comm_left"] == ["[7:k, 6:k]", "[8:a]"]
+    sliced = slice_entries(bucket_entries(res), 2, 3).where("bucket = 'diff_left'")
+    assert sorted((r.position, r.line_no) for r in unpack_entries(sliced).collect()) == [(2, 4), (3, 3), (4, 2)]
+
+
+def test_a_key_100_001_times_and_long_lines_have_the_same_layout(spark):
+    n = 100_005
+    long = "x" * 200_000
+    blank = spark.range(1, n + 1).select(
+        F.lit("left").alias("side"), F.lit("f").alias("file"), F.col("id").alias("line_no"), F.lit("").alias("line")
+    )
+    more = spark.createDataFrame(
+        [("left", "f", n + 1 + i, long) for i in range(5)], "side string, file string, line_no long, line string"
+    )
+    for heavy_rows in (1 << 20, 50_000):
+        entries = bucket_entries(compare(blank.unionByName(more), heavy_rows=heavy_rows, chunk_bits=12))
+        assert entries.count() == n + 5
+        stats = entries.groupBy(F.length("line").alias("size")).agg(
+            F.countDistinct("position").alias("n"),
+            F.max("position").alias("last"),
+            F.count_if(F.col("piece").startswith("[")).alias("opened"),
+            F.count_if(F.col("piece").endswith("]")).alias("closed"),
+            F.countDistinct("first_line_no").alias("firsts"),
+        )
+        got = {r.size: tuple(r)[1:] for r in stats.collect()}
+        assert got == {0: (n, n, 1, 1, 1), 200_000: (5, 5, 1, 1, 1)}
+        assert slice_entries(entries, 1, 2).count() == 4
 
 
 def test_entry_formats(spark):
@@ -33,34 +59,41 @@ def test_entry_formats(spark):
 
     files = files_from_paths(occ.select("side", F.col("file").alias("path")).distinct())
     labeled = render(diff_file_pairs(occ, files), DIRS).orderBy("bucket").collect()
-    assert [r.rendered for r in labeled] == ["[文件f.txt1:A]", "[文件f.txt1:a]", "[文件f.txt2:b]"]
+    assert [r.piece for r in labeled] == ["[文件f.txt1:A]", "[文件f.txt1:a]", "[文件f.txt2:b]"]
     bare = render(compare(occ, POOLED), POOLED).orderBy("bucket").collect()
-    assert [r.rendered for r in bare] == ["[A]", "[a]", "[b]"]
+    assert [r.piece for r in bare] == ["[A]", "[a]", "[b]"]
+
+
+def test_rendering_moves_no_data(spark):
+    res = diff_lines(occurrences(spark, ["a", "b"], "left"), occurrences(spark, ["a"], "right"), heavy_rows=None)
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    assert exchanges(render(res)) == exchanges(res)
 
 
-def test_positions_do_not_depend_on_range_size(spark):
+def test_places_do_not_depend_on_range_size(spark):
     from bagdiff.plans import contract
 
-    groups = render(compare(contract.y_lines(spark, "/root/testdata/sf0.001"), POOLED), POOLED)
-    a = {(r.bucket, r.key, r.part): r.pos for r in with_position(groups, range_bits=2).collect()}
-    b = {(r.bucket, r.key, r.part): r.pos for r in with_position(groups).collect()}
+    entries = render(compare(contract.y_lines(spark, "/root/testdata/sf0.001"), POOLED, heavy_rows=5, chunk_bits=4), POOLED)
+    a = {(r.bucket, r.key, r.position): r.pos for r in with_position(entries, range_bits=2).collect()}
+    b = {(r.bucket, r.key, r.position): r.pos for r in with_position(entries).collect()}
     assert a == b
     per_bucket = {}
     for (bucket, _, _), pos in a.items():
-        per_bucket.setdefault(bucket, []).append(pos)
+        per_bucket.setdefault(bucket, set()).add(pos)
     for pos in per_bucket.values():
         assert sorted(pos) == list(range(1, len(pos) + 1))
 
 
-def test_long_lines_make_shorter_rows(spark):
-    long = "x" * 100
-    left = [long] * 10 + ["a"]
-    right = [long, "a"]
-    res = diff_lines(occurrences(spark, left, "left"), occurrences(spark, right, "right"))
-    # about 300 bytes per row: 300 // (100 + 24) = 2 entries of the long key per row
-    rows = bucket_groups(res, segment=1000, max_bytes=300).where("bucket = 'diff_left'").orderBy("part").collect()
-    assert [r.n for r in rows] == [2, 2, 2, 2, 1]
-    assert {r.first_line_no for r in rows} == {9}
-    assert "".join(r.rendered for r in rows).count(":" + long) == 9
-    short = bucket_groups(res, segment=1000).where("bucket = 'diff_left'").collect()
-    assert [r.n for r in short] == [9]
+def test_places_over_many_files(spark):
+    """10,000 files of a bucket: places follow (file, line)."""
+    occ = spark.range(10_000).select(
+        F.lit("left").alias("side"),
+        F.format_string("f%05d", F.col("id")).alias("file"),
+        F.lit(1).cast("long").alias("line_no"),
+        F.concat(F.lit("v"), F.col("id")).alias("line"),
+    )
+    rows = with_position(render(compare(occ, POOLED), POOLED)).select("first_file", "pos").collect()
+    assert all(r.pos == int(r.first_file[1:]) + 1 for r in rows) and len(rows) == 10_000

@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import emulate
+from conftest import bucket_rows, emulate
 from pyspark.sql import functions as F
 
 from bagdiff import compare, render
@@ -16,7 +16,7 @@ def test_hot_key_in_small_chunks(spark):
     right = ["" if rng.random() < 0.30 else f"V {rng.randint(0, 300)}" for _ in range(n)]
     rows = [("left", "l.txt", i + 1, x) for i, x in enumerate(left)] + [("right", "r.txt", i + 1, x) for i, x in enumerate(right)]
     occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
-    res = compare(occ, FILES, chunk_bits=5)
+    res = compare(occ, FILES, heavy_rows=100, chunk_bits=5)
     got = {(r.side, r.line_no): r.bucket for r in res.select("side", "line_no", "bucket").collect()}
     assert got == emulate(left, right)[0]
     # the blank key spans many chunks; its ranks are still 1..n per side
@@ -25,17 +25,39 @@ def test_hot_key_in_small_chunks(spark):
         assert r[1] == 1 and r[2] == r[3]
 
 
-def test_hot_group_rendered_in_parts(spark):
-    left = ["x"] * 50
-    right = ["x"] * 3
-    rows = [("left", "l.txt", i + 1, x) for i, x in enumerate(left)] + [("right", "r.txt", i + 1, x) for i, x in enumerate(right)]
+def test_hot_group_is_one_row(spark):
+    rows = [("left", "l.txt", i + 1, "x") for i in range(50)] + [("right", "r.txt", i + 1, "x") for i in range(3)]
     occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
-    res = compare(occ, FILES, chunk_bits=3)
-    parts = render(res, FILES, segment=8).where(F.col("bucket") == "diff_left").orderBy("part").collect()
-    assert len(parts) == 6 and sum(p.n for p in parts) == 47
-    assert {p.first_line_no for p in parts} == {47}
-    text = " ".join(p.rendered for p in parts)
-    assert text == "[" + ", ".join(f"{i}:x" for i in range(47, 0, -1)) + "]"
+    for heavy_rows in (10, None):
+        got = bucket_rows(render(compare(occ, FILES, heavy_rows=heavy_rows, chunk_bits=3)))
+        assert got["diff_left"] == ["[" + ", ".join(f"{i}:x" for i in range(47, 0, -1)) + "]"]
+
+
+def test_one_key_in_many_files(spark):
+    """A key in 5,000 files, pooled: its ranks follow (file, line) from the last, whichever way it takes."""
+    occ = spark.range(15_000).select(
+        F.when(F.col("id") % 5 == 0, "right").otherwise("left").alias("side"),
+        F.format_string("f%05d", (F.col("id") / 3).cast("int")).alias("file"),
+        (F.col("id") % 3 + 1).alias("line_no"),
+        F.lit("").alias("line"),
+    )
+    for heavy_rows in (1000, None):
+        res = compare(occ, POOLED, heavy_rows=heavy_rows, chunk_bits=1)
+        for side, n in (("left", 12_000), ("right", 3_000)):
+            own = sorted(((r.file, r.line_no, r.occ_rank, r.bucket) for r in res.where(F.col("side") == side).collect()), reverse=True)
+            assert [r[2] for r in own] == list(range(1, n + 1))
+            assert sum(r[3].startswith("comm") for r in own) == 3_000
+
+
+def test_at_most_so_many_heavy_keys(spark):
+    from bagdiff.operators.classify import heavy_keys, rank_occurrences
+    from bagdiff.plans.pipelines import with_key
+
+    rows = [("left", "f", i + 1, f"k{i % 40}") for i in range(2000)]
+    occ = with_key(spark.createDataFrame(rows, "side string, file string, line_no long, line string"))
+    assert heavy_keys(occ, (), 10, max_heavy=7).count() == 7
+    ranked = rank_occurrences(occ, heavy_rows=10, chunk_bits=3, max_heavy=7)
+    assert ranked.exceptAll(rank_occurrences(occ, heavy_rows=None)).count() == 0 and ranked.count() == 2000
 
 
 def test_pooled_order_is_file_then_line(spark):
@@ -46,7 +68,7 @@ def test_pooled_order_is_file_then_line(spark):
         ("right", "a.txt", 5, "k"),
     ]
     occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
-    res = compare(occ, POOLED, chunk_bits=0).where(F.col("side") == "left").orderBy("occ_rank").collect()
+    res = compare(occ, POOLED, heavy_rows=0, chunk_bits=0).where(F.col("side") == "left").orderBy("occ_rank").collect()
     assert [(r.file, r.line_no, r.occ_rank, r.bucket) for r in res] == [
         ("b.txt", 2, 1, "comm_left"),
         ("b.txt", 1, 2, "diff_left"),
@@ -58,7 +80,7 @@ def test_hot_key_is_spread_over_partitions(spark):
     rows = [("left", "l.txt", i + 1, "" if i % 3 else f"v{i}") for i in range(6000)]
     rows += [("right", "r.txt", i + 1, "" if i % 2 else f"w{i}") for i in range(3000)]
     occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
-    res = compare(occ, FILES, chunk_bits=7)  # 128 lines per chunk
+    res = compare(occ, FILES, heavy_rows=1000, chunk_bits=7)  # 128 lines per chunk
     hot = res.where(F.col("key") == "").select(F.spark_partition_id().alias("p"))
     # AQE would merge this tiny shuffle into one task; keep the 8 partitions
     key = "spark.sql.adaptive.coalescePartitions.enabled"
@@ -72,4 +94,4 @@ def test_hot_key_is_spread_over_partitions(spark):
         spark.conf.set(key, old)
     assert len(per_part) >= 4  # 5,500 blank lines in 47 chunks, over several tasks
     assert max(per_part) < 0.6 * sum(per_part)
-    assert unchunked <= 2  # one chunk per side: one task each
+    assert unchunked == 1  # not heavy: the key's lines meet in one task

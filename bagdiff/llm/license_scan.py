@@ -74,8 +74,13 @@ TEMPLATES = [
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+#: What stands between words.
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    # cutting between words costs a tenth of extracting them; a text may begin or end between words
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def template_words(text: str) -> list[str]:

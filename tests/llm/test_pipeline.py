@@ -7,9 +7,9 @@ import os
 import struct
 
 import regex
-from test_decontaminate import expected as hits
-from test_exact_dedup import norm
-from test_simhash import expected as near
+from .test_decontaminate import expected as hits
+from .test_exact_dedup import norm
+from .test_simhash import expected as near
 from tokenizers import Tokenizer
 
 import corpus_pipeline

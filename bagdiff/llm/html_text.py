@@ -70,6 +70,12 @@ HINTS = set(
 )
 
 
+#: Words around a hint that turn it into a remark on the layout, and those that make a header the article's.
+LAYOUT_FIRST = set("has no not with without is".split())
+LAYOUT_LAST = set("free enabled disabled on off".split())
+OWN_HEADER = set("article post entry content story main".split())
+
+
 def _patterns():
     import re
 
@@ -83,6 +89,7 @@ def _patterns():
         ),
         "tag": re.compile(tag, re.S),
         "hint": re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I),
+        "hidden": re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I),
         "word": re.compile(r"[^\W\d_]+"),
     }
 
@@ -95,10 +102,16 @@ class _Block:
 
 
 def _is_hint(attributes, patterns):
+    """Whether a class, id or role says that the element is not of the article, or the element is hidden."""
+    if patterns["hidden"].search(attributes):
+        return True
     for m in patterns["hint"].finditer(attributes):
-        value = (m.group(1) or m.group(2) or m.group(3) or "").lower()
-        if not HINTS.isdisjoint(value.replace("_", " ").replace("-", " ").split()):
-            return True
+        for name in (m.group(1) or m.group(2) or m.group(3) or "").lower().split():
+            words = name.replace("_", "-").split("-")
+            if words[0] in LAYOUT_FIRST or words[-1] in LAYOUT_LAST:
+                continue
+            if not HINTS.isdisjoint(words) or ("header" in words and OWN_HEADER.isdisjoint(words)):
+                return True
     return False
 
 

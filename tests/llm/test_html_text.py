@@ -27,6 +27,16 @@ def test_without_article_element_short_blocks_follow_their_neighbours():
     assert main_text(page) == f"Head\n{LONG}\nYes.\n{MORE}\nBye."
 
 
+def test_class_names():
+    def page(attributes):
+        return f"<body><div {attributes}><p>{LONG}</p></div><p>{MORE}</p></body>"
+
+    gone = ["class=ad", 'class="box site-ads"', "id='comments'", 'role="navigation"', 'class="page-header"', "hidden", 'style="display: none"', "class='Cookie_Notice'"]
+    kept = ["class=additional", 'class="has-sidebar"', "class='ad-free wide'", 'class="article-header"', 'id="content" class="no-comments"', 'data-hidden="x"']
+    assert [main_text(page(x)) for x in gone] == [MORE] * len(gone)
+    assert [main_text(page(x)) for x in kept] == [f"{LONG}\n{MORE}"] * len(kept)
+
+
 def test_references_spaces_and_broken_markup():
     page = f"<article><p><b>A &lt;b&gt; &amp;amp; c&eacute;\n\t x<br><p>{LONG}<p>One &#x41;&nbsp;two"
     assert main_text(page) == f"A <b> &amp; cé x\n{LONG}\nOne A two"

@@ -5,15 +5,15 @@ occurrences, the occurrences of a side are ranked latest first (``occ_rank`` 1 i
 the last line); ranks ``1..least(n_left, n_right)`` are common, the rest differ.
 That single rule covers the one-sided keys, both surplus cases and equal counts.
 
-The lines of a key meet in one exchange and get counts and ranks from windows
-there, without a join. A key with over ``heavy_rows`` lines would make one task too
-large; such keys are found by a count per 64-bit hash of the key (narrow rows,
-combined before they move) and take another way: their lines are cut into chunks of
-``2**chunk_bits`` consecutive line numbers, chunks are counted, a window over the
-chunk counts gives totals and the occurrences in later chunks, and lines are ranked
-inside their chunk. At most ``MAX_HEAVY`` hashes, those with the most lines, are
-treated so; that bounds the broadcast list. A key that merely shares a heavy key's
-hash takes the chunked way too, with the same result.
+The lines of a key meet in one exchange and get counts and ranks from windows there.
+A key with over ``heavy_rows`` lines would make one task too large. Such keys are found
+by a count per 64-bit hash of the key (narrow rows, combined before they move), and
+their lines are dealt to parts of their own: ``2**chunk_bits`` consecutive lines of a
+file and side. Parts are counted where they are, a window over these counts gives a
+key's totals and the occurrences in later parts, and both are joined to the ranks inside
+the parts. Other keys have one part and need none of this. At most ``MAX_HEAVY`` hashes,
+those with the most lines, are treated so; that bounds the broadcast list. A key that
+merely shares a heavy key's hash is dealt to parts too, with the same result.
 """
 
 from __future__ import annotations
@@ -48,103 +48,6 @@ def heavy_keys(occ: DataFrame, by: Sequence[str], heavy_rows: int, max_heavy: in
     return counts.orderBy(F.desc("_n"), "_h").limit(max_heavy).select("_h")
 
 
-def _exchanged(occ: DataFrame, cols: list[Column], names: list[str], key_of) -> DataFrame:
-    """Hash-partition by ``cols`` (named ``names`` afterwards). With ``key_of`` the key is
-    left out of the exchange and made again from the line behind it."""
-    if key_of is None:
-        return occ.select("*", *[c.alias(n) for c, n in zip(cols, names, strict=True) if n not in occ.columns]).repartition(
-            *names
-        )
-    made = [key_of(F.col("line")) if n == "key" else c for c, n in zip(cols, names, strict=True)]
-    moved = occ.drop("key").repartition(*made)
-    return moved.select("*", *[c.alias(n) for c, n in zip(made, names, strict=True) if n not in moved.columns])
-
-
-def _position(order: Sequence[str]) -> Column:
-    """(file, line_no) of an occurrence; file is null where a group has one file."""
-    file = F.col("file") if "file" in order else F.lit(None).cast("string")
-    return F.struct(file.alias("file"), F.col("line_no").cast("long").alias("line_no"))
-
-
-def _with_firsts(ranked: DataFrame, keys: list[str], order: Sequence[str], latest: Column) -> DataFrame:
-    """Add ``first_file, first_line_no``: the first entry of the occurrence's bucket row."""
-    n_min = F.least("n_left", "n_right")
-    opening = F.when(F.col("occ_rank") == n_min + 1, _position(order))
-    first_diff = F.max(opening).over(Window.partitionBy(*keys, "side"))
-    first = F.when(F.col("occ_rank") <= n_min, latest).otherwise(first_diff)
-    return ranked.withColumn("_first", first).select(
-        *[c for c in ranked.columns if c != "_latest"],
-        F.col("_first.file").alias("first_file"),
-        F.col("_first.line_no").alias("first_line_no"),
-    )
-
-
-def _rank_whole(occ: DataFrame, by: list[str], order: Sequence[str], key_of) -> DataFrame:
-    """Counts, ranks and first entries from windows over one exchange by ``by + key``."""
-    keys = [*by, "key"]
-    met = _exchanged(occ, [F.col(c) for c in keys], keys, key_of)
-    latest_first = Window.partitionBy(*keys, "side").orderBy(*[F.desc(c) for c in order])
-    whole = Window.partitionBy(*keys)
-    ranked = met.select(
-        *occ.columns,
-        F.row_number().over(latest_first).cast("long").alias("occ_rank"),
-        F.first(_position(order)).over(latest_first).alias("_latest"),
-    )
-    ranked = ranked.select(
-        *occ.columns,
-        F.count_if(F.col("side") == S.LEFT).over(whole).cast("long").alias("n_left"),
-        F.count_if(F.col("side") == S.RIGHT).over(whole).cast("long").alias("n_right"),
-        "occ_rank",
-        "_latest",
-    )
-    return _with_firsts(ranked, keys, order, F.col("_latest"))
-
-
-def _rank_chunks(occ: DataFrame, by: list[str], order: Sequence[str], chunk_bits: int, key_of) -> DataFrame:
-    """The same result for heavy keys: no task holds more than one chunk of a key."""
-    keys, prefix, last = [*by, "key"], [c for c in order[:-1] if c not in by], order[-1]
-    group = [*keys, "side", *prefix, "_chunk"]
-    cols = [F.shiftright(F.col(last), chunk_bits) if c == "_chunk" else F.col(c) for c in group]
-    chunked = _exchanged(occ, cols, group, key_of)
-    counts = chunked.groupBy(*group).agg(F.count(F.lit(1)).alias("_cnt"), F.max(_position(order)).alias("_latest"))
-    # left chunks first, latest chunk first; a right chunk's running total includes
-    # every left occurrence, which is subtracted
-    spec = Window.partitionBy(*keys).orderBy(F.col("side") != S.LEFT, *[F.desc(c) for c in prefix], F.desc("_chunk"))
-    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    earlier = spec.rowsBetween(Window.unboundedPreceding, -1)
-
-    def side_total(side: str) -> Column:
-        return F.sum(F.when(F.col("side") == side, F.col("_cnt")).otherwise(F.lit(0))).over(whole).cast("long")
-
-    running = F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).cast("long")
-    before = running - F.when(F.col("side") == S.RIGHT, side_total(S.LEFT)).otherwise(F.lit(0))
-    tally = counts.select(
-        *group,
-        side_total(S.LEFT).alias("n_left"),
-        side_total(S.RIGHT).alias("n_right"),
-        before.alias("_before"),
-        F.max("_latest").over(Window.partitionBy(*keys, "side")).alias("_latest"),
-    )
-    in_chunk = Window.partitionBy(*group).orderBy(F.desc(last))
-    ranked = chunked.join(tally, group).select(
-        *occ.columns,
-        "n_left",
-        "n_right",
-        (F.col("_before") + F.row_number().over(in_chunk)).cast("long").alias("occ_rank"),
-        "_latest",
-    )
-    # the row that opens the differing occurrences of a side: one per heavy key and side
-    n_min = F.least("n_left", "n_right")
-    opening = ranked.where(F.col("occ_rank") == n_min + 1).select(*keys, "side", _position(order).alias("_opens"))
-    out = ranked.join(opening, [*keys, "side"], "left")
-    first = F.when(F.col("occ_rank") <= n_min, F.col("_latest")).otherwise(F.col("_opens"))
-    return out.withColumn("_first", first).select(
-        *[c for c in ranked.columns if c != "_latest"],
-        F.col("_first.file").alias("first_file"),
-        F.col("_first.line_no").alias("first_line_no"),
-    )
-
-
 def rank_occurrences(
     occ: DataFrame,
     by: Sequence[str] = (),
@@ -154,21 +57,66 @@ def rank_occurrences(
     key_of: Callable[[Column], Column] | None = None,
     max_heavy: int = S.MAX_HEAVY,
 ) -> DataFrame:
-    """Occurrences plus ``n_left, n_right, occ_rank, first_file, first_line_no``.
+    """Occurrences plus ``n_left, n_right, occ_rank``.
 
     Rank 1 is the occurrence that comes last in ``order`` within its
     ``by + key + side``. With ``key_of`` (the function that made ``key`` from
-    ``line``) lines move without their key. ``heavy_rows=None`` treats no key as
-    heavy. ``first_*`` is the first entry of the occurrence's bucket row.
+    ``line``) lines move without their key. ``heavy_rows=None`` treats no key as heavy.
     """
-    by = list(by)
+    keys, names = [*by, "key"], occ.columns
+    prefix, last = [c for c in order[:-1] if c not in by], order[-1]
+    made = [key_of(F.col("line")) if c == "key" and key_of else F.col(c) for c in keys]
+    moved = occ.drop("key") if key_of else occ
+
+    def met(rows: DataFrame, *more: Column) -> DataFrame:
+        out = rows.repartition(*made, *more)
+        return out.withColumn("key", key_of(F.col("line"))) if key_of else out
+
+    def windows(rows: DataFrame, whole: list[str]) -> DataFrame:
+        latest_first = Window.partitionBy(*whole, "side").orderBy(*[F.desc(c) for c in order])
+        ranked = rows.withColumn("occ_rank", F.row_number().over(latest_first).cast("long"))
+        counts = {
+            f"n_{side}": F.count_if(F.col("side") == side).over(Window.partitionBy(*whole)).cast("long")
+            for side in (S.LEFT, S.RIGHT)
+        }
+        return ranked.withColumns(counts)
+
     if heavy_rows is None:
-        return _rank_whole(occ, by, order, key_of)
-    heavy = F.broadcast(heavy_keys(occ, by, heavy_rows, max_heavy))
-    hashed = occ.withColumn("_h", F.xxhash64(*by, "key"))
-    light = hashed.join(heavy, "_h", "left_anti").select(*occ.columns)
-    hot = hashed.join(heavy, "_h", "left_semi").select(*occ.columns)
-    return _rank_whole(light, by, order, key_of).unionByName(_rank_chunks(hot, by, order, chunk_bits, key_of))
+        return windows(met(moved), keys).select(*names, "n_left", "n_right", "occ_rank")
+
+    heavy = heavy_keys(occ, by, heavy_rows, max_heavy).withColumn("_hot", F.lit(True))
+    tagged = occ.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(heavy), "_h", "left").select(*moved.columns, "_hot")
+    # a part names its lines' side, file and chunk, so it holds at most 2^chunk_bits lines
+    part = F.when(F.col("_hot"), F.struct("side", *prefix, F.shiftright(F.col(last), chunk_bits).alias("_chunk")))
+    dealt = met(tagged, part).withColumn("_part", part)
+    # counted where the lines are; no key that is not heavy leaves its task
+    parts = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_hot").alias("_in"))
+    parts = parts.where(F.col("_in") > 0)
+    # left parts first, latest first; a right part's running total includes every left line, which is subtracted
+    part_order = [F.desc(f"_part.{c}") for c in [*prefix, "_chunk"]]
+    spec = Window.partitionBy(*keys).orderBy(F.col("_part.side") != S.LEFT, *part_order)
+    everything = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = spec.rowsBetween(Window.unboundedPreceding, -1)
+
+    def total(side: str) -> Column:
+        own = F.when(F.col("_part.side") == side, F.col("_n")).otherwise(F.lit(0))
+        return F.sum(own).over(everything).cast("long")
+
+    running = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("long")
+    before = running - F.when(F.col("_part.side") == S.RIGHT, total(S.LEFT)).otherwise(F.lit(0))
+    parts = parts.select(
+        *keys, "_part", total(S.LEFT).alias("_left"), total(S.RIGHT).alias("_right"), before.alias("_before")
+    )
+    return (
+        windows(dealt, [*keys, "_part"])
+        .join(parts, [*keys, "_part"], "left")
+        .select(
+            *names,
+            F.coalesce("_left", "n_left").alias("n_left"),
+            F.coalesce("_right", "n_right").alias("n_right"),
+            (F.coalesce("_before", F.lit(0)) + F.col("occ_rank")).cast("long").alias("occ_rank"),
+        )
+    )
 
 
 def bucket_of(occ_rank="occ_rank", n_left="n_left", n_right="n_right", side="side"):
@@ -185,7 +133,7 @@ def classify(
     chunk_bits: int = S.CHUNK_BITS,
     key_of: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Occurrences plus ``n_left, n_right, occ_rank, first_file, first_line_no, bucket``.
+    """Occurrences plus ``n_left, n_right, occ_rank, bucket``.
 
     ``by``: extra grouping columns (``("file",)`` compares file pairs in one job).
     ``order``: rank order, latest first; ``("file", "line_no")`` for pooled input.

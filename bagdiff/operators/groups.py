@@ -7,8 +7,9 @@ the entry with ``[`` in front of the first, ``]`` after the last and ``,`` after
 other. A row's pieces in order, joined by one space, are the row's text. So no task
 builds a row, however often a key occurs, and unpacking and slicing are filters.
 
-All columns come from the counts, rank and first entry that the comparison gives;
-making entries moves no data.
+``position`` and ``piece`` come from the counts and rank that the comparison gives. Each
+entry learns its row's first entry from a join with the first entries, which are narrow;
+Spark splits a row with very many entries over tasks.
 """
 
 from __future__ import annotations
@@ -36,8 +37,6 @@ def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUM
         "bucket",
         *by,
         "key",
-        (F.col("file") if "file" in by else F.col("first_file")).alias("first_file"),
-        "first_line_no",
         (F.col("occ_rank") - F.when(differs, n_min).otherwise(F.lit(0))).cast("long").alias("position"),
         F.when(differs, n_side - n_min).otherwise(n_min).cast("long").alias("n"),
         F.col("occ_rank").cast("long").alias("occ_rank"),
@@ -45,8 +44,12 @@ def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUM
         "line",
         *([] if "file" in by else [file.alias("file")]),
     )
+    firsts = rows.where(F.col("position") == 1).select(
+        "bucket", *by, "key", F.col("file").alias("first_file"), F.col("line_no").alias("first_line_no")
+    )
     entry = entry_text(F.col("line_no"), F.col("line"), F.col("file"), fmt)
-    return rows.withColumn("piece", piece_text(entry, F.col("position") == 1, F.col("position") == F.col("n")))
+    rows = rows.withColumn("piece", piece_text(entry, F.col("position") == 1, F.col("position") == F.col("n")))
+    return rows.join(firsts, ["bucket", *by, "key"])
 
 
 def unpack_entries(entries: DataFrame) -> DataFrame:

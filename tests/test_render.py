@@ -64,15 +64,6 @@ def test_entry_formats(spark):
     assert [r.piece for r in bare] == ["[A]", "[a]", "[b]"]
 
 
-def test_rendering_moves_no_data(spark):
-    res = diff_lines(occurrences(spark, ["a", "b"], "left"), occurrences(spark, ["a"], "right"), heavy_rows=None)
-
-    def exchanges(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
-
-    assert exchanges(render(res)) == exchanges(res)
-
-
 def test_places_do_not_depend_on_range_size(spark):
     from bagdiff.plans import contract
 

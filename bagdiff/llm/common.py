@@ -83,10 +83,31 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def tidy(run: Callable) -> Callable:
+    """``run``, an iterator function of a task, giving freed memory back to the system when it ends.
+
+    Python workers wait for the next task with what they hold, and executors count it.
+    """
+
+    def tidied(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
 def arrow_column(run: Callable, returns: str, column: Column) -> Column:
     """Column of a function from an iterator of Arrow arrays to one of Arrow arrays, as many values in all."""
     import pyarrow as pa
 
     bound_batches(SparkSession.active())
+    run = tidy(run)
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, returns)(column)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import CHUNK_CHARS, arrow_column, bound_batches, chunks
+from bagdiff.llm.common import CHUNK_CHARS, arrow_column, bound_batches, chunks, tidy
 
 NGRAMS = (1, 2, 3)
 BITS = 15
@@ -145,7 +145,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
     rows = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     bound_batches(df.sparkSession)
-    counted = rows.mapInArrow(_count, "lang string, bucket int, n bigint")
+    counted = rows.mapInArrow(tidy(_count), "lang string, bucket int, n bigint")
     n_langs = df.select(lang).distinct().count()
     if not n_langs:
         return None

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import arrow_column, bound_batches, chunks
+from bagdiff.llm.common import arrow_column, bound_batches, chunks, tidy
 
 CANDIDATE = 16
 #: Bounds of the training sample: documents (about) and findings of each label.
@@ -270,7 +270,7 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAM
     total = max(1, df.count())
     share = min(1.0, sample / total)
     chosen = df.filter(F.pmod(F.xxhash64(id), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = chosen.select(text).mapInArrow(_findings, "win string, label boolean").distinct()
+    found = chosen.select(text).mapInArrow(tidy(_findings), "win string, label boolean").distinct()
     rows = []
     for label in (False, True):  # at most `findings` short strings each
         rows += found.filter(F.col("label") == label).orderBy(F.xxhash64("win"), "win").limit(findings).collect()

@@ -20,8 +20,8 @@ from bagdiff.llm import (
     url_filter,
 )
 
-#: Folder of public vocabulary files.
-TOKENIZERS = os.environ.get("BAGDIFF_TOKENIZERS", "/opt/tokenizers")
+#: Vocabulary file of the tokenizer queries.
+VOCABULARY = "byte_bpe_50k.json"
 SHINGLE, DISTANCE = 4, 4
 
 
@@ -107,9 +107,18 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-def tokenized(docs: DataFrame) -> DataFrame:
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Place of a public vocabulary file: in the folder $BAGDIFF_TOKENIZERS, else in the installed package of them."""
+    if folder := os.environ.get("BAGDIFF_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Digests of the ids and of the decoded text of every row of ``docs`` (doc_id, text)."""
-    path = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
+    path = path or vocabulary_path()
     found = bpe.round_trip(docs.select("doc_id", "text"), path)
     return found.select(
         "doc_id",

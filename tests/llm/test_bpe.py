@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 import random
 import struct
 
@@ -9,7 +8,7 @@ from tokenizers import Tokenizer
 
 from bagdiff.llm import bpe, queries
 
-PATH = os.path.join(queries.TOKENIZERS, "byte_bpe_50k.json")
+PATH = queries.vocabulary_path()
 
 
 @pytest.fixture(scope="module")
@@ -69,4 +68,4 @@ def test_decode_of_broken_utf8_and_unknown_ids(library):
 
 def test_files_of_other_kinds_are_refused():
     with pytest.raises(ValueError):
-        bpe.load(os.path.join(queries.TOKENIZERS, "word_bpe_49k.json"))
+        bpe.load(queries.vocabulary_path("word_bpe_49k.json"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import struct
 
 import regex
@@ -30,7 +29,7 @@ def model(rows, items):
 
 
 def tokens(rows):
-    library = Tokenizer.from_file(os.path.join(queries.TOKENIZERS, "byte_bpe_50k.json"))
+    library = Tokenizer.from_file(queries.vocabulary_path())
     out = []
     for i, t in rows:
         ids = library.encode(t, add_special_tokens=False).ids

@@ -38,14 +38,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     links = links.filter(F.col(a) != F.col(b))
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    links = materialize(links, "links")
+    links = materialize(links, "links", narrow=True)
 
     def state(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
 
     before = state(links)
     while before[0]:
-        links = materialize(_star(_star(links, True), False), "links")
+        links = materialize(_star(_star(links, True), False), "links", narrow=True)
         after = state(links)
         if after == before:
             break

@@ -203,7 +203,7 @@ def find_hits(
     if parts is None:
         parts = sized.select("item", F.lit(None).cast(_FOUND).alias("f"))
     marks = parts.select("item", "f.span", "f.hash", F.col("f.before").alias("i_before"), F.col("f.words").alias("i_words"))
-    marks = materialize(marks.distinct(), "bench-marks")
+    marks = materialize(marks.distinct(), "bench-marks", narrow=True)
 
     scanned = fingerprints(F.col(text), lengths, spark=spark, bits=_filter_bits(marks))
     rows = docs.select(F.col(id).alias("id"), scanned.alias("s"))
@@ -213,7 +213,7 @@ def find_hits(
     # equal surroundings of many items, and equal fingerprints of many documents, meet as one
     around = marks.select("span", "hash", "i_before", "i_words").distinct()
     hits = found.join(around, ["span", "hash"]).withColumn("at", _reach()).filter("at.start is not null")
-    hits = materialize(hits.select("row", "span", "hash", "i_before", "i_words", "at"), "doc-hits")
+    hits = materialize(hits.select("row", "span", "hash", "i_before", "i_words", "at"), "doc-hits", narrow=True)
     words = hits.select("row", F.explode(F.expr("sequence(at.start, at.end - 1)")).alias("word")).distinct()
     n_hit = words.groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
     which = hits.select("row", "span", "hash", "i_before", "i_words").distinct()

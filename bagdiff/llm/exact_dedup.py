@@ -53,7 +53,7 @@ def group_copies(
     by_digest = whole.groupBy("digest").agg(
         F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
     )
-    groups = materialize(by_digest, "dedup-groups")
+    groups = materialize(by_digest, "dedup-groups", narrow=True)
     total, most = groups.agg(F.sum("group_size"), F.max("texts")).first()
     rows = texts.select("id", "digest")
     found = attach_by_key(rows, groups, "digest", "group_size", total or 0)

@@ -129,10 +129,10 @@ def links(
         raise ValueError("distance must be from 0 to 7")
     lists = fps.select("fp", F.explode(_lists(distance, index_bytes)).alias("key"))
     sizes = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    sizes = materialize(sizes.filter("n > 1"), "simhash-lists")
+    sizes = materialize(sizes.filter("n > 1"), "simhash-lists", narrow=True)
     pairs = sizes.filter("n = 2").select("a", "b")
     members = lists.join(sizes.filter("n > 2").select("key", "n"), "key")
-    members = materialize(members, "simhash-members")
+    members = materialize(members, "simhash-members", narrow=True)
     cold = members.filter(F.col("n") <= list_max).select("key", "fp")
     pairs = pairs.unionByName(
         cold.withColumnRenamed("fp", "a").join(cold.withColumnRenamed("fp", "b"), "key").filter("a < b").select("a", "b")
@@ -183,13 +183,13 @@ def near_duplicates(
     """One row per row of ``df``: ``id``, fp (bigint), component_id."""
     rows = df.select(F.col(id).alias("id"), fingerprint(F.col(text), shingle).alias("fp"))
     rows = materialize(rows, "simhash-rows")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
+    nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "simhash-nodes", narrow=True)
     joined = components(links(nodes.select("fp"), distance, list_max, index_bytes)).select(
         F.col("node").alias("fp"), "component"
     )
     nodes = nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = nodes.groupBy("component").agg(F.min("id").alias("component_id"))
-    groups = materialize(nodes.join(smallest, "component").select("fp", "component_id", "n"), "simhash-groups")
+    groups = materialize(nodes.join(smallest, "component").select("fp", "component_id", "n"), "simhash-groups", narrow=True)
     total = groups.agg(F.sum("n")).first()[0] or 0
     found = attach_by_key(rows, groups, "fp", "n", total)
     return found.select(F.col("id").alias(id), "fp", "component_id")

@@ -143,7 +143,7 @@ def judge(
     blocked = verdicts.filter("blocked and not coalesce(allowed, false)").select("component")
     aliases = joined.join(blocked, "component", "left_semi").select("node")
     counted = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(aliases, "node")
-    counted = materialize(counted.withColumn("alias", F.lit(BLOCK)), "url-aliases")
+    counted = materialize(counted.withColumn("alias", F.lit(BLOCK)), "url-aliases", narrow=True)
     total = counted.agg(F.sum("n")).first()[0] or 0
     found = attach_by_key(rows, counted, "node", "n", total)
     return found.select(

@@ -183,7 +183,8 @@ def near_duplicates(
     """One row per row of ``df``: ``id``, fp (bigint), component_id."""
     rows = df.select(F.col(id).alias("id"), fingerprint(F.col(text), shingle).alias("fp"))
     rows = materialize(rows, "simhash-rows")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")), "simhash-nodes", narrow=True)
+    nodes = rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    nodes = materialize(nodes, "simhash-nodes", narrow=True)
     joined = components(links(nodes.select("fp"), distance, list_max, index_bytes)).select(
         F.col("node").alias("fp"), "component"
     )

@@ -22,12 +22,12 @@ def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
 
     This cuts the lineage with files that every executor sees, so a lost executor
     costs only its running tasks. The folder is fresh for each call. ``narrow`` rows
-    that come straight from a shuffle are written by one task per core, not by one per
-    shuffle partition: many small files cost more than they hold.
+    that come straight from a shuffle are written by a few tasks per core at most, not by
+    one per shuffle partition: many small files cost more than they hold.
     """
     spark = df.sparkSession
     if narrow:
-        df = df.coalesce(spark.sparkContext.defaultParallelism)
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

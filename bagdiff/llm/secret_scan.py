@@ -3,17 +3,18 @@
 *Patterns* (base findings): ``assign``, ``access`` and ``hex``, matched leftmost and
 non-overlapping per kind; they always stay.
 
-*Candidates* are runs of at least ``CANDIDATE`` token characters with a digit. The
-network reads each candidate, its head and its tail if it is long, with the text
-around it: embedded characters, one convolution, the largest response inside and
+*Candidates* are runs of at least ``CANDIDATE`` token characters with a digit, or what
+base spans leave of them, if it is as long. The network reads each candidate whole, in
+windows of ``OWN`` characters, ``STEP`` apart, those at its ends with the text around
+it, and each of its segments between '/', '=' and '.' by itself; the largest score of
+these counts: embedded characters, one convolution, the largest response inside and
 outside the candidate, and a logistic output. It is trained on the driver, in
-numpy, on labelled findings: candidates of training documents, labelled by whether
-a pattern found them, ``FINDINGS`` of each label at most, from about ``SAMPLE``
+numpy, on labelled findings: windows of what patterns found in runs, and of runs in
+which they found nothing, ``FINDINGS`` of each label at most, from about ``SAMPLE``
 documents. For half of the training windows the text around is blanked, so that a
 candidate's own shape counts. On findings kept apart, with and without the text
 around, the output is calibrated (a logistic fit), and the threshold is the largest
-that still finds ``RECALL`` of the true ones. Candidates at or above it that touch no base span become spans of kind
-``net``.
+that still finds ``RECALL`` of the true ones. Candidates at or above it become spans of kind ``net``; none touches a base span.
 
 Texts are scanned whole; character classes are found over a batch at once in numpy.
 
@@ -37,6 +38,11 @@ SAMPLE = 20_000
 FINDINGS = 3_000
 RECALL = 0.98
 LEFT, HEAD, TAIL, RIGHT = 24, 24, 16, 12
+#: Characters of a candidate in one window, and the distance of its windows.
+OWN = HEAD + TAIL
+STEP = OWN // 2
+#: Windows that are held in expanded form at once.
+BATCH = 2048
 WIDTH, FILTERS, EMBED = 5, 16, 8
 
 #: The base patterns, the length each needs, and the group it is measured on.
@@ -119,8 +125,56 @@ def _window(text, start, end):
     return left.rjust(LEFT, "\0") + head.ljust(HEAD, "\0") + tail.ljust(TAIL, "\0") + right.ljust(RIGHT, "\0")
 
 
-def _touches(span, base):
-    return any(s < span[1] and span[0] < e for s, _, e in base)
+def _windows(text, start, end):
+    """Overlapping windows over all of a candidate, then over each of its segments, these without what is around them."""
+    yield from _over(text, start, end)
+    for s, e in _segments(text, start, end):
+        if CANDIDATE <= e - s < end - start:
+            yield from _over(text[s:e], 0, e - s)
+
+
+def _over(text, start, end):
+    """Windows OWN long at most; only those at the ends see the text around."""
+    last = max(start, end - OWN)
+    for s in (*range(start, last, STEP), last):
+        e = min(s + OWN, end)
+        left = text[max(0, s - LEFT) : s] if s == start else ""
+        right = text[e : e + RIGHT] if e == end else ""
+        yield _window(left + text[s:e] + right, len(left), len(left) + e - s)
+
+
+def _segments(text, start, end):
+    """(start, end) between the characters '/', '=' and '.' of a candidate."""
+    at = start
+    for i in range(start, end):
+        if text[i] in "/=.":
+            yield at, i
+            at = i + 1
+    yield at, end
+
+
+def _parts(runs, base):
+    """Runs cut at base spans: [(start, end, label)] of at least CANDIDATE characters, in order.
+
+    The label is true inside base spans, false for a run without any, and None for what they leave of a run.
+    """
+    covered = []
+    for s, _, e in base:  # in order
+        if covered and s <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
+    out, first = [], 0
+    for start, end in runs:
+        while first < len(covered) and covered[first][1] <= start:
+            first += 1
+        at, k = start, first
+        while k < len(covered) and covered[k][0] < end:
+            s, e = max(covered[k][0], start), min(covered[k][1], end)
+            out += [(at, s, None), (s, e, True)]
+            at, k = e, k + 1
+        out.append((at, end, None if k > first else False))
+    return [x for x in out if x[1] - x[0] >= CANDIDATE]
 
 
 def _codes(windows):
@@ -186,7 +240,7 @@ class Network:
     def raw(self, codes):
         import numpy as np
 
-        return np.concatenate([self._forward(codes[s : s + 2048])[-1] for s in range(0, len(codes), 2048)])
+        return np.concatenate([self._forward(codes[s : s + BATCH])[-1] for s in range(0, len(codes), BATCH)])
 
     def score(self, codes):
         import numpy as np
@@ -255,10 +309,12 @@ def _findings(batches):
     for batch in batches:
         windows, labels = [], []
         for _, texts in chunks(batch.column(0)):
-            for t, base, candidates in zip(texts, *_find(texts, table, assign, access), strict=True):
-                for c in candidates:
-                    windows.append(_window(t, *c))
-                    labels.append(_touches(c, base))
+            for t, base, runs in zip(texts, *_find(texts, table, assign, access), strict=True):
+                for start, end, label in _parts(runs, base):
+                    if label is not None:
+                        own = list(_windows(t, start, end))
+                        windows += own
+                        labels += [label] * len(own)
         yield pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array(labels, pa.bool_())], ["win", "label"])
 
 
@@ -292,20 +348,31 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAM
     return net
 
 
+def _scores(net, texts, parts, alone=False):
+    """The score of each (number of its text, start, end): the largest of its windows, optionally without the text around."""
+    from itertools import islice
+
+    import numpy as np
+
+    best = np.zeros(len(parts))
+    read = ((k, w) for k, (i, s, e) in enumerate(parts) for w in _windows(texts[i], s, e))
+    while held := list(islice(read, BATCH)):
+        codes = _codes([w for _, w in held])
+        np.maximum.at(best, [k for k, _ in held], net.score(_alone(codes) if alone else codes))
+    return best
+
+
 def _scanner(net):
     table, (assign, access) = _tables(), _patterns()
 
     def scan(texts):
-        out, windows, where = [], [], []
-        for i, (t, base, candidates) in enumerate(zip(texts, *_find(texts, table, assign, access), strict=True)):
+        out, parts = [], []
+        for i, (base, runs) in enumerate(zip(*_find(texts, table, assign, access), strict=True)):
             out.append([(s, k, e, 1.0) for s, k, e in base])
             if net is not None:
-                for c in candidates:
-                    if not _touches(c, base):
-                        windows.append(_window(t, *c))
-                        where.append((i, c))
-        if windows:
-            for (i, (s, e)), p in zip(where, net.score(_codes(windows)).tolist(), strict=True):
+                parts += [(i, s, e) for s, e, label in _parts(runs, base) if not label]
+        if parts:
+            for (i, s, e), p in zip(parts, _scores(net, texts, parts).tolist(), strict=True):
                 if p >= net.threshold:
                     out[i].append((s, 3, e, p))
         return [[{"kind": KINDS[k], "start": s, "end": e, "score": p} for s, k, e, p in sorted(spans)] for spans in out]

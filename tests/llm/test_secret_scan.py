@@ -96,3 +96,41 @@ def test_odd_rows(odd_docs, no_docs):
     got = secret_scan.with_spans(odd_docs.drop("spans"), net)
     assert got.count() == odd_docs.count()
     assert secret_scan.with_spans(no_docs, None).count() == 0
+
+
+def test_windows_read_whole_candidates():
+    for n in (12, 40, 41, 60, 61, 1000):
+        text = " " + "".join(chr(33 + i * 7 % 90) for i in range(n)) + " "
+        own = [w[secret_scan.LEFT : -secret_scan.RIGHT].rstrip("\0") for w in secret_scan._windows(text, 1, n + 1)]
+        assert all(any(text[i : min(i + 20, n + 1)] in w for w in own) for i in range(1, max(2, n - 18)))
+
+
+def test_runs_are_cut_at_base_spans():
+    text = "ab" * 20 + "/" + "Zy1x" * 6 + " file-1-token=abcdefghijkl1 some-1-long-name"
+    found, runs = secret_scan._find([text], secret_scan._tables(), *secret_scan._patterns())
+    parts = [(text[s:e], label) for s, e, label in secret_scan._parts(runs[0], found[0])]
+    assert parts == [
+        ("ab" * 20, True), ("/" + "Zy1x" * 6, None), ("token=abcdefghijkl1", True), ("some-1-long-name", False),
+    ]
+
+
+def test_keys_inside_long_runs_are_found(spark):
+    """A key in the middle of a path, and one beside a secret that a pattern finds."""
+    rng = np.random.default_rng(5)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789ghijklmnopqrstuvwxyz")
+
+    def key(n=32):
+        return "".join(rng.choice(letters, n))
+
+    def path():
+        return "/".join(rng.choice(["site", "pages", "2024", "images", "static", "archive", "v2", "index"], 14))
+
+    rows = [(i, f"the token = {key()} of it") for i in range(300)]
+    rows += [(i, f"the text //host1/{path()} of it") for i in range(300, 600)]
+    net = secret_scan.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    inner = [f"see //host1/{path()}/{key(40)}/{path()} there" for _ in range(40)]
+    beside = [f"see {'0123456789abcdef' * 2}01234567/{key(40)} there" for _ in range(40)]
+    plain = [f"see //host1/{path()} there" for _ in range(40)]
+    got = spans_of(spark.createDataFrame([(t,) for t in inner + beside + plain], "text string"), net)
+    found = [any(s.startswith("net:") for s in x) for x in got]
+    assert sum(found[:40]) >= 36 and sum(found[40:80]) >= 36 and sum(found[80:]) <= 8

@@ -10,11 +10,14 @@ it, and each of its segments between '/', '=' and '.' by itself; the largest sco
 these counts: embedded characters, one convolution, the largest response inside and
 outside the candidate, and a logistic output. It is trained on the driver, in
 numpy, on labelled findings: windows of what patterns found in runs, and of runs in
-which they found nothing, ``FINDINGS`` of each label at most, from about ``SAMPLE``
-documents. For half of the training windows the text around is blanked, so that a
-candidate's own shape counts. On findings kept apart, with and without the text
-around, the output is calibrated (a logistic fit), and the threshold is the largest
-that still finds ``RECALL`` of the true ones. Candidates at or above it become spans of kind ``net``; none touches a base span.
+which they found nothing, from all documents, the ``FINDINGS`` of each label with the
+smallest hashes. For half of the training windows the text around is blanked, so that a
+candidate's own shape counts. On findings kept apart (one in four, by a hash of what
+was found), with and without the text around, the output is calibrated (a logistic fit).
+The threshold is the largest that still finds ``RECALL`` of all true findings of the
+table but those trained on, with and without the text around: a quantile of their
+scores, to one in ``RANKS`` of their number. Candidates at or above it
+become spans of kind ``net``; none touches a base span.
 
 Texts are scanned whole; character classes are found over a batch at once in numpy.
 
@@ -30,13 +33,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import arrow_column, bound_batches, chunks, tidy
+from bagdiff.llm.common import arrow_column, bound_batches, chunks, materialize, tidy
 
 CANDIDATE = 16
-#: Bounds of the training sample: documents (about) and findings of each label.
-SAMPLE = 20_000
+#: Bound of the training sample: findings of each label.
 FINDINGS = 3_000
 RECALL = 0.98
+#: Accuracy of the threshold's rank among all true findings.
+RANKS = 100_000
 LEFT, HEAD, TAIL, RIGHT = 24, 24, 16, 12
 #: Characters of a candidate in one window, and the distance of its windows.
 OWN = HEAD + TAIL
@@ -301,50 +305,110 @@ class Network:
         self.threshold = float(true[int((1 - recall) * len(true))])
 
 
-def _findings(batches):
-    """Arrow batches of (text) to labelled windows."""
-    import pyarrow as pa
+def _apart(found):
+    """Whether what was found is kept apart from training."""
+    from zlib import crc32
 
-    table, (assign, access) = _tables(), _patterns()
-    for batch in batches:
-        windows, labels = [], []
-        for _, texts in chunks(batch.column(0)):
-            for t, base, runs in zip(texts, *_find(texts, table, assign, access), strict=True):
-                for start, end, label in _parts(runs, base):
-                    if label is not None:
-                        own = list(_windows(t, start, end))
-                        windows += own
-                        labels += [label] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array(labels, pa.bool_())], ["win", "label"])
-
-
-def fit(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE, findings: int = FINDINGS) -> Network | None:
-    """Train on labelled findings of about ``sample`` documents, chosen by a hash of the id; None without both labels."""
+    return crc32(found.encode()) % 4 == 3
+
+
+class _Smallest:
+    """The ``most`` distinct strings with the smallest hashes of those added."""
+
+    def __init__(self, most):
+        self.most, self.heap, self.held = most, [], set()
+
+    def add(self, text, apart=False):
+        from hashlib import blake2b
+        from heapq import heappush, heappushpop
+
+        entry = (-int.from_bytes(blake2b(text.encode(), digest_size=7).digest()), text, apart)
+        if text in self.held or (len(self.heap) == self.most and entry <= self.heap[0]):
+            return
+        self.held.add(text)
+        if len(self.heap) < self.most:
+            heappush(self.heap, entry)
+        else:
+            self.held.discard(heappushpop(self.heap, entry)[1])
+
+
+def _findings(most):
+    """A function from Arrow batches of (text) to the labelled windows with the smallest hashes, ``most`` of each label."""
+
+    def find(batches):
+        import pyarrow as pa
+
+        table, (assign, access) = _tables(), _patterns()
+        best = {False: _Smallest(most), True: _Smallest(most)}
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                for t, base, runs in zip(texts, *_find(texts, table, assign, access), strict=True):
+                    for start, end, label in _parts(runs, base):
+                        if label is not None:
+                            apart = _apart(t[start:end])
+                            for w in _windows(t, start, end):
+                                best[label].add(w, apart)
+        for label, own in best.items():
+            rows = [{"win": w, "label": label, "hash": -h, "apart": a} for h, w, a in own.heap]
+            kinds = [("win", pa.string()), ("label", pa.bool_()), ("hash", pa.int64()), ("apart", pa.bool_())]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+    return find
+
+
+def _true_scores(shared):
+    """A function from Arrow batches of (text) to the scores of all true findings not trained on, with and without the text around."""
+
+    def score(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        (net, trained), table, (assign, access) = shared.value, _tables(), _patterns()
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                parts = []
+                for i, (base, runs) in enumerate(zip(*_find(texts, table, assign, access), strict=True)):
+                    parts += [(i, s, e) for s, e, label in _parts(runs if base else [], base) if label]
+                parts = [(i, s, e) for i, s, e in parts if trained.isdisjoint(_windows(texts[i], s, e))]
+                if parts:
+                    both = np.concatenate([_scores(net, texts, parts, alone) for alone in (False, True)])
+                    yield pa.RecordBatch.from_arrays([pa.array(both)], ["score"])
+
+    return score
+
+
+def fit(df: DataFrame, text: str = "text", findings: int = FINDINGS) -> Network | None:
+    """Train on labelled findings of all documents, chosen by a hash; None without both labels in the table."""
     import numpy as np
 
     bound_batches(df.sparkSession)
-    total = max(1, df.count())
-    share = min(1.0, sample / total)
-    chosen = df.filter(F.pmod(F.xxhash64(id), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = chosen.select(text).mapInArrow(tidy(_findings), "win string, label boolean").distinct()
+    texts = df.select(text)
+    found = texts.mapInArrow(tidy(_findings(findings)), "win string, label boolean, hash bigint, apart boolean")
+    found = materialize(found, "secret-findings")  # at most 2 * `findings` short strings of a task
     rows = []
     for label in (False, True):  # at most `findings` short strings each
-        rows += found.filter(F.col("label") == label).orderBy(F.xxhash64("win"), "win").limit(findings).collect()
+        rows += found.filter(F.col("label") == label).distinct().orderBy("hash", "win").limit(findings).collect()
     labels = np.array([r.label for r in rows], float)
     if not 0 < labels.sum() < len(labels):
         return None
     codes = _codes([r.win for r in rows])
-    apart = np.arange(len(rows)) % 4 == 3
-    if not 0 < labels[apart].sum() < apart.sum():  # too few to keep some apart
-        apart[:] = True
-        inner = apart
+    apart = np.array([r.apart for r in rows])
+    inner = ~apart
+    if not (0 < labels[apart].sum() < apart.sum() and 0 < labels[inner].sum() < inner.sum()):  # too few to keep some apart
+        apart[:] = inner[:] = True
+        trained = frozenset()
     else:
-        inner = ~apart
+        trained = frozenset(r.win for r in rows if r.label and not r.apart)
     net = Network.start()
     net.train(codes[inner], labels[inner])
     # recall is to hold with and without the text around
     held = np.concatenate((codes[apart], _alone(codes[apart])))
     net.calibrate(held, np.tile(labels[apart], 2), RECALL)
+    shared = df.sparkSession.sparkContext.broadcast((net, trained))
+    scores = texts.mapInArrow(tidy(_true_scores(shared)), "score double")
+    # without any true finding beyond the training windows, the threshold of those kept apart stays
+    cut = scores.agg(F.percentile_approx("score", F.lit(1 - RECALL), F.lit(RANKS))).first()[0]
+    net.threshold = net.threshold if cut is None else cut
     return net
 
 

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from bagdiff.llm import queries, secret_scan
 
@@ -134,3 +135,27 @@ def test_keys_inside_long_runs_are_found(spark):
     got = spans_of(spark.createDataFrame([(t,) for t in inner + beside + plain], "text string"), net)
     found = [any(s.startswith("net:") for s in x) for x in got]
     assert sum(found[:40]) >= 36 and sum(found[40:80]) >= 36 and sum(found[80:]) <= 8
+
+
+def test_findings_come_from_all_documents(spark):
+    """Findings that a sample of 20,000 documents by hash does not hold train the network all the same."""
+    rng = np.random.default_rng(6)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789ghijklmnopqrstuvwxyz")
+    beyond = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) >= int(20_000 / 30_000 * (1 << 20))
+    keys = {r.id: "".join(rng.choice(letters, 32)) for r in spark.range(30_000).filter(beyond).orderBy("id").limit(40).collect()}
+    rows = [(i, f"the token = {keys[i]} of it" if i in keys else f"the text release-2024.01.{i % 97}-final of it") for i in range(30_000)]
+    net = secret_scan.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), findings=8)
+    assert net is not None
+    texts = [f"the token = {k} of it" for k in keys.values()]
+    parts = [(i, 12, 44) for i in range(len(texts))]
+    scores = np.concatenate([secret_scan._scores(net, texts, parts, alone) for alone in (False, True)])
+    # the quantile is that of 32 findings or more, not of the few kept apart among 8
+    assert net.threshold in scores and 1 <= (scores < net.threshold).sum() <= 18
+
+
+def test_smallest_hashes():
+    few, every = secret_scan._Smallest(3), secret_scan._Smallest(50)
+    for i in range(500):
+        few.add(str(i % 50))
+        every.add(str(i % 50))
+    assert len(every.heap) == 50 and sorted(few.heap) == sorted(every.heap)[-3:]

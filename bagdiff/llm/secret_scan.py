@@ -3,7 +3,7 @@
 *Patterns* (base findings): ``assign``, ``access`` and ``hex``, matched leftmost and
 non-overlapping per kind; they always stay.
 
-*Candidates* are runs of at least ``CANDIDATE`` token characters with a digit, or what
+*Candidates* are runs of at least ``CANDIDATE`` token characters, with a digit or not, or what
 base spans leave of them, if it is as long. The network reads each candidate whole, in
 windows of ``OWN`` characters, ``STEP`` apart, those at its ends with the text around
 it, and each of its segments between '/', '=' and '.' by itself; the largest score of
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from bagdiff.llm.common import arrow_column, bound_batches, chunks, materialize, tidy
 
-CANDIDATE = 16
+CANDIDATE = 12
 #: Bound of the training sample: findings of each label.
 FINDINGS = 3_000
 RECALL = 0.98
@@ -60,13 +60,13 @@ _SPAN = "struct<kind:string,start:int,end:int,score:double>"
 
 
 def _tables():
-    """Class bits of the first 128 code points: 1 hex digit, 2 token character, 4 digit."""
+    """Class bits of the first 128 code points: 1 hex digit, 2 token character."""
     import numpy as np
 
     out = np.zeros(129, np.uint8)
     for i in range(128):
         c = chr(i)
-        out[i] = (c in "0123456789abcdef") | (2 * (c.isalnum() or c in "+/_.=-")) | (4 * c.isdigit())
+        out[i] = (c in "0123456789abcdef") | (2 * (c.isalnum() or c in "+/_.=-"))
     return out
 
 
@@ -96,9 +96,6 @@ def _find(texts, table, assign, access):
     for s, e, o in zip(starts.tolist(), stops.tolist(), owner.tolist(), strict=True):
         base[o].append((s - int(begin[o]), 2, e - int(begin[o])))
     starts, stops = _runs((kinds & 2).astype(bool), CANDIDATE)
-    digits = np.concatenate(([0], np.cumsum((kinds & 4) > 0)))
-    some = digits[stops] > digits[starts]
-    starts, stops = starts[some], stops[some]
     owner = np.searchsorted(ends, starts, side="right")
     for s, e, o in zip(starts.tolist(), stops.tolist(), owner.tolist(), strict=True):
         candidates[o].append((s - int(begin[o]), e - int(begin[o])))

@@ -159,3 +159,24 @@ def test_smallest_hashes():
         few.add(str(i % 50))
         every.add(str(i % 50))
     assert len(every.heap) == 50 and sorted(few.heap) == sorted(every.heap)[-3:]
+
+
+def test_short_and_letter_only_keys_are_candidates(spark):
+    """Keys of 12 characters and keys of letters alone, under a name that no pattern knows."""
+    rng = np.random.default_rng(7)
+    mixed, upper = list("ABCDEFGHJKLMNPQRSTUVWXYZ23456789"), list("BCDFGHJKLMNPQRSTVWXZ")
+
+    def key():
+        return "".join(rng.choice(mixed, 12)) if rng.random() < 0.5 else "".join(rng.choice(upper, 20))
+
+    def word():
+        return rng.choice(["international", "characteristics", "notwithstanding", "responsibilities"])
+
+    rows = [(i, f"the token = {key()} of it") for i in range(400)] + [(i, f"the text {word()} of {word()}") for i in range(400, 800)]
+    net = secret_scan.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    short = ["the sign " + "".join(rng.choice(mixed, 12)) + " of it" for _ in range(40)]
+    letters = ["the sign " + "".join(rng.choice(upper, 20)) + " of it" for _ in range(40)]
+    plain = [f"a new {word()} came" for _ in range(40)]
+    got = spans_of(spark.createDataFrame([(t,) for t in short + letters + plain], "text string"), net)
+    found = [any(s.startswith("net:") for s in x) for x in got]
+    assert sum(found[:40]) >= 34 and sum(found[40:80]) >= 34 and sum(found[80:]) <= 4

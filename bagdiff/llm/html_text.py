@@ -2,8 +2,10 @@
 
 A page is cut into blocks at block-level tags. The first pass decides each block by
 stop-word density, length and link density; the markup around a block counts too
-(menus, footers, forms, and containers whose class or id says advert, comments and
-the like are decided at once). Blocks that are short, or long without enough stop
+(menus, footers and forms are decided at once). A class, id or role that says advert,
+comments and the like is evidence against its element. It does not count on ``article``
+and ``main``, nor on an element that holds over ``MOST`` of the page's dense text,
+unless an article stands outside it; where no text would be left, no such name counts. Blocks that are short, or long without enough stop
 words, stay open. In the second pass an open block takes the label of the nearest
 decided blocks: theirs if both sides agree, else the nearer one's, the article's if
 they are equally near. Where a page marks its article (``article``, ``main``), open
@@ -36,6 +38,8 @@ LINKS = 0.4
 #: Stop-word densities: from HIGH a long block is text; a page under KNOWN in every list has no known language.
 HIGH = 0.16
 KNOWN = 0.06
+#: An element with over MOST of the dense text (in characters) holds the article, whatever its class says.
+MOST = 2 / 3
 
 #: Frequent function words of some languages.
 STOP_WORDS = {
@@ -58,6 +62,7 @@ OUTSIDE = set(
     "nav footer aside form head title noscript button select option dialog template svg object audio video canvas menu map".split()
 )
 ARTICLE = {"article", "main"}
+WHOLE = {"html", "body"}
 #: Elements that an opening tag of the same kind, or the end of what encloses them, closes.
 LOOSE = set("p li dt dd tr td th option".split())
 
@@ -95,16 +100,17 @@ def _patterns():
 
 
 class _Block:
-    __slots__ = ("text", "linked", "outside", "article", "state")
+    """``hints``: numbers of the hinted elements around it; ``before``: those around its article."""
 
-    def __init__(self, text, linked, outside, article):
+    __slots__ = ("text", "linked", "outside", "article", "hints", "before", "state")
+
+    def __init__(self, text, linked, outside, article, hints, before):
         self.text, self.linked, self.outside, self.article, self.state = text, linked, outside, article, None
+        self.hints, self.before = hints, before
 
 
 def _is_hint(attributes, patterns):
-    """Whether a class, id or role says that the element is not of the article, or the element is hidden."""
-    if patterns["hidden"].search(attributes):
-        return True
+    """Whether a class, id or role says that the element is not of the article."""
     for m in patterns["hint"].finditer(attributes):
         for name in (m.group(1) or m.group(2) or m.group(3) or "").lower().split():
             words = name.replace("_", "-").split("-")
@@ -121,14 +127,16 @@ def _blocks(page: str, patterns) -> list[_Block]:
 
     page = patterns["raw"].sub(lambda m: " " if m.group(1) else "", page)
     out, parts, links = [], [], []
-    stack: list[tuple[str, bool, int]] = []  # element, whether it is outside the article, number of its article
-    outside, article, articles, anchors = False, 0, 0, 0
+    # element, whether it is outside the article, number of its article, hinted elements around it and its article
+    stack: list[tuple[str, bool, int, frozenset, frozenset]] = []
+    none = frozenset()
+    outside, article, articles, anchors, hints, before, hinted = False, 0, 0, 0, none, none, 0
 
     def flush():
         text = " ".join(unescape("".join(parts)).split())
         if text:
             linked = " ".join(unescape("".join(links)).split())
-            out.append(_Block(text, len(linked) / len(text), outside, article))
+            out.append(_Block(text, len(linked) / len(text), outside, article, hints, before))
         parts.clear()
         links.clear()
 
@@ -163,14 +171,19 @@ def _blocks(page: str, patterns) -> list[_Block]:
             elif name not in LOOSE:  # a block element ends an open paragraph
                 while stack and stack[-1][0] == "p":
                     stack.pop()
-            inside = article
+            inside, around = article, before
             if name in ARTICLE and not outside:
                 articles += 1
-                inside = articles if not article else article
+                if not article:
+                    inside, around = articles, hints
             header = name == "header" and not article
-            away = outside or name in OUTSIDE or header or (name != "body" and name != "html" and _is_hint(m.group(2), patterns))
-            stack.append((name, away, inside))
-        outside, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            away = outside or name in OUTSIDE or header or bool(patterns["hidden"].search(m.group(2)) and name not in WHOLE)
+            own = hints
+            if not away and name not in WHOLE and name not in ARTICLE and _is_hint(m.group(2), patterns):
+                hinted += 1
+                own = hints | {hinted}
+            stack.append((name, away, inside, own, around))
+        outside, article, hints, before = stack[-1][1:] if stack else (False, 0, none, none)
     if at < len(page):
         add(page[at:])
     flush()
@@ -186,6 +199,44 @@ def main_text(page: str, patterns=None, stop_words=None) -> str:
     patterns = patterns or _patterns()
     stop_words = stop_words or {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
     blocks = _blocks(page, patterns)
+    if not any(b.hints for b in blocks):
+        return _decided(blocks, patterns, stop_words, frozenset())
+    held = _held(blocks, patterns, stop_words)
+    return _decided(blocks, patterns, stop_words, held) or _decided(blocks, patterns, stop_words, frozenset())
+
+
+def _held(blocks, patterns, stop_words):
+    """Numbers of the hinted elements that are not of the article."""
+    open_blocks = [b for b in blocks if not b.outside]
+    words = [patterns["word"].findall(b.text.lower()) for b in open_blocks]
+    every = [w for ws in words for w in ws]
+    best, stops = max(((_density(every, s), k) for k, s in stop_words.items()), default=(0.0, ""))
+    sizes, total, articles = {}, 0, []
+    for b, ws in zip(open_blocks, words, strict=True):
+        if len(b.text) >= LONG and b.linked <= LINKS and (best < KNOWN or _density(ws, stop_words[stops]) >= HIGH):
+            total += len(b.text)
+            for h in b.hints:
+                sizes[h] = sizes.get(h, 0) + len(b.text)
+            if b.article:
+                articles.append(b.before | b.hints)
+    named = frozenset().union(*(b.hints for b in open_blocks))
+    return frozenset(h for h in named if sizes.get(h, 0) <= MOST * total or any(h not in around for around in articles))
+
+
+def _decided(blocks, patterns, stop_words, held):
+    """The text of the blocks that the two passes keep, if the ``held`` hinted elements are outside."""
+    kept_as = [(b.outside, b.article) for b in blocks]
+    for b in blocks:
+        b.state = None
+        b.outside = b.outside or not held.isdisjoint(b.hints)
+        b.article = b.article if held.isdisjoint(b.before) else 0
+    text = _two_passes(blocks, patterns, stop_words)
+    for b, (outside, article) in zip(blocks, kept_as, strict=True):
+        b.outside, b.article = outside, article
+    return text
+
+
+def _two_passes(blocks, patterns, stop_words):
     words = [patterns["word"].findall(b.text.lower()) for b in blocks]
     open_words = [w for b, ws in zip(blocks, words, strict=True) if not b.outside for w in ws]
     best, stops = max(((_density(open_words, s), k) for k, s in stop_words.items()), default=(0.0, ""))

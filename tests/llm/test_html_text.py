@@ -37,6 +37,35 @@ def test_class_names():
     assert [main_text(page(x)) for x in kept] == [f"{LONG}\n{MORE}"] * len(kept)
 
 
+@pytest.mark.parametrize(
+    "open_tag",
+    [
+        "<article class='post comments-open'>",
+        "<article class='post category-advertising tag-newsletter'>",
+        "<div id='main-with-sidebar'>",
+        "<main class='layout sidebar-right'>",
+        "<div class='layout sidebar-right'><article>",
+    ],
+)
+def test_names_of_what_holds_the_article_are_no_verdict(open_tag):
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{MORE}</p><p>{LONG}</p>"
+    aside = f"<div class='comments'><p>{MORE.upper()}</p></div>"
+    for page in (f"{open_tag}{body}{aside}", f"<body>{open_tag}{body}{aside}</body>"):
+        assert main_text(page) == f"Title\n{LONG}\n{MORE}\n{LONG}"
+
+
+def test_names_hold_against_an_article_outside_and_for_small_parts():
+    comments = f"<div class='comments'>{f'<p>{MORE}</p>' * 9}</div>"
+    assert main_text(f"<article><p>{LONG}</p></article>{comments}") == LONG
+    assert main_text(f"<article><p>{LONG}</p>{comments}</article>") == LONG
+    assert main_text(f"<div class='related'><article><p>{MORE}</p></article></div><p>{LONG}</p><p>{LONG}</p>") == f"{LONG}\n{LONG}"
+    assert main_text(f"<article hidden><p>{LONG}</p></article><p>{MORE}</p>") == MORE
+
+
+def test_names_do_not_count_if_they_leave_no_text():
+    assert main_text(f"<div class='promo'><p>{LONG}</p></div><div class='notice'><p>{MORE}</p></div>") == f"{LONG}\n{MORE}"
+
+
 def test_references_spaces_and_broken_markup():
     page = f"<article><p><b>A &lt;b&gt; &amp;amp; c&eacute;\n\t x<br><p>{LONG}<p>One &#x41;&nbsp;two"
     assert main_text(page) == f"A <b> &amp; cé x\n{LONG}\nOne A two"

@@ -5,15 +5,19 @@ stop-word density, length and link density; the markup around a block counts too
 (menus, footers and forms are decided at once). A class, id or role that says advert,
 comments and the like is evidence against its element. It does not count on ``article``
 and ``main``, nor on an element that holds over ``MOST`` of the page's dense text,
-unless an article stands outside it; where no text would be left, no such name counts. Blocks that are short, or long without enough stop
-words, stay open. In the second pass an open block takes the label of the nearest
-decided blocks: theirs if both sides agree, else the nearer one's, the article's if
-they are equally near. Where a page marks its article (``article``, ``main``), open
+unless an article stands outside it; where no text would be left, no such name counts.
+A long block with few stop words is decided against where the page's language is sure,
+outside marked articles (these may hold tables or code). Blocks that are short, or long
+with some stop words, stay open. In the second pass an open block takes the label of the
+nearest decided blocks: theirs if both sides agree, else the nearer one's, the article's if
+they are equally near. For short blocks outside marked articles the page's edge is a
+neighbour decided against. Where a page marks its article (``article``, ``main``), open
 blocks look at decided neighbours inside it only, and what stands outside is not
 part of it.
 
 Stop words are those of the page's own language: the list with the most hits on the
-page. If no list fits, density does not count.
+page. If no list fits, density does not count; if one fits but its density on the page is
+under ``LOW``, the page may be in a related language, and low density decides no block.
 
 Character references are decoded once; white space inside a block becomes one space;
 blocks are joined in page order by a line feed. Scripts, styles, comments and tags
@@ -37,6 +41,8 @@ LONG = 60
 LINKS = 0.4
 #: Stop-word densities: from HIGH a long block is text; a page under KNOWN in every list has no known language.
 HIGH = 0.16
+#: Where the page reaches LOW, its language is sure, and a long block under it is not text.
+LOW = 0.12
 KNOWN = 0.06
 #: An element with over MOST of the dense text (in characters) holds the article, whatever its class says.
 MOST = 2 / 3
@@ -240,13 +246,15 @@ def _two_passes(blocks, patterns, stop_words):
     words = [patterns["word"].findall(b.text.lower()) for b in blocks]
     open_words = [w for b, ws in zip(blocks, words, strict=True) if not b.outside for w in ws]
     best, stops = max(((_density(open_words, s), k) for k, s in stop_words.items()), default=(0.0, ""))
-    known = best >= KNOWN
+    known, sure = best >= KNOWN, best >= LOW
     # first pass
     for b, ws in zip(blocks, words, strict=True):
         if b.outside or b.linked > LINKS:
             b.state = False
         elif len(b.text) >= LONG and (not known or _density(ws, stop_words[stops]) >= HIGH):
             b.state = True
+        elif len(b.text) >= LONG and sure and not b.article and _density(ws, stop_words[stops]) < LOW:
+            b.state = False
     marked = any(b.article and b.state is not False for b in blocks)
     if marked:
         for b in blocks:
@@ -262,6 +270,9 @@ def _two_passes(blocks, patterns, stop_words):
         for i, b in enumerate(blocks):
             if decided[i] is None:
                 (left, far_left), (right, far_right) = before[i], after[i]
+                if len(b.text) < LONG and not b.article:
+                    left, far_left = (False, i + 1) if left is None else (left, far_left)
+                    right, far_right = (False, len(blocks) - i) if right is None else (right, far_right)
                 if left is None and right is None:
                     b.state = bool(b.article)
                 elif left is None or right is None or left == right:

@@ -66,6 +66,22 @@ def test_names_do_not_count_if_they_leave_no_text():
     assert main_text(f"<div class='promo'><p>{LONG}</p></div><div class='notice'><p>{MORE}</p></div>") == f"{LONG}\n{MORE}"
 
 
+def test_long_blocks_with_few_stop_words_and_page_edges_are_not_text():
+    imprint = "Acme Media Ltd, 12 Example Street, London EC1A 1BB, phone 020 7946 0000, registered 01234567, VAT GB 123 4567 89"
+    story = f"<h1>Title</h1><p>{LONG}</p><p>Yes.</p><p>{MORE}</p>"
+    assert main_text(f"<body>{story}<p>{imprint}</p></body>") == f"Title\n{LONG}\nYes.\n{MORE}"
+    assert main_text(f"<body><div>{imprint}</div>{story}</body>") == f"Title\n{LONG}\nYes.\n{MORE}"
+    assert main_text(f"<p>Site</p>{story}<p>End.</p><p>Top</p>") == f"Title\n{LONG}\nYes.\n{MORE}\nEnd."
+    # inside a marked article a listing stays, and so does its last short block
+    assert main_text(f"<article>{story}<p>{imprint}</p><p>One</p><p>Two</p></article>").endswith(f"{MORE}\n{imprint}\nOne\nTwo")
+
+
+def test_few_stop_words_of_another_language_reject_nothing():
+    words = "qwrt zxcv bnmk plkj hgfd qazw sxed crfv tgby hnuj mikl the of "
+    mixed = "qwrt zxcv bnmk plkj hgfd qazw sxed crfv tgby hnuj mikl dfgh the of and qwop asdf "
+    assert main_text(f"<p>{words * 3}</p><p>{mixed.replace(' the of and', '')}</p>").count("\n") == 1
+
+
 def test_references_spaces_and_broken_markup():
     page = f"<article><p><b>A &lt;b&gt; &amp;amp; c&eacute;\n\t x<br><p>{LONG}<p>One &#x41;&nbsp;two"
     assert main_text(page) == f"A <b> &amp; cé x\n{LONG}\nOne A two"

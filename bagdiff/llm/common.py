@@ -51,6 +51,16 @@ def chunks(texts, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]
         yield first, held
 
 
+def one_each(df: DataFrame, by: list[str]) -> DataFrame:
+    """One row of ``df`` for each value of ``by`` (null is one), with all its columns: that of the smallest hash.
+
+    Tasks combine their own rows first, so no task receives more than one row of a value from each.
+    """
+    hashed = [F.col(c) for c, kind in df.dtypes if "map<" not in kind]  # maps have no hash
+    row = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.xxhash64(*hashed))
+    return df.groupBy(*by).agg(row.alias("__row")).select("__row.*")
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -15,7 +15,8 @@ collision) is resolved by joining on the text too.
 
 Defined results: the smallest id of a group stays; rows that repeat this id are
 the same document and all stay. Null ids lose to any other; a group with null ids
-alone keeps them. Other columns are ignored; ``kept_rows`` returns them unchanged.
+alone keeps them. Other columns are ignored; ``kept_rows`` returns them unchanged, and
+``one_of_each`` returns one row of each group, also where rows share an id or have none.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import attach_by_key, materialize
+from bagdiff.llm.common import attach_by_key, materialize, one_each
 
 SALTS = 64
 
@@ -69,9 +70,26 @@ def group_copies(
 
 
 def kept_rows(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all its columns; rows that repeat an id with the same text come once."""
+    """The rows of ``df`` that stay, with all its columns; rows that repeat an id with the same text all stay."""
     groups = group_copies(df, id, text).filter("kept")
     keys = groups.groupBy(F.col(id).alias("__id"), F.col("digest").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
     tagged = df.withColumn("__d", sha256(normalized(F.col(text))))
     on = F.col(id).eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest"))
     return tagged.join(keys, on, "left_semi").drop("__d")
+
+
+def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Exactly one row of ``df`` for each group, with all its columns: one with the group's smallest id.
+
+    Texts move together only for ids that a group repeats.
+    """
+    groups = group_copies(df, id, text).filter("kept")
+    keys = groups.groupBy(F.col(id).alias("__id"), F.col("digest").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
+    keys = materialize(keys, "dedup-kept", narrow=True)
+    tagged = df.withColumn("__d", sha256(normalized(F.col(text))))
+    on = F.col(id).eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest"))
+    out = tagged.join(keys.filter("__n = 1"), on, "left_semi").drop("__d")
+    repeated = keys.filter("__n > 1")
+    if repeated.isEmpty():
+        return out
+    return out.unionByName(one_each(tagged.join(repeated, on, "left_semi"), [id, "__d"]).drop("__d"))

@@ -24,7 +24,7 @@ Equal fingerprints are one node. Components of the links are found by star round
 
 Defined results: null text reads as empty. The component id is the smallest id
 reachable; null ids count only where there is no other. Repeated rows give repeated
-results. Other columns are ignored; ``one_of_each`` keeps them.
+results. Other columns are ignored; ``one_of_each`` keeps them, and one row of each component.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import arrow_column, attach_by_key, chunks, materialize
+from bagdiff.llm.common import arrow_column, attach_by_key, chunks, materialize, one_each
 from bagdiff.llm.components import components
 
 SEED = 42
@@ -171,7 +171,7 @@ def _one_further(hot: DataFrame, radius: int) -> DataFrame:
     return beyond.join(least, "middle").filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def near_duplicates(
+def _grouped(
     df: DataFrame,
     id: str = "doc_id",
     text: str = "text",
@@ -180,7 +180,7 @@ def near_duplicates(
     list_max: int = LIST_MAX,
     index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
-    """One row per row of ``df``: ``id``, fp (bigint), component_id."""
+    """One row per row of ``df``: ``id``, fp (bigint), component (its smallest fp), component_id."""
     rows = df.select(F.col(id).alias("id"), fingerprint(F.col(text), shingle).alias("fp"))
     rows = materialize(rows, "simhash-rows")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
@@ -190,14 +190,35 @@ def near_duplicates(
     )
     nodes = nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = nodes.groupBy("component").agg(F.min("id").alias("component_id"))
-    groups = materialize(nodes.join(smallest, "component").select("fp", "component_id", "n"), "simhash-groups", narrow=True)
+    groups = materialize(nodes.join(smallest, "component").select("fp", "component", "component_id", "n"), "simhash-groups", narrow=True)
     total = groups.agg(F.sum("n")).first()[0] or 0
     found = attach_by_key(rows, groups, "fp", "n", total)
-    return found.select(F.col("id").alias(id), "fp", "component_id")
+    return found.select(F.col("id").alias(id), "fp", "component", "component_id")
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per row of ``df``: ``id``, fp (bigint), component_id."""
+    return _grouped(df, id, text, **options).drop("component")
+
 
+def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, **options) -> DataFrame:
+    """Exactly one row of ``df`` for each component, with all its columns: one with the component's id.
 
-def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` whose id is their component's, with all its columns; a null id stays if its component has no other."""
-    found = near_duplicates(df, id, text, **options)
-    kept = found.filter(F.col(id).eqNullSafe(F.col("component_id"))).select(F.col(id).alias("__id")).distinct()
-    return df.join(kept, F.col(id).eqNullSafe(F.col("__id")), "left_semi")
+    Of several with this id, the smallest fingerprint's. A row whose id no other row has
+    is found by it; rows that share an id are told apart by their fingerprints.
+    """
+    found = _grouped(df, id, text, shingle, **options).withColumnRenamed(id, "__id")
+    ids = found.groupBy(F.col("__id").alias("__any")).agg(F.count(F.lit(1)).alias("__n"))
+    own = found.filter(F.col("__id").eqNullSafe(F.col("component_id"))).groupBy("component")
+    kept = own.agg(F.first("__id").alias("__id"), F.min("fp").alias("__fp"))
+    kept = kept.join(ids, F.col("__id").eqNullSafe(F.col("__any"))).select("__id", "__fp", "__n")
+    kept = materialize(kept, "simhash-kept", narrow=True)
+    same = F.col(id).eqNullSafe(F.col("__id"))
+    out = df.join(kept.filter("__n = 1"), same, "left_semi")
+    repeated = kept.filter("__n > 1")
+    if repeated.isEmpty():
+        return out
+    rows = df.join(repeated.select("__id").distinct(), same, "left_semi")
+    rows = rows.withColumn("__f", fingerprint(F.col(text), shingle))
+    rows = rows.join(repeated, same & (F.col("__f") == F.col("__fp")), "left_semi")
+    return out.unionByName(one_each(rows, [id, "__f"]).drop("__f"))

@@ -20,12 +20,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of equal texts."""
-    return exact_dedup.kept_rows(docs)
+    """Keep one row, with the smallest id, of each group of equal texts."""
+    return exact_dedup.one_of_each(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate component."""
+    """Keep one row, with the smallest id, of each near-duplicate component."""
     return simhash.one_of_each(docs, shingle=queries.SHINGLE, distance=queries.DISTANCE)
 
 

@@ -57,6 +57,21 @@ def test_stages_on_odd_rows_keep_columns(spark, odd_docs, tmp_path):
     assert sorted({r.doc_id for r in out.collect()}) == [1, 6, 8]
 
 
+def test_copies_that_share_an_id_or_have_none(spark):
+    """One row of each group, also where a table is loaded twice, ids are null, or an id names several texts."""
+    a = "The first text has a number of words that no other text of this table has in this order, none of them."
+    b = "Zwei Hunde laufen durch den Garten und suchen nach einem Ball, den das Kind gestern dort verloren hat."
+    c = "El perro y el gato duermen en la casa grande que esta al lado del rio, lejos de la ciudad y del ruido."
+    rows = [(1, a), (1, a), (1, a.replace(" ", "  ")), (None, b), (None, b), (1, c), (0, c), (7, b + " Ja."), (7, b + " Ja.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, norm(r.text)) for r in corpus_pipeline.exact_stage(spark, docs, "").collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (None, b), (0, c), (7, b + " Ja.")], key=repr)
+    components = {(x[1], x[2]) for x in near([(i, norm(t)) for i, t in rows])}
+    got = [(r.doc_id, norm(r.text)) for r in corpus_pipeline.near_stage(spark, docs, "").collect()]
+    assert (1, a) in got and (0, c) in got and (1, c) not in got
+    assert len(got) == len(set(got)) and len(got) <= len(components)
+
+
 def test_empty_table(spark, no_docs):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES:

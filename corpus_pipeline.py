@@ -8,14 +8,18 @@ costs the running stage's tasks only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bagdiff.llm import decontaminate, exact_dedup, language_id, queries, simhash
 from bagdiff.llm.common import materialize
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told: null, empty or letterless texts."""
-    found = language_id.with_language(docs, language_id.fit(docs), into="__language")
+    """Drop documents whose language cannot be told: null, empty or letterless texts; these alone if none is learned."""
+    model = language_id.fit(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = language_id.with_language(docs, model, into="__language")
     return found.filter(found["__language.lang_pred"] != language_id.UNKNOWN).select(docs.columns)
 
 

@@ -72,6 +72,12 @@ def test_copies_that_share_an_id_or_have_none(spark):
     assert len(got) == len(set(got)) and len(got) <= len(components)
 
 
+def test_without_any_language_texts_with_letters_stay(spark):
+    rows = [(1, "A clean text.", None), (2, "中文", None), (3, "123 !", None), (4, "", None), (5, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.language_stage(spark, docs, "").collect()) == [1, 2]
+
+
 def test_empty_table(spark, no_docs):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bagdiff.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     exact_dedup,
     html_text,
@@ -17,11 +18,14 @@ from bagdiff.llm import (
     quality,
     secret_scan,
     simhash,
+    token_counts,
     url_filter,
 )
 
 #: Vocabulary file of the tokenizer queries.
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
 SHINGLE, DISTANCE = 4, 4
 
 
@@ -153,6 +157,52 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by a hash of conversation and turn."""
+
+    def text_of(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), kind.alias("kind"))
+    rows = rows.where(F.col("kind") != 0).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("kind") == 3, 2).otherwise(1).alias("times"),
+    )
+    return rows.select("*", F.explode(F.sequence(F.lit(1), "times"))).select("conv_id", "turn", "role", "text")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    conversations = _table(spark, sf_dir, "conversations")
+    fixed = conversation_repair.repair(damaged(conversations))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    texts = conversation_repair.digests(fixed.messages).withColumnRenamed("conv", "c1")
+    report = fixed.report.withColumnRenamed("conv", "c2")
+    out = conversations.select("conv_id").distinct()
+    out = out.join(report, F.col("conv_id").eqNullSafe(F.col("c2")), "left").join(texts, F.col("conv_id").eqNullSafe(F.col("c1")), "left")
+    return out.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def token_counts_of(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Bytes and tokens of every row of ``docs`` (doc_id, text)."""
+    counted = token_counts.count_tokens(docs, path or vocabulary_path(PIECES), ["doc_id"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return token_counts_of(_table(spark, sf_dir, "documents"))
+
+
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _DUCK_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -295,6 +345,78 @@ FROM t JOIN g ON t.norm = g.norm
 """
 
 
+def _op12_sql() -> str:
+    """Row by row for all conversations together: per state the least (cost, audit) with its lines."""
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def way(state: str, cost: str, edit: str, line: str | None = None, when: str | None = None) -> str:
+        lines = f"list_append({state}.t, {line})" if line else f"{state}.t"
+        return f"CASE WHEN {state} IS NOT NULL{f' AND {when}' if when else ''} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {lines}}} END"
+
+    stays = "fault NOT IN ('blank', 'duplicate')"
+    more = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+
+    def kept(state: str, initial: str) -> str:
+        return way(state, more, "K", "role || ':' || text", f"{stays} AND role[1] = '{initial}'")
+
+    def given(state: str, role: str) -> str:
+        return way(state, f"3 + {more}", "R", f"'{role}:' || text", stays)
+
+    users = best("s2", *[way(s, "3", "I", "'user:'") for s in ("s0", "s1", "s3")])
+    assistants = best("s3", way("u", "3", "I", "'assistant:'"))
+    to_user = [x for s in ("s0", "s1", "a") for x in (kept(s, "u"), given(s, "user"))]
+    white = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v FROM range(256) r(i))
+), keyed AS (
+  SELECT row_number() OVER () AS r, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), kinds AS (
+  SELECT keyed.*, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda k: ascii(key[k])::BIGINT),
+    lambda a, b: xor(a >> 8, crc.t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, r, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(2) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), r) AS i FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?]{white}*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM placed
+), steps AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS s0,
+    NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s1, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s3
+  FROM faulty
+  UNION ALL
+  SELECT conv_id, i + 1, {way("s0", "4", "D")}, {best(way("s1", "4", "D"), kept("s0", "s"))},
+    {best(way("u", "4", "D"), *to_user)}, {best(way("a", "4", "D"), kept("u", "a"), given("u", "assistant"))}
+  FROM (SELECT *, {assistants} AS a FROM (
+    SELECT steps.conv_id, steps.i, s0, s1, s2, s3, role, text, fault, {users} AS u
+    FROM steps JOIN faulty ON steps.conv_id IS NOT DISTINCT FROM faulty.conv_id AND faulty.i = steps.i + 1))
+), ends AS (
+  SELECT conv_id, {best("s0", assistants)} AS e FROM (SELECT *, {users} AS u FROM steps
+    WHERE (conv_id, i) IN (SELECT (conv_id, max(i)) FROM faulty GROUP BY conv_id))
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit,
+  sha256(coalesce(array_to_string(e.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN ends ON c.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
 def queries() -> dict:
     return {
         "op1_html_text": op1_html_text,
@@ -307,6 +429,8 @@ def queries() -> dict:
         "op8_bpe": op8_bpe,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality": op10_quality,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_token_counts": op13_token_counts,
     }
 
 
@@ -316,4 +440,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": _op5_sql(),
         "op7_benchmark_decontamination": OP7_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op12_conversation_repair": _op12_sql(),
     }

@@ -1,19 +1,19 @@
 """Token counts through the distinct pre-tokens of a table, without making ids.
 
 The vocabulary is a SentencePiece BPE model whose normaliser changes nothing but spaces
-(``load`` refuses any other). No piece of it holds a space behind another character, nor a
-line feed, so no merge crosses the places before a run of spaces or around a line feed.
-Texts are cut there into pre-tokens, and the number of tokens of a text is the sum over its
-pre-tokens.
-
-1. Every task counts, for each pre-token, the rows that hold it; the distinct ones meet in
-   one aggregation, and the library counts the pieces of each once.
-2. Every row's pre-tokens with their frequencies are joined to these counts: pre-tokens in
-   over ``1 / HOT_SHARE`` of all (row, pre-token) pairs, so at most ``HOT_SHARE`` of them,
-   are broadcast and summed where the row is read; the others move, one row for each
-   (row, pre-token), and are joined by their key. So no task receives a hot pre-token.
-
-A pre-token of over ``KEY_CHARS`` characters has its 256-bit digest as its key.
+(``load`` refuses any other). No piece holds a space behind another character, a set of signs
+(found from the pieces: line ends, digits, punctuation) stands behind no other character in any
+piece, and only few of them, the joining signs, before one. So no merge crosses the places before a run of
+spaces, before a run of signs, or behind one that does not end with a joining sign. Texts are cut there into
+pre-tokens, and the number of tokens of a text is the sum over its pre-tokens.
+
+1. *Hot pre-tokens.* Every task hands on the pre-tokens that hold over ``1 / HOT_SHARE`` of its
+   (row, pre-token) pairs; those whose sum over all tasks is over ``1 / HOT_SHARE`` of all pairs, so at most
+   ``HOT_SHARE`` of them, are counted once and broadcast. Any with over ``2 / HOT_SHARE`` of all
+   pairs is among them, as it has the rest of its pairs in tasks where it has too small a share.
+2. *Frequencies.* Every row's pre-tokens with their frequencies are joined to these counts where the row is read.
+3. *The others* move, one (row, pre-token, frequency) for each, are sorted by pre-token, and the
+   pieces of each distinct one are counted once where its rows meet. None of them is hot.
 
 Defined results: null reads as the empty text, which has no token and no byte. Rows are
 counted one by one, so repeated rows give repeated results, null ids stay null, and other
@@ -32,17 +32,18 @@ from bagdiff.llm.common import arrow_column, bound_batches, chunks, materialize,
 
 SPACE = "▁"
 #: At most so many pre-tokens are broadcast, with keys of at most KEY_CHARS characters (a digest's has one more).
-HOT_SHARE = 1 << 17
+HOT_SHARE = 1 << 20
 KEY_CHARS = 64
-#: Distinct pre-tokens that a task holds before it hands them on.
-HELD = 200_000
+#: Distinct pre-tokens that a task holds while it counts them.
+HELD = 1_000_000
 
 
 class Model(NamedTuple):
-    """A vocabulary file's bytes and whether a line feed ends a pre-token."""
+    """A vocabulary file's bytes, the signs that no piece holds behind another character, and those that one holds before one."""
 
     data: bytes
-    cut_lines: bool
+    signs: str
+    joining: str
 
 
 def _fields(data: bytes):
@@ -96,17 +97,27 @@ def load(path: str) -> Model:
         "no byte pieces": sum(kind == 6 for _, kind in pieces) != 256,
         "no piece for a space": SPACE not in plain,
         "pieces with a space behind another character": any(SPACE in p.lstrip(SPACE) for p in plain),
+        "pieces with a line feed": any("\n" in p for p in plain),
     }
     if any(wrong.values()):
         raise ValueError(f"{path}: " + ", ".join(k for k, v in wrong.items() if v))
-    return Model(data, not any("\n" in p for p in plain))
+    beside = {pair for p in plain for pair in zip(p.lstrip(SPACE), p.lstrip(SPACE)[1:], strict=False)}
+    signs = {chr(c) for c in range(128) if not chr(c).isalpha() and chr(c) != " "}
+    while behind := {b for a, b in beside if a not in signs and b in signs}:
+        signs -= behind
+    joining = {a for a, b in beside if a in signs and b not in signs}
+    return Model(data, "".join(sorted(signs)), "".join(sorted(joining)))
 
 
 class _Cutter:
     """Pre-tokens of texts; a space in front is part of a text that is not empty."""
 
-    def __init__(self, cut_lines: bool):
-        self.find = re.compile(" +[^ \n]*|\n|[^ \n]+" if cut_lines else " +[^ ]*").findall
+    def __init__(self, model: Model):
+        sign, other = f"[{re.escape(model.signs)}]", f"[^ {re.escape(model.signs)}]"
+        run = f"{other}+|{sign}+"
+        if model.joining:
+            run = f"{other}+|{sign}*[{re.escape(model.joining)}]{other}+|{sign}+"
+        self.find = re.compile(f" +(?:{run})?|{run}").findall
 
     def __call__(self, text: str) -> list[str]:
         return self.find(" " + text.replace(SPACE, " ")) if text else []
@@ -117,8 +128,8 @@ def _key(token: str) -> str:
         return token
     import hashlib
 
-    # no pre-token of a line's inside begins with a line feed, so no other key does
-    return "\n" + hashlib.blake2b(token.encode(), digest_size=32).hexdigest()
+    # so long a run of signs and letters is no pre-token, and no other key is of this length
+    return "#" + hashlib.blake2b(token.encode(), digest_size=32).hexdigest()
 
 
 def _pieces(model: Model):
@@ -139,92 +150,107 @@ def _pieces(model: Model):
     return count
 
 
-def pre_tokens(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``key, rows, pieces`` of each distinct pre-token: how many rows hold it, and how many tokens it makes."""
+def hot_pre_tokens(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``key, pieces`` of the pre-tokens with over ``1 / HOT_SHARE`` of all (row, pre-token) pairs in the tasks where they are frequent."""
     model = load(path)
     bound_batches(df.sparkSession)
-    cut_lines, shared = model.cut_lines, df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def held(batches):
+    def frequent(batches):
         from collections import Counter
 
         import pyarrow as pa
 
-        def rows(counts):
-            tokens = list(counts)
+        def rows(counts, total):
+            tokens = [t for t, n in counts.items() if n * HOT_SHARE > total]
             keys = [_key(t) for t in tokens]
             whole = [None if k is t else t for k, t in zip(keys, tokens, strict=True)]
-            data = [pa.array(keys, pa.string()), pa.array(whole, pa.string()), pa.array(list(counts.values()), pa.int64())]
+            own = [*[counts[t] for t in tokens], total]  # the last row has the sum of all pairs
+            data = [pa.array([*keys, None], pa.string()), pa.array([*whole, None], pa.string()), pa.array(own, pa.int64())]
             return pa.RecordBatch.from_arrays(data, names=["key", "token", "rows"])
 
-        cut, counts = _Cutter(cut_lines), Counter()
+        cut, counts, total = _Cutter(shared.value), Counter(), 0
         for batch in batches:
             for _, part in chunks(batch.column(0)):
                 for t in part:
-                    counts.update(set(cut(t)))
+                    own = set(cut(t))
+                    total += len(own)
+                    counts.update(own)
                 if len(counts) > HELD:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
+                    yield rows(counts, total)
+                    counts, total = Counter(), 0
+        yield rows(counts, total)
 
     def count(batches):
         import pyarrow as pa
 
-        ask = None
+        ask = _pieces(shared.value)
         for tokens in batches:
-            ask = ask or _pieces(shared.value)
-            counts = [n for _, part in chunks(tokens) for n in ask(part)]
-            yield pa.array(counts, pa.int64())
+            yield pa.array([n for _, part in chunks(tokens) for n in ask(part)], pa.int64())
 
-    seen = df.select(F.col(text).alias("__text")).mapInArrow(tidy(held), "key string, token string, rows bigint")
-    distinct = seen.groupBy("key", "token").agg(F.sum("rows").alias("rows"))  # a key has one token
-    return distinct.select("key", "rows", arrow_column(count, "bigint", F.coalesce("token", "key")).alias("pieces"))
+    seen = df.select(F.col(text).alias("__text")).mapInArrow(tidy(frequent), "key string, token string, rows bigint")
+    sums = materialize(seen.groupBy("key", "token").agg(F.sum("rows").alias("rows")), "pre_token_rows", narrow=True)
+    total = sums.where(F.col("key").isNull()).agg(F.sum("rows")).first()[0] or 0
+    hot = sums.where(F.col("key").isNotNull() & (F.col("rows") > total // HOT_SHARE))
+    return hot.select("key", arrow_column(count, "bigint", F.coalesce("token", "key")).alias("pieces"))
 
 
 def count_tokens(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` of ``df`` with ``n_bytes`` (of the text in UTF-8) and ``n_tokens`` for each row."""
-    spark = df.sparkSession
-    table = materialize(pre_tokens(df, path, text), "pre_tokens", narrow=True)
-    total = table.agg(F.sum("rows")).first()[0] or 0
-    hot = table.where(F.col("rows") > total // HOT_SHARE + 1).select("key", "pieces")
-    shared = spark.sparkContext.broadcast({r.key: r.pieces for r in hot.toLocalIterator()})
-    cut_lines = load(path).cut_lines
+    context = df.sparkSession.sparkContext
+    model = context.broadcast(load(path))
+    shared = context.broadcast({r.key: r.pieces for r in hot_pre_tokens(df, path, text).toLocalIterator()})
 
     def frequencies(batches):
         from collections import Counter
 
         import pyarrow as pa
 
-        cut, known = _Cutter(cut_lines), shared.value
-        pair = pa.struct([("key", pa.string()), ("n", pa.int64())])
+        cut, known = _Cutter(model.value), shared.value
+        pair = pa.struct([("token", pa.string()), ("n", pa.int64())])
         kind = pa.struct([("known", pa.int64()), ("rest", pa.list_(pair))])
         for texts in batches:
             for _, part in chunks(texts):
-                sums, keys, times, ends = [], [], [], [0]
+                sums, tokens, times, ends = [], [], [], [0]
                 for t in part:
                     summed = 0
                     for token, n in Counter(cut(t)).items():
                         pieces = known.get(token if len(token) <= KEY_CHARS else _key(token))
                         if pieces is None:
-                            keys.append(_key(token))
+                            tokens.append(token)
                             times.append(n)
                         else:
                             summed += n * pieces
                     sums.append(summed)
-                    ends.append(len(keys))
-                rest = pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(times, pa.int64())], fields=list(pair))
+                    ends.append(len(tokens))
+                rest = pa.StructArray.from_arrays([pa.array(tokens, pa.string()), pa.array(times, pa.int64())], fields=list(pair))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)
                 yield pa.StructArray.from_arrays([pa.array(sums, pa.int64()), lists], fields=list(kind))
 
-    made = arrow_column(frequencies, "struct<known:bigint,rest:array<struct<key:string,n:bigint>>>", F.col(text))
+    def counted(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        ask, last, pieces = _pieces(model.value), None, 0
+        for batch in batches:
+            held = batch.column(0).dictionary_encode()
+            distinct = held.dictionary.to_pylist()
+            new = distinct[1:] if distinct and distinct[0] == last else distinct  # a token goes on in the next batch
+            counts = [pieces] * (len(distinct) - len(new)) + [n for n in ask(new)] if distinct else []
+            if distinct:
+                last, pieces = distinct[-1], counts[-1]
+            own = np.array(counts, np.int64)[held.indices.to_numpy()] * batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.int64())], names=["__row", "tokens"])
+
+    made = arrow_column(frequencies, "struct<known:bigint,rest:array<struct<token:string,n:bigint>>>", F.col(text))
     kept = [F.col(c).alias(f"__keep{i}") for i, c in enumerate(keep)]
     size = F.coalesce(F.octet_length(F.col(text)).cast("bigint"), F.lit(0).cast("bigint"))
     rows = df.select(*kept, size.alias("__bytes"), made.alias("__made"))
     # numbered on writing, so that the sums below find their rows whatever is run again
-    rows = rows.select("*", F.monotonically_increasing_id().alias("__row"))
-    rows = materialize(rows, "token_frequencies")
-    rest = rows.select("__row", F.explode("__made.rest").alias("__one")).select("__row", "__one.key", "__one.n")
-    more = rest.join(table.select("key", "pieces"), "key").groupBy("__row").agg(F.sum(F.col("n") * F.col("pieces")).alias("__more"))
+    rows = materialize(rows.select("*", F.monotonically_increasing_id().alias("__row")), "token_frequencies")
+    rest = rows.select("__row", F.explode("__made.rest").alias("__one")).select("__one.token", "__row", "__one.n")
+    met = rest.repartition("token").sortWithinPartitions("token").mapInArrow(tidy(counted), "__row bigint, tokens bigint")
+    more = met.groupBy("__row").agg(F.sum("tokens").alias("__more"))
     named = [F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)]
     summed = F.col("__made.known") + F.coalesce("__more", F.lit(0))
     return rows.join(more, "__row", "left").select(*named, F.col("__bytes").alias("n_bytes"), summed.alias("n_tokens"))

@@ -17,9 +17,9 @@ def library():
 
 def test_sums_over_pre_tokens(library):
     rnd = random.Random(1)
-    alphabet = [*"aaabc  \n\t'sdt.,!09é中\xa0 \x1c😀́Ⅷß\r\x0b\x0c　\x00▁", "<s>", "</s>", "<unk>", "<0x0A>", " \n ", "the ", "  "]
+    alphabet = [*"aaabc  \n\t'sdt.,!09é中\xa0 \x1c😀́Ⅷß\r\x0b\x0c　\x00▁", "<s>", "</s>", "<unk>", "<0x0A>", " \n ", "the ", "  ", "/s", "//", "(/", "-/x"]
     model = token_counts.load(PATH)
-    cut, count = token_counts._Cutter(model.cut_lines), token_counts._pieces(model)
+    cut, count = token_counts._Cutter(model), token_counts._pieces(model)
     texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(40))) for _ in range(5000)]
     texts += ["", " ", "  ", "a" * 5000, "ab" * 3000, " " * 999 + "x", "\n" * 500, "é" * 777, "▁", "▁▁a", "a "]
     for t in texts:
@@ -41,12 +41,14 @@ def test_query(spark, small, library, share, monkeypatch):
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 4096)
 
 
-def test_each_pre_token_is_counted_once(spark):
-    df = spark.createDataFrame([("a b a",), ("a\nb",), (None,), ("x" * 100 + " a",)], "text string")
-    rows = token_counts.pre_tokens(df, PATH).collect()
-    assert len({r.key for r in rows}) == len(rows) == 5  # " a", " b", "\n", "b", and one with a digest as its key
-    assert {r.key: r.rows for r in rows}[" a"] == 3
-    assert all(len(r.key) <= token_counts.KEY_CHARS + 1 for r in rows)
+def test_hot_pre_tokens(spark, monkeypatch):
+    """One with over 2 / HOT_SHARE of all pairs is found whatever task it is in; at most HOT_SHARE are."""
+    monkeypatch.setattr(token_counts, "HOT_SHARE", 8)
+    rows = [("a b" if i % 2 else f"a x{i}",) for i in range(200)] + [("a " + "x" * 100,)] * 300 + [(None,)]
+    df = spark.createDataFrame(rows, "text string").repartition(7)
+    got = {r.key: r.pieces for r in token_counts.hot_pre_tokens(df, PATH).collect()}
+    assert {" a", token_counts._key(" " + "x" * 100)} <= set(got) and len(got) <= 8
+    assert got[" a"] == 1 and max(map(len, got)) == token_counts.KEY_CHARS + 1
 
 
 def test_odd_rows(odd_docs, no_docs, library):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bagdiff.llm import (
     bpe,
+    collocations,
     conversation_repair,
     decontaminate,
     exact_dedup,
@@ -157,6 +158,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best phrases of two to four words of each language."""
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows dropped, emptied, cut, repeated or given to the user, by a hash of conversation and turn."""
 
@@ -345,6 +351,44 @@ FROM t JOIN g ON t.norm = g.norm
 """
 
 
+#: Every phrase counted by itself, without the graph.
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), words AS (
+  SELECT p, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i
+  FROM (SELECT p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)
+), runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS k, w1 AS phrase FROM runs UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs
+  ) WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:j], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[j + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[s:s + n - 1], ' ') AS phrase, max(a) AS cover
+  FROM candidates, generate_series(2, 3) t(n), generate_series(1, 3) u(s) WHERE n < k AND s + n - 1 <= k GROUP BY ALL
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE cover IS NULL OR 100::HUGEINT * cover < 80::HUGEINT * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, (SELECT count(*) FROM words WHERE words.lang = ranked.lang) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def _op12_sql() -> str:
     """Row by row for all conversations together: per state the least (cost, audit) with its lines."""
 
@@ -429,6 +473,7 @@ def queries() -> dict:
         "op8_bpe": op8_bpe,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_quality": op10_quality,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op12_conversation_repair": op12_conversation_repair,
         "op13_token_counts": op13_token_counts,
     }
@@ -440,5 +485,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": _op5_sql(),
         "op7_benchmark_decontamination": OP7_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op11_phrase_collocations": OP11_SQL,
         "op12_conversation_repair": _op12_sql(),
     }

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from bagdiff.llm import collocations as co
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least, longest=4, top=2000):
+    """{(lang, rank): (phrase, a, l, r, n, score)} by counting every phrase."""
+    f, total = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            total[lang or "und"] += len(words)
+            for k in range(1, longest + 1):
+                f[lang or "und"].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = {}
+    for lang, counts in f.items():
+        candidates = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        inside = Counter()
+        for p, a in candidates.items():
+            for k in range(2, len(p)):
+                for i in range(len(p) - k + 1):
+                    inside[p[i : i + k]] = max(inside[p[i : i + k]], a)
+        found = []
+        for p, a in candidates.items():
+            if 100 * inside[p] < 80 * a:
+                cuts = [(2_000_000 * a // (counts[p[:k]] + counts[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                found.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out[lang, rank] = (phrase.decode(), -a, left, right, total[lang], -score)
+    return out
+
+
+def mined(df, **more):
+    return {(r.lang, r["rank"]): (r.phrase, r.a, r.l, r.r, r.n, r.score) for r in co.mine(df, **more).collect()}
+
+
+def some_texts(seed, n):
+    """Texts with frequent words, repeated passages (long unary paths) and runs of one word."""
+    rnd = random.Random(seed)
+    words = [*"the of and a in to is was".split(), *[f"w{i}" for i in range(60)], "É", "Über", "x\x1cy", "naïve\xa0z", "😀"]
+    weights = [40] * 8 + [3] * (len(words) - 8)
+    passage = [" ".join(rnd.choices(words, k=30)) for _ in range(3)]
+    for i in range(n):
+        parts = [" ".join(rnd.choices(words, weights, k=rnd.randrange(1, 12))) for _ in range(rnd.randrange(6))]
+        if i % 3 == 0:
+            parts.insert(rnd.randrange(len(parts) + 1), rnd.choice(passage))
+        if i % 10 == 0:
+            parts.append("la " * rnd.randrange(9))
+        text = rnd.choice([". ", ",", "\n", " ! \t", "\r\n", "  "]).join(parts)
+        yield rnd.choice(["en", "en", "de", None]), text.upper() if i % 7 == 0 else text
+
+
+@pytest.mark.parametrize("least", [3, 12])
+def test_random_texts(spark, least):
+    rows = [*some_texts(least, 400), ("fr", "un deux. " * least), ("fr", None), ("fr", "")]
+    df = spark.createDataFrame([(i % 5, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    want = brute(rows, least)
+    assert mined(df, least=least) == want and len(want) > 100
+    assert mined(df, least=least, top=5) == {k: v for k, v in want.items() if k[1] <= 5}
+
+
+def test_full_sketch_cuts_nothing(spark, monkeypatch):
+    """With four buckets all bits are set, and the result is the same; so it is when tasks hand on little at a time."""
+    rows = list(some_texts(9, 150))
+    df = spark.createDataFrame(rows, "lang string, text string")
+    monkeypatch.setattr(co, "SKETCH_BITS", 16)
+    monkeypatch.setattr(co, "BLOCK_BITS", 14)
+    monkeypatch.setattr(co, "HELD", 100)
+    monkeypatch.setattr(co, "TOGETHER", 1000)
+    assert mined(df, least=4) == brute(rows, 4)
+
+
+def test_paths_hold_every_edge(spark):
+    """A passage becomes one path; a branch ends it."""
+    passage = [f"p{i}" for i in range(20)]
+    rows = [("en", " ".join(passage))] * 6 + [("en", " ".join([*passage[5:12], "other", "end"]))] * 5
+    df = spark.createDataFrame(rows, "lang string, text string")
+    grams = co._grams(df.select("lang", "text"), spark.sparkContext.broadcast(b"\xff" * (1 << (co.SKETCH_BITS - 3))), 4)
+    levels = co._flows(grams.cache(), 4)
+    paths = {tuple(r.words): r.f for r in co._paths(levels[-1], levels[-2], 4).collect()}
+    edges = {tuple(r.gram.split(" ")): r.f for r in levels[-1].collect()}
+    assert {tuple(p[i : i + 4]): f for p, f in paths.items() for i in range(len(p) - 3)} == edges
+    assert sum(len(p) - 3 for p in paths) == len(edges) and len(paths) <= 5 < len(edges)
+    assert max(map(len, paths)) >= 10
+
+
+def test_numbers_past_64_bits(spark):
+    rows = [(3, 4, 5), (10**18, 10**18, 1), (7 * 10**17 + 1, 9 * 10**17, 9 * 10**17 - 1), (1, 1, 10**18)]
+    df = spark.createDataFrame(rows, "a long, l long, r long").select("*", co.cut_score(F.col("a"), F.col("l"), F.col("r")).alias("s"))
+    assert all(x.s == 2_000_000 * x.a // (x.l + x.r) for x in df.collect())
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.lang, r.text) for r in odd_docs.select("lang", "text").collect()]
+    assert mined(odd_docs, least=2) == brute(rows, 2)
+    assert co.mine(no_docs).count() == 0
+    lone = spark.createDataFrame([("en", "one two")] * 3, "lang string, text string")
+    assert mined(lone, least=4) == {}

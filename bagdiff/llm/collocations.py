@@ -6,14 +6,15 @@ Candidates are phrases of 2 to ``longest`` words with f of ``least`` or more. Th
 two parts is ``floor(2000000 f / (f(first) + f(rest)))``; its lowest-scoring cut counts, the first of equal ones. A candidate is dropped
 if it lies inside a longer one with 0.8 of its f or more.
 
-1. *Links.* Two adjacent words that occur together under ``least`` times lie in no candidate. One pass counts
-   adjacent words and words in ``2 ** SKETCH_BITS`` buckets by hash; a bit for each bucket that reached ``least`` is
-   broadcast. Pieces are also cut where the bit of two words is not set. Other words in the
-   same bucket only leave a cut out, so no count depends on hashes; where all
-   buckets are full, nothing is cut.
-2. *Edges.* Each word of a cut piece begins a gram of ``longest`` words, or of what is left of the piece. The first are the
-   graph's edges, from the node of all their words but the last to that of all but the first, weighted with their
-   number; the others are the corrections for the ends of pieces.
+1. *Links.* A phrase that occurs under ``least`` times lies in no candidate. One pass counts words and pairs of
+   adjacent words in ``2 ** SKETCH_BITS`` buckets by hash; a bit for each bucket that reached ``least`` is
+   broadcast. A second pass does so for three words whose pairs have their bits (up to
+   ``longest - 1`` words). Other phrases in the same bucket only make more phrases pass, so no
+   count depends on hashes; where all buckets are full, all pass.
+2. *Edges.* Each word begins a gram: of its next words in the piece, up to ``longest``, as long as all phrases in them have their
+   bits. The longest grams are the graph's edges, from the node of all their words but the last to that of all but
+   the first, weighted with their number; the others are the corrections for the ends of pieces, as a piece also
+   ends where no longer phrase can be frequent.
 3. *Node flow.* f of a node is the weight of the edges that leave it and its correction; f of a shorter phrase is the sum over the phrases of one
    word more that begin with it, and its correction.
 4. *Paths.* A node with one edge in and one out, where no piece begins or ends, is unary. Edges that meet in
@@ -33,7 +34,7 @@ from bagdiff.llm.common import attach_by_key, bound_batches, chunks, materialize
 
 UNKNOWN = "und"
 ENDS = ".,;:!?\n\x0b\x0c\r"
-#: 8 MB of bits to broadcast.
+#: 8 MB of bits to broadcast for each size of phrases, from two words to one under the longest.
 SKETCH_BITS = 26
 BLOCK_BITS = 16
 #: Characters that a task cuts into words at once, and bucket numbers that it holds.
@@ -62,16 +63,40 @@ class _Words:
         self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
         self.total = int((self.ids > 0).sum())
 
-    def buckets(self):
-        """The bucket of each place's word, and of it and its successor."""
+    def buckets(self, longest: int):
+        """For 1 to ``longest`` words the bucket of each place's phrase of so many words, whatever ends within it."""
         import numpy as np
 
-        first = self.hashes[self.ids]
-        pair = first * np.uint64(0x9E3779B97F4A7C15) + np.append(first[1:], np.uint64(0))
-        pair ^= pair >> np.uint64(29)
-        pair *= np.uint64(0xBF58476D1CE4E5B9)
-        shift = np.uint64(64 - SKETCH_BITS)
-        return first >> shift, pair >> shift
+        word = self.hashes[self.ids]
+        phrase, shift = word, np.uint64(64 - SKETCH_BITS)
+        yield word >> shift
+        for size in range(1, longest):
+            phrase = phrase * np.uint64(0x9E3779B97F4A7C15) + np.append(word[size:], np.zeros(size, np.uint64))[: len(word)]
+            phrase ^= phrase >> np.uint64(29)
+            phrase *= np.uint64(0xBF58476D1CE4E5B9)
+            yield phrase >> shift
+
+    def frequent(self, sketches):
+        """For each place, whether its word, its next two words, ... may be frequent, by the bits of ``sketches``.
+
+        The first of them has the bits of words and of pairs, the next those of three words, and so on.
+        One size more than they have is told by the two phrases in it.
+        """
+        import numpy as np
+
+        def known(sketch, buckets):
+            buckets = buckets.astype(np.int64)
+            return (sketch[buckets >> 3] >> (7 - (buckets & 7)).astype(np.uint8)) & 1 > 0
+
+        inside = self.ids > 0
+        goes_on, out = inside, []
+        for size, buckets in enumerate(self.buckets(len(sketches) + 1), 1):
+            if size > 1:
+                goes_on = goes_on & np.append(goes_on[1:], False)
+            here = goes_on & known(sketches[max(0, size - 2)], buckets)
+            out.append(here)
+            goes_on = here if size > 1 else inside  # a pair's bit tells more than its words'
+        return [*out, goes_on & np.append(goes_on[1:], False)]
 
 
 def _by_language(batch, together: int):
@@ -91,8 +116,11 @@ def _by_language(batch, together: int):
         yield from held.items()
 
 
-def _sketch(docs: DataFrame, least: int) -> DataFrame:
-    """``block, bits`` of the buckets that reached ``least``: 8 KB for each of ``2 ** (SKETCH_BITS - BLOCK_BITS)`` blocks."""
+def _sketch(docs: DataFrame, least: int, before) -> DataFrame:
+    """``block, bits`` of the buckets that reached ``least``: 8 KB for each of ``2 ** (SKETCH_BITS - BLOCK_BITS)`` blocks.
+
+    ``before`` is a broadcast list of the bits for fewer words; without any, words and pairs are counted.
+    """
     size = 1 << BLOCK_BITS
 
     def counted(batches):
@@ -100,29 +128,40 @@ def _sketch(docs: DataFrame, least: int) -> DataFrame:
         import pyarrow as pa
 
         held, n = [], 0
+        sketches = [np.frombuffer(x, np.uint8) for x in before.value]
+
+        def packed(buckets, *more):
+            """block -> bytes of its buckets and of more about each."""
+            blocks = buckets >> BLOCK_BITS
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            columns = [(buckets & (size - 1)).astype("<u2"), *more]
+            return {int(blocks[a]): [c[a:b].tobytes() for c in columns] for a, b in zip(cuts, cuts[1:], strict=False) if b > a}
 
         def rows():
             buckets, counts = np.unique(np.concatenate(held), return_counts=True)
-            counts = np.minimum(counts, 255).astype(np.uint8)
-            blocks = buckets >> BLOCK_BITS
-            offsets = (buckets & (size - 1)).astype("<u2")
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)])).tolist()
-            spans = [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+            # most buckets come once in a task and need no count
+            once, more = packed(buckets[counts == 1]), counts > 1
+            often = packed(buckets[more], np.minimum(counts[more], 255).astype(np.uint8))
+            blocks = sorted(once.keys() | often.keys())
             data = [
-                pa.array([int(blocks[a]) for a, _ in spans], pa.int32()),
-                pa.array([offsets[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array(blocks, pa.int32()),
+                pa.array([once.get(b, [b""])[0] for b in blocks], pa.binary()),
+                pa.array([often.get(b, [b"", b""])[0] for b in blocks], pa.binary()),
+                pa.array([often.get(b, [b"", b""])[1] for b in blocks], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(data, names=["block", "offsets", "counts"])
+            return pa.RecordBatch.from_arrays(data, names=["block", "once", "often", "counts"])
 
         for batch in batches:
             for lang, texts in _by_language(batch, TOGETHER):
                 words = _Words(lang, texts)
-                one, two = words.buckets()
-                inside = words.ids > 0
-                linked = inside & np.append(inside[1:], False)
-                held += [one[inside].astype(np.uint32), two[linked].astype(np.uint32)]
-                n += len(held[-1]) + len(held[-2])
+                if sketches:
+                    counts = [(words.frequent(sketches)[-1], list(words.buckets(len(sketches) + 2))[-1])]
+                else:
+                    inside, (one, two) = words.ids > 0, words.buckets(2)
+                    counts = [(inside, one), (inside & np.append(inside[1:], False), two)]
+                for where, buckets in counts:
+                    held.append(buckets[where].astype(np.uint32))
+                    n += len(held[-1])
                 if n > HELD:
                     yield rows()
                     held, n = [], 0
@@ -135,29 +174,29 @@ def _sketch(docs: DataFrame, least: int) -> DataFrame:
 
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, offsets, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.frombuffer(offsets, "<u2")
+            for block, once, often, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = sums.setdefault(block, np.zeros(size, np.uint8))
-                own[at] = np.minimum(own[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
+                for held, n in ((once, np.uint8(1)), (often, np.frombuffer(counts, np.uint8))):
+                    at = np.frombuffer(held, "<u2")
+                    own[at] = np.minimum(own[at].astype(np.uint16) + n, 255)
         bits = [np.packbits(x >= least).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["block", "bits"])
 
-    found = docs.mapInArrow(tidy(counted), "block int, offsets binary, counts binary")
+    found = docs.mapInArrow(tidy(counted), "block int, once binary, often binary, counts binary")
     return found.repartition("block").mapInArrow(tidy(full), "block int, bits binary")
 
 
 def _grams(docs: DataFrame, bits, longest: int) -> DataFrame:
-    """``lang, size, gram, n``: the longest grams of the cut pieces with their numbers; of size 0 the number of all words."""
+    """``lang, size, gram, n``: the grams that words begin with their numbers; of size 0 the number of all words.
+
+    ``bits`` is the broadcast list of the bits for two to ``longest - 1`` words.
+    """
 
     def found(batches):
         import numpy as np
         import pyarrow as pa
 
-        flags = np.frombuffer(bits.value, np.uint8)
-
-        def known(buckets):
-            buckets = buckets.astype(np.int64)
-            return (flags[buckets >> 3] >> (7 - (buckets & 7)).astype(np.uint8)) & 1 > 0
+        sketches = [np.frombuffer(x, np.uint8) for x in bits.value]
 
         def distinct(columns):
             """Distinct rows of number columns, and how often each comes."""
@@ -177,15 +216,9 @@ def _grams(docs: DataFrame, bits, longest: int) -> DataFrame:
             for lang, texts in _by_language(batch, TOGETHER):
                 words = _Words(lang, texts)
                 ids = words.ids
-                one, two = words.buckets()
-                inside = ids > 0
-                linked = inside & np.append(inside[1:], False) & known(two)
-                lengths, goes_on = inside.astype(np.int64), linked
-                for _ in range(longest - 1):
-                    lengths += goes_on
-                    goes_on = linked & np.append(goes_on[1:], False)
+                word, *longer = words.frequent(sketches)
                 # a word that is nowhere linked matters to no candidate
-                lengths[(lengths == 1) & ~known(one)] = 0
+                lengths = (word | longer[0]).astype(np.int64) + sum(x.astype(np.int64) for x in longer)
                 yield rows(lang, 0, [b""], [words.total])
                 for size in range(1, longest + 1):
                     places = np.flatnonzero(lengths == size)
@@ -260,19 +293,24 @@ def cut_score(f: Column, first: Column, rest: Column) -> Column:
 
 
 def mine(df: DataFrame, text: str = "text", lang: str = "lang", least: int = 30, longest: int = 4, top: int = 2000) -> DataFrame:
-    """The first ``top`` candidates of each language by score, f (both descending) and phrase.
+    """The first ``top`` candidates of each language by score, f (both descending) and phrase; ``longest`` is 3 or more.
 
     Returns ``lang, rank, phrase, a, l, r, n, score``: ``a`` is f of the phrase, ``l`` and ``r`` those of the parts of its
     lowest-scoring cut, ``n`` the number of all words of the language.
     """
+    if longest < 3:
+        raise ValueError("nodes of the graph need two words or more")
     spark = df.sparkSession
     bound_batches(spark)
     docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    flags = bytearray(1 << (SKETCH_BITS - 3))
+    sketches: list[bytes] = []
     width = 1 << (BLOCK_BITS - 3)
-    for block, bits in _sketch(docs, least).toLocalIterator():
-        flags[block * width : (block + 1) * width] = bits
-    grams = materialize(_grams(docs, spark.sparkContext.broadcast(bytes(flags)), longest), "phrase_grams", narrow=True)
+    for _ in range(2, longest):
+        flags = bytearray(1 << (SKETCH_BITS - 3))
+        for block, bits in _sketch(docs, least, spark.sparkContext.broadcast(sketches)).toLocalIterator():
+            flags[block * width : (block + 1) * width] = bits
+        sketches = [*sketches, bytes(flags)]
+    grams = materialize(_grams(docs, spark.sparkContext.broadcast(sketches), longest), "phrase_grams", narrow=True)
     levels = [x.where(F.col("f") >= least) for x in _flows(grams, longest)]
     paths = materialize(_paths(levels[-1], levels[-2], longest), "phrase_compact", narrow=True)
 

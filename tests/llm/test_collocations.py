@@ -60,6 +60,12 @@ def some_texts(seed, n):
         yield rnd.choice(["en", "en", "de", None]), text.upper() if i % 7 == 0 else text
 
 
+@pytest.mark.parametrize("longest", [3, 5])
+def test_other_lengths(spark, longest):
+    rows = list(some_texts(21, 120))
+    assert mined(spark.createDataFrame(rows, "lang string, text string"), least=4, longest=longest) == brute(rows, 4, longest)
+
+
 @pytest.mark.parametrize("least", [3, 12])
 def test_random_texts(spark, least):
     rows = [*some_texts(least, 400), ("fr", "un deux. " * least), ("fr", None), ("fr", "")]
@@ -85,7 +91,7 @@ def test_paths_hold_every_edge(spark):
     passage = [f"p{i}" for i in range(20)]
     rows = [("en", " ".join(passage))] * 6 + [("en", " ".join([*passage[5:12], "other", "end"]))] * 5
     df = spark.createDataFrame(rows, "lang string, text string")
-    grams = co._grams(df.select("lang", "text"), spark.sparkContext.broadcast(b"\xff" * (1 << (co.SKETCH_BITS - 3))), 4)
+    grams = co._grams(df.select("lang", "text"), spark.sparkContext.broadcast([b"\xff" * (1 << (co.SKETCH_BITS - 3))] * 2), 4)
     levels = co._flows(grams.cache(), 4)
     paths = {tuple(r.words): r.f for r in co._paths(levels[-1], levels[-2], 4).collect()}
     edges = {tuple(r.gram.split(" ")): r.f for r in levels[-1].collect()}

@@ -6,13 +6,19 @@ the last line); ranks ``1..least(n_left, n_right)`` are common, the rest differ.
 That single rule covers the one-sided keys, both surplus cases and equal counts.
 
 The lines of a key meet in one exchange and get counts and ranks from windows there.
-A key with over ``heavy_rows`` lines would make one task too large. Such keys are found
-by a count per 64-bit hash of the key (narrow rows, combined before they move), and
-their lines are dealt to parts of their own: ``2**chunk_bits`` consecutive lines of a
-file and side. Parts are counted where they are, a window over these counts gives a
-key's totals and the occurrences in later parts, and both are joined to the ranks inside
-the parts. Other keys have one part and need none of this. At most ``MAX_HEAVY`` hashes,
-those with the most lines, are treated so; that bounds the broadcast list. A key that
+A key with over ``heavy_rows`` lines would make one task too large. Whether there are such
+keys is found before the plan is built: one narrow pass without an exchange of lines draws lines at a
+rate that gives ``HEAVY_DRAWS`` of a key with ``heavy_rows`` lines, and counts them by a 64-bit hash of their key.
+What moves is a fixed share of the lines (one in 8,192 by default), however many keys there
+are, and a hash with over half of the expected draws is heavy, so there are at most two for each
+``heavy_rows`` lines of the input and no cap is needed. A heavy key is overlooked once in some 10^8; ranks do not
+depend on it, as both ways give the same.
+
+Without heavy keys the plan is the plain one. With some, their lines are dealt to parts of
+their own in that same exchange: ``2**chunk_bits`` consecutive lines of a file and side. Parts
+are counted where they are, a window over these counts gives a key's totals and the occurrences
+in later parts, and both are joined to the ranks inside the parts. Other keys have one part and need none of
+this: their lines fold into one row for each task before anything is counted. A key that
 merely shares a heavy key's hash is dealt to parts too, with the same result.
 """
 
@@ -39,13 +45,16 @@ def bag_union(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True)
 
 
-def heavy_keys(occ: DataFrame, by: Sequence[str], heavy_rows: int, max_heavy: int = S.MAX_HEAVY) -> DataFrame:
-    """``_h``: hashes of the keys with over ``heavy_rows`` lines, at most ``max_heavy`` of them, most lines first."""
-    # the filter holds for every numbered line; naming the number keeps this branch on
-    # the exchange that the main branch reads, so the source is read once
-    counted = occ.where(F.col("line_no") >= 0).groupBy(F.xxhash64(*by, "key").alias("_h"))
-    counts = counted.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
-    return counts.orderBy(F.desc("_n"), "_h").limit(max_heavy).select("_h")
+def heavy_keys(lines: DataFrame, keys: Sequence[Column], heavy_rows: int) -> list[int]:
+    """Hashes of the keys with over ``heavy_rows`` lines (runs a job over ``lines``).
+
+    Up to ``HEAVY_DRAWS`` rows every line is counted, and the hashes are exact.
+    """
+    bits = max(0, heavy_rows.bit_length() - S.HEAVY_DRAWS.bit_length())
+    drawn = lines.where(F.rand(S.HEAVY_SEED) < 1 / (1 << bits)) if bits else lines
+    counts = drawn.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    enough = heavy_rows >> (bits + 1) if bits else heavy_rows
+    return [r[0] for r in counts.where(F.col("_n") > enough).select("_h").toLocalIterator()]
 
 
 def rank_occurrences(
@@ -55,13 +64,15 @@ def rank_occurrences(
     heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
     key_of: Callable[[Column], Column] | None = None,
-    max_heavy: int = S.MAX_HEAVY,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank``.
 
     Rank 1 is the occurrence that comes last in ``order`` within its
     ``by + key + side``. With ``key_of`` (the function that made ``key`` from
-    ``line``) lines move without their key. ``heavy_rows=None`` treats no key as heavy.
+    ``line``) lines move without their key. Heavy keys are looked for in ``probe``, rows with the
+    columns that keys are made of; lines without numbers will do, and cost less than ``occ``, which is read if there is none.
+    ``heavy_rows=None`` treats no key as heavy and looks for none.
     """
     keys, names = [*by, "key"], occ.columns
     prefix, last = [c for c in order[:-1] if c not in by], order[-1]
@@ -81,17 +92,18 @@ def rank_occurrences(
         }
         return ranked.withColumns(counts)
 
-    if heavy_rows is None:
+    heavy = [] if heavy_rows is None else heavy_keys(occ if probe is None else probe, made, heavy_rows)
+    if not heavy:
         return windows(met(moved), keys).select(*names, "n_left", "n_right", "occ_rank")
 
-    heavy = heavy_keys(occ, by, heavy_rows, max_heavy).withColumn("_hot", F.lit(True))
-    tagged = occ.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(heavy), "_h", "left").select(*moved.columns, "_hot")
+    hot = occ.sparkSession.createDataFrame([(h, True) for h in heavy], "_h long, _hot boolean")
+    tagged = occ.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(hot), "_h", "left").select(*moved.columns, "_hot")
     # a part names its lines' side, file and chunk, so it holds at most 2^chunk_bits lines
     part = F.when(F.col("_hot"), F.struct("side", *prefix, F.shiftright(F.col(last), chunk_bits).alias("_chunk")))
     dealt = met(tagged, part).withColumn("_part", part)
-    # counted where the lines are; no key that is not heavy leaves its task
-    parts = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_hot").alias("_in"))
-    parts = parts.where(F.col("_in") > 0)
+    # counted where the lines are; all lines of other keys are one row of a task
+    parts = dealt.groupBy(*[F.when(F.col("_hot"), F.col(c)).alias(c) for c in keys], F.col("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.where(F.col("_part").isNotNull())
     # left parts first, latest first; a right part's running total includes every left line, which is subtracted
     part_order = [F.desc(f"_part.{c}") for c in [*prefix, "_chunk"]]
     spec = Window.partitionBy(*keys).orderBy(F.col("_part.side") != S.LEFT, *part_order)
@@ -132,13 +144,14 @@ def classify(
     heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
     key_of: Callable[[Column], Column] | None = None,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank, bucket``.
 
     ``by``: extra grouping columns (``("file",)`` compares file pairs in one job).
     ``order``: rank order, latest first; ``("file", "line_no")`` for pooled input.
     """
-    return rank_occurrences(occ, by, order, heavy_rows, chunk_bits, key_of).withColumn("bucket", bucket_of())
+    return rank_occurrences(occ, by, order, heavy_rows, chunk_bits, key_of, probe).withColumn("bucket", bucket_of())
 
 
 def bucket_view(classified: DataFrame, bucket: str) -> DataFrame:

@@ -128,17 +128,24 @@ def _x_occ(spark, sf_dir):
     return with_key(x_lines(spark, sf_dir))
 
 
+def _probe(docs: DataFrame, file) -> DataFrame:
+    """The lines without numbers, to look for heavy keys: nothing is exchanged."""
+    return bag_from_column(docs, "text", _side(), file)
+
+
 def _x_result(spark, sf_dir):
-    return compare(x_lines(spark, sf_dir), FILES)
+    docs = _documents(spark, sf_dir)
+    return compare(x_lines(spark, sf_dir, docs), FILES, probe=_probe(docs, _x_file()))
 
 
 def _y_result(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    return diff_file_pairs(y_lines(spark, sf_dir, docs), y_files(spark, sf_dir, docs))
+    return diff_file_pairs(y_lines(spark, sf_dir, docs), y_files(spark, sf_dir, docs), probe=_probe(docs, _y_file()))
 
 
 def _z_result(spark, sf_dir):
-    return compare(y_lines(spark, sf_dir), POOLED)
+    docs = _documents(spark, sf_dir)
+    return compare(y_lines(spark, sf_dir, docs), POOLED, probe=_probe(docs, _y_file()))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -223,7 +230,7 @@ def q_empty_side(spark, sf_dir):
     """X against nothing: every line differs, on the side it has."""
     nothing = empty_occurrences(spark).drop("key")
     left = _documents(spark, sf_dir).where(_side() == S.LEFT)
-    res = compare(x_lines(spark, sf_dir, left).unionByName(nothing), FILES)
+    res = compare(x_lines(spark, sf_dir, left).unionByName(nothing), FILES, probe=_probe(left, _x_file()))
     return res.select("bucket", "line_no", "key", "n_left", "n_right", "occ_rank")
 
 

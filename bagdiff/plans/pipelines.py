@@ -26,7 +26,7 @@ from bagdiff.operators.groups import bucket_entries
 from bagdiff.operators.pairing import filter_names, pair_files
 from bagdiff.sources.listing import list_files
 from bagdiff.sources.sinks import bucket_names, write_buckets
-from bagdiff.sources.text import read_sides
+from bagdiff.sources.text import read_bag, read_sides
 
 FILES = "files"
 DIRS = "dirs"
@@ -90,15 +90,21 @@ def compare(
     normalize_needle: bool = False,
     heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """E1 (``FILES``) or E3 (``POOLED``) on one occurrence DataFrame holding both
     sides (``side, file, line_no, line``). For ``DIRS`` use :func:`diff_file_pairs`,
-    which also needs the file listing."""
+    which also needs the file listing.
+
+    A job looks for heavy keys when this is called: in ``probe``, the same lines without
+    numbers (``side, file, line``), which need no exchange, else in ``occ``; with
+    ``heavy_rows=None`` nothing runs."""
     if mode not in (FILES, POOLED):
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
-    occ = _named(occ)
-    occ = _prepare(occ, needle, space_sensitive, case_sensitive, normalize_needle)
-    return classify(occ, **_rank_args(mode), heavy_rows=heavy_rows, chunk_bits=chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
+    flags = (needle, space_sensitive, case_sensitive, normalize_needle)
+    occ, probe = _prepare(_named(occ), *flags), None if probe is None else _prepare(_named(probe), *flags)
+    key_of = _key_of(space_sensitive, case_sensitive)
+    return classify(occ, **_rank_args(mode), heavy_rows=heavy_rows, chunk_bits=chunk_bits, key_of=key_of, probe=probe)
 
 
 def diff_lines(
@@ -129,8 +135,9 @@ def diff_files(
     recursive: bool = True,
 ) -> DataFrame:
     """Compare two text files (or any two path sets, each read as one body)."""
-    occ = read_sides(spark, {S.LEFT: path_left, S.RIGHT: path_right}, encoding, recursive)
-    return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
+    sides = {S.LEFT: path_left, S.RIGHT: path_right}
+    occ, probe = read_sides(spark, sides, encoding, recursive), read_bag(spark, sides, encoding, recursive)
+    return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits, probe)
 
 
 def _rank_args(mode: str) -> dict:
@@ -148,19 +155,22 @@ def diff_file_pairs(
     normalize_needle: bool = False,
     heavy_rows: int | None = S.HEAVY_ROWS,
     chunk_bits: int = S.CHUNK_BITS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """E2 on occurrences whose ``file`` is a base name, given the file listing
-    ``side, path, file_name, stem`` (which also holds empty files).
+    ``side, path, file_name, stem`` (which also holds empty files). ``probe`` as in :func:`compare`.
 
     Lines of unpaired files are dropped by a semi-join before they move to their keys;
     Spark broadcasts the pairs when their measured size allows it, and joins by
     shuffle (splitting a file that holds very many lines) when not.
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
-    occ = _prepare(_named(occ), needle, space_sensitive, case_sensitive, normalize_needle)
-    occ = occ.join(pairs, "file", "left_semi")
+    flags = (needle, space_sensitive, case_sensitive, normalize_needle)
+    occ = _prepare(_named(occ), *flags).join(pairs, "file", "left_semi")
+    # lines of unpaired files may stay in the probe: a key that is heavy only with them is dealt to parts too
+    probe = None if probe is None else _prepare(_named(probe), *flags)
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
-    return classify(occ, by, order, heavy_rows, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive))
+    return classify(occ, by, order, heavy_rows, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive), probe=probe)
 
 
 def diff_dirs(
@@ -183,10 +193,12 @@ def diff_dirs(
     twice and not paired.
     """
     files = list_files(spark, dir_left, S.LEFT, recursive).unionByName(list_files(spark, dir_right, S.RIGHT, recursive))
-    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding, recursive)
-    occ = occ.withColumn("file", base_name("file"))
+    sides = {S.LEFT: dir_left, S.RIGHT: dir_right}
+    occ, probe = (
+        read(spark, sides, encoding, recursive).withColumn("file", base_name("file")) for read in (read_sides, read_bag)
+    )
     return diff_file_pairs(
-        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits
+        occ, files, name_needle, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits, probe
     )
 
 
@@ -222,8 +234,9 @@ def diff_pooled_dirs(
     recursive: bool = True,
 ) -> DataFrame:
     """Compare every line of two directories, each pooled into one bag."""
-    occ = read_sides(spark, {S.LEFT: dir_left, S.RIGHT: dir_right}, encoding, recursive)
-    return compare(occ, POOLED, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits)
+    sides = {S.LEFT: dir_left, S.RIGHT: dir_right}
+    occ, probe = read_sides(spark, sides, encoding, recursive), read_bag(spark, sides, encoding, recursive)
+    return compare(occ, POOLED, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits, probe)
 
 
 def render(classified: DataFrame, mode: str = FILES) -> DataFrame:

@@ -27,10 +27,12 @@ LIST_COMMA = ","
 LIST_CLOSE = "]"
 
 # A key with over HEAVY_ROWS lines is ranked in chunks of 2**CHUNK_BITS consecutive
-# line numbers, so no task holds more than that of it; at most MAX_HEAVY keys are.
+# line numbers, so no task holds more than that of it. HEAVY_DRAWS lines of such a key are
+# drawn to find it.
 HEAVY_ROWS = 1 << 20
 CHUNK_BITS = 20
-MAX_HEAVY = 4096
+HEAVY_DRAWS = 128
+HEAVY_SEED = 20
 # Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids; blocks form
 # groups of 2**DOC_LEVEL_BITS, and these again, so that no window holds more whatever
 # the ids (64 = 10 + 3 * 18).

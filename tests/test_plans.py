@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from bagdiff.plans import contract
+from bagdiff.plans.pipelines import FILES, compare
 
 SF = "/root/testdata/sf0.001"
 HEADLINE = ["diff_files", "diff_dirs", "diff_pooled_dirs", "sorted_buckets", "intersect_all_keys", "render_groups"]
@@ -74,6 +75,18 @@ def test_one_exchange_carries_lines(spark, name):
     assert "Union" not in final.split("Window")[0]
 
 
+def test_no_heavy_key_costs_nothing(spark):
+    """Without heavy keys the plan is that of heavy_rows=None: one exchange for ranking, no join or aggregate for parts."""
+    res = {}
+    for heavy_rows in (1 << 20, None):
+        lines = contract.x_lines(spark, SF)
+        df = compare(lines, FILES, heavy_rows=heavy_rows)
+        plan = _final(df)
+        res[heavy_rows] = [re.sub(r"#\d+L?|plan_id=\d+|\d+", "", x).strip(" :+-*()") for x in plan.split("\n") if not re.search("FileScan|Location", x)]
+    assert res[1 << 20] == res[None]
+    assert sum("Exchange" in x and "Reused" not in x for x in res[None]) == sum("Exchange" in x and "Reused" not in x for x in res[1 << 20])
+
+
 @pytest.mark.parametrize("name", ["bag_union", "key_counts", "pooled_scan", "output_names", "intersect_all_keys", "except_all_keys"])
 def test_no_numbering_where_none_is_used(spark, name):
     assert "Window" not in _final(E.queries()[name](spark, SF))

@@ -49,15 +49,51 @@ def test_one_key_in_many_files(spark):
             assert sum(r[3].startswith("comm") for r in own) == 3_000
 
 
-def test_at_most_so_many_heavy_keys(spark):
+def test_every_heavy_key_is_found_from_few_lines(spark):
+    """Zipf keys: all keys over the limit and none far below it, from one line in eight."""
+    from bagdiff.operators.classify import heavy_keys
+
+    n, limit = 400_000, 2000
+    keys = spark.range(n).select(F.floor(F.exp(F.rand(5) * 12)).cast("string").alias("key")).cache()
+    hashed = F.xxhash64("key").alias("h")
+    counts = {r.h: r["count"] for r in keys.groupBy(hashed).count().collect()}
+    found = heavy_keys(keys, [F.col("key")], limit)
+    assert {h for h, c in counts.items() if c > limit} <= set(found)
+    assert all(counts[h] > limit / 4 for h in found) and len(found) == len(set(found)) > 10
+    assert len(counts) > 20 * len(found)
+    # up to HEAVY_DRAWS lines every line is counted
+    assert set(heavy_keys(keys, [F.col("key")], 100)) == {h for h, c in counts.items() if c > 100}
+
+
+def test_more_heavy_keys_than_any_list_was_cut_to(spark):
+    """6,000 heavy keys are all dealt to parts, and ranks stay the same."""
     from bagdiff.operators.classify import heavy_keys, rank_occurrences
     from bagdiff.plans.pipelines import with_key
 
-    rows = [("left", "f", i + 1, f"k{i % 40}") for i in range(2000)]
-    occ = with_key(spark.createDataFrame(rows, "side string, file string, line_no long, line string"))
-    assert heavy_keys(occ, (), 10, max_heavy=7).count() == 7
-    ranked = rank_occurrences(occ, heavy_rows=10, chunk_bits=3, max_heavy=7)
-    assert ranked.exceptAll(rank_occurrences(occ, heavy_rows=None)).count() == 0 and ranked.count() == 2000
+    rows = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, "right").otherwise("left").alias("side"),
+        F.lit("f").alias("file"),
+        (F.col("id") + 1).alias("line_no"),
+        F.format_string("k%d", F.col("id") % 6000).alias("line"),
+    )
+    occ = with_key(rows)
+    assert len(heavy_keys(occ, [F.col("key")], 3)) == 6000
+    ranked = rank_occurrences(occ, heavy_rows=3, chunk_bits=3)
+    assert ranked.exceptAll(rank_occurrences(occ, heavy_rows=None)).count() == 0 and ranked.count() == 24_000
+
+
+def test_probe_decides_the_plan_not_the_result(spark):
+    """Lines without numbers tell heavy keys; a probe that misses them gives the same rows."""
+    rows = [("left", "f", i + 1, "x" if i % 2 else f"v{i}") for i in range(400)] + [("right", "f", i + 1, "X") for i in range(90)]
+    occ = spark.createDataFrame(rows, "side string, file string, line_no long, line string")
+    bag = occ.select("side", "file", "line")
+    want = sorted(compare(occ, FILES, heavy_rows=None).collect())
+    plans = set()
+    for probe in (None, bag, bag.limit(0)):
+        res = compare(occ, FILES, heavy_rows=50, chunk_bits=4, probe=probe)
+        assert sorted(res.collect()) == want
+        plans.add("_part" in res._jdf.queryExecution().optimizedPlan().toString())
+    assert plans == {True, False}
 
 
 def test_pooled_order_is_file_then_line(spark):

@@ -12,7 +12,7 @@ from bagdiff.operators.classify import (
     replicate,
 )
 from bagdiff.operators.groups import bucket_entries, slice_entries, unpack_entries, with_position
-from bagdiff.operators.pairing import filter_names, group_files, pair_files
+from bagdiff.operators.pairing import filter_names, group_files, grouped_paths, pair_files
 from bagdiff.operators.partition import repartition_by_key
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "except_all_keys",
     "filter_names",
     "group_files",
+    "grouped_paths",
     "intersect_all_keys",
     "key_counts",
     "pair_files",

@@ -54,7 +54,18 @@ def heavy_keys(lines: DataFrame, keys: Sequence[Column], heavy_rows: int) -> lis
     drawn = lines.where(F.rand(S.HEAVY_SEED) < 1 / (1 << bits)) if bits else lines
     counts = drawn.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
     enough = heavy_rows >> (bits + 1) if bits else heavy_rows
-    return [r[0] for r in counts.where(F.col("_n") > enough).select("_h").toLocalIterator()]
+    return [r[0] for r in counts.where(F.col("_n") > enough).select("_h").collect()]
+
+
+def rank_windows(rows: DataFrame, whole: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` plus ``occ_rank, n_left, n_right`` inside each group of ``whole``, by windows."""
+    latest_first = Window.partitionBy(*whole, "side").orderBy(*[F.desc(c) for c in order])
+    ranked = rows.withColumn("occ_rank", F.row_number().over(latest_first).cast("long"))
+    counts = {
+        f"n_{side}": F.count_if(F.col("side") == side).over(Window.partitionBy(*whole)).cast("long")
+        for side in (S.LEFT, S.RIGHT)
+    }
+    return ranked.withColumns(counts)
 
 
 def rank_occurrences(
@@ -65,6 +76,7 @@ def rank_occurrences(
     chunk_bits: int = S.CHUNK_BITS,
     key_of: Callable[[Column], Column] | None = None,
     probe: DataFrame | None = None,
+    hashes: list[int] | None = None,
 ) -> DataFrame:
     """Occurrences plus ``n_left, n_right, occ_rank``.
 
@@ -72,7 +84,7 @@ def rank_occurrences(
     ``by + key + side``. With ``key_of`` (the function that made ``key`` from
     ``line``) lines move without their key. Heavy keys are looked for in ``probe``, rows with the
     columns that keys are made of; lines without numbers will do, and cost less than ``occ``, which is read if there is none.
-    ``heavy_rows=None`` treats no key as heavy and looks for none.
+    ``heavy_rows=None`` treats no key as heavy and looks for none; ``hashes`` are heavy keys that are known.
     """
     keys, names = [*by, "key"], occ.columns
     prefix, last = [c for c in order[:-1] if c not in by], order[-1]
@@ -83,18 +95,11 @@ def rank_occurrences(
         out = rows.repartition(*made, *more)
         return out.withColumn("key", key_of(F.col("line"))) if key_of else out
 
-    def windows(rows: DataFrame, whole: list[str]) -> DataFrame:
-        latest_first = Window.partitionBy(*whole, "side").orderBy(*[F.desc(c) for c in order])
-        ranked = rows.withColumn("occ_rank", F.row_number().over(latest_first).cast("long"))
-        counts = {
-            f"n_{side}": F.count_if(F.col("side") == side).over(Window.partitionBy(*whole)).cast("long")
-            for side in (S.LEFT, S.RIGHT)
-        }
-        return ranked.withColumns(counts)
-
-    heavy = [] if heavy_rows is None else heavy_keys(occ if probe is None else probe, made, heavy_rows)
+    heavy = hashes
+    if heavy is None:
+        heavy = [] if heavy_rows is None else heavy_keys(occ if probe is None else probe, made, heavy_rows)
     if not heavy:
-        return windows(met(moved), keys).select(*names, "n_left", "n_right", "occ_rank")
+        return rank_windows(met(moved), keys, order).select(*names, "n_left", "n_right", "occ_rank")
 
     hot = occ.sparkSession.createDataFrame([(h, True) for h in heavy], "_h long, _hot boolean")
     tagged = occ.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(hot), "_h", "left").select(*moved.columns, "_hot")
@@ -120,7 +125,7 @@ def rank_occurrences(
         *keys, "_part", total(S.LEFT).alias("_left"), total(S.RIGHT).alias("_right"), before.alias("_before")
     )
     return (
-        windows(dealt, [*keys, "_part"])
+        rank_windows(dealt, [*keys, "_part"], order)
         .join(parts, [*keys, "_part"], "left")
         .select(
             *names,

@@ -26,14 +26,13 @@ from bagdiff.functions.text import NUMBERED, entry_text, piece_text
 SORT_KEYS = ("bucket", "first_file", "first_line_no", "position")
 
 
-def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUMBERED) -> DataFrame:
-    """``bucket, by..., key, first_file, first_line_no, position, n, occ_rank, line_no, line, file, piece``."""
-    by = list(by)
+def _placed(classified: DataFrame, by: list[str]) -> DataFrame:
+    """Entries with their ``position`` among the ``n`` of their bucket row."""
     n_min = F.least("n_left", "n_right")
     differs = F.col("bucket").startswith("diff_")
     n_side = F.when(F.col("side") == S.LEFT, F.col("n_left")).otherwise(F.col("n_right"))
     file = F.col("file") if "file" in classified.columns else F.lit(None).cast("string")
-    rows = classified.select(
+    return classified.select(
         "bucket",
         *by,
         "key",
@@ -44,9 +43,18 @@ def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUM
         "line",
         *([] if "file" in by else [file.alias("file")]),
     )
-    firsts = rows.where(F.col("position") == 1).select(
-        "bucket", *by, "key", F.col("file").alias("first_file"), F.col("line_no").alias("first_line_no")
-    )
+
+
+def first_entries(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``bucket, by..., key, first_file, first_line_no``: the first entry of every bucket row, straight from a comparison."""
+    rows = _placed(classified, list(by)).where(F.col("position") == 1)
+    return rows.select("bucket", *by, "key", F.col("file").alias("first_file"), F.col("line_no").alias("first_line_no"))
+
+
+def bucket_entries(classified: DataFrame, by: Sequence[str] = (), fmt: str = NUMBERED) -> DataFrame:
+    """``bucket, by..., key, first_file, first_line_no, position, n, occ_rank, line_no, line, file, piece``."""
+    by = list(by)
+    rows, firsts = _placed(classified, by), first_entries(classified, by)
     entry = entry_text(F.col("line_no"), F.col("line"), F.col("file"), fmt)
     rows = rows.withColumn("piece", piece_text(entry, F.col("position") == 1, F.col("position") == F.col("n")))
     return rows.join(firsts, ["bucket", *by, "key"])
@@ -62,10 +70,11 @@ def slice_entries(entries: DataFrame, start: int, length: int) -> DataFrame:
     return entries.where((F.col("position") >= start) & (F.col("position") < start + length))
 
 
-def with_position(entries: DataFrame, range_bits: int = 20) -> DataFrame:
+def with_position(entries: DataFrame, range_bits: int = 20, firsts: DataFrame | None = None) -> DataFrame:
     """Add ``pos``: the 1-based place of the entry's bucket row inside its bucket.
 
-    Rows are placed by their first entries alone, which are narrow: they are cut into
+    Rows are placed by their first entries alone, which are narrow: ``firsts`` (see
+    :func:`first_entries`), else those among ``entries``, which were joined to them before. They are cut into
     ranges of ``2**range_bits`` consecutive first line numbers of a file, each range is
     counted, a window over the ranges of a file and one over the files of a bucket turn
     counts into offsets, and rows are ranked inside their range. No window holds more
@@ -75,7 +84,8 @@ def with_position(entries: DataFrame, range_bits: int = 20) -> DataFrame:
     head = ["bucket", "first_file", "first_line_no"]
     # a file name is a join key below: a missing one is the empty name
     named = F.coalesce(F.col("first_file"), F.lit("")).alias("first_file")
-    heads = entries.where(F.col("position") == 1).select("bucket", named, "first_line_no")
+    heads = entries.where(F.col("position") == 1) if firsts is None else firsts
+    heads = heads.select("bucket", named, "first_line_no")
     heads = heads.withColumn("_rng", F.shiftright("first_line_no", range_bits))
     in_file, in_bucket = ["bucket", "first_file"], ["bucket"]
 

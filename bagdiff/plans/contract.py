@@ -28,8 +28,8 @@ from bagdiff.functions.keys import normalize_text
 from bagdiff.functions.paths import base_name, default_label, dir_label
 from bagdiff.functions.text import BARE, LABELED, NUMBERED, entry_text
 from bagdiff.operators.classify import except_all_keys, intersect_all_keys, key_counts
-from bagdiff.operators.groups import slice_entries, unpack_entries, with_position
-from bagdiff.operators.pairing import filter_names, group_files, pair_files
+from bagdiff.operators.groups import first_entries, slice_entries, unpack_entries, with_position
+from bagdiff.operators.pairing import filter_names, group_files, grouped_paths, pair_files
 from bagdiff.operators.partition import repartition_by_key
 from bagdiff.plans.pipelines import (
     DIRS,
@@ -45,6 +45,7 @@ from bagdiff.plans.pipelines import (
     with_key,
     write_result,
 )
+from bagdiff.plans.stored import compare_stored, store_side
 from bagdiff.session import scratch_path
 from bagdiff.sources.listing import files_from_paths, list_files
 from bagdiff.sources.sinks import output_names, read_output
@@ -265,6 +266,10 @@ def q_group_nested_files(spark, sf_dir):
     return group_files(_nested_files(spark, sf_dir))
 
 
+def q_grouped_paths(spark, sf_dir):
+    return grouped_paths(_nested_files(spark, sf_dir))
+
+
 def q_normalize_space(spark, sf_dir):
     occ = x_lines(spark, sf_dir)
     return occ.select("line_no", "side", normalize_text("line", space_sensitive=False, case_sensitive=True).alias("key"))
@@ -374,13 +379,26 @@ def q_render_groups(spark, sf_dir):
 
 
 def q_sorted_buckets(spark, sf_dir):
-    return with_position(_x_groups(spark, sf_dir)).select("bucket", "first_line_no", "pos", "position", "piece")
+    res = _x_result(spark, sf_dir)
+    placed = with_position(render(res, FILES), firsts=first_entries(res))
+    return placed.select("bucket", "first_line_no", "pos", "position", "piece")
 
 
 def q_repartition_by_key(spark, sf_dir):
     return repartition_by_key(_x_occ(spark, sf_dir)).select("key", "line_no", "side")
 
 
+def q_diff_stored(spark, sf_dir):
+    """The left side of X stored by key, and the right side compared with it."""
+    docs = _documents(spark, sf_dir)
+    left, right = docs.where(_side() == S.LEFT), docs.where(_side() == S.RIGHT)
+    path = scratch_path(spark, "stored")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    store_side(x_lines(spark, sf_dir, left), table, 8, probe=_probe(left, _x_file()), path=path)
+    res = compare_stored(spark, table, x_lines(spark, sf_dir, right), probe=_probe(right, _x_file()))
+    return res.select("bucket", "line_no", "line", "key", "n_left", "n_right", "occ_rank")
+
+
 def q_diff_files(spark, sf_dir):
     return _x_result(spark, sf_dir).select("bucket", "line_no", "line", "key", "n_left", "n_right", "occ_rank")
 
@@ -410,6 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "empty_side": q_empty_side,
         "pair_nested_files": q_pair_nested_files,
         "group_nested_files": q_group_nested_files,
+        "grouped_paths": q_grouped_paths,
         "default_labels": q_default_labels,
         "demo": flagship,
         "file_list": q_file_list,
@@ -440,6 +459,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "render_groups": q_render_groups,
         "sorted_buckets": q_sorted_buckets,
         "repartition_by_key": q_repartition_by_key,
+        "diff_stored": q_diff_stored,
         "diff_files": q_diff_files,
         "diff_dirs": q_diff_dirs,
         "diff_pooled_dirs": q_diff_pooled_dirs,
@@ -585,6 +605,9 @@ FROM (SELECT side, label, unnest(['comm_', 'diff_']) AS b FROM (SELECT DISTINCT
         + """SELECT file_name, min(path) FILTER (WHERE side = 'left') AS path_left, min(path) FILTER (WHERE side = 'right') AS path_right
 FROM files GROUP BY file_name HAVING count(DISTINCT path) FILTER (WHERE side = 'left') = 1
   AND count(DISTINCT path) FILTER (WHERE side = 'right') = 1""",
+        "grouped_paths": _with(_NESTED)
+        + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY side, path) AS place, side, path
+FROM (SELECT DISTINCT file_name, side, path FROM files)""",
         "group_nested_files": _with(_NESTED)
         + """SELECT file_name, count(*) AS n_paths, count(*) FILTER (WHERE side = 'left') AS n_left,
   count(*) FILTER (WHERE side = 'right') AS n_right FROM files GROUP BY file_name""",
@@ -612,6 +635,7 @@ FROM (SELECT side, dir, mode, unnest(['comm_', 'diff_']) AS b,
         "sorted_buckets": _with(_X, _X_CLS, _X_GROUPS)
         + "SELECT bucket, first_line_no, pos, position, piece FROM pieces",
         "repartition_by_key": _with(_X) + "SELECT key, line_no, side FROM occ",
+        "diff_stored": _with(_X, _X_CLS) + "SELECT bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
         "diff_files": _with(_X, _X_CLS) + "SELECT bucket, line_no, line, key, n_left, n_right, occ_rank FROM cls",
         "diff_dirs": _with(_Y, _Y_FILES, _Y_CLS) + "SELECT file, bucket, line_no, line, key FROM cls",
         "diff_pooled_dirs": _with(_Y, _Z_CLS) + "SELECT bucket, line, key, n_left, n_right FROM cls",

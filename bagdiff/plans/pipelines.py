@@ -39,7 +39,7 @@ _MODES = {
 }
 
 
-def _named(occ: DataFrame) -> DataFrame:
+def named(occ: DataFrame) -> DataFrame:
     """``file`` is a join key inside the comparison: a missing or NULL file name is
     the empty name, so no line is lost to NULL-never-equal joins."""
     if "file" not in occ.columns:
@@ -102,9 +102,9 @@ def compare(
     if mode not in (FILES, POOLED):
         raise ValueError("compare() takes FILES or POOLED; use diff_file_pairs for DIRS")
     flags = (needle, space_sensitive, case_sensitive, normalize_needle)
-    occ, probe = _prepare(_named(occ), *flags), None if probe is None else _prepare(_named(probe), *flags)
+    occ, probe = _prepare(named(occ), *flags), None if probe is None else _prepare(named(probe), *flags)
     key_of = _key_of(space_sensitive, case_sensitive)
-    return classify(occ, **_rank_args(mode), heavy_rows=heavy_rows, chunk_bits=chunk_bits, key_of=key_of, probe=probe)
+    return classify(occ, **rank_args(mode), heavy_rows=heavy_rows, chunk_bits=chunk_bits, key_of=key_of, probe=probe)
 
 
 def diff_lines(
@@ -140,7 +140,7 @@ def diff_files(
     return compare(occ, FILES, needle, space_sensitive, case_sensitive, normalize_needle, heavy_rows, chunk_bits, probe)
 
 
-def _rank_args(mode: str) -> dict:
+def rank_args(mode: str) -> dict:
     m = _MODES[mode]
     return dict(by=m["by"], order=m["order"])
 
@@ -166,9 +166,9 @@ def diff_file_pairs(
     """
     pairs = pair_files(filter_names(files, name_needle)).select(F.col("file_name").alias("file"))
     flags = (needle, space_sensitive, case_sensitive, normalize_needle)
-    occ = _prepare(_named(occ), *flags).join(pairs, "file", "left_semi")
+    occ = _prepare(named(occ), *flags).join(pairs, "file", "left_semi")
     # lines of unpaired files may stay in the probe: a key that is heavy only with them is dealt to parts too
-    probe = None if probe is None else _prepare(_named(probe), *flags)
+    probe = None if probe is None else _prepare(named(probe), *flags)
     by, order = _MODES[DIRS]["by"], _MODES[DIRS]["order"]
     return classify(occ, by, order, heavy_rows, chunk_bits, key_of=_key_of(space_sensitive, case_sensitive), probe=probe)
 

@@ -35,9 +35,11 @@ HEAVY_DRAWS = 128
 HEAVY_SEED = 20
 # Documents are numbered in blocks of 2**DOC_BLOCK_BITS consecutive ids; blocks form
 # groups of 2**DOC_LEVEL_BITS, and these again, so that no window holds more whatever
-# the ids (64 = 10 + 3 * 18).
+# the ids (64 = 10 + 2 * 27); these rows are narrow, and dense ids fill a group with 2**37 documents only.
 DOC_BLOCK_BITS = 10
-DOC_LEVEL_BITS = 18
+DOC_LEVEL_BITS = 27
+# Lines of a text block are exchanged in sub-blocks of at most 2**LINE_BLOCK_BITS lines.
+LINE_BLOCK_BITS = 18
 
 OCCURRENCE = T.StructType(
     [

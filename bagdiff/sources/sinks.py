@@ -5,7 +5,8 @@ first entry, position), then written as text partitioned by output, so the part
 files of one output folder read in name order give the bucket in order. Each line is
 one entry, ended by CRLF as the reference's rows are; the lines from one that begins
 with ``[`` to one that ends with ``]`` are a bucket row. All four outputs exist, also
-those without rows. Names in the reference's style (``Comm <name>.txt``) come from
+those without rows, and only when all four do is ``path/_COMPLETE`` written, so a set that a
+crash left half-made can be told (:func:`is_complete`). Names in the reference's style (``Comm <name>.txt``) come from
 :func:`bucket_names`; without them, or where two would be the same, the folders are
 ``bucket=<bucket>``, so two sides never overwrite each other.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from bagdiff.functions.paths import output_name
 from bagdiff.operators.groups import SORT_KEYS
 
 
+#: Hidden folder that is written after all outputs.
+COMPLETE = "_COMPLETE"
+
+
 def bucket_names(left_label: str, right_label: str) -> dict[str, str] | None:
     """Reference-style output names per bucket (``Comm a.txt``, ...), or None when
     two buckets would get the same name (the reference then overwrote one)."""
@@ -64,6 +70,19 @@ def write_buckets(
     empty = entries.sparkSession.range(0).select(F.lit("").alias("piece"))
     for name in outputs.values():  # a bucket without rows still has its output
         empty.write.mode("ignore").text(f"{path.rstrip('/')}/{_folder(part, name)}")
+    empty.write.mode("overwrite").text(f"{path.rstrip('/')}/{COMPLETE}")
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether all four outputs under ``path`` were written to the end."""
+    try:
+        # an underscore hides a folder from scans of its parent, not from a scan of itself
+        spark.read.text(f"{path.rstrip('/')}/{COMPLETE}").isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_bucket(spark: SparkSession, path: str, bucket: str, line_sep: str = "\r\n") -> DataFrame:

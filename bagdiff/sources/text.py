@@ -2,10 +2,12 @@
 
 ``spark.read.text`` splits files into blocks, so a row does not know its line
 number. Each row gets ``monotonically_increasing_id`` (consecutive inside a
-block) and the block it came from. The rows are exchanged once by (side, file,
-block); block sizes and first row ids are counted from that same exchange, a window
-over each file's blocks turns sizes into offsets, and these join back to rows that
-are already where they are needed. So the files are read once, and numbers do not
+block), the block it came from, and a sub-block: the rows of a block with the same id
+``>> LINE_BLOCK_BITS``. So a file that cannot be split (gzip) is one block, but many sub-blocks. The
+rows are exchanged once by (side, file, block, sub-block); sizes and first row ids are
+counted from that same exchange, a window over each file's sub-blocks turns sizes into offsets,
+and these join back to rows that are already where they are needed. So the files are read once, no task
+of the exchange holds more of a file than a few sub-blocks, and numbers do not
 depend on how blocks were packed into tasks. Nothing runs before an action.
 """
 
@@ -16,15 +18,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bagdiff import schema as S
 from bagdiff.functions.paths import clean_path
 
 # Charsets whose newline is not the single byte 0x0A cannot be split on line bytes.
 _WIDE_CHARSETS = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "UTF-32BE", "UTF-32LE")
-_BLOCK = ["side", "_f", "_b"]
+_BLOCK = ["side", "_f", "_b", "_s"]
 
 
-def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool = True) -> DataFrame:
-    """Raw scan: ``_f`` file URI, ``_b`` block start, ``_m`` row id, ``_raw`` line."""
+def scan_text(
+    spark: SparkSession, paths: str | Sequence[str], recursive: bool = True, line_bits: int = S.LINE_BLOCK_BITS
+) -> DataFrame:
+    """Raw scan: ``_f`` file URI, ``_b`` block start, ``_s`` sub-block, ``_m`` row id, ``_raw`` line."""
     reader = spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
     raw = reader.load([paths] if isinstance(paths, str) else list(paths))
     return raw.select(
@@ -32,7 +37,7 @@ def scan_text(spark: SparkSession, paths: str | Sequence[str], recursive: bool =
         F.col("_metadata.file_block_start").alias("_b"),
         F.monotonically_increasing_id().alias("_m"),
         F.coalesce(F.col("value"), F.lit("")).alias("_raw"),
-    )
+    ).withColumn("_s", F.shiftright("_m", line_bits))
 
 
 def decode_line(raw, encoding: str = "UTF-8"):
@@ -60,10 +65,10 @@ def _check_charset(spark: SparkSession, encoding: str) -> None:
         )
 
 
-def _both(spark, sides, recursive) -> DataFrame:
+def _both(spark, sides, recursive, line_bits=S.LINE_BLOCK_BITS) -> DataFrame:
     scan = None
     for side, paths in sides.items():
-        own = scan_text(spark, paths, recursive).withColumn("side", F.lit(side))
+        own = scan_text(spark, paths, recursive, line_bits).withColumn("side", F.lit(side))
         scan = own if scan is None else scan.unionByName(own)
     return scan
 
@@ -73,15 +78,16 @@ def read_sides(
     sides: dict[str, str | Sequence[str]],
     encoding: str = "UTF-8",
     recursive: bool = True,
+    line_bits: int = S.LINE_BLOCK_BITS,
 ) -> DataFrame:
     """Lines of text files as ``side, file, line_no, line`` with 1-based line
     numbers per file; ``file`` is the decoded path. ``sides`` maps a side name to
     its paths; a file compared with itself is numbered once per side."""
     _check_charset(spark, encoding)
-    rows = _both(spark, sides, recursive).repartition(*_BLOCK)
+    rows = _both(spark, sides, recursive, line_bits).repartition(*_BLOCK)
     # block sizes are taken from all columns that the rows need, so both branches share the exchange
     blocks = rows.groupBy(*_BLOCK).agg(F.count_if(F.length("_raw") >= 0).alias("_n"), F.min("_m").alias("_m0"))
-    before = Window.partitionBy("side", "_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("side", "_f").orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(*_BLOCK, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_m0")).alias("_start"))
     # a line belongs to its numbered block: so no later filter on lines is moved below the
     # exchange, where it would change what is counted

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bagdiff import diff_dirs, diff_files, diff_pooled_dirs
-from bagdiff.sources import list_files, read_lines, scan_text
+from bagdiff.sources import list_files, read_lines, read_sides, scan_text
 
 
 def _write(path: Path, data: bytes):
@@ -81,6 +81,27 @@ def test_line_numbers_across_blocks(spark, tmp_path):
     assert stats.n == n and stats.bad == 0
 
 
+def test_a_file_that_cannot_be_split_is_many_sub_blocks(spark, tmp_path):
+    """A gzip file is read by one task; its lines spread over the tasks of the exchange, with exact numbers."""
+    import gzip
+
+    n = 50_000
+    for name in ("a.txt.gz", "b.txt.gz"):
+        with gzip.open(tmp_path / name, "wt") as f:
+            f.writelines(f"{name[0]} {i}\n" for i in range(1, n + 1))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = read_sides(spark, {"left": str(tmp_path)}, line_bits=10).withColumn("p", F.spark_partition_id())
+        want = F.concat(F.substring(F.element_at(F.split("file", "/"), -1), 1, 1), F.lit(" "), F.col("line_no").cast("string"))
+        assert df.where(F.col("line") != want).isEmpty()
+        per_task = [r["count"] for r in df.groupBy("p").count().collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert sum(per_task) == 2 * n and len(per_task) == 8 and max(per_task) < 2 * n / 4
+
+
 @pytest.fixture(scope="module")
 def dirs(tmp_path_factory):
     root = tmp_path_factory.mktemp("dirs")
@@ -181,12 +202,16 @@ def test_numbers_do_not_depend_on_packing(spark, tmp_path):
 
 
 def test_nothing_runs_before_an_action(spark, dirs):
+    """Reading runs nothing; a comparison looks for heavy keys unless it is told not to."""
     left, right = dirs
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("plan-only", "plan-only")
     try:
-        diff_dirs(spark, str(left), str(right), needle="y")
+        read_sides(spark, {"left": str(left), "right": str(right)})
+        diff_dirs(spark, str(left), str(right), needle="y", heavy_rows=None)
         assert len(tracker.getJobIdsForGroup("plan-only")) == 0
+        diff_dirs(spark, str(left), str(right), needle="y")
+        assert len(tracker.getJobIdsForGroup("plan-only")) > 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 

@@ -7,6 +7,7 @@ import os
 
 import pytest
 
+from bagdiff import schema as S
 from bagdiff import DIRS, POOLED, compare, diff_lines, render, side_label, write_result
 from bagdiff.plans import contract
 from bagdiff.session import scratch_path
@@ -76,7 +77,7 @@ def test_named_outputs(spark, tmp_path):
     out = str(tmp_path / "named")
     write_result(res, out, labels=("a.txt", "b.txt"))
     assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == sorted(
-        ["_SUCCESS", "output=Comm 文件a.txt", "output=Diff 文件a.txt", "output=Comm 文件b.txt", "output=Diff 文件b.txt"]
+        ["_COMPLETE", "_SUCCESS", "output=Comm 文件a.txt", "output=Diff 文件a.txt", "output=Comm 文件b.txt", "output=Diff 文件b.txt"]
     )
     assert read_in_order(read_output(spark, f"{out}/output=Diff 文件a.txt")) == lines_of(EXPECTED["diff_left"])
 
@@ -118,3 +119,19 @@ def test_all_four_outputs_exist(spark, tmp_path):
         assert read_in_order(read_output(spark, f"{out}/{folder}")) == []
     with pytest.raises(Exception, match="exists"):
         write_result(diff_lines(*same), out)
+
+
+def test_complete_only_after_all_outputs(spark, tmp_path, monkeypatch):
+    from bagdiff.sources import sinks
+
+    same = [occurrences(spark, ["a"], side) for side in ("left", "right")]
+    out = str(tmp_path / "done")
+    assert not sinks.is_complete(spark, out)
+    write_result(diff_lines(*same), out)
+    assert sinks.is_complete(spark, out)
+    assert {p.name for p in (tmp_path / "done").iterdir() if p.is_dir()} == {f"bucket={b}" for b in S.BUCKETS} | {sinks.COMPLETE}
+    # a crash while the empty outputs are made
+    monkeypatch.setattr(sinks, "_folder", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_result(diff_lines(*same), str(tmp_path / "half"))
+    assert not sinks.is_complete(spark, str(tmp_path / "half"))

@@ -1,0 +1,78 @@
+"""One side stored by key, compared many times without moving again."""
+
+import random
+import re
+
+import pytest
+from conftest import occurrences
+from pyspark.sql import functions as F
+
+from bagdiff.plans import contract
+from bagdiff.plans.pipelines import DIRS, FILES, POOLED, compare
+from bagdiff.plans.stored import compare_stored, store_side
+
+SF = "/root/testdata/sf0.001"
+
+
+def _lines(seed, n):
+    rng = random.Random(seed)
+    return ["" if rng.random() < 0.3 else rng.choice(["Ab c", "abc", "x:y", "  ", f"v{rng.randint(0, 40)}"]) for _ in range(n)]
+
+
+@pytest.fixture
+def name(tmp_path):
+    return "t_" + re.sub(r"\W", "_", tmp_path.name)
+
+
+@pytest.mark.parametrize("heavy_rows", [20, None])
+@pytest.mark.parametrize("flags", [(False, False), (True, True)])
+def test_same_result_as_compare(spark, tmp_path, name, heavy_rows, flags):
+    left = occurrences(spark, _lines(1, 400), "left")
+    store_side(left, name, 4, *flags, heavy_rows=heavy_rows, path=str(tmp_path))
+    assert spark.table(f"{name}_heavy").isEmpty() == (heavy_rows is None)
+    for seed, mode, needle in ((2, FILES, ""), (3, POOLED, "v"), (4, FILES, "nothing")):
+        right = occurrences(spark, _lines(seed, 300), "right")
+        got = compare_stored(spark, name, right, mode, needle, heavy_rows=heavy_rows, chunk_bits=3)
+        want = compare(left.unionByName(right), mode, needle, *flags, heavy_rows=None)
+        assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_a_key_that_is_heavy_on_the_other_side_only(spark, tmp_path, name):
+    left = occurrences(spark, ["x", "y", "x"], "left")
+    right = occurrences(spark, ["X"] * 200 + ["z"], "right")
+    store_side(left, name, 2, heavy_rows=50, path=str(tmp_path))
+    got = compare_stored(spark, name, right, heavy_rows=50, chunk_bits=4, probe=right.select("side", "file", "line"))
+    want = compare(left.unionByName(right), heavy_rows=None)
+    assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_empty_sides(spark, tmp_path, name):
+    left = occurrences(spark, ["x"], "left")
+    store_side(left.limit(0), name, 2, path=str(tmp_path))
+    assert [r.bucket for r in compare_stored(spark, name, occurrences(spark, ["x"], "right")).collect()] == ["diff_right"]
+    assert compare_stored(spark, name, left.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        compare_stored(spark, name, left, DIRS)
+
+
+def test_stored_lines_do_not_move(spark, tmp_path, name):
+    """Nothing stands between the bucketed scan and the windows but the union with the other side."""
+    docs = contract._documents(spark, SF)
+    left, right = (contract.x_lines(spark, SF, docs.where(contract._side() == side)) for side in ("left", "right"))
+    store_side(left, name, 8, heavy_rows=None, path=str(tmp_path))
+    res = compare_stored(spark, name, right, heavy_rows=None)
+    res.collect()
+    plan = res._jdf.queryExecution().executedPlan().toString().split("Final Plan")[1].split("Initial Plan")[0]
+    lines = plan.split("\n")
+    scan = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+    union = max(i for i, x in enumerate(lines[:scan]) if "Union" in x)
+    assert "SelectedBucketsCount: 8 out of 8" in lines[scan]
+    assert not any("Exchange" in x or "ShuffleQueryStage" in x for x in [*lines[:union], *lines[union:scan]])
+    assert sum("REPARTITION_BY_NUM" in x and "key" in x for x in lines) == 1  # the other side's lines
+
+
+def test_flags_of_the_stored_side_are_used(spark, tmp_path, name):
+    store_side(occurrences(spark, ["A b"], "left"), name, 2, space_sensitive=True, case_sensitive=True, path=str(tmp_path))
+    got = compare_stored(spark, name, occurrences(spark, ["ab"], "right"))
+    assert {r.bucket for r in got.collect()} == {"diff_left", "diff_right"}
+    assert got.where(F.col("side") == "left").first().key == "A b"

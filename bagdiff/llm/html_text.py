@@ -90,23 +90,24 @@ OWN_HEADER = set("article post entry content story main".split())
 def _patterns():
     import re
 
-    attributes = r"""(?:[^>"']|"[^"<]*+"|'[^'<]*+')*+"""
+    # no "<" outside quotes, so a tag that never ends costs no more than up to the next one
+    attributes = r"""(?:[^<>"']|"[^"<]*+"|'[^'<]*+')*+"""
     tag = rf"</?([A-Za-z][A-Za-z0-9:-]*)({attributes})>"
     return {
         "raw": re.compile(
-            rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>"
+            rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^<>]*>"
             rf"|<(script|style|textarea|iframe|xmp|noembed|noframes)\b{attributes}>.*?(?:</\1\s*>|\Z)",
             re.S | re.I,
         ),
         "tag": re.compile(tag, re.S),
-        "hint": re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I),
-        "hidden": re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none""", re.I),
+        "attribute": re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?"""),
+        "none": re.compile(r"display\s*:\s*none", re.I),
         "word": re.compile(r"[^\W\d_]+"),
     }
 
 
 class _Block:
-    """``hints``: numbers of the hinted elements around it; ``before``: those around its article."""
+    """``hints``: number of the innermost hinted element around it, 0 if none; ``before``: that around its article."""
 
     __slots__ = ("text", "linked", "outside", "article", "hints", "before", "state")
 
@@ -115,10 +116,22 @@ class _Block:
         self.hints, self.before = hints, before
 
 
-def _is_hint(attributes, patterns):
+def _attributes(text, patterns) -> dict[str, str]:
+    """Values of a tag's attributes by their lower-cased names; of a name that comes twice the first."""
+    found: dict[str, str] = {}
+    for m in patterns["attribute"].finditer(text):
+        found.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    return found
+
+
+def _is_hidden(attributes, patterns):
+    return "hidden" in attributes or bool(patterns["none"].search(attributes.get("style", "")))
+
+
+def _is_hint(attributes):
     """Whether a class, id or role says that the element is not of the article."""
-    for m in patterns["hint"].finditer(attributes):
-        for name in (m.group(1) or m.group(2) or m.group(3) or "").lower().split():
+    for key in ("class", "id", "role"):
+        for name in attributes.get(key, "").lower().split():
             words = name.replace("_", "-").split("-")
             if words[0] in LAYOUT_FIRST or words[-1] in LAYOUT_LAST:
                 continue
@@ -127,16 +140,19 @@ def _is_hint(attributes, patterns):
     return False
 
 
-def _blocks(page: str, patterns) -> list[_Block]:
-    """Blocks in page order, with how much of each is link text and what encloses it."""
+def _blocks(page: str, patterns, trusting: bool = True) -> tuple[list[_Block], list[int]]:
+    """Blocks in page order, with how much of each is link text and what encloses it; and for each hinted
+    element the one around it. Hidden articles are outside only if ``trusting``."""
     from html import unescape
 
     page = patterns["raw"].sub(lambda m: " " if m.group(1) else "", page)
     out, parts, links = [], [], []
-    # element, whether it is outside the article, number of its article, hinted elements around it and its article
-    stack: list[tuple[str, bool, int, frozenset, frozenset]] = []
-    none = frozenset()
-    outside, article, articles, anchors, hints, before, hinted = False, 0, 0, 0, none, none, 0
+    # element, whether it is outside the article, number of its article, hinted element around it and its article
+    stack: list[tuple[str, bool, int, int, int]] = []
+    opened: dict[str, int] = {}  # how many elements of a name the stack has
+    parents = [0]
+    # link: depth of the stack where an open link began, -1 if there is none
+    outside, article, articles, link, hints, before = False, 0, 0, -1, 0, 0
 
     def flush():
         text = " ".join(unescape("".join(parts)).split())
@@ -148,9 +164,17 @@ def _blocks(page: str, patterns) -> list[_Block]:
 
     def add(text):
         parts.append(text)
-        if anchors:
+        if link >= 0:
             links.append(text)
 
+    def close(depth):
+        nonlocal link
+        for name, *_ in stack[depth:]:
+            opened[name] -= 1
+        del stack[depth:]
+        if depth < link:
+            link = -1
+
     at = 0
     for m in patterns["tag"].finditer(page):
         if m.start() > at:
@@ -159,41 +183,43 @@ def _blocks(page: str, patterns) -> list[_Block]:
         name = m.group(1).lower()
         closing = page[m.start() + 1] == "/"
         if name == "a":
-            anchors = 0 if closing else 1
+            # a link holds blocks too, up to its end or that of what encloses it
+            link = len(stack) if not closing and "href" in _attributes(m.group(2), patterns) else -1
         if name in INLINE:
             if name == "br":
                 add(" ")
             continue
         flush()
-        anchors = 0
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened.get(name):
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
         elif name not in VOID:
             if name in LOOSE and stack and stack[-1][0] == name:
-                stack.pop()
+                close(len(stack) - 1)
             elif name not in LOOSE:  # a block element ends an open paragraph
                 while stack and stack[-1][0] == "p":
-                    stack.pop()
+                    close(len(stack) - 1)
+            attributes = _attributes(m.group(2), patterns)
             inside, around = article, before
             if name in ARTICLE and not outside:
                 articles += 1
                 if not article:
                     inside, around = articles, hints
             header = name == "header" and not article
-            away = outside or name in OUTSIDE or header or bool(patterns["hidden"].search(m.group(2)) and name not in WHOLE)
+            away = outside or name in OUTSIDE or header
+            if name not in WHOLE and (trusting or name not in ARTICLE):
+                away = away or _is_hidden(attributes, patterns)
             own = hints
-            if not away and name not in WHOLE and name not in ARTICLE and _is_hint(m.group(2), patterns):
-                hinted += 1
-                own = hints | {hinted}
+            if not away and name not in WHOLE and name not in ARTICLE and _is_hint(attributes):
+                own = len(parents)
+                parents.append(hints)
             stack.append((name, away, inside, own, around))
-        outside, article, hints, before = stack[-1][1:] if stack else (False, 0, none, none)
+            opened[name] = opened.get(name, 0) + 1
+        outside, article, hints, before = stack[-1][1:] if stack else (False, 0, 0, 0)
     if at < len(page):
         add(page[at:])
     flush()
-    return out
+    return out, parents
 
 
 def _density(words, stops):
@@ -204,29 +230,40 @@ def main_text(page: str, patterns=None, stop_words=None) -> str:
     """The main text of one page."""
     patterns = patterns or _patterns()
     stop_words = stop_words or {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
-    blocks = _blocks(page, patterns)
+    return _text_of(page, patterns, stop_words, True) or _text_of(page, patterns, stop_words, False)
+
+
+def _text_of(page, patterns, stop_words, trusting):
+    blocks, parents = _blocks(page, patterns, trusting)
+    nowhere = [False] * len(parents)
     if not any(b.hints for b in blocks):
-        return _decided(blocks, patterns, stop_words, frozenset())
-    held = _held(blocks, patterns, stop_words)
-    return _decided(blocks, patterns, stop_words, held) or _decided(blocks, patterns, stop_words, frozenset())
+        return _decided(blocks, patterns, stop_words, nowhere)
+    held = _held(blocks, parents, patterns, stop_words)
+    return _decided(blocks, patterns, stop_words, held) or _decided(blocks, patterns, stop_words, nowhere)
 
 
-def _held(blocks, patterns, stop_words):
-    """Numbers of the hinted elements that are not of the article."""
+def _held(blocks, parents, patterns, stop_words):
+    """For each hinted element, whether it or one around it is not of the article."""
     open_blocks = [b for b in blocks if not b.outside]
     words = [patterns["word"].findall(b.text.lower()) for b in open_blocks]
     every = [w for ws in words for w in ws]
     best, stops = max(((_density(every, s), k) for k, s in stop_words.items()), default=(0.0, ""))
-    sizes, total, articles = {}, 0, []
+    # text and article blocks in each element; an element's number is greater than that of the one around it
+    sizes, own, total, articles = [0] * len(parents), [0] * len(parents), 0, 0
     for b, ws in zip(open_blocks, words, strict=True):
         if len(b.text) >= LONG and b.linked <= LINKS and (best < KNOWN or _density(ws, stop_words[stops]) >= HIGH):
             total += len(b.text)
-            for h in b.hints:
-                sizes[h] = sizes.get(h, 0) + len(b.text)
+            sizes[b.hints] += len(b.text)
             if b.article:
-                articles.append(b.before | b.hints)
-    named = frozenset().union(*(b.hints for b in open_blocks))
-    return frozenset(h for h in named if sizes.get(h, 0) <= MOST * total or any(h not in around for around in articles))
+                articles += 1
+                own[b.hints] += 1
+    for h in range(len(parents) - 1, 0, -1):
+        sizes[parents[h]] += sizes[h]
+        own[parents[h]] += own[h]
+    held = [False]
+    for h in range(1, len(parents)):
+        held.append(held[parents[h]] or sizes[h] <= MOST * total or own[h] < articles)
+    return held
 
 
 def _decided(blocks, patterns, stop_words, held):
@@ -234,8 +271,8 @@ def _decided(blocks, patterns, stop_words, held):
     kept_as = [(b.outside, b.article) for b in blocks]
     for b in blocks:
         b.state = None
-        b.outside = b.outside or not held.isdisjoint(b.hints)
-        b.article = b.article if held.isdisjoint(b.before) else 0
+        b.outside = b.outside or held[b.hints]
+        b.article = 0 if held[b.before] else b.article
     text = _two_passes(blocks, patterns, stop_words)
     for b, (outside, article) in zip(blocks, kept_as, strict=True):
         b.outside, b.article = outside, article

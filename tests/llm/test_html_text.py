@@ -103,6 +103,49 @@ def test_unknown_language_and_only_short_blocks():
     assert main_text("<p>One</p><p>Two</p><footer>Three</footer>") == "One\nTwo"
 
 
+def test_hidden_is_an_attribute_of_its_own():
+    body = f"<h1>Title</h1><p>{LONG}</p><p>{MORE}</p>"
+    for tag in (
+        '<article title="The hidden cost of rain">',
+        '<main data-title="A hidden gem">',
+        '<div class="container hidden md:block">',
+        "<div data-note='style=\"display:none\" hidden'>",
+        '<section title="class=ad id=comments">',
+        "<article hidden>",  # the only text there is
+    ):
+        assert main_text(f"<body>{tag}{body}</body>") == f"Title\n{LONG}\n{MORE}", tag
+    assert main_text(f"<body><p>{LONG}</p><div HIDDEN=''><p>{MORE}</p></div></body>") == LONG
+    assert main_text(f"<body><article hidden><p>{LONG}</p></article><article><p>{MORE}</p></article></body>") == MORE
+
+
+def test_links_hold_blocks():
+    """Cards of related stories: everything up to the end of the link is its text."""
+    card = f"<a href='/x'><div><h3>Another story</h3><p>{LONG}</p></div></a>"
+    assert main_text(f"<body><div><p>{MORE}</p></div><div>{card * 3}</div></body>") == MORE
+    # a link that is never closed ends with what encloses it; without an address it is none
+    assert main_text(f"<body><p>{LONG} <a href=x>more</p><p>{MORE}</p></body>") == f"{LONG} more\n{MORE}"
+    assert main_text(f"<body><a name=top><p>{LONG}</p><p>{MORE}</p></body>") == f"{LONG}\n{MORE}"
+
+
+def test_long_hostile_pages_take_linear_time():
+    import time
+
+    pages = [
+        "<a " * 100_000,
+        "<div>" * 50_000 + "</section>" * 100_000,
+        '<div class="ad">x ' * 50_000,
+        "<script " * 100_000,
+        "<!" * 100_000,
+        "<p hidden=" * 100_000,
+        "<a href=" + "x" * 300_000 + ">",
+        "<p " + "a= " * 100_000 + ">",
+    ]
+    for page in pages:
+        began = time.thread_time()
+        main_text(page)
+        assert time.thread_time() - began < 8, page[:30]
+
+
 def test_hostile_markup_ends_soon():
     for page in ("<" * 200_000, '<a "' * 50_000, "<p>" * 50_000 + LONG, "<!--" * 50_000, "<div class='" * 30_000):
         main_text(page)

@@ -94,7 +94,11 @@ T_FILES = 10
 _T_FILE_SQL = f"ascii(right(coalesce(source, ''), 1)) % {T_FILES}"
 
 
-def text_folders(spark: SparkSession, sf_dir: str, encoding: str | None = None) -> dict[str, str]:
+#: In UTF-16LE these two characters hold the bytes of a line feed across their units.
+_WIDE_PAIR = "\u0a05\u0100"
+
+
+def text_folders(spark: SparkSession, sf_dir: str, encoding: str | None = None, line=None) -> dict[str, str]:
     """T: folder of each side. Spark's files of one job share their names over the folders
     of the sides, numbered by the task, so the files pair by name.
 
@@ -104,7 +108,7 @@ def text_folders(spark: SparkSession, sf_dir: str, encoding: str | None = None)
     path = scratch_path(spark, "text")
     lines = lines_from_column(_documents(spark, sf_dir), "text", _side(), F.expr(_T_FILE_SQL).cast("string"), "doc_id")
     placed = lines.repartitionById(T_FILES, F.col("file").cast("int")).sortWithinPartitions("side", "line_no")
-    writer = placed.select("side", "line").write.partitionBy("side").option("lineSep", "\r\n" if encoding is None else "\n")
+    writer = placed.select("side", F.col("line") if line is None else line.alias("line")).write.partitionBy("side").option("lineSep", "\r\n" if encoding is None else "\n")
     if encoding is None:
         writer.text(path)
     else:
@@ -185,6 +189,13 @@ def q_text_charset(spark, sf_dir):
     return lines.select("side", _t_number().alias("file_no"), "line_no", "line")
 
 
+def q_text_wide(spark, sf_dir):
+    """T written in UTF-16, with characters that hold a line feed's bytes, and read again."""
+    spoilt = F.replace("line", F.lit("e"), F.lit(_WIDE_PAIR))
+    lines = read_sides(spark, text_folders(spark, sf_dir, "UTF-16LE", spoilt), encoding="UTF-16LE")
+    return lines.select("side", _t_number().alias("file_no"), "line_no", "line")
+
+
 def q_text_bag(spark, sf_dir):
     occ = keep_needle(with_key(read_bag(spark, text_folders(spark, sf_dir))), NEEDLE)
     return occ.select("side", "line", "key")
@@ -419,6 +430,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pooled_scan": q_pooled_scan,
         "text_lines": q_text_lines,
         "text_charset": q_text_charset,
+        "text_wide": q_text_wide,
         "text_bag": q_text_bag,
         "text_file_list": q_text_file_list,
         "text_diff_files": q_text_diff_files,
@@ -587,6 +599,8 @@ FROM (SELECT * FROM files WHERE side = 'left') l JOIN (SELECT * FROM files WHERE
 FROM (SELECT side, label, unnest(['comm_', 'diff_']) AS b FROM (SELECT DISTINCT side, file AS label FROM lines))""",
         "text_lines": _with(_T_CTE) + "SELECT side, CAST(file AS INTEGER) AS file_no, line_no, line FROM lines",
         "text_charset": _with(_T_CTE) + _T_LATIN,
+        "text_wide": _with(_T_CTE)
+        + f"SELECT side, CAST(file AS INTEGER) AS file_no, line_no, replace(line, 'e', '{_WIDE_PAIR}') AS line FROM lines",
         "text_bag": _with(_T_CTE) + f"SELECT side, line, key FROM occ WHERE contains(key, '{NEEDLE}')",
         "text_file_list": _with(_T_CTE) + "SELECT DISTINCT side, CAST(file AS INTEGER) AS file_no FROM lines",
         "text_diff_files": _with(_T_CTE, _Z_CLS)

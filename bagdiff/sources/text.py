@@ -9,6 +9,11 @@ counted from that same exchange, a window over each file's sub-blocks turns size
 and these join back to rows that are already where they are needed. So the files are read once, no task
 of the exchange holds more of a file than a few sub-blocks, and numbers do not
 depend on how blocks were packed into tasks. Nothing runs before an action.
+
+UTF-16 and UTF-32 of a named byte order are cut at the bytes of their line feed, wherever these stand. Such a cut is
+a line's end only if it is aligned to the charset's units, as other characters may hold the same
+bytes across two units. Running lengths, by the same windows and offsets, tell which cuts are aligned;
+the pieces of a line with cuts that are not are joined again.
 """
 
 from __future__ import annotations
@@ -21,16 +26,33 @@ from pyspark.sql import functions as F
 from bagdiff import schema as S
 from bagdiff.functions.paths import clean_path
 
-# Charsets whose newline is not the single byte 0x0A cannot be split on line bytes.
-_WIDE_CHARSETS = ("UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "UTF-32BE", "UTF-32LE")
+# Charsets whose newline is not the single byte 0x0A, by their bytes a unit.
+_WIDE_CHARSETS = {"UTF-16BE": 2, "UTF-16LE": 2, "UTF-32BE": 4, "UTF-32LE": 4}
+_NO_BYTE_ORDER = ("UTF-16", "UTF-32")
 _BLOCK = ["side", "_f", "_b", "_s"]
 
 
+def _normal(encoding: str) -> str:
+    return encoding.upper().replace("_", "-")
+
+
+def _line_feed(encoding: str) -> str:
+    """The bytes of a wide charset's line feed, as characters."""
+    zeros = "\0" * (_WIDE_CHARSETS[encoding] - 1)
+    return "\n" + zeros if encoding.endswith("LE") else zeros + "\n"
+
+
 def scan_text(
-    spark: SparkSession, paths: str | Sequence[str], recursive: bool = True, line_bits: int = S.LINE_BLOCK_BITS
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    recursive: bool = True,
+    line_bits: int = S.LINE_BLOCK_BITS,
+    line_sep: str | None = None,
 ) -> DataFrame:
     """Raw scan: ``_f`` file URI, ``_b`` block start, ``_s`` sub-block, ``_m`` row id, ``_raw`` line."""
     reader = spark.read.format("text").option("recursiveFileLookup", str(recursive).lower())
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
     raw = reader.load([paths] if isinstance(paths, str) else list(paths))
     return raw.select(
         F.col("_metadata.file_path").alias("_f"),
@@ -42,22 +64,19 @@ def scan_text(
 
 def decode_line(raw, encoding: str = "UTF-8"):
     """Line text in ``encoding``; UTF-8 needs no decoding (the bytes are kept as read)."""
-    enc = encoding.upper().replace("_", "-")
-    if enc in ("UTF-8", "UTF8"):
+    if _normal(encoding) in ("UTF-8", "UTF8"):
         return raw
-    if enc in _WIDE_CHARSETS:
-        raise ValueError(f"{encoding} text cannot be split into lines by newline bytes")
     return F.decode(raw.cast("binary"), encoding)
 
 
 # Charsets Spark's decode() accepts without the Java-charset setting.
-_SPARK_CHARSETS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF8")
+_SPARK_CHARSETS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF8", "UTF-16BE", "UTF-16LE")
 
 
 def _check_charset(spark: SparkSession, encoding: str) -> None:
-    enc = encoding.upper().replace("_", "-")
-    if enc in _WIDE_CHARSETS:
-        raise ValueError(f"{encoding} text cannot be split into lines by newline bytes")
+    enc = _normal(encoding)
+    if enc in _NO_BYTE_ORDER:
+        raise ValueError(f"{encoding} does not say the order of its bytes: use {encoding}LE or {encoding}BE")
     if enc not in _SPARK_CHARSETS and spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
         raise ValueError(
             f"charset {encoding} needs spark.sql.legacy.javaCharsets=true "
@@ -65,10 +84,10 @@ def _check_charset(spark: SparkSession, encoding: str) -> None:
         )
 
 
-def _both(spark, sides, recursive, line_bits=S.LINE_BLOCK_BITS) -> DataFrame:
+def _both(spark, sides, recursive, line_bits=S.LINE_BLOCK_BITS, line_sep=None) -> DataFrame:
     scan = None
     for side, paths in sides.items():
-        own = scan_text(spark, paths, recursive, line_bits).withColumn("side", F.lit(side))
+        own = scan_text(spark, paths, recursive, line_bits, line_sep).withColumn("side", F.lit(side))
         scan = own if scan is None else scan.unionByName(own)
     return scan
 
@@ -82,8 +101,12 @@ def read_sides(
 ) -> DataFrame:
     """Lines of text files as ``side, file, line_no, line`` with 1-based line
     numbers per file; ``file`` is the decoded path. ``sides`` maps a side name to
-    its paths; a file compared with itself is numbered once per side."""
+    its paths; a file compared with itself is numbered once per side.
+
+    In UTF-16 and UTF-32 lines end with a line feed, or carriage return and line feed; a byte order mark is no text."""
     _check_charset(spark, encoding)
+    if _normal(encoding) in _WIDE_CHARSETS:
+        return _wide_lines(spark, sides, _normal(encoding), recursive, line_bits)
     rows = _both(spark, sides, recursive, line_bits).repartition(*_BLOCK)
     # block sizes are taken from all columns that the rows need, so both branches share the exchange
     blocks = rows.groupBy(*_BLOCK).agg(F.count_if(F.length("_raw") >= 0).alias("_n"), F.min("_m").alias("_m0"))
@@ -100,6 +123,36 @@ def read_sides(
     )
 
 
+def _wide_lines(spark, sides, encoding, recursive, line_bits) -> DataFrame:
+    """:func:`read_sides` for a wide charset."""
+    unit, line_sep = _WIDE_CHARSETS[encoding], _line_feed(encoding)
+    rows = _both(spark, sides, recursive, line_bits, line_sep).repartition(*_BLOCK)
+    # the cuts' own bytes are whole units, so lengths without them tell whether a cut is aligned
+    earlier = Window.partitionBy(*_BLOCK).orderBy("_m")
+    ends = F.sum(F.octet_length("_raw").cast("long")).over(earlier.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_end", ends)
+    # cuts of a sub-block that are aligned, for each possible offset of the sub-block
+    per_offset = [F.count_if((F.col("_end") + r) % unit == 0).alias(f"_n{r}") for r in range(unit)]
+    blocks = rows.groupBy(*_BLOCK).agg(F.max("_end").alias("_size"), *per_offset)
+    before = Window.partitionBy("side", "_f").orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)) % unit)
+    aligned = sum((F.when(F.col("_offset") == r, F.col(f"_n{r}")).otherwise(0) for r in range(unit)), F.lit(0))
+    starts = blocks.withColumn("_aligned", aligned).select(
+        *_BLOCK, "_offset", F.coalesce(F.sum("_aligned").over(before), F.lit(0)).alias("_lines")
+    )
+    end = F.col("_end") + F.col("_offset")
+    met = rows.join(starts, _BLOCK).withColumns({"_to": end % unit == 0, "_from": (end - F.octet_length("_raw")) % unit == 0})
+    over = F.count_if("_to").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = met.withColumn("line_no", (F.col("_lines") + over + 1).cast("long"))
+    whole = numbered.where(F.col("_from") & F.col("_to")).select("side", "_f", "line_no", "_raw")
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("_m", "_raw"))), lambda x: x["_raw"])
+    cut = numbered.where(~(F.col("_from") & F.col("_to"))).groupBy("side", "_f", "line_no")
+    lines = whole.unionByName(cut.agg(F.array_join(pieces, line_sep).alias("_raw")))
+    text = F.regexp_replace(decode_line(F.col("_raw"), encoding), "\r\\z", "")
+    text = F.when(F.col("line_no") == 1, F.regexp_replace(text, "\\A\ufeff", "")).otherwise(text)
+    return lines.select("side", clean_path("_f").alias("file"), "line_no", text.alias("line"))
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -117,7 +170,9 @@ def read_bag(
     encoding: str = "UTF-8",
     recursive: bool = True,
 ) -> DataFrame:
-    """Lines without numbers as ``side, file, line``: a plain scan, nothing is exchanged."""
+    """Lines without numbers as ``side, file, line``: a plain scan, nothing is exchanged (but in UTF-16 and UTF-32)."""
     _check_charset(spark, encoding)
+    if _normal(encoding) in _WIDE_CHARSETS:
+        return read_sides(spark, sides, encoding, recursive).drop("line_no")
     raw = _both(spark, sides, recursive)
     return raw.select("side", clean_path("_f").alias("file"), decode_line(F.col("_raw"), encoding).alias("line"))

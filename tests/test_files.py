@@ -81,6 +81,29 @@ def test_line_numbers_across_blocks(spark, tmp_path):
     assert stats.n == n and stats.bad == 0
 
 
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-32BE"])
+def test_wide_charsets(spark, tmp_path, encoding):
+    """Lines of characters whose bytes look like a line feed's, cut into small blocks and sub-blocks."""
+    import random
+
+    rng = random.Random(7)
+    some = ["a", "\u010a", "\u0a00", "\u0a05\u0100", "\u000c", "\U00010a0a", "\u0a0a", "\U000a0000", "é", " ", "\r", "\u0d0a"]
+    lines = ["".join(rng.choice(some) for _ in range(rng.randrange(12))).rstrip("\r") for _ in range(3000)]
+    ends = [rng.choice(["\n", "\r\n"]) for _ in lines]
+    (tmp_path / "a.txt").write_bytes(("\ufeff" + "".join(x + e for x, e in zip(lines, ends))).encode(encoding))
+    (tmp_path / "b.txt").write_bytes("no end".encode(encoding))
+    (tmp_path / "c.txt").write_bytes(b"")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        rows = read_sides(spark, {"left": str(tmp_path)}, encoding, line_bits=4).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted((r.line_no, r.line) for r in rows if r.file.endswith("a.txt"))
+    assert got == list(enumerate(lines, 1))
+    assert [(r.line_no, r.line) for r in rows if not r.file.endswith("a.txt")] == [(1, "no end")]
+
+
 def test_a_file_that_cannot_be_split_is_many_sub_blocks(spark, tmp_path):
     """A gzip file is read by one task; its lines spread over the tasks of the exchange, with exact numbers."""
     import gzip

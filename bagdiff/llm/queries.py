@@ -22,6 +22,7 @@ from bagdiff.llm import (
     token_counts,
     url_filter,
 )
+from bagdiff.llm.common import materialize
 
 #: Vocabulary file of the tokenizer queries.
 VOCABULARY = "byte_bpe_50k.json"
@@ -151,8 +152,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels")
     held_out = _fold("doc_id", 5) == 0
-    ranking = quality.fit(docs, labels.filter(~held_out))
-    found = quality.with_score(docs, ranking)
+    train = labels.filter(~held_out)
+    ranking = quality.fit(docs, train)
+    if ranking is None:
+        found = quality.with_score(docs, None)
+    else:
+        raw = materialize(quality.with_raw(docs, ranking).select("doc_id", "raw"), "quality-scores")
+        ranking = quality.calibrated(ranking, raw, train)
+        found = raw.withColumn("score", quality.score_of(F.col("raw"), ranking))
     return found.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
     )

@@ -32,6 +32,26 @@ def test_sample_is_bounded(spark):
     assert sum((r.score >= 0.3) == bool(r.doc_id % 2) for r in rows) >= 480
 
 
+def test_threshold_covers_all_labelled_rows(spark):
+    """The cut is that of all training labels, not of the sample, and scores are those of brute force."""
+    import numpy as np
+
+    docs = spark.range(600).selectExpr("id AS doc_id", "concat(repeat('word and more ', 1 + id % 7), if(id % 5 = 0, ' !!! ### ###', ''), id) AS text")
+    rows = [(i, int(i % 5 > 0)) for i in range(0, 600, 2)] + [(2, 1), (None, 0), (4, None), (5000, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    ranking = quality.fit(docs, labels, sample=30, pairs=100)
+    raw = quality.with_raw(docs, ranking)
+    full = quality.calibrated(ranking, raw, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    own = [(ranking.raw(np.array([quality.features(texts[i])]))[0], y) for i, y in rows if i in texts and y is not None]
+    scores, y = np.array([a for a, _ in own]), np.array([b for _, b in own])
+    assert np.isclose(full.cut, np.quantile(scores, 1 - y.mean(), method="inverted_cdf")) and full.cut != ranking.cut
+    assert np.isclose(full.scale, scores.std() / 2)
+    for r in raw.withColumn("score", quality.score_of(raw["raw"], full)).collect():
+        assert np.isclose(r.score, full.score(np.array([quality.features(r.text)]))[0])
+    assert quality.calibrated(ranking, raw, labels.limit(0)) is ranking
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (1, 1), (7, 0), (3, 0), (99, 1), (None, 1), (5, None), (6, 2)], "doc_id long, quality int")
     for ranking in (quality.fit(odd_docs, labels), None):

@@ -2,7 +2,7 @@
 
 The vocabulary is a SentencePiece BPE model whose normaliser changes nothing but spaces
 (``load`` refuses any other). No piece holds a space behind another character, a set of signs
-(found from the pieces: line ends, digits, punctuation) stands behind no other character in any
+(found from the pieces: line ends and digits, say) stands behind no other character in any
 piece, and only few of them, the joining signs, before one. So no merge crosses the places before a run of
 spaces, before a run of signs, or behind one that does not end with a joining sign. Texts are cut there into
 pre-tokens, and the number of tokens of a text is the sum over its pre-tokens.

@@ -2,8 +2,11 @@
 
 Each round rewires every link towards the smallest node its end points know, with
 joins and partial aggregations only; links never meet in one task or the driver.
-The link table of each round is written to the shared folder, so lineage stays
-short. Rounds grow with the logarithm of the longest chain.
+The smallest neighbours and the link table of each star are written to the shared
+folder, so lineage stays short, and the join of both has no aggregate below it: a
+small table is broadcast by its size in files, and of a large one adaptive execution
+splits the task of a hub, however many links it has. Rounds grow with the logarithm of
+the longest chain.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    least = materialize(least.select("u", F.least("u", "m").alias("m")), "least", narrow=True)
     joined = both.join(least, "u")
     if large:  # neighbours above u point to the least of its neighbourhood
         out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -45,7 +48,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     before = state(links)
     while before[0]:
-        links = materialize(_star(_star(links, True), False), "links", narrow=True)
+        links = materialize(_star(links, True), "links", narrow=True)
+        links = materialize(_star(links, False), "links", narrow=True)
         after = state(links)
         if after == before:
             break

@@ -189,7 +189,10 @@ def _grouped(
         F.col("node").alias("fp"), "component"
     )
     nodes = nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    nodes = materialize(nodes, "simhash-components", narrow=True)
+    # written before the join, so that adaptive execution can split a component with very many fingerprints
     smallest = nodes.groupBy("component").agg(F.min("id").alias("component_id"))
+    smallest = materialize(smallest, "simhash-smallest", narrow=True)
     groups = materialize(nodes.join(smallest, "component").select("fp", "component", "component_id", "n"), "simhash-groups", narrow=True)
     total = groups.agg(F.sum("n")).first()[0] or 0
     found = attach_by_key(rows, groups, "fp", "n", total)

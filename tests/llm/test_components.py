@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from bagdiff.llm.components import components
+from bagdiff.llm.components import _star, components
 
 
 def reach(links):
@@ -48,3 +48,28 @@ def test_chain_star_and_strings(spark):
 
 def test_no_links(spark):
     check(spark, [])
+
+
+def test_a_hub_is_split(spark):
+    """A hub's links, and the leaves of a two-level star, are joined by many tasks."""
+    leaves = 100_000
+    links = spark.sql(f"SELECT id + 1 AS u, 0L AS v FROM range({leaves}) UNION ALL SELECT id + {leaves + 1}, 1L FROM range(500)")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = _star(links, True)
+        assert {r.v for r in out.collect()} == {0}
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString().replace("isSkew", "skew")
+        found = components(links.withColumnsRenamed({"u": "a", "v": "b"}))
+        assert found.filter("component <> 0").count() == 0 and found.count() == leaves + 501
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -219,7 +219,8 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _DUCK_WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-#: Components are reached by walking the links; there is a row per page.
+#: Components are reached by walking the links; there is a row per page. It reads links in their plain forms:
+#: absolute or below the page's folder or host, in tags outside comments and raw text, with ``&amp;`` alone.
 OP4_SQL = r"""
 WITH RECURSIVE rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),

@@ -60,6 +60,72 @@ def test_redirect_table(spark):
     assert {i for i, v in got.items() if v[1] == "block"} == set(range(21))
 
 
+BAD = "http://bad.net/es/x"
+
+#: Pages whose URL has no rule, and whether their links make them aliases of the blocked one.
+LINKS = [
+    ("http://bad.net/a/b", "<link rel=canonical href='../es/x'>", True),
+    ("http://bad.net/a/b/c", "<link rel=canonical href='./.././../es/./x'>", True),
+    ("http://bad.net/es?x", "<link rel=canonical href=es/x>", True),
+    ("http://one.org/", "<link rel='canonical' href='http://bad.net:80/es/x#part'>", True),
+    ("http://two.org/", "<link rel='shortlink canonical' href='HTTP://BAD.net/es/x'>", True),
+    ("http://three.org/", "<base href='http://bad.net/q/'><base href='http://ok.org/'><link rel=canonical href='/es/x'>", True),
+    ("http://four.org/", "<link rel=canonical href='http&#58;//bad.net/&#x65;s/x'>", True),
+    ("http://five.org/", "<meta http-equiv='Refresh' content=\"3; URL='//bad.net/es/x'\">", True),
+    ("http://six.org/", "<link\nHREF = \"\nhttp://bad.net/es/x \"\nREL = Canonical />", True),
+    ("http://seven.org/", "<!-- x --><link rel=canonical href=http://bad.net/es/x>", True),
+    ("http://bad.org/", f"<!-- <link rel=canonical href='{BAD}'> -->", False),
+    ("http://c1.org/", f"<!-- <link rel=canonical href='{BAD}'>", False),
+    ("http://c2.org/", f"<script>x = '<link rel=canonical href=\\'{BAD}\\'>'</script>", False),
+    ("http://c3.org/", f"<style><link rel=canonical href='{BAD}'></style><p>", False),
+    ("http://c4.org/", f"<textarea><meta http-equiv=refresh content='0;url={BAD}'></textarea>", False),
+    ("http://c5.org/", f"<link rel=canonical data-href='{BAD}'>", False),
+    ("http://c6.org/", f"<link rel=canonicals href='{BAD}'><link data-rel=canonical href='{BAD}'>", False),
+    ("http://c7.org/", f"<link rel=stylesheet title='canonical' href='{BAD}'>", False),
+    ("http://c8.org/", f"<meta name=refresh content='0;url={BAD}'><meta http-equiv=refresh content=30>", False),
+    ("http://c9.org/", "<link rel=canonical href='http://bad.net:8080/es/x'>", False),
+    ("http://d1.org/", "<link rel=canonical href='javascript:http://bad.net/es/x'><link rel=canonical href='http://[x'>", False),
+    ("http://d2.org/", "<link rel=canonical href='HTTP://bad.net/ES/x'><link rel=canonical><link rel=canonical href=''>", False),
+    ("http://d3.org/", "<a href='http://bad.net/es/x' rel=canonical>x</a><linked rel=canonical href='http://bad.net/es/x'>", False),
+    ("http://q.org/p", "<link rel=canonical href='?id=3'>", False),
+]
+
+
+def test_links_by_the_standard(spark):
+    """Verdicts written by hand: what a browser takes for a link, and where it leads."""
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(LINKS)], "page_id long, url string, html string")
+    got = by_id(url_filter.judge(pages))
+    assert [LINKS[i][0] for i in sorted(got) if (got[i][1] == "block") != LINKS[i][2]] == []
+
+
+def test_targets():
+    links = url_filter.links_of
+    canonical = "<link rel=canonical href='{}'>".format
+    assert links("http://a.org/p/q?x=1#f", canonical("?id=3")) == ["http://a.org/p/q?id=3"]
+    assert links("http://a.org/p/q", canonical("../../../r/./s/..")) == ["http://a.org/r/"]
+    assert links("http://a.org", canonical("b?c=1&amp;d=2")) == ["http://a.org/b?c=1&d=2"]
+    assert links("http://a.org/x/", "<base href=../y/>" + canonical("z") + canonical("w")) == ["http://a.org/y/z", "http://a.org/y/w"]
+    assert links("nourl", canonical("b")) == links(None, canonical("b")) == links("http://a.org/", None) == []
+
+
+def test_one_node_for_each_way_to_write_a_url(spark):
+    urls = ["http://a.org", "HTTP://A.org:80/", "http://a.org/./#x", "http://a.org:/b/..", "http://a.org/../."]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select(url_filter.node_of(url_filter.F.col("url"))).collect()
+    assert {r[0] for r in rows} == {"http://a.org/"}
+    kept = {"http://a.org/b//c/": "http://a.org/b//c/", "https://a.org:80/.b/..c?q=/../x": "https://a.org:80/.b/..c?q=/../x", "http://a.org?q": "http://a.org/?q"}
+    rows = spark.createDataFrame([(u,) for u in kept], "url string")
+    assert {r.url: r.node for r in rows.select("url", url_filter.node_of(rows.url).alias("node")).collect()} == kept
+
+
+def test_hostile_pages_end_soon():
+    import time
+
+    start = time.perf_counter()
+    for page in ("<link " * 200_000, "<script>" * 200_000, "<!--" * 200_000, "<link rel='" * 100_000, "<title></title>" * 100_000, "<meta " + "a=b " * 300_000):
+        assert url_filter.links_of("http://a.org/", page) == []
+    assert time.perf_counter() - start < 20
+
+
 def test_without_links_or_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/es/")], "page_id long, url string")
     assert by_id(url_filter.judge(pages, html=None)) == {1: ("net/es/", "block")}

@@ -279,23 +279,37 @@ FROM pages JOIN ruled ON pages.url IS NOT DISTINCT FROM ruled.url
 def _op5_sql() -> str:
     """Every block against every template, without the filters."""
     templates = ", ".join(
-        "('{}', [{}], {})".format(
-            label, ", ".join(f"'{w}'" for w in own), license_scan.least_shared(len(own), license_scan.THRESHOLD)
+        "({}, '{}', {}, {}, {}, {})".format(
+            t,
+            label,
+            own,
+            license_scan.least_shared(len(own), license_scan.THRESHOLD),
+            *license_scan.block_of(n),
+        )
+        for t, ((label, text), n) in enumerate(
+            zip(license_scan.TEMPLATES, license_scan.block_words(license_scan.TEMPLATES), strict=True)
         )
-        for label, text in license_scan.TEMPLATES
         for own in [license_scan.template_words(text)]
     )
     phrases = ", ".join(f"({p.split(' ')}, '{label}')" for p, label in license_scan.PHRASES)
-    size = license_scan.BLOCK
     return f"""
-WITH templates(label, own, least) AS (VALUES {templates}), phrases(parts, label) AS (VALUES {phrases}), docs AS (
+WITH templates(t, label, own, least, size, step) AS (VALUES {templates}), phrases(parts, label) AS (VALUES {phrases}), docs AS (
   SELECT row_number() OVER () AS r, doc_id, {_DUCK_WORDS.format("text")} AS w FROM documents
-), blocks AS (
-  SELECT r, list_slice(w, s + 1, s + {size}) AS block
-  FROM (SELECT r, w, unnest(generate_series(0, len(w) - 1, {size // 2})) AS s FROM docs)
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs
+), parts AS (
+  SELECT t, size, step, unnest(own) AS word FROM templates
+), counted AS (
+  SELECT r, t, s, list(DISTINCT word) AS shared FROM (
+    SELECT r, t, word, unnest(generate_series(greatest((i - size + step) // step, 0), i // step)) AS s FROM words JOIN parts USING (word)
+  ) GROUP BY r, t, s
+), hits AS (
+  SELECT r, size, s, t, label, shared, len(shared) / len(own) AS share FROM counted JOIN templates USING (t) WHERE len(shared) >= least
+), yielding AS (
+  SELECT DISTINCT p.r, p.s, p.t FROM hits p JOIN hits q ON p.r = q.r AND p.size = q.size AND p.s = q.s AND p.label <> q.label
+  WHERE len(list_intersect(p.shared, q.shared)) = len(p.shared) AND (len(q.shared) > len(p.shared) OR q.share > p.share)
 ), matches AS (
-  SELECT r, label, len(list_intersect(own, block)) / len(own) AS share
-  FROM blocks, templates WHERE len(list_intersect(own, block)) >= least
+  SELECT r, label, share FROM hits ANTI JOIN yielding USING (r, s, t)
 ), places AS (
   SELECT r, label, i - 1 AS start FROM (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM docs WHERE list_contains(w, 'license')), phrases
   WHERE list_slice(w, i, i + len(parts) - 1) = parts

@@ -65,8 +65,44 @@ def test_base_places(spark):
     ]
     found = compare(spark, rows)
     assert found[6][2:] == (1, 3, 3, "mit", "mit", 1.0)
-    assert found[8][6] == "cc-by,cc-by-nc" and found[8][7] == 1.0
-    assert found[9][6] == "mit"  # all words of the notice stand in one block: the join goes by sets
+    assert found[8][6] == "cc-by-nc" and found[8][7] == 1.0
+    assert found[9][6] == ""  # the words of the notice do not stand together
+
+
+def test_labels_by_hand(spark):
+    """Labels of the method alone, written by hand."""
+    full = {label: text for label, text in license_scan.TEMPLATES if label in ("mit", "isc")}
+    filler = "one two three four five six seven eight nine ten eleven twelve "
+    cases = [
+        ("Licensed under CC BY-SA 4.0", ["cc-by-sa"]),
+        ("Licensed under CC BY-NC 4.0.", ["cc-by-nc"]),
+        ("Licensed under CC BY 4.0", ["cc-by"]),
+        ("Licensed under CC BY-NC-SA 4.0", ["cc-by-nc-sa"]),
+        ("Licensed under CC BY 4.0. " + filler * 2 + "Licensed under CC BY-SA 4.0.", ["cc-by", "cc-by-sa"]),
+        ("It was licensed by 4 of them under a cc of 0 parts", []),
+        ("Licensed " + filler + "under CC BY 4.0", []),
+        ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ["cc-by-sa"]),
+        ("Licensed under a Creative Commons Attribution 4.0 International License", ["cc-by"]),
+        ("Released under the BSD License; MIT is a place", []),
+        ("Licensed under the GNU Lesser General Public License, version 2.1", ["lgpl"]),
+        (filler * 40 + full["isc"] + filler * 40, ["isc"]),
+        (filler * 40 + full["mit"].replace("persons", "people") + filler * 40, ["mit"]),
+        (full["isc"][: len(full["isc"]) // 2], []),
+        (filler * 300, []),
+    ]
+    for text, at in [("Licensed under CC BY-ND 4.0", k) for k in range(13)]:  # wherever blocks begin
+        cases.append((" ".join((filler * 2).split()[:at]) + " " + text + " " + filler, ["cc-by-nd"]))
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [m.label for m in r.matches] for r in license_scan.scan(df).collect()}
+    assert {i: v for i, v in got.items() if v != cases[i][1]} == {}
+
+
+def test_blocks_follow_templates():
+    templates = [("a", "x y"), ("b", "x y z"), ("b", "x y z w w"), ("c", "q"), ("a", "x y q q q q q q")]
+    assert license_scan.block_words(templates) == [5, 5, 5, 8, 8]
+    for n in range(1, 60):  # n consecutive words lie whole in one block
+        length, step = license_scan.block_of(n)
+        assert all(p + n <= p // step * step + length for p in range(200))
 
 
 def test_odd_rows_and_plan(odd_docs, no_docs):

@@ -77,6 +77,11 @@ def load(path: str) -> Vocabulary:
         raise ValueError("a byte-level BPE file without normalizer and prefix space is needed")
     if any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
         raise ValueError("this BPE file has options that are not supported")
+    if not pre.get("use_regex", True) or (held.get("decoder") or {}).get("type") != "ByteLevel":
+        raise ValueError("pre-tokens by the byte-level pattern and a byte-level decoder are needed")
+    # without a normalizer, added tokens are looked for in the same text whether normalized or not
+    if any(t.get(k) for t in held["added_tokens"] for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take white space or whole words alone are not supported")
     vocab, chars = model["vocab"], _byte_chars()
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     made = {a + b: i for i, (a, b) in enumerate(merges)}

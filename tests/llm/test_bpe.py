@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import copy
+import json
 import random
 import struct
 
@@ -69,3 +71,18 @@ def test_decode_of_broken_utf8_and_unknown_ids(library):
 def test_files_of_other_kinds_are_refused():
     with pytest.raises(ValueError):
         bpe.load(queries.vocabulary_path("word_bpe_49k.json"))
+
+
+def test_refuses_what_it_does_not_support(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        held = json.load(f)
+    changes = [lambda h: h["pre_tokenizer"].update(use_regex=False), lambda h: h.update(decoder=None)]
+    for key in ("lstrip", "rstrip", "single_word"):
+        changes.append(lambda h, key=key: h["added_tokens"][0].update({key: True}))
+    for i, change in enumerate(changes):
+        other = copy.deepcopy(held)
+        change(other)
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(other))
+        with pytest.raises(ValueError):
+            bpe.load(str(path))

@@ -313,20 +313,24 @@ class _Smallest:
     """The ``most`` distinct strings with the smallest hashes of those added."""
 
     def __init__(self, most):
-        self.most, self.heap, self.held = most, [], set()
+        self.most, self.heap, self.held = most, [], {}
 
     def add(self, text, apart=False):
+        """Add ``text``; it is kept apart if every finding that it was added for is, in whatever order they come."""
         from hashlib import blake2b
         from heapq import heappush, heappushpop
 
-        entry = (-int.from_bytes(blake2b(text.encode(), digest_size=7).digest()), text, apart)
-        if text in self.held or (len(self.heap) == self.most and entry <= self.heap[0]):
+        if text in self.held:
+            self.held[text] = self.held[text] and apart
             return
-        self.held.add(text)
+        entry = (-int.from_bytes(blake2b(text.encode(), digest_size=7).digest()), text)
+        if len(self.heap) == self.most and entry <= self.heap[0]:
+            return
+        self.held[text] = apart
         if len(self.heap) < self.most:
             heappush(self.heap, entry)
         else:
-            self.held.discard(heappushpop(self.heap, entry)[1])
+            del self.held[heappushpop(self.heap, entry)[1]]
 
 
 def _findings(most):
@@ -346,7 +350,7 @@ def _findings(most):
                             for w in _windows(t, start, end):
                                 best[label].add(w, apart)
         for label, own in best.items():
-            rows = [{"win": w, "label": label, "hash": -h, "apart": a} for h, w, a in own.heap]
+            rows = [{"win": w, "label": label, "hash": -h, "apart": own.held[w]} for h, w in own.heap]
             kinds = [("win", pa.string()), ("label", pa.bool_()), ("hash", pa.int64()), ("apart", pa.bool_())]
             yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
@@ -382,9 +386,11 @@ def fit(df: DataFrame, text: str = "text", findings: int = FINDINGS) -> Network
     texts = df.select(text)
     found = texts.mapInArrow(tidy(_findings(findings)), "win string, label boolean, hash bigint, apart boolean")
     found = materialize(found, "secret-findings")  # at most 2 * `findings` short strings of a task
+    # a window that several tasks found is kept apart if all did so
+    found = found.groupBy("win", "label", "hash").agg(F.min("apart").alias("apart"))
     rows = []
     for label in (False, True):  # at most `findings` short strings each
-        rows += found.filter(F.col("label") == label).distinct().orderBy("hash", "win").limit(findings).collect()
+        rows += found.filter(F.col("label") == label).orderBy("hash", "win").limit(findings).collect()
     labels = np.array([r.label for r in rows], float)
     if not 0 < labels.sum() < len(labels):
         return None

@@ -161,6 +161,15 @@ def test_smallest_hashes():
     assert len(every.heap) == 50 and sorted(few.heap) == sorted(every.heap)[-3:]
 
 
+def test_a_window_is_kept_apart_in_any_order_only_if_all_its_findings_are():
+    for flags in ([True, False, True], [False, True, True], [True, True, False]):
+        held = secret_scan._Smallest(2)
+        for flag in flags:
+            held.add("shared", flag)
+            held.add("apart", True)
+        assert held.held == {"shared": False, "apart": True}
+
+
 def test_short_and_letter_only_keys_are_candidates(spark):
     """Keys of 12 characters and keys of letters alone, under a name that no pattern knows."""
     rng = np.random.default_rng(7)

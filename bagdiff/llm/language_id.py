@@ -3,7 +3,8 @@
 ``fit`` counts the n-grams of every training text inside Spark tasks and sums the
 counts per (language, bucket) with a hash aggregation; only the finished
 log-probability matrix, whose size is bounded by ``MATRIX_BYTES``, reaches the
-driver and is broadcast. ``predict`` looks the n-grams of a batch up in the
+driver (as counts, at most four times as large) and is broadcast. A task holds the counts of
+``HELD`` languages at most, whatever the column holds. ``predict`` looks the n-grams of a batch up in the
 matrix and sums per document, in numpy.
 
 Characters are lower-cased letters; every other character reads as a space, and
@@ -31,6 +32,10 @@ NGRAMS = (1, 2, 3)
 BITS = 15
 #: Bound of the broadcast matrix; with very many languages, buckets are folded until it fits.
 MATRIX_BYTES = 64 << 20
+#: Languages whose counts a task holds at once (262 KB each); with more, it passes them on and starts anew.
+HELD = 128
+#: A column of more distinct values is no column of languages; `fit` refuses it.
+MOST_LANGUAGES = 1 << 20
 UNKNOWN = "und"
 
 
@@ -114,6 +119,21 @@ def _count(batches):
 
     table, counts, docs = _letters(), {}, {}
     size = 1 << BITS
+
+    def counted():
+        for lang, held in counts.items():
+            at = np.flatnonzero(held[:size])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * (len(at) + 1), pa.string()),
+                    pa.array(np.append(at, -1), pa.int32()),
+                    pa.array(np.append(held[at], docs[lang]), pa.int64()),
+                ],
+                ["lang", "bucket", "n"],
+            )
+        counts.clear()
+        docs.clear()
+
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for first, texts in chunks(batch.column(1)):
@@ -121,44 +141,43 @@ def _count(batches):
             for i, t in enumerate(texts):
                 by.setdefault(langs[first + i], []).append(t)
             for lang, own in by.items():
+                if lang not in counts and len(counts) == HELD:
+                    yield from counted()
                 docs[lang] = docs.get(lang, 0) + len(own)
                 held = counts.setdefault(lang, np.zeros(size + 1, np.int64))
                 for part in _pieces(own)[1] if sum(map(len, own)) > CHUNK_CHARS else ["  ".join(own)]:
                     for bucket in _ngrams([part], table, BITS)[0]:
                         held += np.bincount(bucket, minlength=size + 1)
-    for lang, held in counts.items():
-        at = np.flatnonzero(held[:size])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * (len(at) + 1), pa.string()),
-                pa.array(np.append(at, -1), pa.int32()),
-                pa.array(np.append(held[at], docs[lang]), pa.int64()),
-            ],
-            ["lang", "bucket", "n"],
-        )
+    yield from counted()
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
-    """Learn from every row of ``df`` whose language and text are not null; None if there is none."""
+    """Learn from every row of ``df`` whose language and text are not null; None if there is none.
+
+    Raises ValueError for a column of over ``MOST_LANGUAGES`` distinct languages.
+    """
     import numpy as np
 
     rows = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     bound_batches(df.sparkSession)
     counted = rows.mapInArrow(tidy(_count), "lang string, bucket int, n bigint")
-    n_langs = df.select(lang).distinct().count()
-    if not n_langs:
+    named = df.filter(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang")).distinct()
+    names = sorted(r.lang for r in named.limit(MOST_LANGUAGES + 1).collect())
+    if not names:
         return None
-    bits = min(BITS, max(4, int(math.log2(MATRIX_BYTES / 4 / n_langs))))
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"column {lang} has over {MOST_LANGUAGES} distinct languages")
+    bits = min(BITS, int(math.log2(MATRIX_BYTES / 4 / len(names))))
     folded = F.when(F.col("bucket") >= 0, F.shiftright("bucket", BITS - bits)).otherwise(F.col("bucket"))
-    # one array per language: at most n_langs * 2^bits entries, MATRIX_BYTES in all
     summed = counted.groupBy("lang", folded.alias("bucket")).agg(F.sum("n").alias("n"))
-    table = summed.toArrow()
+    # the names stay in Spark: at most len(names) * 2^bits rows of 16 bytes, four times MATRIX_BYTES
+    places = df.sparkSession.createDataFrame(list(enumerate(names)), "place int, lang string")
+    table = summed.join(F.broadcast(places), "lang").select("place", "bucket", "n").toArrow()
     if not len(table):
         return None
-    langs = sorted(set(table["lang"].to_pylist()))
-    place = {x: i for i, x in enumerate(langs)}
-    col = np.array([place[x] for x in table["lang"].to_pylist()])
+    used, col = np.unique(table["place"].to_numpy(), return_inverse=True)
+    langs = [names[i] for i in used]
     bucket, n = table["bucket"].to_numpy(), table["n"].to_numpy()
     is_doc = bucket < 0
     docs = np.zeros(len(langs))

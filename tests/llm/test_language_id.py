@@ -74,3 +74,37 @@ def test_many_languages_fold_the_matrix(spark, monkeypatch):
     rows = [(f"l{i:02}", chr(0x4E00 + i) * 30) for i in range(40)]
     model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"))
     assert model.bits == 6 and model.matrix.nbytes <= 4 * 40 * 65
+
+
+def test_many_languages_in_a_task(spark, monkeypatch):
+    """A task that may hold two languages gives the counts, and the model, of one that holds them all."""
+    import numpy as np
+
+    rows = [(f"l{i % 7}", chr(97 + i % 7) * 3 + " " + chr(98 + i % 5) * (1 + i % 4)) for i in range(70)]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    whole = language_id.fit(df)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist([{"lang": a, "text": t} for a, t in rows])
+
+    def totals(found):
+        out = {}
+        for part in found:
+            for r in part.to_pylist():
+                out[r["lang"], r["bucket"]] = out.get((r["lang"], r["bucket"]), 0) + r["n"]
+        return out
+
+    want = totals(language_id._count([batch]))
+    monkeypatch.setattr(language_id, "HELD", 2)
+    parts = list(language_id._count([batch, batch]))
+    assert len(parts) == 14 and totals(parts) == {k: 2 * n for k, n in want.items()}
+    assert whole.langs == [f"l{i}" for i in range(7)] and np.isfinite(whole.matrix).all()
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    df = spark.createDataFrame([(x, "text") for x in "abc"], "lang string, text string")
+    with pytest.raises(ValueError, match="over 2 distinct"):
+        language_id.fit(df)

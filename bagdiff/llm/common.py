@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ BATCH_BYTES = 8 << 20
 #: A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so at most HEAVY_SHARE keys are.
 HEAVY_SHARE = 512
 
+_scopes: list[list[str]] = []
+
 
 def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
@@ -30,9 +33,29 @@ def materialize(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
         df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    for paths in _scopes:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The folders that :func:`materialize` writes inside the block, in order."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes[:] = [x for x in _scopes if x is not paths]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing reads any more, wherever the shared folder lies."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def chunks(texts, max_chars: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) slices of an Arrow string array of about ``max_chars`` characters; null reads as empty.
 

@@ -235,10 +235,12 @@ def find_hits(
 def clean_rows(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without a hit word, with all their columns.
 
-    Verdicts go by id and text together, so rows that share an id are judged each by its own text.
+    Verdicts go by id and text together, so rows that share an id are judged each by its own text. Those of
+    hit rows are written: while they are few, Spark broadcasts them by their size in files and no text moves.
     """
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     keyed = docs.select(F.struct(F.col(id).alias("id"), digest.alias("d")).alias("key"), F.col(text).alias("text"))
-    dirty = find_hits(keyed, items, id="key").filter("n_hit > 0").select(F.col("key").alias("__dirty")).distinct()
+    dirty = find_hits(keyed, items, id="key").filter("n_hit > 0").select(F.col("key").alias("__dirty"))
+    dirty = materialize(dirty.distinct(), "hit-keys", narrow=True)
     tagged = docs.withColumn("__key", F.struct(F.col(id).alias("id"), digest.alias("d")))
     return tagged.join(dirty, F.col("__key").eqNullSafe(F.col("__dirty")), "left_anti").drop("__key")

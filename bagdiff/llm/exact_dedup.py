@@ -81,15 +81,21 @@ def kept_rows(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
 def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Exactly one row of ``df`` for each group, with all its columns: one with the group's smallest id.
 
-    Texts move together only for ids that a group repeats.
+    The ids that go are written and taken out of ``df`` by an anti-join: while they are few, Spark
+    broadcasts them by their size in files and no text moves. Texts move together only for ids
+    that several rows share, which are told apart by their digests.
     """
-    groups = group_copies(df, id, text).filter("kept")
-    keys = groups.groupBy(F.col(id).alias("__id"), F.col("digest").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
-    keys = materialize(keys, "dedup-kept", narrow=True)
-    tagged = df.withColumn("__d", sha256(normalized(F.col(text))))
-    on = F.col(id).eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest"))
-    out = tagged.join(keys.filter("__n = 1"), on, "left_semi").drop("__d")
-    repeated = keys.filter("__n > 1")
+    groups = group_copies(df, id, text).select(F.col(id).alias("__id"), F.col("digest").alias("__digest"), "kept")
+    ids = groups.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"), F.max("kept").alias("__kept"))
+    gone = materialize(ids.filter("__n > 1 or not __kept"), "dedup-gone", narrow=True)
+    same = F.col(id).eqNullSafe(F.col("__id"))
+    out = df.join(gone, same, "left_anti")
+    repeated = gone.filter("__n > 1 and __kept")
     if repeated.isEmpty():
         return out
-    return out.unionByName(one_each(tagged.join(repeated, on, "left_semi"), [id, "__d"]).drop("__d"))
+    shared = repeated.select(F.col("__id").alias("__any"))
+    keys = groups.filter("kept").join(shared, F.col("__id").eqNullSafe(F.col("__any")), "left_semi")
+    keys = materialize(keys.select("__id", "__digest").distinct(), "dedup-shared", narrow=True)
+    rows = df.join(repeated, same, "left_semi").withColumn("__d", sha256(normalized(F.col(text))))
+    rows = rows.join(keys, same & (F.col("__d") == F.col("__digest")), "left_semi")
+    return out.unionByName(one_each(rows, [id, "__d"]).drop("__d"))

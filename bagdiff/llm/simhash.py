@@ -207,21 +207,23 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", **opt
 def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, **options) -> DataFrame:
     """Exactly one row of ``df`` for each component, with all its columns: one with the component's id.
 
-    Of several with this id, the smallest fingerprint's. A row whose id no other row has
-    is found by it; rows that share an id are told apart by their fingerprints.
+    Of several with this id, the smallest fingerprint's. The ids that go are written and taken
+    out of ``df`` by an anti-join: while they are few, Spark broadcasts them by their size in files
+    and no text moves. Rows that share an id are told apart by their fingerprints.
     """
     found = _grouped(df, id, text, shingle, **options).withColumnRenamed(id, "__id")
-    ids = found.groupBy(F.col("__id").alias("__any")).agg(F.count(F.lit(1)).alias("__n"))
-    own = found.filter(F.col("__id").eqNullSafe(F.col("component_id"))).groupBy("component")
-    kept = own.agg(F.first("__id").alias("__id"), F.min("fp").alias("__fp"))
-    kept = kept.join(ids, F.col("__id").eqNullSafe(F.col("__any"))).select("__id", "__fp", "__n")
-    kept = materialize(kept, "simhash-kept", narrow=True)
+    own = F.col("__id").eqNullSafe(F.col("component_id"))
+    ids = found.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"), F.max(own).alias("__own"))
+    gone = materialize(ids.filter("__n > 1 or not __own"), "simhash-gone", narrow=True)
     same = F.col(id).eqNullSafe(F.col("__id"))
-    out = df.join(kept.filter("__n = 1"), same, "left_semi")
-    repeated = kept.filter("__n > 1")
+    out = df.join(gone, same, "left_anti")
+    repeated = gone.filter("__n > 1 and __own")
     if repeated.isEmpty():
         return out
-    rows = df.join(repeated.select("__id").distinct(), same, "left_semi")
-    rows = rows.withColumn("__f", fingerprint(F.col(text), shingle))
-    rows = rows.join(repeated, same & (F.col("__f") == F.col("__fp")), "left_semi")
+    shared = repeated.select(F.col("__id").alias("__any"))
+    kept = found.filter(own).join(shared, F.col("__id").eqNullSafe(F.col("__any")), "left_semi")
+    kept = kept.groupBy("component").agg(F.first("__id").alias("__id"), F.min("fp").alias("__fp"))
+    kept = materialize(kept.select("__id", "__fp"), "simhash-kept", narrow=True)
+    rows = df.join(repeated, same, "left_semi").withColumn("__f", fingerprint(F.col(text), shingle))
+    rows = rows.join(kept, same & (F.col("__f") == F.col("__fp")), "left_semi")
     return out.unionByName(one_each(rows, [id, "__f"]).drop("__f"))

@@ -12,7 +12,7 @@ from .test_simhash import expected as near
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from bagdiff.llm import queries
+from bagdiff.llm import decontaminate, exact_dedup, queries, simhash
 
 
 def model(rows, items):
@@ -72,6 +72,28 @@ def test_copies_that_share_an_id_or_have_none(spark):
     assert len(got) == len(set(got)) and len(got) <= len(components)
 
 
+def test_texts_do_not_move_while_few_rows_go(spark, small):
+    """The rows of a stage come from an anti-join with a broadcast of what goes, not from an exchange of texts."""
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    for out in (exact_dedup.one_of_each(small), simhash.one_of_each(small), decontaminate.clean_rows(small, items)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "hashpartitioning" not in plan, plan
+
+
+def test_tables_of_finished_stages_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from bagdiff.llm.common import materialize, remove, written
+
+    rows = spark.range(5)
+    with written() as tables:
+        kept = materialize(materialize(rows, "inner"), "outer")
+    assert [Path(p.removeprefix("file:")).name.split("-")[0] for p in tables] == ["inner", "outer"]
+    remove(spark, tables[:-1])
+    assert [Path(p.removeprefix("file:")).exists() for p in tables] == [False, True]
+    assert kept.count() == 5
+
+
 def test_without_any_language_texts_with_letters_stay(spark):
     rows = [(1, "A clean text.", None), (2, "中文", None), (3, "123 !", None), (4, "", None), (5, None, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

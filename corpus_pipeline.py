@@ -2,7 +2,8 @@
 
 Each stage works on all that its predecessor kept. ``run`` writes each stage's rows
 to the shared folder (``spark.checkpoint.dir``) and rereads them, so a lost executor
-costs the running stage's tasks only.
+costs the running stage's tasks only. Once a stage's rows are written, its own tables and the rows
+of the stage before are removed; the rows that the last stage reads stay.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bagdiff.llm import decontaminate, exact_dedup, language_id, queries, simhash
-from bagdiff.llm.common import materialize
+from bagdiff.llm.common import materialize, remove, written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with written() as tables:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+        remove(spark, before + tables[:-1])
+        before = tables[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,8 +12,11 @@ depend on how blocks were packed into tasks. Nothing runs before an action.
 
 UTF-16 and UTF-32 of a named byte order are cut at the bytes of their line feed, wherever these stand. Such a cut is
 a line's end only if it is aligned to the charset's units, as other characters may hold the same
-bytes across two units. Running lengths, by the same windows and offsets, tell which cuts are aligned;
-the pieces of a line with cuts that are not are joined again.
+bytes across two units, and text may hold many of these. So pieces are not exchanged: a first scan measures each block
+(its bytes, and its aligned cuts for each offset that it may have), windows over these narrow rows give every block its
+offset and first line number, and in a second scan each task joins the pieces of its lines in the scan's own
+order. Only the pieces of lines that reach over a block's border meet in an exchange, by a third scan that
+drops all others. A file that cannot be split is numbered and joined by the task that reads it, which holds one line at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 
 from bagdiff import schema as S
 from bagdiff.functions.paths import clean_path
+from bagdiff.sources import wide
 
 # Charsets whose newline is not the single byte 0x0A, by their bytes a unit.
 _WIDE_CHARSETS = {"UTF-16BE": 2, "UTF-16LE": 2, "UTF-32BE": 4, "UTF-32LE": 4}
@@ -84,10 +88,10 @@ def _check_charset(spark: SparkSession, encoding: str) -> None:
         )
 
 
-def _both(spark, sides, recursive, line_bits=S.LINE_BLOCK_BITS, line_sep=None) -> DataFrame:
+def _both(spark, sides, recursive, line_bits=S.LINE_BLOCK_BITS) -> DataFrame:
     scan = None
     for side, paths in sides.items():
-        own = scan_text(spark, paths, recursive, line_bits, line_sep).withColumn("side", F.lit(side))
+        own = scan_text(spark, paths, recursive, line_bits).withColumn("side", F.lit(side))
         scan = own if scan is None else scan.unionByName(own)
     return scan
 
@@ -106,7 +110,7 @@ def read_sides(
     In UTF-16 and UTF-32 lines end with a line feed, or carriage return and line feed; a byte order mark is no text."""
     _check_charset(spark, encoding)
     if _normal(encoding) in _WIDE_CHARSETS:
-        return _wide_lines(spark, sides, _normal(encoding), recursive, line_bits)
+        return _wide_lines(spark, sides, _normal(encoding), recursive)
     rows = _both(spark, sides, recursive, line_bits).repartition(*_BLOCK)
     # block sizes are taken from all columns that the rows need, so both branches share the exchange
     blocks = rows.groupBy(*_BLOCK).agg(F.count_if(F.length("_raw") >= 0).alias("_n"), F.min("_m").alias("_m0"))
@@ -123,36 +127,63 @@ def read_sides(
     )
 
 
-def _wide_lines(spark, sides, encoding, recursive, line_bits) -> DataFrame:
+def _wide_lines(spark, sides, encoding, recursive) -> DataFrame:
     """:func:`read_sides` for a wide charset."""
-    unit, line_sep = _WIDE_CHARSETS[encoding], _line_feed(encoding)
-    rows = _both(spark, sides, recursive, line_bits, line_sep).repartition(*_BLOCK)
-    # the cuts' own bytes are whole units, so lengths without them tell whether a cut is aligned
-    earlier = Window.partitionBy(*_BLOCK).orderBy("_m")
-    ends = F.sum(F.octet_length("_raw").cast("long")).over(earlier.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("_end", ends)
-    # cuts of a sub-block that are aligned, for each possible offset of the sub-block
-    per_offset = [F.count_if((F.col("_end") + r) % unit == 0).alias(f"_n{r}") for r in range(unit)]
-    blocks = rows.groupBy(*_BLOCK).agg(F.max("_end").alias("_size"), *per_offset)
-    before = Window.partitionBy("side", "_f").orderBy("_b", "_s").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)) % unit)
-    aligned = sum((F.when(F.col("_offset") == r, F.col(f"_n{r}")).otherwise(0) for r in range(unit)), F.lit(0))
-    starts = blocks.withColumn("_aligned", aligned).select(
-        *_BLOCK, "_offset", F.coalesce(F.sum("_aligned").over(before), F.lit(0)).alias("_lines")
-    )
-    end = F.col("_end") + F.col("_offset")
-    met = rows.join(starts, _BLOCK).withColumns({"_to": end % unit == 0, "_from": (end - F.octet_length("_raw")) % unit == 0})
-    over = F.count_if("_to").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = met.withColumn("line_no", (F.col("_lines") + over + 1).cast("long"))
-    whole = numbered.where(F.col("_from") & F.col("_to")).select("side", "_f", "line_no", "_raw")
-    pieces = F.transform(F.sort_array(F.collect_list(F.struct("_m", "_raw"))), lambda x: x["_raw"])
-    cut = numbered.where(~(F.col("_from") & F.col("_to"))).groupBy("side", "_f", "line_no")
-    lines = whole.unionByName(cut.agg(F.array_join(pieces, line_sep).alias("_raw")))
+    lines = None
+    for side, paths in sides.items():
+        own = _wide_side(spark, paths, encoding, recursive).withColumn("side", F.lit(side))
+        lines = own if lines is None else lines.unionByName(own)
     text = F.regexp_replace(decode_line(F.col("_raw"), encoding), "\r\\z", "")
     text = F.when(F.col("line_no") == 1, F.regexp_replace(text, "\\A\ufeff", "")).otherwise(text)
     return lines.select("side", clean_path("_f").alias("file"), "line_no", text.alias("line"))
 
 
+def _wide_side(spark, paths, encoding, recursive) -> DataFrame:
+    """``_f, line_no, _raw`` of a side's lines in a wide charset, without their line feeds."""
+    unit, line_sep = _WIDE_CHARSETS[encoding], _line_feed(encoding)
+    rows = scan_text(spark, paths, recursive, line_sep=line_sep).drop("_s")
+    # the cuts' own bytes are whole units, so lengths without them tell whether a cut is aligned
+    sizes = rows.select("_f", "_b", "_m", F.octet_length("_raw").cast("long").alias("_size"))
+    blocks = sizes.mapInArrow(wide.measured(unit), wide.MEASURED)
+    before = Window.partitionBy("_f").orderBy("_b", "_m0").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", (F.coalesce(F.sum("_size").over(before), F.lit(0)) % unit).cast("int"))
+    blocks = blocks.withColumns({c: F.get(c, F.col("_offset")) for c in ("_n", "_first", "_last")})
+    blocks = blocks.withColumn("_line", F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1)
+    # whole lines are in the rows after the first aligned cut, or from the block's start if a line starts there, up to the last
+    since = F.when(F.col("_offset") == 0, F.col("_m0")).otherwise(F.col("_first") + 1)
+    starts = blocks.select(
+        F.col("_f").alias("_sf"),
+        F.col("_b").alias("_sb"),
+        "_m0",
+        "_m1",
+        F.when(F.col("_n") > 0, since).otherwise(F.col("_m1") + 1).alias("_since"),
+        F.coalesce("_last", F.col("_m0") - 1).alias("_until"),
+        "_line",
+        (F.col("_line") + F.col("_n")).alias("_after"),
+    )
+    # a row for each block, so tasks can hold all; a row keeps its place in the scan
+    own = (F.col("_f") == F.col("_sf")) & (F.col("_b") == F.col("_sb")) & F.col("_m").between(F.col("_m0"), F.col("_m1"))
+    inside = F.col("_m").between(F.col("_since"), F.col("_until"))
+    feed = F.lit(line_sep.encode("latin-1"))
+    whole = rows.join(F.broadcast(starts), own).where(inside).select(
+        "_f",
+        "_m0",
+        (F.col("_line") + (F.col("_since") > F.col("_m0")).cast("int")).alias("_line"),
+        "_after",
+        F.concat(F.col("_raw").cast("binary"), feed).alias("_raw"),
+    )
+    whole = whole.mapInArrow(wide.joined(unit), wide.JOINED)
+    whole = whole.withColumn("_raw", F.substring("_raw", F.lit(1), F.octet_length("_raw") - unit))
+    # lines that go on in other blocks, and an end that is no whole unit
+    line_no = F.when(F.col("_m") < F.col("_since"), F.col("_line")).when(F.col("_m") > F.col("_until"), F.col("_after"))
+    changed = F.raise_error(F.lit("the scan's blocks are others than when they were measured")).cast("long")
+    line_no = F.when(F.col("_m0").isNull(), changed).otherwise(line_no)
+    cut = rows.join(F.broadcast(starts), own, "left").where(F.col("_m0").isNull() | ~inside)
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("_b", "_m", "_raw"))), lambda x: x["_raw"])
+    cut = cut.groupBy("_f", line_no.alias("line_no")).agg(F.array_join(pieces, line_sep).cast("binary").alias("_raw"))
+    return whole.unionByName(cut)
+
+
 def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],

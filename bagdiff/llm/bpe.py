@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bagdiff.llm.common import arrow_column, chunks
+from bagdiff.llm.common import arrow_column, chunks, give_back
 
 #: Distinct units that a task remembers, and characters that it encodes together.
 REMEMBERED = 250_000
@@ -111,9 +111,9 @@ def _ranks(vocab, left, right):
     """Rank of each adjacent pair, -1 where there is no merge."""
     import numpy as np
 
-    key = (left << 32) | right
+    key = (left.astype(np.int64) << 32) | right
     at = np.minimum(np.searchsorted(vocab.pair_keys, key), len(vocab.pair_keys) - 1)
-    return np.where((vocab.pair_keys[at] == key) & (right >= 0), vocab.pair_ranks[at], -1)
+    return np.where((vocab.pair_keys[at] == key) & (right >= 0), vocab.pair_ranks[at], -1).astype(np.int32)
 
 
 def _merge_all(vocab, data: bytes, ends):
@@ -123,14 +123,15 @@ def _merge_all(vocab, data: bytes, ends):
     import numpy as np
 
     n = len(data)
-    symbol = vocab.byte_ids[np.frombuffer(data, np.uint8)]
-    after = np.arange(1, n + 1)
+    kind = np.int32 if n < 1 << 31 else np.int64  # of places
+    symbol = vocab.byte_ids.astype(np.int32)[np.frombuffer(data, np.uint8)]
+    after = np.arange(1, n + 1, dtype=kind)
     after[ends - 1] = n  # the place after a piece's last symbol is a stop
-    before = np.arange(-1, n - 1)
+    before = np.arange(-1, n - 1, dtype=kind)
     before[np.concatenate(([0], ends[:-1]))] = n
-    symbol = np.append(symbol, -1)
+    symbol = np.append(symbol, np.int32(-1))
     rank = _ranks(vocab, symbol[:n], symbol[after])
-    rank = np.append(rank, -1)
+    rank = np.append(rank, np.int32(-1))
     # the index: rank -> arrays of positions; a position is live there while rank[position] says so.
     # Symbols only grow, so a position never comes back to a pair it has left.
     index, queue, merged = {}, [], np.zeros(n + 1, bool)
@@ -150,7 +151,7 @@ def _merge_all(vocab, data: bytes, ends):
                 index[r] = [part]
                 heapq.heappush(queue, r)
 
-    enter(np.arange(n))
+    enter(np.arange(n, dtype=kind))
     while queue:
         r = heapq.heappop(queue)
         held = index.pop(r)
@@ -271,25 +272,23 @@ class _Encoder:
 
     def encode(self, texts):
         """Little-endian 32-bit ids of each text, as bytes."""
-        from itertools import chain
-
         import numpy as np
 
         if len(self.known) > REMEMBERED:
             self.forget()
-        cut = [self._cut(t) for t in texts]
-        lens = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, int(lens.sum()))
-        del cut
+        # a text's units are numbered at once, so that those of one text only are held as strings
+        numbered = []
+        for t in texts:
+            cut = self._cut(t)
+            numbered.append(np.fromiter(map(self.known.__getitem__, cut), np.int32, len(cut)))
+        cut = None
         if self.known.new:
             self._learn(self.known.new)
             self.known.new = []
-        sizes = self.sizes[at]
-        ids = self.flat[_spans(self.starts[at], sizes)].astype("<u4").tobytes()
-        total = 4 * np.concatenate(([0], np.cumsum(sizes)))
-        last = np.cumsum(lens)
-        ends = total[last].tolist()
-        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        out = []
+        for at in numbered:
+            out.append(self.flat[_spans(self.starts[at], self.sizes[at])].astype("<u4").tobytes())
+        return out
 
 
 def _spans(starts, sizes):
@@ -324,6 +323,7 @@ def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> D
         for texts in batches:
             for ids in _encoded(encoder, texts):
                 yield pa.array(ids, pa.binary())
+            give_back()
 
     return df.withColumn(into, arrow_column(run, "binary", F.col(text)))
 
@@ -356,6 +356,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
             for packed in _encoded(encoder, texts):
                 back = pa.array([_decode(x, tokens) for x in packed], pa.string())
                 yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), back], fields=list(kind))
+            give_back()
 
     tried = df.withColumn("__bpe", arrow_column(run, "struct<ids:binary,decoded:string>", F.col(text)))
     return tried.withColumns({ids: F.col("__bpe.ids"), decoded: F.col("__bpe.decoded")}).drop("__bpe")

@@ -120,6 +120,18 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Give memory that this process has freed back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable) -> Callable:
     """``run``, an iterator function of a task, giving freed memory back to the system when it ends.
 
@@ -127,15 +139,8 @@ def tidy(run: Callable) -> Callable:
     """
 
     def tidied(batches):
-        import ctypes
-
-        import pyarrow as pa
-
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return tidied
 

@@ -167,7 +167,8 @@ def _reach() -> Column:
     import pyarrow as pa
 
     run.__annotations__ = dict.fromkeys(("span", "pos", "before", "words", "i_before", "i_words", "return"), pa.Array)
-    return F.arrow_udf(run, "struct<start:int,end:int>")("span", "pos", "before", "words", "i_before", "i_words")
+    # as nondeterministic, a filter on it stays above it: below, it would run again, in a worker of its own
+    return F.arrow_udf(run, "struct<start:int,end:int>").asNondeterministic()("span", "pos", "before", "words", "i_before", "i_words")
 
 
 def _filter_bits(items: DataFrame) -> bytes:
@@ -191,8 +192,9 @@ def find_hits(
     """One row per row of ``docs``: ``id``, n_words, n_hit, items (array of item ids as strings, sorted)."""
     spark = docs.sparkSession
     bench = items.select(F.col(item).alias("item"), F.col(item_text).alias("text")).distinct()
-    sized = bench.withColumn("n", fingerprints(F.col("text"), [])["n_words"]).filter("n > 0")
-    sized = materialize(sized, "bench-items")
+    sized = bench.withColumn("n", fingerprints(F.col("text"), [])["n_words"])
+    # filtered after writing: a filter on a Python column would run it a second time, in a worker of its own
+    sized = materialize(sized, "bench-items").filter("n > 0")
     # window lengths: `SPAN` and the lengths of shorter items, so at most SPAN values
     lengths = [r[0] for r in sized.select(F.least("n", F.lit(SPAN)).alias("n")).distinct().orderBy("n").collect()]
     parts = None

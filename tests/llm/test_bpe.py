@@ -86,3 +86,20 @@ def test_refuses_what_it_does_not_support(tmp_path):
         path.write_text(json.dumps(other))
         with pytest.raises(ValueError):
             bpe.load(str(path))
+
+
+def test_encoding_holds_little_beside_what_it_remembers():
+    """Units are numbered and ids written text by text, and places take 4 bytes each."""
+    import tracemalloc
+
+    vocab = bpe.load(PATH)
+    encoder = bpe._Encoder(vocab)
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=300)) for _ in range(700)]
+    encoder.encode(texts[:1])
+    tracemalloc.start()
+    encoder.encode(texts)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak - now < 10 * sum(map(len, texts))  # 13 when all were numbered and written as one array

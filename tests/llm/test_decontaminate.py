@@ -94,3 +94,19 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=repr)
     assert ids == sorted([3, 4, None, None, 5, 6, 7, 8, 9], key=repr)
+
+
+def test_surroundings_are_compared_once(spark, monkeypatch):
+    """A filter on the comparison must not run it a second time, which takes a second Python worker a task."""
+    plans, write = {}, decontaminate.materialize
+
+    def noted(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, **options)
+
+    monkeypatch.setattr(decontaminate, "materialize", noted)
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "x b c d e f g h i j k y"), (2, "")], "item_id long, text string")
+    assert sorted(map(tuple, decontaminate.find_hits(docs, items).collect())) == [(1, 12, 10, ["1"]), (2, 0, 0, [])]
+    for name in ("bench-items", "doc-hits"):
+        assert plans[name].split("== Initial Plan ==")[0].count("ArrowEvalPython") == 1, plans[name]
